@@ -1,0 +1,73 @@
+"""Run registered queries in Spark and their SQL in DuckDB and compare whole results."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def kind(value: object) -> str:
+    return type(value).__name__
+
+
+def sort_key(row: tuple) -> tuple:
+    return tuple((x is None, "" if x is None else str(x)) for x in row)
+
+
+def mismatch(spark, con, run, sql: str, sf_dir: str) -> str | None:
+    """None if both sides agree, else what differs first."""
+    df = run(spark, sf_dir)
+    cur = con.execute(sql)
+    names = [d[0] for d in cur.description]
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} vs {sorted(names)}"
+    want_order = [names.index(c) for c in df.columns]
+    got = sorted((tuple(r) for r in df.collect()), key=sort_key)
+    want = sorted((tuple(r[i] for i in want_order) for r in cur.fetchall()), key=sort_key)
+    if len(got) != len(want):
+        return f"{len(got)} rows vs {len(want)}"
+    for g, w in zip(got, want):
+        for c, a, b in zip(df.columns, g, w):
+            same = a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
+            if not same or kind(a) != kind(b):
+                return f"column {c}: {a!r} ({kind(a)}) vs {b!r} ({kind(b)}) in\n  {g}\n  {w}"
+    return None
+
+
+def main() -> None:
+    import __spark_entry__ as entry
+    from cargolake.config import build_session
+
+    sf_dir = sys.argv[1]
+    only = sys.argv[2:]
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark.sparkContext.setLogLevel("ERROR")
+    con, sqls = connect(sf_dir), entry.oracle_sql()
+    bad = 0
+    for name, run in entry.queries().items():
+        if only and name not in only:
+            continue
+        start = time.time()
+        try:
+            said = mismatch(spark, con, run, sqls[name], sf_dir)
+        except Exception as e:  # show every failing query, not only the first
+            said = f"{type(e).__name__}: {str(e)[:1500]}"
+        bad += said is not None
+        print(f"{name:32s} {time.time() - start:6.2f}s {said or 'ok'}", flush=True)
+    print(f"{bad} of {len(only) or len(sqls)} differ")
+
+
+if __name__ == "__main__":
+    main()
