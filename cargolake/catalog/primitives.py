@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cargolake.catalog.registry import query
 from cargolake.catalog.silver import firsts, text
-from cargolake.catalog.views import RUN_TS, Views, ctes
+from cargolake.catalog.views import EPOCH_MILLIS, RUN_TS, Views, ctes
 from cargolake.functions import dates, expenses, numbers, text as texts
 from cargolake.operators import aggregates, cleaning, dedup, quality
 
@@ -14,11 +14,11 @@ from cargolake.operators import aggregates, cleaning, dedup, quality
 @query(f"""
     WITH {ctes('customers')}
     SELECT id, {text('name')} AS name, {text('inn', True)} AS inn, {text('contacts')} AS contacts,
-           {text('address')} AS address, {text('customer_segment')} AS customer_segment, is_active
+           {text('address')} AS address, {text('customer_segment')} AS customer_segment
     FROM customers
 """)
 def text_normalise(v: Views) -> DataFrame:
-    return cleaning.normalise_text(v.customers)
+    return cleaning.normalise_text(v.customers.drop("is_active"))
 
 
 @query(f"""
@@ -238,8 +238,7 @@ def category_map(v: Views) -> DataFrame:
     SELECT event_id, ms AS ts, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S.%g') AS "timestamp" FROM ms
 """)
 def epoch_millis(v: Views) -> DataFrame:
-    ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
-    return v.table("events").select("event_id", ms.alias("ts")).withColumn(
+    return v.table("events").select("event_id", F.expr(EPOCH_MILLIS).alias("ts")).withColumn(
         "timestamp", dates.from_epoch_millis(F.col("ts"))
     )
 
@@ -264,7 +263,7 @@ def dedup_keep_last(v: Views) -> DataFrame:
 
 
 @query("""
-    SELECT l_suppkey, l_returnflag, l_linestatus, l_linenumber, l_quantity, strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S.%g') AS load_date
+    SELECT l_suppkey, l_returnflag, l_linestatus, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S.%g') AS load_date
     FROM lineitem GROUP BY 1, 2, 3, 4, 5
 """)
 def distinct_rows(v: Views) -> DataFrame:
@@ -360,7 +359,7 @@ def check_rules(v: Views) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS occurrences FROM lineitem
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(count(*) AS BIGINT) AS occurrences FROM lineitem
     GROUP BY 1, 2 HAVING count(*) > 1
 """)
 def unique_rules(v: Views) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from cargolake.catalog.registry import query
-from cargolake.catalog.views import RUN_TS, TAB, Views, ctes
+from cargolake.catalog.views import EPOCH_MILLIS, RUN_TS, TAB, Views, ctes
 from cargolake.functions.expenses import SHEET_HEADERS
 from cargolake.operators import lookups
 from cargolake.operators.aggregates import mapping_metrics, unmapped_keys as unmapped
@@ -301,8 +301,7 @@ def raw_points(v: Views) -> DataFrame:
     kind = F.col("event_type")
     points = e.select(
         F.when(kind != "signup", F.col("user_id").cast("string")).alias("order_key"),
-        F.when(F.col("value") >= 1, F.expr(
-            "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")).alias("ts"),
+        F.when(F.col("value") >= 1, F.expr(EPOCH_MILLIS)).alias("ts"),
         F.when(kind != "error", F.struct(F.col("value").alias("lat"), F.lit(1.5).alias("lon"))).alias("loc"),
         F.when(kind != "click", F.col("value")).alias("spd"),
         F.lit(None).cast("int").alias("h"),
@@ -352,17 +351,20 @@ def clean_telemetry(v: Views) -> DataFrame:
 @query("""
     WITH raw_k AS (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
     SELECT 'log_' || CAST(user_id AS VARCHAR) AS source_file,
-           CASE WHEN value < 1 THEN NULL ELSE epoch_us(ts) // 1000 END AS ts,
+           CAST(CASE WHEN value < 1 THEN NULL ELSE epoch_us(ts) // 1000 END AS DOUBLE) AS ts,
            CASE WHEN event_type = 'error' THEN NULL ELSE value END AS lat,
            CASE WHEN event_type = 'error' THEN NULL ELSE CAST(1.5 AS DOUBLE) END AS lon, k AS rpm,
            CASE WHEN event_type = 'view' THEN NULL ELSE ' a' || user_id || ' ' END AS car_id,
-           CASE WHEN event_type = 'view' THEN NULL ELSE k > 50 END AS abs_active
+           CAST(CASE WHEN event_type = 'view' THEN NULL ELSE k > 50 END AS VARCHAR) AS abs_active
     FROM raw_k
 """)
 def json_lift(v: Views) -> DataFrame:
     raw = raw_points(v).where("load_timestamp = '2002-01-01'")
     lifted = entities.lift_fields(raw, entities.BRONZE_FIELDS)
-    return lifted.select("source_file", "ts", "lat", "lon", "rpm", "car_id", "abs_active")
+    return lifted.select(
+        "source_file", F.col("ts").cast("double").alias("ts"), "lat", "lon", "rpm", "car_id",
+        F.col("abs_active").cast("string").alias("abs_active"),
+    )
 
 
 # ---- operational extracts ------------------------------------------------

@@ -192,6 +192,13 @@ STAR_SQL = f"""
 # ---- Spark side ----------------------------------------------------------
 
 
+# epoch milliseconds of a zone-less UTC timestamp
+EPOCH_MILLIS = (
+    "CAST(floor(CAST(CAST(ts - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    " AS DECIMAL(18,6)) * 1000) AS BIGINT)"
+)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Result types that read the same in both engines: bigint, double, text."""
 

@@ -22,6 +22,11 @@ def from_epoch_millis(c: Column) -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
+def whole_minutes(first: Column, last: Column) -> Column:
+    """Minutes between two zone-less timestamps, truncated; no session zone comes into it."""
+    return (last - first).cast("interval minute").cast("bigint")
+
+
 def compose_date(day_month: Column, source_month: Column) -> Column:
     """``DD.MM`` plus the year in ``<month name>_<year>``; impossible dates are NULL.
 
@@ -32,7 +37,6 @@ def compose_date(day_month: Column, source_month: Column) -> Column:
     year = F.get(F.split(source_month, "_"), F.lit(1)).try_cast("int")
     month = F.get(day_parts, F.lit(1)).try_cast("int")
     day = F.get(day_parts, F.lit(0)).try_cast("int")
-    # try_make_date-style: a text that is no calendar day casts to NULL
     text = F.format_string("%04d-%02d-%02d", year, month, day)
     readable = year.isNotNull() & month.isNotNull() & day.isNotNull()
     return F.when(readable, text.try_cast("date"))

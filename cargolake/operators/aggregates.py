@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from cargolake.functions.dates import whole_minutes
 from cargolake.functions.numbers import MONEY, round_mean
 
 
@@ -58,7 +59,7 @@ def trip_metrics(telemetry: DataFrame) -> DataFrame:
         .where(F.col("_points") >= 2)
         .select(
             "order_key",
-            F.timestamp_diff("MINUTE", F.col("_first"), F.col("_last")).cast("bigint").alias("duration_minutes"),
+            whole_minutes(F.col("_first"), F.col("_last")).alias("duration_minutes"),
             round_mean(F.col("_speed"), 2).alias("avg_speed_kmh"),
         )
     )

@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from cargolake.functions.text import name_key, plate_key, token
+from cargolake.functions.text import name_key, plate_key
 from cargolake.operators.cleaning import UNKNOWN
 from cargolake.schemas import day
 
@@ -38,9 +38,10 @@ def driver_lookup(df: DataFrame, drivers: DataFrame, name: str = "driver_name")
     active = drivers.where(F.col("is_active")).select(
         F.col("id").cast("bigint").alias("id"), name_key(F.col("full_name")).alias("_name")
     )
+    first = F.lit(1)
     full = active.groupBy("_name").agg(F.max("id").alias("_by_name"))
     last = (
-        active.groupBy(token(F.col("_name"), 0).alias("_last"))
+        active.groupBy(F.split_part("_name", F.lit(" "), first).alias("_last"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("_by_last"))
         .where("_n = 1 AND _last <> ''")
         .drop("_n")
@@ -49,7 +50,7 @@ def driver_lookup(df: DataFrame, drivers: DataFrame, name: str = "driver_name")
     keyed = df.withColumn("_given", given)
     return (
         keyed.join(full, F.col("_given") == F.col("_name"), "left")
-        .join(last, token(F.col("_given"), 0) == F.col("_last"), "left")
+        .join(last, F.split_part("_given", F.lit(" "), first) == F.col("_last"), "left")
         .withColumn("driver_id", F.coalesce("_by_name", "_by_last", F.lit(0).cast("bigint")))
         .drop("_given", "_name", "_by_name", "_last", "_by_last")
     )

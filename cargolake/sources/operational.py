@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from py4j.protocol import Py4JJavaError
 
 from cargolake.config import OPERATIONAL_TABLES
 from cargolake.sources.tables import write_table
@@ -15,7 +15,12 @@ REPORT = "table string, status string, message string"
 
 
 def read_jdbc_table(
-    spark: SparkSession, url: str, table: str, properties: dict, key: str = "id", partitions: int = 8
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    key: str = "id",
+    partitions: int = 8,
 ) -> DataFrame:
     """One table, read by ``partitions`` tasks over ranges of its key.
 
@@ -23,32 +28,43 @@ def read_jdbc_table(
     empty table is read by a single task.
     """
     span = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) span"
-    lo, hi = spark.read.jdbc(url, span, properties=properties).first()
+    lo, hi = spark.read.jdbc(url, span, properties=dict(properties)).first()
     if lo is None or partitions < 2:
-        df = spark.read.jdbc(url, table, properties=properties)
+        df = spark.read.jdbc(url, table, properties=dict(properties))
     else:
         df = spark.read.jdbc(
             url, table, column=key, lowerBound=lo, upperBound=hi + 1,
-            numPartitions=partitions, properties=properties,
+            numPartitions=partitions, properties=dict(properties),
         )
     return df.toDF(*(c.lower() for c in df.columns))
 
 
-def ingest_jdbc(
-    spark: SparkSession,
-    url: str,
-    out: str,
+def ingest_tables(
+    spark: SparkSession, read: Callable[[str], DataFrame], out: str,
     tables: Sequence[str] = OPERATIONAL_TABLES,
-    properties: dict | None = None,
-    partitions: int = 8,
 ) -> DataFrame:
     """Copy every table to ``out``/<table>; a table that fails is reported and the rest go on."""
     report = []
     for table in tables:
         try:
-            df = read_jdbc_table(spark, url, table, dict(properties or {}), partitions=partitions)
-            write_table(df, f"{out}/{table}")
+            write_table(read(table), f"{out}/{table}")
             report.append((table, "loaded", None))
         except (PySparkException, Py4JJavaError) as e:
             report.append((table, "failed", str(e).splitlines()[0]))
     return spark.createDataFrame(report, REPORT)
+
+
+def ingest_jdbc(
+    spark: SparkSession,
+    url: str,
+    out: str,
+    tables: Sequence[str] = OPERATIONAL_TABLES,
+    properties: Mapping[str, str] | None = None,
+    partitions: int = 8,
+) -> DataFrame:
+    """Copy the operational tables of a database to ``out``."""
+
+    def read(table: str) -> DataFrame:
+        return read_jdbc_table(spark, url, table, properties or {}, partitions=partitions)
+
+    return ingest_tables(spark, read, out, tables)

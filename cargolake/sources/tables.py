@@ -43,7 +43,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh. The path must not be one that ``df`` reads."""
+    """Full refresh. The path must not be one that ``df`` reads.
+
+    Before a partitioned write the rows are rebalanced by the partition
+    columns: a small day ends up in one file, a day that holds a third of the
+    rows is split over tasks, and no task opens a file for every day.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cargolake.functions.text import decoded_file_name, key_from_file_name
 from cargolake.plans.entities import BRONZE_FIELDS, lift_fields
 from cargolake.schemas import TELEMETRY, TELEMETRY_BRONZE, conform, ddl, empty, stamp
-from cargolake.sources.tables import path_exists
 
 CORRUPT = "_corrupt_record"
 RAW = f"{ddl(TELEMETRY)}, `{CORRUPT}` string, `dt` string"
@@ -42,20 +42,30 @@ def to_bronze(points: DataFrame, run_ts: datetime) -> DataFrame:
     return conform(lift_fields(kept, BRONZE_FIELDS), TELEMETRY_BRONZE)
 
 
-def _scan(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(RAW).options(**OPTIONS).json(base)
+def _scan(spark: SparkSession, base: str) -> DataFrame | None:
+    """All lines below the day folders, or None without such folders.
+
+    Only the day folders are matched here; Spark lists the many files in them
+    in parallel.
+    """
+    try:
+        return spark.read.schema(RAW).options(**OPTIONS).option("basePath", base).json(f"{base}/dt=*")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_telemetry(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:
     """All points below ``base``. Blank lines do not count; broken lines are left out one by one."""
-    if not path_exists(spark, f"{base}/dt=*/*.jsonl"):
-        return empty(spark, TELEMETRY_BRONZE)
-    return to_bronze(_scan(spark, base), run_ts)
+    points = _scan(spark, base)
+    return empty(spark, TELEMETRY_BRONZE) if points is None else to_bronze(points, run_ts)
 
 
 def broken_lines(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:
     """The lines ``read_telemetry`` leaves out, with their file."""
-    if not path_exists(spark, f"{base}/dt=*/*.jsonl"):
+    points = _scan(spark, base)
+    if points is None:
         return spark.createDataFrame([], "source_file string, log_date string, line string")
-    bad = with_lineage(_scan(spark, base), run_ts).where(_broken())
+    bad = with_lineage(points, run_ts).where(_broken())
     return bad.select("source_file", "log_date", F.col(CORRUPT).alias("line"))

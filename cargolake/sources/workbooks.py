@@ -10,13 +10,13 @@ from datetime import datetime
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolake.functions.expenses import SHEET_HEADERS, TOTAL_MARKER
 from cargolake.functions.text import base_name, stem
 from cargolake.operators.cleaning import drop_all_null, drop_marker_rows
-from cargolake.schemas import EXPENSE_SHEET, conform, empty, stamp
-from cargolake.sources.tables import path_exists
+from cargolake.schemas import EXPENSE_SHEET, conform, stamp
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 LINKED = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -81,18 +81,22 @@ def _decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scan_workbooks(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of all workbooks, and one row with ``read_error`` per file that cannot be read."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(folder)
-        .select("path", "content")
-    )
-    return files.mapInPandas(_decode_all, DECODED)
+    """Rows of all workbooks, and one row with ``read_error`` per file that cannot be read.
+
+    Spark packs the files into tasks by size, so the bytes one task holds are
+    bounded by spark.sql.files.maxPartitionBytes or by its largest file.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(folder)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], DECODED)
+        raise
+    return files.select("path", "content").mapInPandas(_decode_all, DECODED)
 
 
 def read_expense_books(spark: SparkSession, folder: str, run_ts: datetime) -> DataFrame:
     """Expense rows of every readable workbook, without total rows and empty rows."""
-    if not path_exists(spark, f"{folder}/*.xlsx"):
-        return empty(spark, EXPENSE_SHEET)
     rows = scan_workbooks(spark, folder).where("read_error IS NULL")
     rows = drop_all_null(drop_marker_rows(rows, "Номер документа", TOTAL_MARKER), HEADERS)
     file = base_name(F.col("path"))
@@ -106,7 +110,5 @@ def read_expense_books(spark: SparkSession, folder: str, run_ts: datetime) -> Da
 
 def unreadable_books(spark: SparkSession, folder: str) -> DataFrame:
     """The files that were left out, and why."""
-    if not path_exists(spark, f"{folder}/*.xlsx"):
-        return spark.createDataFrame([], "source_file string, read_error string")
     bad = scan_workbooks(spark, folder).where("read_error IS NOT NULL")
     return bad.select(base_name(F.col("path")).alias("source_file"), "read_error")

@@ -1,0 +1,221 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from cargolake.operators import aggregates, cleaning, dedup, lookups, quality
+from tests.conftest import RUN_TS, rows
+
+
+def test_normalise_text(spark):
+    df = spark.createDataFrame(
+        [(" x ", " ab ", "\t", 1), (None, "Cd", "n", None)],
+        "name string, license_number string, note string, n int",
+    )
+    assert rows(cleaning.normalise_text(df)) == [("x", "AB", None, 1), (None, "CD", "n", None)]
+
+
+def test_fill_flag_and_clamp(spark):
+    df = spark.createDataFrame([(None, None, Decimal("-1.5")), ("a", False, None)], "s string, b boolean, q decimal(15,3)")
+    filled = cleaning.fill_defaults(df, {"s": "Unknown", "b": True})
+    assert rows(filled, "s", "b") == [("Unknown", True), ("a", False)]
+    flagged = cleaning.flag(df, "neg", F.col("q") < 0)
+    assert rows(flagged, "neg") == [(False,), (True,)]
+    clamped = cleaning.clamp(df, "q")
+    assert rows(clamped, "q") == [(Decimal("0.000"),), (None,)]
+    assert clamped.schema["q"].dataType == df.schema["q"].dataType
+
+
+def test_lenient_cast(spark):
+    df = spark.createDataFrame([("1.5", "2024-02-30"), ("x", "2024-02-29 10:00:00")], "n string, t string")
+    got = rows(cleaning.lenient_cast(df, {"n": "decimal(15,2)", "t": "timestamp_ntz"}))
+    assert got == [(Decimal("1.50"), None), (None, datetime(2024, 2, 29, 10))]
+
+
+def test_filters_and_nulls(spark):
+    df = spark.createDataFrame([(0,), (1,), (-1,), (None,)], "q int")
+    assert rows(cleaning.keep_unless(df, F.col("q") == 0)) == [(-1,), (1,), (None,)]
+    assert rows(cleaning.keep_if(df, F.col("q") >= 0)) == [(0,), (1,)]
+    marked = spark.createDataFrame([("ИТОГО:",), ("5",), (None,)], "d string")
+    assert rows(cleaning.drop_marker_rows(marked, "d", "ИТОГО:")) == [("5",), (None,)]
+    sparse = spark.createDataFrame([(None, None, "f"), (None, 1, "f")], "a string, b int, file string")
+    assert rows(cleaning.drop_all_null(sparse, ["a", "b"])) == [(None, 1, "f")]
+    assert rows(cleaning.drop_sentinel(spark.createDataFrame([("NO",), ("y",)], "p string"), "p", "NO")) == [("y",)]
+
+
+def test_audit_and_fingerprint(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b"), ("1a", ""), (None, "x")], "inn string, name string")
+    hashed = cleaning.fingerprint(df, ["inn", "name"])
+    first, again = rows(hashed, "etl_hash"), rows(hashed.repartition(3), "etl_hash")
+    assert first == again and len(set(first)) == 4
+    audited = cleaning.audit(df, RUN_TS, "excel", "expense").first()
+    assert (audited["etl_updated_at"], audited["etl_source"], audited["record_type"]) == (RUN_TS, "excel", "expense")
+
+
+def test_repair_quantities(spark):
+    given = [(1, 5, 2, None), (2, 5, None, 9), (3, None, None, 4), (4, 5, None, None), (5, 1, 2, 8)]
+    df = spark.createDataFrame(given, "id int, quantity_before int, quantity_change int, quantity_after int")
+    assert rows(cleaning.repair_quantities(df)) == [
+        (1, 5, 2, 7), (2, 5, 4, 9), (3, None, None, 4), (4, 5, None, None), (5, 1, 2, 8),
+    ]
+
+
+def test_dedup_first_last_and_null_keys(spark):
+    df = spark.createDataFrame([(3, "a", "z"), (1, "a", "x"), (2, None, "n"), (5, None, "m")], "id int, k string, v string")
+    assert rows(dedup.dedup(df, ["k"], ["id"])) == [(1, "a", "x"), (2, None, "n")]
+    assert rows(dedup.dedup(df, ["k"], ["id"], keep="last")) == [(3, "a", "z"), (5, None, "m")]
+
+
+def test_dedup_ties_do_not_depend_on_the_partitioning(spark):
+    df = spark.createDataFrame([(1, v) for v in "dbcae"], "id int, v string")
+    for parts in (1, 3, 5):
+        assert rows(dedup.dedup(df.repartition(parts), ["id"], ["id"])) == [(1, "a")]
+
+
+def test_distinct_business_keeps_the_first_load(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "v string, load int")
+    assert rows(dedup.distinct_business(df, ["load"])) == [("a", 1), ("b", 3)]
+    assert rows(dedup.distinct_business(df)) == [("a", 1), ("a", 2), ("b", 3)]
+
+
+def test_latest_and_upsert(spark):
+    versions = spark.createDataFrame([(1, 10, "old"), (1, 20, "new"), (2, 5, "x")], "k int, ver int, v string")
+    assert rows(dedup.latest_by_key(versions, ["k"], "ver")) == [(1, 20, "new"), (2, 5, "x")]
+    target = spark.createDataFrame([(1, 1, 5), (1, 2, 6)], "p int, w int, q int")
+    source = spark.createDataFrame([(1, 2, 60), (2, 2, 7)], "p int, w int, q int")
+    assert rows(dedup.upsert(target, source, ["p", "w"])) == [(1, 1, 5), (1, 2, 60), (2, 2, 7)]
+
+
+def test_vehicle_lookup(spark):
+    cars = spark.createDataFrame([(1, "A1"), (2, " a1 "), (3, "B2")], "id long, plate_number string")
+    df = spark.createDataFrame([(" a1",), ("b2",), ("zz",), (None,)], "vehicle_plate string")
+    assert rows(lookups.vehicle_lookup(df, cars)) == [(" a1", 2), ("b2", 3), ("zz", 0), (None, 0)]
+
+
+def test_driver_lookup_in_two_tiers(spark):
+    people = spark.createDataFrame(
+        [
+            (1, "Ivanov Ivan", True), (2, "Petrov  Petr Petrovich", True), (3, "Petrov Pavel", True),
+            (4, "Gone Away", False), (5, "Twin Same", True), (6, "TWIN SAME", True),
+        ],
+        "id long, full_name string, is_active boolean",
+    )
+    names = {
+        "ivanov   IVAN": 1,          # full name, blanks and case do not matter
+        "Ivanov": 1,                 # unique last name
+        "Ivanov Oleg": 1,            # other first name, unique last name
+        "Petrov": 0,                 # two drivers of that name
+        "petrov petr petrovich": 2,
+        "Gone Away": 0,              # not active
+        "Twin Same": 6,              # equal names: the last id
+        "Unknown": 0,
+        "": 0,
+        None: 0,
+    }
+    df = spark.createDataFrame([(n, i) for n, i in names.items()], "driver_name string, expected long")
+    for r in lookups.driver_lookup(df, people).collect():
+        assert r["driver_id"] == r["expected"], r
+
+
+def test_manifest_and_pairs(spark):
+    sales = spark.createDataFrame(
+        [
+            (1, "S1", date(2025, 1, 9), 1, 1, datetime(2025, 1, 9)),
+            (2, "S2", date(2025, 1, 10), 2, 1, datetime(2025, 1, 10)),
+            (3, "S3", date(2024, 1, 1), 1, 1, datetime(2024, 1, 1)),
+            (4, "S4", date(2025, 1, 10), None, 1, datetime(2025, 1, 10)),
+            (5, "S5", date(2025, 1, 10), 9, 2, datetime(2025, 1, 10)),
+            (6, "S6", date(2025, 1, 8), 1, 1, datetime(2025, 1, 8)),
+        ],
+        "id long, number string, date date, vehicle_id long, driver_id long, created_at timestamp_ntz",
+    )
+    cars = spark.createDataFrame([(1, "A1", "m", True), (2, "B2", "n", False)], "id long, plate_number string, model string, is_active boolean")
+    people = spark.createDataFrame([(1, "Ivanov", True), (2, "Off", False)], "id long, full_name string, is_active boolean")
+    got = lookups.delivery_manifest(sales, cars, date(2025, 1, 10), 30).collect()
+    assert [(r["sale_id"], r["plate_number"]) for r in got] == [(2, "B2"), (5, None), (1, "A1"), (6, "A1")]
+    assert [r["sale_id"] for r in lookups.delivery_manifest(sales, cars, date(2025, 1, 10), 30, limit=2).collect()] == [2, 5]
+    assert rows(lookups.vehicle_driver_pairs(sales, cars, people)) == [("A1", "m", "Ivanov")]
+
+
+def test_item_totals_of_unreadable_lines_are_zero(spark):
+    items = spark.createDataFrame([(1, "1.10"), (1, "x"), (2, None), (2, "n/a"), (None, "5")], "sale_id long, amount string")
+    assert rows(aggregates.item_totals(items)) == [(1, Decimal("1.10")), (2, Decimal("0.00"))]
+
+
+def test_expenses_by_vehicle_day(spark):
+    d = date(2025, 1, 1)
+    df = spark.createDataFrame(
+        [(1, d, "fuel", Decimal("1.10")), (1, d, "fuel", Decimal("2.20")), (1, d, "repair", Decimal("5.00")),
+         (1, d, "wash", Decimal("0.50")), (2, d, "repair", Decimal("7.00")), (None, d, "fuel", Decimal("9.00"))],
+        "vehicle_id long, expense_date date, expense_category_en string, amount_rub decimal(15,2)",
+    )
+    assert rows(aggregates.expenses_by_vehicle_day(df)) == [
+        (1, d, Decimal("3.30"), Decimal("0.00"), Decimal("0.50"), Decimal("8.80")),
+        (2, d, Decimal("0.00"), Decimal("0.00"), Decimal("0.00"), Decimal("7.00")),
+    ]
+
+
+def test_trip_metrics(spark):
+    t = lambda h, m, s=0: datetime(2025, 1, 1, h, m, s)
+    df = spark.createDataFrame(
+        [("1", t(10, 5), 20.0), ("1", t(10, 0), 10.0), ("1", t(10, 9, 59), 31.0), ("2", t(1, 0), 5.0), ("x", t(1, 0), 5.0), ("x", t(2, 0), 5.0)],
+        "order_key string, timestamp timestamp_ntz, spd double",
+    )
+    assert rows(aggregates.trip_metrics(df)) == [(1, 9, 20.33)]
+
+
+def test_run_counters_ride_on_the_write(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, 0, date(2025, 1, 2)), (0, 0, date(2025, 1, 1)), (2, 5, date(2025, 1, 3))],
+        "vehicle_id long, driver_id long, expense_date date",
+    )
+    watched, watch = aggregates.observed(df, "load", aggregates.expense_metrics())
+    watched.write.parquet(str(tmp_path / "out"))
+    got = watch.get
+    assert got == aggregates.mapping_metrics(df).first().asDict()
+    assert (got["rows"], got["mapped_vehicles"], got["vehicle_share_pct"]) == (3, 2, 66.7)
+    assert (got["first_date"], got["last_date"]) == (date(2025, 1, 1), date(2025, 1, 3))
+
+
+def test_unmapped_keys_and_totals(spark):
+    df = spark.createDataFrame([("b", 0), ("a", 0), ("a", 0), ("c", 4)], "plate string, vehicle_id long")
+    assert [r[0] for r in aggregates.unmapped_keys(df, "plate", "vehicle_id", limit=1).collect()] == ["a"]
+    empty = spark.createDataFrame([], "quantity decimal(15,3)")
+    assert rows(aggregates.balance_totals(empty)) == [(0, Decimal("0.000"))]
+
+
+def test_quality_report(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "k string, v int")
+    empty = spark.createDataFrame([], "k string")
+    got = quality.quality_report({"t": df, "e": empty}, RUN_TS)
+    assert rows(got.drop("reported_at")) == [
+        ("e", "duplicates", "", 0), ("e", "null_count", "k", 0), ("e", "row_count", "", 0),
+        ("t", "duplicates", "", 1), ("t", "null_count", "k", 0), ("t", "null_count", "v", 2), ("t", "row_count", "", 3),
+    ]
+    assert got.first()["reported_at"] == RUN_TS
+
+
+def test_rules(spark):
+    items = spark.createDataFrame(
+        [(1, 0, Decimal("-1.00"), Decimal("0.00"), 7), (2, 2, Decimal("1.50"), Decimal("3.00"), 1), (2, None, Decimal("1.00"), Decimal("9.00"), None)],
+        "id int, quantity int, price decimal(15,2), amount decimal(15,2), product int",
+    )
+    products = spark.createDataFrame([(1,)], "id int")
+    got = quality.check_rules("items", items, {"q": F.col("quantity") > 0, "p": F.col("price") >= 0})
+    assert rows(got) == [("items", "p", 3, 1), ("items", "q", 3, 1)]
+    assert rows(quality.unique_rules(items, ["id"])) == [(2, 2)]
+    assert rows(quality.fk_orphans("fk", items, "product", products, "id")) == [("fk", 1, 1)]
+    assert rows(quality.derived_amount(items, "price")) == [(3, 0, Decimal("0.00"))]
+    wrong = items.withColumn("amount", F.col("amount") + 1)
+    assert wrong.transform(lambda d: quality.derived_amount(d, "price")).first()["mismatches"] == 2
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_fk_orphans_of_a_hot_key(spark, hot):
+    child = spark.range(3000).select((F.when(F.lit(hot) & (F.col("id") < 1000), 7).otherwise(F.col("id") % 5)).alias("fk"))
+    parent = spark.range(5)
+    got = quality.fk_orphans("fk", child, "fk", parent, "id").first()
+    assert (got["orphan_keys"], got["orphan_rows"]) == ((1, 1000) if hot else (0, 0))

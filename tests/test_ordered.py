@@ -1,0 +1,68 @@
+"""The scale-out forms of ntile, rank and median against the one-task windows."""
+
+from __future__ import annotations
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import Window, functions as F
+
+from cargolake.operators.ordered import (
+    global_median,
+    global_ntile,
+    global_rank,
+    sort_columns,
+    tile_ends,
+    value_positions,
+)
+
+
+@given(st.integers(0, 500), st.integers(1, 12))
+@settings(max_examples=200, deadline=None)
+def test_tile_ends_give_tiles_that_differ_by_one_row_at_most(n, k):
+    ends = [0, *tile_ends(n, k), n]
+    sizes = [b - a for a, b in zip(ends, ends[1:])]
+    assert sum(sizes) == n and max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
+
+
+def table(spark, n, kind):
+    value = {
+        "spread": F.col("id") * 7919 % 1009,
+        "hot": F.when(F.col("id") % 3 == 0, 42).otherwise(F.col("id") * 31 % 97),
+        "equal": F.lit(5),
+        "nulls": F.when(F.col("id") % 4 != 0, F.col("id") * 13 % 50),
+    }[kind]
+    return spark.range(n).repartition(3).select("id", value.cast("double").alias("x"))
+
+
+@pytest.mark.parametrize("kind", ["spread", "hot", "equal", "nulls"])
+@pytest.mark.parametrize("up", [True, False])
+def test_ntile_equals_the_window(spark, kind, up):
+    df = table(spark, 1003, kind)
+    order = [("x", up), ("id", True)]
+    both = df.withColumn("w", F.ntile(4).over(Window.orderBy(*sort_columns(order)))).withColumn(
+        "g", global_ntile(df, 4, order, df.count())
+    )
+    assert both.where("w <> g").count() == 0
+    assert [r["count"] for r in both.groupBy("g").count().orderBy("g").collect()] == [251, 251, 251, 250]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5])
+def test_ntile_of_few_rows(spark, n):
+    df = table(spark, n, "spread")
+    order = [("x", True), ("id", True)]
+    got = df.select("id", global_ntile(df, 4, order, n).alias("t"))
+    want = df.select("id", F.ntile(4).over(Window.orderBy(*sort_columns(order))).alias("t"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("kind", ["spread", "hot", "equal", "nulls"])
+@pytest.mark.parametrize("n", [1, 200, 201])
+def test_rank_and_median_equal_the_window(spark, kind, n):
+    df = table(spark, n, kind)
+    positions = value_positions(df, "x")
+    got = global_rank(df, "x", positions, "g").withColumn("m", global_median("x", positions))
+    both = got.withColumn("w", F.rank().over(Window.orderBy(F.col("x").asc_nulls_last()))).withColumn(
+        "wm", F.median("x").over(Window.partitionBy())
+    )
+    assert got.count() == n
+    assert both.where("w <> g OR NOT (m <=> wm)").count() == 0
