@@ -9,7 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+
+def quoted(name: str) -> Column:
+    """A column whose name may hold dots and blanks, as sheet headers do."""
+    return F.col(f"`{name}`")
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:
@@ -20,10 +25,10 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
     """
     ranked = [*order, *(c for c in df.columns if c not in order and c not in keys)]
     if keep == "first":
-        sort = [F.col(f"`{c}`").asc_nulls_last() for c in ranked]
+        sort = [quoted(c).asc_nulls_last() for c in ranked]
     else:
-        sort = [F.col(f"`{c}`").desc_nulls_last() for c in ranked]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort))
+        sort = [quoted(c).desc_nulls_last() for c in ranked]
+    place = F.row_number().over(Window.partitionBy(*map(quoted, keys)).orderBy(*sort))
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
@@ -36,8 +41,8 @@ def distinct_business(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     business = [c for c in df.columns if c not in exclude]
     if not exclude:
         return df.dropDuplicates()
-    firsts = [F.min(c).alias(c) for c in exclude]
-    return df.groupBy(*business).agg(*firsts).select(*df.columns)
+    firsts = [F.min(quoted(c)).alias(c) for c in exclude]
+    return df.groupBy(*map(quoted, business)).agg(*firsts).select(*map(quoted, df.columns))
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:

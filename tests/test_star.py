@@ -1,0 +1,154 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from cargolake.plans import marts, reports
+from cargolake.schemas import EXPENSES_BY_VEHICLE, FACT_ORDERS, OPERATIONAL, STAR, ddl
+from tests.conftest import RUN_TS, rows
+
+
+def test_calendar(spark):
+    cal = marts.dim_time(spark, date(2024, 1, 1), date(2029, 12, 31))
+    assert cal.count() == 2192 and cal.columns == list(STAR["dim_time"])
+    got = {r["time_id"]: r for r in cal.where("time_id IN (20241229, 20241230)").collect()}
+    sunday, monday = got[20241229], got[20241230]
+    assert (sunday["day_of_week"], sunday["day_of_week_name"], sunday["is_weekend"], sunday["week_num"]) == (7, "Sunday", True, 52)
+    assert (monday["day_of_week"], monday["day_of_week_name"], monday["is_weekend"], monday["week_num"]) == (1, "Monday", False, 1)
+    assert (monday["year"], monday["quarter"], monday["fiscal_year"], monday["is_holiday"], monday["holiday_name"]) == (2024, 4, 2024, False, "")
+
+
+def test_dimensions_take_defaults(spark):
+    people = spark.createDataFrame([(1, "A", "77", "c", "addr", True)], ddl(OPERATIONAL["customers"]))
+    row = marts.dim_customer(people, RUN_TS).first()
+    assert (row["short_name"], row["credit_limit"], row["registration_date"], row["etl_updated_at"]) == ("", Decimal("0.00"), RUN_TS.date(), RUN_TS)
+    cars = spark.createDataFrame([(1, "A1", "m", False)], ddl(OPERATIONAL["vehicles"]))
+    row = marts.dim_vehicle(cars, RUN_TS).first()
+    assert (row["gov_number"], row["fuel_type"], row["engine_capacity"], row["max_load_kg"], row["is_active"]) == ("A1", "gasoline", Decimal("1.6"), 0, False)
+    site = marts.dim_warehouse(spark.createDataFrame([(1, "W", "a", True)], ddl(OPERATIONAL["warehouses"])), RUN_TS).first()
+    assert (site["warehouse_type"], site["city"], site["address"]) == ("standard", "", "a")
+    names = [(1, "Ivanov Ivan Ivanovich", "L", "p", True), (2, "Petrov  Petr", "L", "p", True), (3, "Solo", "L", "p", None)]
+    people = marts.dim_driver(spark.createDataFrame(names, ddl(OPERATIONAL["drivers"])), RUN_TS)
+    assert rows(people, "last_name", "first_name", "middle_name", "license_category", "is_active") == [
+        ("Ivanov", "Ivan", "Ivanovich", "", True), ("Petrov", "Petr", "", "", True), ("Solo", "", "", "", True),
+    ]
+    goods = spark.createDataFrame([(1, "S", "n", None, None, Decimal(3), True)], ddl(OPERATIONAL["products"]))
+    row = marts.dim_product(goods, RUN_TS).first()
+    assert (row["unit"], row["cost_price"], row["selling_price"], row["category"]) == ("pcs", Decimal("0.00"), Decimal("3.00"), "")
+
+
+def test_fact_orders(spark):
+    sales = spark.createDataFrame(
+        [
+            ("1", 11, 5, 7, 2, Decimal("100.00"), datetime(2025, 1, 5, 10)),
+            ("2", 11, 5, 7, 2, Decimal("50.00"), datetime(2025, 1, 5, 23, 59)),
+            ("3", 12, None, None, 2, Decimal("10.00"), datetime(2025, 1, 6)),
+        ],
+        "id string, customer_id long, driver_id long, vehicle_id long, warehouse_id long, total_amount decimal(25,2), created_at timestamp_ntz",
+    )
+    costs = spark.createDataFrame(
+        [(7, date(2025, 1, 5), Decimal("20.00"), Decimal("0.00"), Decimal("5.00"), Decimal("80.00")),
+         (0, date(2025, 1, 6), Decimal("1.00"), Decimal("1.00"), Decimal("1.00"), Decimal("3.00")),
+         (9, date(2025, 1, 5), Decimal("1.00"), Decimal("1.00"), Decimal("1.00"), Decimal("3.00"))],
+        ddl(EXPENSES_BY_VEHICLE),
+    )
+    trips = spark.createDataFrame([(2, 35, 61.25), (99, 1, 1.0)], "order_key long, duration_minutes long, avg_speed_kmh double")
+    fact = marts.fact_orders(sales, costs, trips, RUN_TS)
+    assert fact.columns == list(FACT_ORDERS)
+    got = rows(fact, "order_key", "time_id", "driver_id", "vehicle_id", "fuel_expense", "total_vehicle_expense", "net_profit",
+               "trip_duration_minutes", "avg_speed_kmh", "total_quantity")
+    assert got == [
+        (1, 20250105, 5, 7, Decimal("20.00"), Decimal("80.00"), Decimal("20.00"), 0, 0.0, 1),
+        (2, 20250105, 5, 7, Decimal("20.00"), Decimal("80.00"), Decimal("-30.00"), 35, 61.25, 1),
+        # an order without vehicle bears the costs no vehicle was found for
+        (3, 20250106, 0, 0, Decimal("1.00"), Decimal("3.00"), Decimal("7.00"), 0, 0.0, 1),
+    ]
+    assert [r[0] for r in fact.orderBy("order_key").select("margin_percent").collect()] == [20.0, -60.0, 70.0]
+
+
+def fact_of(spark, orders):
+    """(order, day, customer, vehicle, warehouse, amount, expense)"""
+    data = [
+        (k, int(d.strftime("%Y%m%d")), c, v, w, Decimal(a), 1, Decimal(e), Decimal(e), 50.0, Decimal(a) - Decimal(e))
+        for k, d, c, v, w, a, e in orders
+    ]
+    return spark.createDataFrame(
+        data,
+        "order_key long, time_id int, customer_id long, vehicle_id long, warehouse_id long, order_amount decimal(15,2), total_quantity long,"
+        "fuel_expense decimal(15,2), total_vehicle_expense decimal(15,2), avg_speed_kmh double, net_profit decimal(15,2)",
+    )
+
+
+def customers_of(spark, n):
+    return spark.range(1, n + 1).select(F.col("id").alias("customer_id"), F.concat(F.lit("C"), "id").alias("name"), F.lit("").alias("customer_segment"))
+
+
+CAL = (date(2025, 1, 1), date(2025, 12, 31))
+
+
+@pytest.mark.parametrize("one_task_rows", [1000, 0])
+def test_rfm(spark, one_task_rows):
+    orders = [(i, date(2025, 1, i), c, 1, 1, 100 * c, 0) for i, c in enumerate([1, 2, 3, 4, 5, 5], start=1)]
+    orders += [(50, date(2030, 1, 1), 1, 1, 1, 9999, 0), (51, date(2025, 1, 1), 77, 1, 1, 5, 0)]  # outside calendar; unknown customer
+    orders += [orders[5]]  # the same order key twice counts once in the frequency
+    fact = fact_of(spark, orders)
+    cal = marts.dim_time(spark, *CAL)
+    got = reports.rfm(fact, customers_of(spark, 6), cal, date(2025, 1, 10), one_task_rows=one_task_rows)
+    table = {r["customer_id"]: r for r in got.collect()}
+    assert sorted(table) == [1, 2, 3, 4, 5]
+    assert {c: r["recency_days"] for c, r in table.items()} == {1: 9, 2: 8, 3: 7, 4: 6, 5: 4}
+    assert {c: r["frequency"] for c, r in table.items()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 2}
+    assert {c: r["recency_score"] for c, r in table.items()} == {5: 1, 4: 1, 3: 2, 2: 3, 1: 4}
+    assert {c: r["frequency_score"] for c, r in table.items()} == {5: 1, 1: 1, 2: 2, 3: 3, 4: 4}
+    assert table[5]["monetary"] == Decimal("1500.00") and table[5]["monetary_score"] == 1
+    assert (table[1]["rfm_code"], table[1]["rfm_segment"]) == ("4-1-4", "Other")
+    assert (table[2]["rfm_code"], table[2]["rfm_segment"]) == ("3-2-3", "Loyal")
+    assert (table[4]["rfm_code"], table[4]["rfm_segment"]) == ("1-4-1", "Potential")
+    scores = [(r["recency_score"], r["frequency_score"], r["monetary_score"]) for r in got.collect()]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_rfm_counts_plain_orders_when_they_are_unique(spark):
+    fact = fact_of(spark, [(i, date(2025, 1, 1 + i % 28), i % 7 + 1, 1, 1, i, 0) for i in range(1, 60)])
+    cal = marts.dim_time(spark, *CAL)
+    args = (fact, customers_of(spark, 7), cal, date(2025, 6, 1))
+    assert rows(reports.rfm(*args)) == rows(reports.rfm(*args, unique_orders=True))
+
+
+@pytest.mark.parametrize("one_task_rows", [1000, 0])
+@pytest.mark.parametrize("vehicles, median", [(3, 30.0), (4, 35.0)])
+def test_vehicle_efficiency(spark, vehicles, median, one_task_rows):
+    cost = {1: 20, 2: 30, 3: 40, 4: 40, 8: 5, 9: 5}
+    orders, key = [], 0
+    for v in [*range(1, vehicles + 1), 8, 9]:
+        for _ in range(4 if v == 9 else 5):     # vehicle 9: too few trips; 8: not active
+            key += 1
+            orders.append((key, date(2025, 1, 1), 1, v, 1, 100, cost[v]))
+    cars = spark.createDataFrame([(v, f"P{v}", "", "M", v != 8) for v in cost], "vehicle_id long, gov_number string, brand string, model string, is_active boolean")
+    got = reports.vehicle_efficiency(fact_of(spark, orders), cars, one_task_rows=one_task_rows).collect()
+    assert [(r["vehicle_id"], r["efficiency_rank"]) for r in got] == [(1, 1), (2, 2), (3, 3), (4, 3)][:vehicles]
+    assert [r["cost_per_kg_deviation_pct"] for r in got] == [round(cost[r["vehicle_id"]] / median * 100 - 100, 1) for r in got]
+    first = got[0]
+    assert (first["car_name"], first["trips"], first["total_cargo_kg"], first["total_expenses"]) == (" M", 5, 5, Decimal("100.00"))
+    assert (first["cost_per_kg"], first["avg_speed_kmh"], first["avg_fuel_per_kg"], first["profit"]) == (20.0, 50.0, 20.0, Decimal("400.00"))
+
+
+def test_weekly_warehouse(spark):
+    sundays = [date(2025, 1, 5), date(2025, 1, 12), date(2025, 1, 19), date(2025, 1, 26), date(2025, 2, 2)]
+    profit = [10, 0, 20, 30, 40]
+    orders = [(i, d, 1, 1, 1, 100, 100 - p) for i, (d, p) in enumerate(zip(sundays, profit))]
+    orders += [(90, date(2025, 1, 11), 1, 1, 1, 5, 5), (91, date(2024, 12, 31), 1, 1, 1, 7, 0), (92, date(2025, 1, 6), 1, 1, 99, 7, 0)]
+    sites = spark.createDataFrame([(1, "W1")], "warehouse_id long, name string")
+    cal = marts.dim_time(spark, *CAL)
+    report = reports.weekly_warehouse(fact_of(spark, orders), sites, cal, since=date(2025, 1, 1))
+    assert report.columns == ["warehouse_name", "week_start", "weekly_profit", "cum_profit", "weekly_revenue", "wow_growth_pct", "ma4_profit"]
+    got = report.collect()
+    assert [r["week_start"] for r in got] == sundays[::-1]      # newest first; the Saturday belongs to the week before
+    oldest = got[::-1]
+    assert [r["weekly_revenue"] for r in oldest] == [Decimal(x) for x in (105, 100, 100, 100, 100)]
+    assert [r["cum_profit"] for r in oldest] == [Decimal(x) for x in (10, 10, 30, 60, 100)]
+    assert [r["wow_growth_pct"] for r in oldest] == [None, -100.0, None, 50.0, 33.3]
+    assert [r["ma4_profit"] for r in oldest] == [10.0, 5.0, 10.0, 15.0, 22.5]
