@@ -33,13 +33,12 @@ def compose_date(day_month: Column, source_month: Column) -> Column:
     Day and month both come from the cell; the month name in the file stem
     is not used.
     """
-    day_parts = F.split(day_month, r"\.")
+    parts = F.split(day_month, r"\.")
     year = F.get(F.split(source_month, "_"), F.lit(1)).try_cast("int")
-    month = F.get(day_parts, F.lit(1)).try_cast("int")
-    day = F.get(day_parts, F.lit(0)).try_cast("int")
-    text = F.format_string("%04d-%02d-%02d", year, month, day)
-    readable = year.isNotNull() & month.isNotNull() & day.isNotNull()
-    return F.when(readable, text.try_cast("date"))
+    month = F.get(parts, F.lit(1)).try_cast("int")
+    day = F.get(parts, F.lit(0)).try_cast("int")
+    # concat is NULL when a part is; a text that is no calendar day casts to NULL
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
 
 
 def calendar_columns(d: Column) -> list[Column]:

@@ -9,7 +9,8 @@ WHITESPACE = "".join(
     map(chr, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760,
               *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
 )
-BLANKS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]+"
+# the same characters as a pattern: Unicode white space and the four separators
+BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def strip(c: Column) -> Column:

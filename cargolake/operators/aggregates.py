@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from cargolake.functions.dates import whole_minutes
-from cargolake.functions.numbers import MONEY, round_mean
+from cargolake.functions.numbers import MONEY, round_mean, sum_money
 
 
 def item_totals(items: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def item_totals(items: DataFrame) -> DataFrame:
     return (
         items.where(F.col("sale_id").isNotNull())
         .groupBy("sale_id")
-        .agg(F.coalesce(F.sum(amount), F.lit(0)).alias("computed_total"))
+        .agg(F.coalesce(sum_money(amount), F.lit(0)).alias("computed_total"))
     )
 
 
@@ -25,7 +25,7 @@ def expenses_by_vehicle_day(expenses: DataFrame) -> DataFrame:
 
     def part(category: str) -> Column:
         amount = F.when(F.col("expense_category_en") == category, F.col("amount_rub"))
-        return F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY).alias(f"{category}_expense")
+        return F.coalesce(sum_money(amount), F.lit(0)).cast(MONEY).alias(f"{category}_expense")
 
     return (
         expenses.where(F.col("vehicle_id").isNotNull() & F.col("expense_date").isNotNull())
@@ -34,7 +34,7 @@ def expenses_by_vehicle_day(expenses: DataFrame) -> DataFrame:
             part("fuel"),
             part("other"),
             part("wash"),
-            F.coalesce(F.sum("amount_rub"), F.lit(0)).cast(MONEY).alias("total_expense"),
+            F.coalesce(sum_money(F.col("amount_rub")), F.lit(0)).cast(MONEY).alias("total_expense"),
         )
     )
 

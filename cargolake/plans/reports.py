@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cargolake.config import durable
 from cargolake.functions.dates import week_start
-from cargolake.functions.numbers import round_mean, safe_ratio
+from cargolake.functions.numbers import round_mean, safe_ratio, sum_money
 from cargolake.operators.ordered import (
     ONE_TASK_ROWS,
     global_median,
@@ -47,7 +47,7 @@ def customer_rfm_base(
         .agg(
             F.max("full_date").alias("last_order_date"),
             orders.alias("frequency"),
-            F.sum("net_profit").alias("monetary"),
+            sum_money(F.col("net_profit")).alias("monetary"),
         )
     )
     people = dim_customer.select("customer_id", "name", "customer_segment")
@@ -117,10 +117,10 @@ def vehicle_base(fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5) ->
     per_vehicle = fact.groupBy("vehicle_id").agg(
         F.count("order_key").alias("trips"),
         F.sum("total_quantity").alias("total_cargo_kg"),
-        F.sum("total_vehicle_expense").alias("_expenses"),
+        sum_money(F.col("total_vehicle_expense")).alias("_expenses"),
         F.avg("avg_speed_kmh").alias("_speed"),
         F.avg(safe_ratio(F.col("fuel_expense"), F.col("total_quantity"))).alias("_fuel_per_kg"),
-        F.sum("net_profit").alias("_profit"),
+        sum_money(F.col("net_profit")).alias("_profit"),
     )
     cars = dim_vehicle.where(F.col("is_active")).select("vehicle_id", "gov_number", "brand", "model")
     return (
@@ -132,11 +132,11 @@ def vehicle_base(fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5) ->
             F.concat("brand", F.lit(" "), "model").alias("car_name"),
             "trips",
             "total_cargo_kg",
-            F.round("_expenses", 2).alias("total_expenses"),
+            F.col("_expenses").alias("total_expenses"),
             F.round(safe_ratio(F.col("_expenses"), F.col("total_cargo_kg")), 2).alias("cost_per_kg"),
             round_mean(F.col("_speed"), 1).alias("avg_speed_kmh"),
             round_mean(F.col("_fuel_per_kg"), 4).alias("avg_fuel_per_kg"),
-            F.round("_profit", 2).alias("profit"),
+            F.col("_profit").alias("profit"),
         )
     )
 
@@ -181,8 +181,8 @@ def weekly_warehouse_base(
         .join(_calendar_days(dim_time.where(F.col("full_date") >= day(since))), "time_id")
         .groupBy("warehouse_id", week_start(F.col("full_date")).alias("week_start"))
         .agg(
-            F.sum("net_profit").alias("weekly_profit"),
-            F.sum("order_amount").alias("weekly_revenue"),
+            sum_money(F.col("net_profit")).alias("weekly_profit"),
+            sum_money(F.col("order_amount")).alias("weekly_revenue"),
         )
     )
     names = dim_warehouse.select("warehouse_id", F.col("name").alias("warehouse_name"))

@@ -99,3 +99,12 @@ def test_categories(spark):
     labels = [*expenses.CATEGORY_OF_LABEL, "Ремонт (запчасти)", "топливо", None]
     got = each(spark, labels, "string", expenses.category_of)
     assert got == ["fuel"] * 3 + ["repair"] * 4 + ["wash"] * 2 + ["other"] * 3
+
+
+def test_money_sums_are_exact(spark):
+    biggest = Decimal("9999999999999.99")
+    df = spark.createDataFrame([(biggest,), (biggest,), (Decimal("-0.01"),), (Decimal("0.07"),), (None,)], "m decimal(15,2)")
+    assert df.agg(numbers.sum_money(F.col("m"))).first()[0] == 2 * biggest + Decimal("0.06")
+    cents = spark.range(100000).select((F.col("id") / 100).cast("decimal(15,2)").alias("m"))
+    assert cents.agg(numbers.sum_money(F.col("m"))).first()[0] == Decimal(100000 * 99999 // 2) / 100
+    assert df.where("m IS NULL").agg(numbers.sum_money(F.col("m"))).first()[0] is None
