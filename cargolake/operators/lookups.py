@@ -2,8 +2,10 @@
 
 The lookup sides are grouped to one row per key, so no join here multiplies
 rows. Joins carry no broadcast hint: the size of a lookup is not known here.
-Spark broadcasts it after seeing its size, and otherwise splits a hot key
-(unknown plates, missing names) in the skew-aware sort-merge join.
+Spark broadcasts it after seeing its size. Beyond that it is a sort-merge join
+in which adaptive execution splits a hot key (unknown plates, missing names)
+over many tasks. It does so only if both sides come straight from a shuffle
+made for the join, hence ``own_shuffle``.
 """
 
 from __future__ import annotations
@@ -17,11 +19,22 @@ from cargolake.operators.cleaning import UNKNOWN
 from cargolake.schemas import day
 
 
+def own_shuffle(lookup: DataFrame, key: str) -> DataFrame:
+    """Derive the join key of a grouped lookup anew.
+
+    Spark would otherwise see that the grouping has left the rows in place for
+    the join, skip the (small) shuffle of the lookup, and with it the
+    splitting of hot keys on the other, large side.
+    """
+    return lookup.withColumn(key, F.concat(key, F.lit("")))
+
+
 def vehicle_lookup(df: DataFrame, vehicles: DataFrame, plate: str = "vehicle_plate") -> DataFrame:
     """Add ``vehicle_id`` by plate; of equal plates the last id wins, unknown plates get 0."""
     ids = vehicles.groupBy(plate_key(F.col("plate_number")).alias("_plate")).agg(
         F.max("id").alias("_vehicle")
     )
+    ids = own_shuffle(ids, "_plate")
     joined = df.join(ids, plate_key(F.col(plate)) == F.col("_plate"), "left")
     return joined.withColumn(
         "vehicle_id", F.coalesce(F.col("_vehicle").cast("bigint"), F.lit(0).cast("bigint"))
@@ -39,13 +52,14 @@ def driver_lookup(df: DataFrame, drivers: DataFrame, name: str = "driver_name")
         F.col("id").cast("bigint").alias("id"), name_key(F.col("full_name")).alias("_name")
     )
     first = F.lit(1)
-    full = active.groupBy("_name").agg(F.max("id").alias("_by_name"))
+    full = own_shuffle(active.groupBy("_name").agg(F.max("id").alias("_by_name")), "_name")
     last = (
         active.groupBy(F.split_part("_name", F.lit(" "), first).alias("_last"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("_by_last"))
         .where("_n = 1 AND _last <> ''")
         .drop("_n")
     )
+    last = own_shuffle(last, "_last")
     given = F.when(~F.col(name).isin(UNKNOWN, ""), name_key(F.col(name)))
     keyed = df.withColumn("_given", given)
     return (

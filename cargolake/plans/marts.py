@@ -80,6 +80,10 @@ def fact_orders(
 
     Every order of a vehicle on a day carries the full cost of that day. Both
     right sides hold one row per key, so the joins keep the number of sales.
+    Orders and costs meet on the day's integer key, by which neither side is
+    grouped before: both are shuffled for this join, so adaptive execution can
+    split a vehicle and day that a third of the orders share (such as
+    vehicle 0, the orders without one).
     """
     zero = F.lit(0)
     orders = sales.select(
@@ -89,11 +93,11 @@ def fact_orders(
         F.coalesce(F.col("vehicle_id").cast("bigint"), zero).alias("vehicle_id"),
         F.coalesce(F.col("warehouse_id").cast("bigint"), zero).alias("warehouse_id"),
         F.col("total_amount").cast("decimal(15,2)").alias("order_amount"),
-        F.to_date("created_at").alias("_sale_date"),
+        date_key(F.to_date("created_at")).alias("time_id"),
     )
     costs = expenses_by_day.select(
         F.col("vehicle_id").cast("bigint").alias("_vehicle"),
-        F.col("expense_date").cast("date").alias("_expense_date"),
+        date_key(F.col("expense_date").cast("date")).alias("_expense_day"),
         "fuel_expense",
         "other_expense",
         "wash_expense",
@@ -106,7 +110,7 @@ def fact_orders(
     )
     joined = orders.join(
         costs,
-        (F.col("vehicle_id") == F.col("_vehicle")) & (F.col("_sale_date") == F.col("_expense_date")),
+        (F.col("vehicle_id") == F.col("_vehicle")) & (F.col("time_id") == F.col("_expense_day")),
         "left",
     ).join(metrics, F.col("order_key") == F.col("_trip"), "left")
 
@@ -123,7 +127,6 @@ def fact_orders(
     amount = F.col("order_amount").cast("double")
     facts = filled.withColumn("net_profit", net).withColumns(
         {
-            "time_id": date_key(F.col("_sale_date")),
             "total_quantity": F.lit(1),
             "gross_profit": F.col("order_amount"),
             "margin_percent": F.when(
