@@ -7,10 +7,11 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from cargolake.catalog.registry import query
-from cargolake.catalog.views import EPOCH_MILLIS, RUN_TS, TAB, Views, ctes
+from cargolake.catalog.views import EPOCH_MILLIS, RUN_TS, SQL, TAB, Views, ctes
 from cargolake.functions.expenses import SHEET_HEADERS
-from cargolake.operators import lookups
+from cargolake.operators import aggregates, lookups
 from cargolake.operators.aggregates import mapping_metrics, unmapped_keys as unmapped
+from cargolake.operators.cleaning import flag
 from cargolake.plans import entities
 
 BLANK = f"' {TAB}' || chr(10) || chr(13)"
@@ -367,6 +368,38 @@ def json_lift(v: Views) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH {ctes('sales', 'telemetry', 'balances')},
+    trips AS (SELECT CAST(order_key AS BIGINT) AS order_key FROM telemetry GROUP BY 1 HAVING count(*) >= 2),
+    priced AS (
+        SELECT coalesce(TRY_CAST(cost_price AS DECIMAL(15,2)), 0) AS c, coalesce(TRY_CAST(selling_price AS DECIMAL(15,2)), 0) AS s
+        FROM ({firsts('(' + SQL['products'] + ')', 'sku')}) WHERE sku IS NOT NULL
+    )
+    SELECT 'products' AS "table", 'rows' AS counter, CAST(count(*) AS BIGINT) AS value FROM priced
+    UNION ALL SELECT 'products', 'price_issues', CAST(count(*) FILTER (s < c) AS BIGINT) FROM priced
+    UNION ALL SELECT 'balances', 'rows', CAST(count(*) AS BIGINT) FROM balances
+    UNION ALL SELECT 'balances', 'negative_balances', CAST(count(*) FILTER (quantity < 0) AS BIGINT) FROM balances
+    UNION ALL SELECT 'telemetry', 'rows', CAST(count(*) AS BIGINT) FROM telemetry
+    UNION ALL SELECT 'telemetry', 'orders', CAST(count(DISTINCT order_key) AS BIGINT) FROM telemetry
+    UNION ALL SELECT 'telemetry', 'files', CAST(count(DISTINCT CAST("timestamp" AS DATE)) AS BIGINT) FROM telemetry
+    UNION ALL SELECT 'fact_orders', 'orders', CAST(count(*) AS BIGINT) FROM sales
+    UNION ALL SELECT 'fact_orders', 'matched_trips', CAST(count(*) AS BIGINT) FROM sales WHERE id IN (SELECT order_key FROM trips)
+""")
+def load_counters(v: Views) -> DataFrame:
+    """Run counters of several loads; the log files are one per day here."""
+    products = entities.clean_products(v.products, RUN_TS)
+    balances = flag(v.balances, "is_negative_after", F.col("quantity") < 0)
+    points = v.telemetry.withColumn("source_file", F.to_date("timestamp"))
+    matched = aggregates.matched_trips(v.sales, aggregates.trip_metrics(v.telemetry))
+    totals = {"orders": F.sum("orders"), "matched_trips": F.sum("matched_trips")}
+    return (
+        aggregates.counters("products", products, aggregates.product_metrics())
+        .unionByName(aggregates.counters("balances", balances, aggregates.movement_metrics()))
+        .unionByName(aggregates.counters("telemetry", points, aggregates.telemetry_metrics()))
+        .unionByName(aggregates.counters("fact_orders", matched, totals))
+    )
+
+
 # ---- operational extracts ------------------------------------------------
 
 

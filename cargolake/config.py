@@ -36,6 +36,7 @@ class WarehouseConfig:
     jdbc_url: str | None = None
     jdbc_properties: dict = field(default_factory=dict, repr=False)  # credentials: never printed
     jdbc_partitions: int = 8
+    incremental_logs: bool = False  # take only log files no earlier run has taken
 
     def raw(self, kind: str) -> str:
         return f"{self.root}/raw/{kind}"

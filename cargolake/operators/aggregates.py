@@ -101,6 +101,43 @@ def expense_metrics() -> dict[str, Column]:
     }
 
 
+def product_metrics() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1)), "price_issues": F.count_if(F.col("price_logic_issue"))}
+
+
+def movement_metrics() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1)), "negative_balances": F.count_if(F.col("is_negative_after"))}
+
+
+def telemetry_metrics() -> dict[str, Column]:
+    """Distinct counts shuffle by the counted value, so a hot order does no harm."""
+    return {
+        "rows": F.count(F.lit(1)),
+        "orders": F.countDistinct("order_key"),
+        "files": F.countDistinct("source_file"),
+    }
+
+
+def row_metrics() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1))}
+
+
+def counters(name: str, df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
+    """Run counters of one table as rows ``table, counter, value``."""
+    figures = df.agg(*(c.alias(n) for n, c in metrics.items()))
+    long = F.array(
+        *(F.struct(F.lit(n).alias("counter"), F.col(n).cast("bigint").alias("value")) for n in metrics)
+    )
+    return figures.select(F.lit(name).alias("table"), F.inline(long))
+
+
+def matched_trips(sales: DataFrame, trips: DataFrame) -> DataFrame:
+    """How many sales there are, and how many of them have trip metrics."""
+    keys = sales.select(F.col("id").cast("bigint").alias("order_key"))
+    joined = keys.join(trips.select("order_key", F.lit(True).alias("_hit")), "order_key", "left")
+    return joined.agg(F.count(F.lit(1)).alias("orders"), F.count("_hit").alias("matched_trips"))
+
+
 def observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
     """Collect run counters while ``df`` is written, without a pass of their own."""
     watch = Observation(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cargolake.functions.dates import calendar_columns, date_key
 from cargolake.functions.text import token
@@ -75,6 +75,7 @@ def fact_orders(
     trips: DataFrame,
     run_ts: datetime,
     schema: Schema = STAR["fact_orders"],
+    watch: Observation | None = None,
 ) -> DataFrame:
     """One row per sale: amounts, the vehicle's cost of that day, trip metrics, profit.
 
@@ -83,7 +84,8 @@ def fact_orders(
     Orders and costs meet on the day's integer key, by which neither side is
     grouped before: both are shuffled for this join, so adaptive execution can
     split a vehicle and day that a third of the orders share (such as
-    vehicle 0, the orders without one).
+    vehicle 0, the orders without one). ``watch`` counts orders and matched
+    trips while the fact is written.
     """
     zero = F.lit(0)
     orders = sales.select(
@@ -114,6 +116,10 @@ def fact_orders(
         "left",
     ).join(metrics, F.col("order_key") == F.col("_trip"), "left")
 
+    if watch is not None:
+        joined = joined.observe(
+            watch, F.count(F.lit(1)).alias("orders"), F.count("_trip").alias("matched_trips")
+        )
     filled = joined.withColumns(
         {
             c: F.coalesce(F.col(c), F.lit(0).cast(joined.schema[c].dataType))

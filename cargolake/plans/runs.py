@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Mapping
+
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from cargolake.config import WarehouseConfig
-from cargolake.operators.aggregates import expense_metrics, expenses_by_vehicle_day, observed, trip_metrics
+from cargolake.operators.aggregates import (
+    expense_metrics,
+    expenses_by_vehicle_day,
+    movement_metrics,
+    observed,
+    product_metrics,
+    row_metrics,
+    telemetry_metrics,
+    trip_metrics,
+)
 from cargolake.operators.quality import quality_report
 from cargolake.plans import entities, marts, reports
 from cargolake.schemas import (
@@ -29,6 +39,7 @@ from cargolake.sources.tables import (
 )
 from cargolake.sources.telemetry import read_telemetry
 from cargolake.sources.workbooks import read_expense_books
+from cargolake.streaming.telemetry import land_new_telemetry
 
 SIMPLE_ENTITIES: dict[str, Callable[..., DataFrame]] = {
     "customers": entities.clean_customers,
@@ -64,8 +75,12 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
         write_table(rows, cfg.bronze("excel/all_expenses"))
 
     def logs() -> None:
+        target = cfg.bronze("json/telemetry")
+        if cfg.incremental_logs:
+            land_new_telemetry(spark, cfg.raw("json"), target, cfg.bronze("json/_ingested"), cfg.run_ts)
+            return
         points = read_telemetry(spark, cfg.raw("json"), cfg.run_ts)
-        write_table(points, cfg.bronze("json/telemetry"), partition_by=["log_date"])
+        write_table(points, target, partition_by=["log_date"])
 
     outcome = {}
     for source, ingest in {"tables": tables, "books": books, "logs": logs}.items():
@@ -77,23 +92,33 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
     return outcome
 
 
-def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, object]:
+def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str, object]]:
     """Clean every table, then the expenses (they need vehicles and drivers) and the telemetry.
 
-    Returns the run counters of the expense load.
+    Returns the run counters per table. They are taken while the tables are
+    written, except the distinct counts of the telemetry.
     """
+    counts: dict[str, dict[str, object]] = {}
 
     def bronze(table: str) -> DataFrame:
         return conform(read_table(spark, cfg.bronze(f"postgres/{table}")), OPERATIONAL[table])
 
+    def write_counted(df: DataFrame, name: str, path: str, metrics: Mapping[str, Column]) -> None:
+        watched, watch = observed(df, name, metrics)
+        write_table(watched, path)
+        counts[name] = watch.get
+
+    special = {"products": product_metrics(), "stock_movements": movement_metrics()}
     for table, clean in SIMPLE_ENTITIES.items():
-        write_table(clean(bronze(table), cfg.run_ts), cfg.silver(f"postgres/{table}"))
+        df, path = clean(bronze(table), cfg.run_ts), cfg.silver(f"postgres/{table}")
+        write_counted(df, table, path, special.get(table, row_metrics()))
 
+    headers = bronze("sale_headers")
     items = read_optional(spark, cfg.bronze("postgres/sale_items"))
-    sales = entities.clean_sale_headers(bronze("sale_headers"), items, cfg.run_ts)
-    write_table(sales, cfg.silver("postgres/sale_headers"))
+    sales = entities.clean_sale_headers(headers, items, cfg.run_ts)
+    write_counted(sales, "sale_headers", cfg.silver("postgres/sale_headers"), row_metrics())
+    counts["sale_headers"]["removed"] = headers.count() - counts["sale_headers"]["rows"]
 
-    counters: dict[str, object] = {}
     raw = read_optional(spark, cfg.bronze("excel/all_expenses"))
     if raw is not None:
         expenses = entities.clean_expenses(
@@ -102,23 +127,27 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, object]:
             read_optional(spark, cfg.silver("postgres/drivers")),
             cfg.run_ts,
         )
-        watched, watch = observed(expenses, "expenses", expense_metrics())
-        write_table(watched, cfg.silver("excel/all_expenses"))
-        counters = watch.get
+        write_counted(expenses, "expenses", cfg.silver("excel/all_expenses"), expense_metrics())
 
     points = read_optional(spark, cfg.bronze("json/telemetry"))
     if points is not None:
         telemetry = entities.clean_telemetry(points, cfg.run_ts)
         write_table(telemetry, cfg.silver("json/telemetry"), partition_by=["event_date"])
+        written = read_table(spark, cfg.silver("json/telemetry"))
+        counts["telemetry"] = written.agg(*(c.alias(n) for n, c in telemetry_metrics().items())).first().asDict()
 
     found = {t: read_optional(spark, cfg.silver(f"postgres/{t}")) for t in REPORTED}
     report = quality_report({t: df for t, df in found.items() if df is not None}, cfg.run_ts)
     write_table(report, cfg.silver("metadata/quality_report"))
-    return counters
+    return counts
+
 
+def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None:
+    """Calendar, dimensions, daily vehicle costs and the fact.
 
-def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> bool:
-    """Calendar, dimensions, daily vehicle costs and the fact; tells whether the fact was replaced."""
+    Returns the numbers of orders and matched trips, or None when there were
+    no sales and the old fact was left in place.
+    """
 
     def silver(table: str) -> DataFrame:
         return read_table(spark, cfg.silver(f"postgres/{table}"))
@@ -141,12 +170,15 @@ def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> bool:
         {"order_key": "string", "timestamp": "timestamp_ntz", "spd": "double"},
     )
     sales = silver("sale_headers")
-    fact = marts.fact_orders(sales, read_table(spark, by_day), trip_metrics(trip_points), cfg.run_ts)
-    return publish_fact(fact, gold, source=sales)
+    watch = Observation("fact_orders")
+    fact = marts.fact_orders(
+        sales, read_table(spark, by_day), trip_metrics(trip_points), cfg.run_ts, watch=watch
+    )
+    return watch.get if publish_fact(fact, gold, source=sales) else None
 
 
-def run_all(spark: SparkSession, cfg: WarehouseConfig) -> bool:
-    """Bronze, silver, gold, in this order."""
+def run_all(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None:
+    """Bronze, silver, gold, in this order; returns what the gold run returns."""
     run_bronze(spark, cfg)
     run_silver(spark, cfg)
     return run_gold(spark, cfg)

@@ -11,7 +11,7 @@ import pytest
 from cargolake.config import WarehouseConfig
 from cargolake.plans import runs
 from cargolake.schemas import OPERATIONAL, STAR, ddl
-from cargolake.sources.tables import read_table, write_table
+from cargolake.sources.tables import publish_fact, read_table, write_table
 from tests.conftest import RUN_TS, rows
 from tests.files import log, point, workbook
 
@@ -72,15 +72,23 @@ def loaded(spark, tmp_path_factory):
 
 def test_bronze_outcome(loaded):
     _, bronze, _, published = loaded
-    assert bronze == {"tables": "loaded", "books": "loaded", "logs": "loaded"} and published is True
+    assert bronze == {"tables": "loaded", "books": "loaded", "logs": "loaded"} and published == {"orders": 4, "matched_trips": 1}
 
 
 def test_counters_of_the_expense_load(loaded):
-    counters = loaded[2]
+    counters = loaded[2]["expenses"]
     assert (counters["rows"], counters["mapped_vehicles"], counters["mapped_drivers"]) == (4, 3, 3)
     assert (counters["first_date"], counters["last_date"]) == (date(2025, 3, 5), date(2025, 3, 12))
 
 
+def test_counters_of_the_other_tables(loaded):
+    counters = loaded[2]
+    assert counters["sale_headers"] == {"rows": 4, "removed": 1}
+    assert counters["products"] == {"rows": 1, "price_issues": 1}
+    assert counters["stock_movements"] == {"rows": 1, "negative_balances": 1}
+    assert counters["telemetry"] == {"rows": 10, "orders": 2, "files": 2}
+
+
 def test_silver_tables(spark, loaded):
     cfg = loaded[0]
     assert rows(read_table(spark, cfg.silver("postgres/sale_headers")), "id", "total_amount") == [
@@ -142,8 +150,8 @@ def test_a_second_run_gives_the_same_star(spark, loaded):
 def test_missing_sources_give_a_plain_star(spark, tmp_path):
     cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31))
     operational(spark, cfg)
-    assert runs.run_silver(spark, cfg) == {}
-    assert runs.run_gold(spark, cfg)
+    assert not {"expenses", "telemetry"} & set(runs.run_silver(spark, cfg))
+    assert runs.run_gold(spark, cfg) == {"orders": 4, "matched_trips": 0}
     fact = read_table(spark, cfg.gold("fact_orders"))
     assert fact.count() == 4 and fact.agg({"total_vehicle_expense": "sum"}).first()[0] == 0
 
@@ -157,6 +165,25 @@ def test_bronze_goes_on_when_a_source_fails(spark, tmp_path):
     assert got["books"].startswith("failed") and got["logs"] == "loaded"
 
 
+def test_incremental_logs_reach_the_same_fact(spark, loaded, tmp_path):
+    raw_files(tmp_path)
+    cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31), incremental_logs=True)
+    operational(spark, cfg)
+    runs.run_all(spark, cfg)
+    log(tmp_path / "raw/json/dt=2025-03-12/delivery_3_Б2_20250312_100000.jsonl", [point(1741770000000 + 60000 * i) for i in range(3)])
+    assert runs.run_all(spark, cfg) == {"orders": 4, "matched_trips": 2}
+    fact = read_table(spark, cfg.gold("fact_orders"))
+    assert rows(fact.where("order_key <> 3")) == rows(read_table(spark, loaded[0].gold("fact_orders")).where("order_key <> 3"))
+
+
+def test_no_sales_leave_the_old_fact(spark, loaded):
+    cfg = loaded[0]
+    write_table(read_table(spark, cfg.bronze("postgres/sale_headers")).where("1 = 0"), cfg.bronze("postgres/none"))
+    none = read_table(spark, cfg.bronze("postgres/none"))
+    assert not publish_fact(none, cfg.gold("").rstrip("/"), source=none)
+    assert read_table(spark, cfg.gold("fact_orders")).count() == 4
+
+
 def test_credentials_are_not_printed():
     cfg = WarehouseConfig(root="r", run_ts=RUN_TS, as_of=date(2025, 1, 1), jdbc_properties={"password": "secret"})
     assert "secret" not in repr(cfg) and "secret" not in repr(replace(cfg, root="x"))
