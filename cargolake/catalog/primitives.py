@@ -9,6 +9,7 @@ from cargolake.catalog.silver import firsts, text
 from cargolake.catalog.views import EPOCH_MILLIS, RUN_TS, Views, ctes
 from cargolake.functions import dates, expenses, numbers, text as texts
 from cargolake.operators import aggregates, cleaning, dedup, quality
+from cargolake.plans import constraints
 
 
 @query(f"""
@@ -416,6 +417,54 @@ def fk_orphans(v: Views) -> DataFrame:
     return first
 
 
+# the operational tables as the rules know them: name -> (view, columns)
+RULED = {
+    "customers": ("customers", ["id", "name", "inn"]),
+    "drivers": ("drivers", ["id", "full_name", "license_number"]),
+    "vehicles": ("vehicles", ["id", "plate_number"]),
+    "warehouses": ("warehouses", ["id", "name"]),
+    "products": ("products", ["id", "sku", "name", "unit"]),
+    "sale_headers": ("sales", ["id", "number", "date", "customer_id", "driver_id", "vehicle_id", "warehouse_id"]),
+    "stock_balances": ("balances", ["id", "product_id", "warehouse_id", "quantity"]),
+    "stock_movements": (
+        "movements",
+        ["id", "movement_date", "document_id", "product_id", "warehouse_id", "quantity_before", "quantity_change", "quantity_after"],
+    ),
+}
+
+
+def constraint_sql() -> str:
+    def part(table: str, rule: str, violations: str, source: str) -> str:
+        return f"SELECT '{table}' AS \"table\", '{rule}' AS rule, CAST({violations} AS BIGINT) AS violations FROM {source}"
+
+    parts = []
+    for table, (view, columns) in RULED.items():
+        for c in constraints.NOT_NULL.get(table, []):
+            if c in columns:
+                parts.append(part(table, f"not null: {c}", f'count(*) - count("{c}")', view))
+        for c, rule in constraints.CHECKS.get(table, {}).items():
+            if c in columns:
+                parts.append(part(table, f"check: {c}", f"count(*) FILTER (NOT ({rule}))", view))
+        for keys in constraints.UNIQUE.get(table, []):
+            whole = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+            known = f"(SELECT {', '.join(keys)} FROM {view} WHERE {whole})"
+            surplus = f"(SELECT count(*) FROM {known}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {known}))"
+            parts.append(part(table, "unique: " + ", ".join(keys), surplus, "(SELECT 1)"))
+        for fk, parent in constraints.FOREIGN_KEYS.get(table, {}).items():
+            if fk in columns and parent in RULED:
+                lost = f"{view} c WHERE {fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {RULED[parent][0]} p WHERE p.id = c.{fk})"
+                parts.append(part(table, f"foreign key: {fk}", "count(*)", lost))
+    return f"WITH {ctes(*(view for view, _ in RULED.values()))} " + " UNION ALL ".join(parts)
+
+
+@query(constraint_sql())
+def constraint_report(v: Views) -> DataFrame:
+    """The declared rules of the operational tables over all views that stand for one."""
+    return constraints.constraint_report(
+        {table: getattr(v, view).select(*columns) for table, (view, columns) in RULED.items()}
+    )
+
+
 @query(f"""
     WITH {ctes('balances')}
     SELECT CAST(count(*) AS BIGINT) AS total_balances, CAST(coalesce(sum(quantity), 0) AS DOUBLE) AS total_quantity FROM balances

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cargolake.plans.marts import dim_customer, dim_time, dim_vehicle, dim_warehouse, fact_orders
 from cargolake.operators.aggregates import expenses_by_vehicle_day, trip_metrics
-from cargolake.schemas import FACT_ORDERS
+from cargolake.schemas import FACT_ORDERS, ddl
 
 RUN_TS = datetime(2002, 1, 1, 12, 0, 0)
 AS_OF = date(2001, 12, 31)
@@ -21,6 +21,37 @@ CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
 COPY = 1_000_000_000_000  # added to an id to make the id of a repeated row
 TAB = "\t"
 
+# the benchmark tables, so that no job has to look up their schemas
+TABLES = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {
+        "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+        "c_mktsegment": "string",
+    },
+    "supplier": {
+        "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
+    },
+    "part": {
+        "p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string",
+        "p_size": "int", "p_retailprice": "double",
+    },
+    "orders": {
+        "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+        "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+    },
+    "lineitem": {
+        "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+        "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
+        "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+        "l_shipdate": "timestamp_ntz",
+    },
+    "events": {
+        "event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+        "value": "double", "props": "string",
+    },
+}
+
 ANALYTIC_FACT = {**FACT_ORDERS, "avg_speed_kmh": "double", "margin_percent": "double"}
 
 # ---- SQL side ------------------------------------------------------------
@@ -225,7 +256,7 @@ class Views:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(ddl(TABLES[name])).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @property
     def customers(self) -> DataFrame:

@@ -21,6 +21,7 @@ from cargolake.operators.aggregates import (
 )
 from cargolake.operators.quality import quality_report
 from cargolake.plans import entities, marts, reports
+from cargolake.plans.constraints import constraint_report
 from cargolake.schemas import (
     EXPENSES_BY_VEHICLE,
     OPERATIONAL,
@@ -177,6 +178,13 @@ def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None
     return watch.get if publish_fact(fact, gold, source=sales) else None
 
 
+def run_checks(spark: SparkSession, cfg: WarehouseConfig) -> None:
+    """Report how far the ingested tables keep the rules of the operational database."""
+    found = {t: read_optional(spark, cfg.bronze(f"postgres/{t}")) for t in OPERATIONAL}
+    tables = {t: conform(df, OPERATIONAL[t]) for t, df in found.items() if df is not None}
+    write_table(constraint_report(tables), cfg.silver("metadata/constraint_report"))
+
+
 def run_all(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None:
     """Bronze, silver, gold, in this order; returns what the gold run returns."""
     run_bronze(spark, cfg)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cargolake.operators.dedup import latest_by_key
 from cargolake.schemas import STAR, Schema, conform, ddl, empty
@@ -14,14 +14,6 @@ from cargolake.schemas import STAR, Schema, conform, ddl, empty
 INSERT_BATCH = 1000
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob matches anything on its file system."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -61,7 +53,7 @@ def declare_marts(spark: SparkSession, gold: str) -> list[str]:
     """Create the star tables that do not exist yet, empty; returns their names."""
     created = []
     for name, schema in STAR.items():
-        if not path_exists(spark, f"{gold}/{name}"):
+        if read_optional(spark, f"{gold}/{name}") is None:
             write_table(empty(spark, schema), f"{gold}/{name}")
             created.append(name)
     return created
@@ -119,7 +111,3 @@ def declare_table(spark: SparkSession, name: str, schema: Schema) -> bool:
         return False
     spark.sql(f"CREATE TABLE {name} ({ddl(schema)}) USING parquet")
     return True
-
-
-def row_count(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cargolake.functions.expenses import SHEET_HEADERS
 from cargolake.plans import entities
+from cargolake.plans.constraints import FOREIGN_KEYS, NOT_NULL, constraint_report
 from cargolake.schemas import OPERATIONAL, SILVER_EXPENSES, TELEMETRY_BRONZE, ddl
 from tests.conftest import RUN_TS, rows
 
@@ -216,3 +217,35 @@ def test_telemetry(spark):
     ]
     assert not {"loc", "acc", "eng", "flags", "gps", "ts"} & set(clean.columns)
     assert rows(clean.where(F.col("spd") == 5.0), "load_timestamp") == [(T,)]
+
+
+def test_constraint_report(spark):
+    tables = {
+        "products": operational(spark, "products", [
+            (1, "s1", "A", "kg", None, None, True), (2, "s1", None, "kg", None, None, True), (3, None, "C", "kg", None, None, True),
+        ]),
+        "sale_headers": operational(spark, "sale_headers", [sale(1, 10), sale(1, 10, number="m")]),
+        "sale_items": operational(spark, "sale_items", [
+            (1, 1, 1, Decimal(2), Decimal("1.50"), Decimal("3.00")),
+            (2, 9, 1, Decimal(0), Decimal("-1.50"), Decimal("0.00")),
+            (3, 9, 7, Decimal(1), Decimal("1.00"), Decimal("5.00")),
+            (4, 1, None, None, Decimal("1.00"), None),
+        ]),
+    }
+    found = {(r["table"], r["rule"]): r["violations"] for r in constraint_report(tables).collect()}
+    assert {k: n for k, n in found.items() if n} == {
+        ("products", "not null: sku"): 1, ("products", "not null: name"): 1, ("products", "unique: sku"): 1,
+        ("sale_headers", "unique: id"): 1,
+        ("sale_items", "check: quantity"): 1, ("sale_items", "check: selling_price"): 1, ("sale_items", "derived: amount"): 1,
+        ("sale_items", "foreign key: product_id"): 1, ("sale_items", "foreign key: sale_id"): 2,
+        ("sale_items", "not null: product_id"): 1, ("sale_items", "not null: quantity"): 1,
+    }
+    assert ("sale_headers", "foreign key: customer_id") not in found      # its table was not given
+
+
+def test_every_rule_names_known_columns():
+    for table, columns in NOT_NULL.items():
+        assert set(columns) <= set(OPERATIONAL[table])
+    assert sum(len(keys) for keys in FOREIGN_KEYS.values()) == 14
+    for table, keys in FOREIGN_KEYS.items():
+        assert set(keys) <= set(OPERATIONAL[table]) and set(keys.values()) <= set(OPERATIONAL)

@@ -187,3 +187,15 @@ def test_no_sales_leave_the_old_fact(spark, loaded):
 def test_credentials_are_not_printed():
     cfg = WarehouseConfig(root="r", run_ts=RUN_TS, as_of=date(2025, 1, 1), jdbc_properties={"password": "secret"})
     assert "secret" not in repr(cfg) and "secret" not in repr(replace(cfg, root="x"))
+
+
+def test_constraint_report_of_the_ingested_tables(spark, loaded):
+    cfg = loaded[0]
+    runs.run_checks(spark, cfg)
+    report = read_table(spark, cfg.silver("metadata/constraint_report"))
+    broken = {(r["table"], r["rule"]): r["violations"] for r in report.where("violations > 0").collect()}
+    assert broken == {
+        ("products", "not null: unit"): 1, ("purchase_headers", "not null: date"): 1,
+        ("stock_balances", "check: quantity"): 1, ("stock_movements", "not null: quantity_after"): 1,
+    }
+    assert report.where("rule LIKE 'foreign key%'").count() == 14

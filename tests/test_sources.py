@@ -184,3 +184,41 @@ def test_dates_of_partition_folders(spark, tmp_path):
     tables.write_table(clean, str(tmp_path / "silver"), partition_by=["event_date"])
     back = tables.read_table(spark, str(tmp_path / "silver"))
     assert rows(back.where(back.event_date == date(2025, 1, 5)), "order_key") == [("230",)] * 3
+
+
+class Database:
+    """Stands in for ``spark.read``: records what would be asked of a database."""
+
+    def __init__(self, spark, lo, hi):
+        self.spark, self.lo, self.hi, self.asked = spark, lo, hi, []
+
+    def jdbc(self, url, table, **options):
+        self.asked.append((table, options))
+        if "MIN(" in table:
+            return self.spark.createDataFrame([(self.lo, self.hi)], "LO long, HI long")
+        return self.spark.createDataFrame([(1, "x")], "ID long, NAME string")
+
+
+@pytest.mark.parametrize("span, parallel", [((5, 104), True), ((None, None), False)])
+def test_jdbc_reads_go_by_ranges_of_the_key(spark, span, parallel):
+    database = Database(spark, *span)
+    session = type("Session", (), {"read": database})()
+    df = operational.read_jdbc_table(session, "jdbc:x", "customers", {"user": "u"}, partitions=4)
+    assert df.columns == ["id", "name"]
+    (span_query, _), (table, options) = database.asked
+    assert "MIN(id)" in span_query and "MAX(id)" in span_query and table == "customers"
+    if parallel:
+        assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 5, 105, 4)
+    else:
+        assert "numPartitions" not in options
+
+
+def test_jdbc_loads_truncate_and_insert_in_batches():
+    from unittest.mock import MagicMock
+
+    df = MagicMock()
+    tables.publish_jdbc(df, "jdbc:x", "gold.dim_time", {"user": "u"}, writers=3)
+    df.coalesce.assert_called_once_with(3)
+    calls = str(df.mock_calls)
+    assert "mode('overwrite')" in calls and "option('truncate', True)" in calls
+    assert "option('batchsize', 1000)" in calls and "jdbc('jdbc:x', 'gold.dim_time'" in calls
