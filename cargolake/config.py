@@ -62,7 +62,6 @@ def build_session(app: str = "cargolake", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",

@@ -36,11 +36,16 @@ def normalise_text(df: DataFrame, upper_keywords: Sequence[str] = IDENTIFIER_WOR
 
 
 def fill_defaults(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """NULLs take the given constants, cast to the type of their column."""
+    """NULLs, and NaN in floating columns, take the given constants in the type of their column."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(v).cast(kinds[c])) for c, v in values.items()}
-    )
+
+    def filled(name: str, value: object) -> Column:
+        c = F.col(name)
+        if isinstance(kinds[name], (T.DoubleType, T.FloatType)):
+            c = F.when(~F.isnan(c), c)
+        return F.coalesce(c, F.lit(value).cast(kinds[name]))
+
+    return df.withColumns({c: filled(c, v) for c, v in values.items()})
 
 
 def lenient_cast(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:

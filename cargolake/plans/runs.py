@@ -102,7 +102,8 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
     counts: dict[str, dict[str, object]] = {}
 
     def bronze(table: str) -> DataFrame:
-        return conform(read_table(spark, cfg.bronze(f"postgres/{table}")), OPERATIONAL[table])
+        raw = read_table(spark, cfg.bronze(f"postgres/{table}"))
+        return conform(raw, OPERATIONAL[table], lenient=True)
 
     def write_counted(df: DataFrame, name: str, path: str, metrics: Mapping[str, Column]) -> None:
         watched, watch = observed(df, name, metrics)
@@ -181,7 +182,7 @@ def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None
 def run_checks(spark: SparkSession, cfg: WarehouseConfig) -> None:
     """Report how far the ingested tables keep the rules of the operational database."""
     found = {t: read_optional(spark, cfg.bronze(f"postgres/{t}")) for t in OPERATIONAL}
-    tables = {t: conform(df, OPERATIONAL[t]) for t, df in found.items() if df is not None}
+    tables = {t: conform(df, OPERATIONAL[t], lenient=True) for t, df in found.items() if df is not None}
     write_table(constraint_report(tables), cfg.silver("metadata/constraint_report"))
 
 

@@ -21,17 +21,20 @@ def empty(spark: SparkSession, schema: Schema) -> DataFrame:
     return spark.createDataFrame([], ddl(schema))
 
 
-def conform(df: DataFrame, schema: Schema, defaults: Mapping[str, object] | None = None) -> DataFrame:
+def conform(
+    df: DataFrame, schema: Schema, defaults: Mapping[str, object] | None = None, lenient: bool = False
+) -> DataFrame:
     """Project to exactly ``schema``, in its order and types.
 
     A column the input lacks becomes a typed NULL; then the default of the
-    column, if it has one, replaces NULLs.
+    column, if it has one, replaces NULLs. ``lenient`` turns values that
+    cannot be read in the new type into NULL instead of failing.
     """
     defaults = defaults or {}
 
     def column(name: str, kind: str) -> Column:
         value = F.col(f"`{name}`") if name in df.columns else F.lit(None)
-        value = value.cast(kind)
+        value = value.try_cast(kind) if lenient else value.cast(kind)
         if name in defaults:
             value = F.coalesce(value, F.lit(defaults[name]).cast(kind))
         return value.alias(name)

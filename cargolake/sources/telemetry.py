@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,7 +16,21 @@ from cargolake.plans.entities import BRONZE_FIELDS, lift_fields
 from cargolake.schemas import TELEMETRY, TELEMETRY_BRONZE, conform, ddl, empty, stamp
 
 CORRUPT = "_corrupt_record"
-RAW = f"{ddl(TELEMETRY)}, `{CORRUPT}` string, `dt` string"
+
+
+def _leaves(text: str, kinds: Mapping[str, str]) -> str:
+    """A type with its leaf types exchanged."""
+    return re.sub("|".join(rf"\b{k}\b" for k in kinds), lambda m: kinds[m.group()], text)
+
+
+# A number may come quoted or be no number at all. So leaves are read as text,
+# then as wide numbers, then narrowed; what cannot be read becomes NULL and the
+# rest of the point stays.
+AS_TEXT = dict.fromkeys(("bigint", "int", "double", "boolean"), "string")
+AS_WIDE = {"bigint": "decimal(20,3)", "int": "double"}
+POINT_TEXT = {c: _leaves(kind, AS_TEXT) for c, kind in TELEMETRY.items()}
+POINT_WIDE = {c: _leaves(kind, AS_WIDE) for c, kind in TELEMETRY.items()}
+RAW = f"{ddl(POINT_TEXT)}, `{CORRUPT}` string, `dt` string"
 OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "pathGlobFilter": "*.jsonl"}
 
 
@@ -31,14 +49,15 @@ def with_lineage(points: DataFrame, run_ts: datetime) -> DataFrame:
 
 def _broken() -> Column:
     """A line that is no JSON object. A line with one odd field keeps its other fields."""
-    return F.col(CORRUPT).isNotNull() & F.coalesce(
-        *(F.col(c).cast("string") for c in TELEMETRY)
-    ).isNull()
+    nothing = [F.col(c).isNull() for c in TELEMETRY]
+    return F.col(CORRUPT).isNotNull() & reduce(and_, nothing)
 
 
 def to_bronze(points: DataFrame, run_ts: datetime) -> DataFrame:
     """Readable points with lineage and the lifted nested fields."""
-    kept = with_lineage(points, run_ts).where(~_broken())
+    kept = with_lineage(points, run_ts).where(~_broken()).withColumns(
+        {c: F.col(c).try_cast(POINT_WIDE[c]).try_cast(kind) for c, kind in TELEMETRY.items()}
+    )
     return conform(lift_fields(kept, BRONZE_FIELDS), TELEMETRY_BRONZE)
 
 

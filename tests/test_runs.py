@@ -156,6 +156,20 @@ def test_missing_sources_give_a_plain_star(spark, tmp_path):
     assert fact.count() == 4 and fact.agg({"total_vehicle_expense": "sum"}).first()[0] == 0
 
 
+def test_text_columns_are_read_leniently(spark, tmp_path):
+    cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31))
+    operational(spark, cfg)
+    text = ", ".join(f"{c} string" for c in OPERATIONAL["stock_movements"])
+    moves = [
+        ("1", "2025-03-01 10:00:00", "SALE", "1", "OUTCOME", "1", "1", "5", "many", "9", None, None),
+        ("2", "some day", "SALE", "1", "OUTCOME", "1", "1", "5", "1", "6", None, None),
+    ]
+    write_table(spark.createDataFrame(moves, text), cfg.bronze("postgres/stock_movements"))
+    counters = runs.run_silver(spark, cfg)
+    assert counters["stock_movements"]["rows"] == 1
+    assert rows(read_table(spark, cfg.silver("postgres/stock_movements")), "id", "quantity_change") == [(1, Decimal(4))]
+
+
 def test_bronze_goes_on_when_a_source_fails(spark, tmp_path):
     raw_files(tmp_path)
     cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31))

@@ -99,6 +99,22 @@ def test_telemetry(spark, tmp_path):
     assert rows(trip_metrics(clean)) == [(230, 2, 10.0)]     # 231 has one point; x is no order number
 
 
+def test_odd_fields_of_a_point(spark, tmp_path):
+    log(tmp_path / "dt=2025-01-05" / "delivery_1_A_1.jsonl", [
+        point("1736071200000", "5.5", h=12.9, eng={"rpm": "900", "thr": 1e1, "tmp": "hot"}, gps=7),
+        '{"ts": 1736071200001, "spd": NaN, "loc": {"lat": "55.5", "lon": null}, "flags": {"abs": "true"}}',
+        "[1, 2]", "7",
+    ])
+    raw = telemetry.read_telemetry(spark, str(tmp_path), RUN_TS)
+    assert rows(raw.select("ts", "h", "rpm", "engine_temp", "lat", "lon", "abs_active", "gps.sat")) == [
+        (1736071200000, 12, 900, None, 55.7, 37.6, True, None), (1736071200001, None, None, None, 55.5, None, True, None),
+    ]
+    assert rows(clean_telemetry(raw, RUN_TS), "spd", "engine_throttle", "engine_temp", "gps_hdop") == [
+        (0.0, 0, -273, 99.9), (5.5, 10, -273, 99.9),
+    ]
+    assert rows(telemetry.broken_lines(spark, str(tmp_path), RUN_TS), "line") == [("7",), ("[1, 2]",)]
+
+
 def test_new_logs_are_read_once(spark, tmp_path):
     base, out, state = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "state")
     logs(base)
