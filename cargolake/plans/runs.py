@@ -134,7 +134,10 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
     points = read_optional(spark, cfg.bronze("json/telemetry"))
     if points is not None:
         telemetry = entities.clean_telemetry(points, cfg.run_ts)
-        write_table(telemetry, cfg.silver("json/telemetry"), partition_by=["event_date"])
+        write_table(
+            telemetry, cfg.silver("json/telemetry"),
+            partition_by=["event_date"], sort_by=["order_key", "timestamp"],
+        )
         written = read_table(spark, cfg.silver("json/telemetry"))
         counts["telemetry"] = written.agg(*(c.alias(n) for n, c in telemetry_metrics().items())).first().asDict()
 

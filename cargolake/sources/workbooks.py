@@ -21,6 +21,7 @@ from cargolake.schemas import EXPENSE_SHEET, conform, stamp
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 LINKED = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 HEADERS = list(SHEET_HEADERS)
+FRAME_ROWS = 10_000
 DECODED = ", ".join(f"`{h}` string" for h in ["path", *HEADERS, "read_error"])
 
 
@@ -30,54 +31,74 @@ def _text(node: ElementTree.Element) -> str:
     return "".join(t.text or "" for t in runs)
 
 
-def _cells(content: bytes) -> list[dict[str, str]]:
-    """The rows of the first sheet as column letter -> text."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared = []
-        if "xl/sharedStrings.xml" in book.namelist():
-            root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in root.findall(f"{MAIN}si")]
-        first = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}sheets/{MAIN}sheet")
-        links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
-        target = next(r.get("Target") for r in links if r.get("Id") == first.get(LINKED))
-        sheet = ElementTree.fromstring(
-            book.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}")
-        )
-    rows = []
-    for row in sheet.iter(f"{MAIN}row"):
-        cells = {}
-        for place, c in enumerate(row.findall(f"{MAIN}c")):
-            column = re.match("[A-Z]+", c.get("r") or "")
-            value, inline = c.find(f"{MAIN}v"), c.find(f"{MAIN}is")
-            if c.get("t") == "s" and value is not None:
-                text = shared[int(value.text)]
-            elif inline is not None:
-                text = _text(inline)
-            else:
-                text = None if value is None else value.text
-            if text:
-                cells[column.group() if column else f"#{place}"] = text
-        rows.append(cells)
-    return rows
+def _shared_texts(book: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in book.namelist():
+        return []
+    with book.open("xl/sharedStrings.xml") as stream:
+        return [_text(e) for _, e in ElementTree.iterparse(stream) if e.tag == f"{MAIN}si"]
 
 
-def _decode(content: bytes) -> pd.DataFrame:
-    """The sheet's rows under the known headers; a missing column is all NULL."""
-    header, *body = _cells(content)
-    place = {name: column for column, name in header.items()}
-    return pd.DataFrame(
-        {h: pd.Series([r.get(place.get(h)) for r in body], dtype=object) for h in HEADERS}
-    )
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    """The archive path of the first sheet, by way of the workbook's links."""
+    first = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}sheets/{MAIN}sheet")
+    links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
+    target = next(r.get("Target") for r in links if r.get("Id") == first.get(LINKED))
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def _cells(row: ElementTree.Element, shared: list[str]) -> dict[str, str]:
+    """Column letters -> text of the filled cells of a row."""
+    cells = {}
+    for place, c in enumerate(row.findall(f"{MAIN}c")):
+        column = re.match("[A-Z]+", c.get("r") or "")
+        value, inline = c.find(f"{MAIN}v"), c.find(f"{MAIN}is")
+        if c.get("t") == "s" and value is not None:
+            text = shared[int(value.text)]
+        elif inline is not None:
+            text = _text(inline)
+        else:
+            text = None if value is None else value.text
+        if text:
+            cells[column.group() if column else f"#{place}"] = text
+    return cells
+
+
+def _rows(content: bytes) -> list[tuple]:
+    """The rows of the first sheet under the known headers; a missing column is all NULL.
+
+    The sheet is parsed as a stream, so a file costs its values and not a tree
+    of its whole markup. A sheet has at most 1,048,576 rows.
+    """
+    rows, place = [], None
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        shared = _shared_texts(book)
+        with book.open(_first_sheet(book)) as stream:
+            sheet = None
+            for event, e in ElementTree.iterparse(stream, events=("start", "end")):
+                if e.tag == f"{MAIN}sheetData":
+                    sheet = e
+                elif event == "end" and e.tag == f"{MAIN}row":
+                    cells = _cells(e, shared)
+                    if place is None:
+                        place = {name: column for column, name in cells.items()}
+                    else:
+                        rows.append(tuple(cells.get(place.get(h)) for h in HEADERS))
+                    sheet.clear()
+    return rows
 
 
 def _decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames of bounded length; a damaged file gives its error and none of its rows."""
+    names = ["path", *HEADERS, "read_error"]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                rows = _decode(content).assign(read_error=None)
+                rows, error = _rows(content), None
             except Exception as e:  # any damage to one file must not stop the others
-                rows = pd.DataFrame([{h: None for h in HEADERS} | {"read_error": repr(e)}])
-            yield rows.assign(path=path)[["path", *HEADERS, "read_error"]]
+                rows, error = [(None,) * len(HEADERS)], repr(e)
+            for start in range(0, len(rows), FRAME_ROWS):
+                part = [(path, *row, error) for row in rows[start : start + FRAME_ROWS]]
+                yield pd.DataFrame(part, columns=names, dtype=object)
 
 
 def scan_workbooks(spark: SparkSession, folder: str) -> DataFrame:

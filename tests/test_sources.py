@@ -36,6 +36,28 @@ def test_workbooks(spark, tmp_path):
     assert [r["source_file"] for r in bad] == ["broken_2025.xlsx"] and "BadZipFile" in bad[0]["read_error"]
 
 
+def test_a_long_sheet_keeps_every_row(spark, tmp_path):
+    n = 2 * workbooks.FRAME_ROWS + 5
+    workbook(tmp_path / "long_2025.xlsx", [["01.01", "A", None, "Топливо", None, f"D{i}", i, None] for i in range(n)], inline=True)
+    got = workbooks.read_expense_books(spark, str(tmp_path), RUN_TS)
+    assert got.select("`Номер документа`").distinct().count() == got.count() == n
+
+
+def test_a_sheet_that_breaks_off_gives_no_rows(spark, tmp_path):
+    import zipfile
+
+    workbook(tmp_path / "good_2025.xlsx", [LINE])
+    workbook(tmp_path / "bad_2025.xlsx", [LINE, LINE])
+    with zipfile.ZipFile(tmp_path / "bad_2025.xlsx") as z:
+        parts = {name: z.read(name) for name in z.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = parts["xl/worksheets/sheet1.xml"][:-40]
+    with zipfile.ZipFile(tmp_path / "bad_2025.xlsx", "w") as z:
+        for name, data in parts.items():
+            z.writestr(name, data)
+    assert rows(workbooks.read_expense_books(spark, str(tmp_path), RUN_TS), "source_file") == [("good_2025.xlsx",)]
+    assert rows(workbooks.unreadable_books(spark, str(tmp_path)), "source_file") == [("bad_2025.xlsx",)]
+
+
 def test_many_workbooks_keep_every_row(spark, tmp_path):
     for i in range(30):
         workbook(tmp_path / f"m_{2000 + i}.xlsx", [[*LINE[:5], f"D{j}", j, None] for j in range(i + 1)], inline=i % 2 == 0)
@@ -161,6 +183,16 @@ def test_partitioned_write_makes_one_file_per_small_day(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3      # a full refresh drops old days
 
 
+def test_sorted_files_let_a_key_lookup_skip_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(0, 4000, 1, 8).selectExpr("id % 100 AS key", "id", "'d' AS day")
+    tables.write_table(df, str(tmp_path / "t"), partition_by=["day"], sort_by=["key", "id"])
+    (file,) = (tmp_path / "t").glob("day=*/*.parquet")
+    found = pq.read_table(file, columns=["key", "id"], partitioning=None).to_pylist()
+    assert found == sorted(found, key=lambda r: (r["key"], r["id"])) and len(found) == 4000
+
+
 def test_marts_are_declared_once(spark, tmp_path):
     gold = str(tmp_path)
     assert tables.declare_marts(spark, gold) == list(STAR)
