@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -51,13 +52,28 @@ class WarehouseConfig:
         return f"{self.root}/gold/{name}"
 
 
-def build_session(app: str = "cargolake", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for a job that moves about its whole input once.
+
+    Some 256 MB each, so that a task sorts and aggregates in memory; adaptive
+    execution merges what turns out smaller. The cap bounds the bookkeeping of
+    the driver (maps times partitions); beyond it partitions grow and spill.
+    """
+    return min(max(200, math.ceil(input_bytes / (256 << 20))), 50_000)
+
+
+def build_session(
+    app: str = "cargolake", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the jobs are written for.
 
     UTC keeps timestamps comparable; AQE coalesces small partitions, splits
     skewed join partitions and turns a join into a broadcast only after it
-    has seen the real size of the small side.
+    has seen the real size of the small side. ``input_bytes``, the size of the
+    largest table, sets the number of shuffle partitions.
     """
+    if input_bytes is not None:
+        conf.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

@@ -26,6 +26,7 @@ from cargolake.schemas import (
     EXPENSES_BY_VEHICLE,
     OPERATIONAL,
     SILVER_EXPENSES,
+    TELEMETRY_BRONZE,
     conform,
 )
 from cargolake.sources.operational import ingest_jdbc
@@ -62,32 +63,39 @@ REPORTED = (
 
 
 def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
-    """Ingest the three sources; the failure of one does not stop the others."""
+    """Ingest the three sources; the failure of one does not stop the others.
 
-    def tables() -> None:
-        if cfg.jdbc_url:
-            ingest_jdbc(
-                spark, cfg.jdbc_url, cfg.bronze("postgres"),
-                properties=cfg.jdbc_properties, partitions=cfg.jdbc_partitions,
-            )
+    Returns per source what became of it, with the tables that failed by name.
+    """
+
+    def tables() -> str:
+        if not cfg.jdbc_url:
+            return "skipped"
+        report = ingest_jdbc(
+            spark, cfg.jdbc_url, cfg.bronze("postgres"),
+            properties=cfg.jdbc_properties, partitions=cfg.jdbc_partitions,
+        )
+        failed = [r["table"] for r in report.where("status = 'failed'").collect()]
+        return f"failed: {', '.join(failed)}" if failed else "loaded"
 
-    def books() -> None:
+    def books() -> str:
         rows = read_expense_books(spark, cfg.raw("excel"), cfg.run_ts)
         write_table(rows, cfg.bronze("excel/all_expenses"))
+        return "loaded"
 
-    def logs() -> None:
+    def logs() -> str:
         target = cfg.bronze("json/telemetry")
         if cfg.incremental_logs:
             land_new_telemetry(spark, cfg.raw("json"), target, cfg.bronze("json/_ingested"), cfg.run_ts)
-            return
-        points = read_telemetry(spark, cfg.raw("json"), cfg.run_ts)
-        write_table(points, target, partition_by=["log_date"])
+        else:
+            points = read_telemetry(spark, cfg.raw("json"), cfg.run_ts)
+            write_table(points, target, partition_by=["log_date"])
+        return "loaded"
 
     outcome = {}
     for source, ingest in {"tables": tables, "books": books, "logs": logs}.items():
         try:
-            ingest()
-            outcome[source] = "loaded"
+            outcome[source] = ingest()
         except (PySparkException, Py4JJavaError) as e:
             outcome[source] = f"failed: {str(e).splitlines()[0]}"
     return outcome
@@ -133,7 +141,8 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
 
     points = read_optional(spark, cfg.bronze("json/telemetry"))
     if points is not None:
-        telemetry = entities.clean_telemetry(points, cfg.run_ts)
+        # the folder column comes back as a date; the schema has it as text
+        telemetry = entities.clean_telemetry(conform(points, TELEMETRY_BRONZE), cfg.run_ts)
         write_table(
             telemetry, cfg.silver("json/telemetry"),
             partition_by=["event_date"], sort_by=["order_key", "timestamp"],
