@@ -30,14 +30,13 @@ def conform(
     column, if it has one, replaces NULLs. ``lenient`` turns values that
     cannot be read in the new type into NULL instead of failing.
     """
-    defaults = defaults or {}
+    defaults, given, cast = defaults or {}, set(df.columns), "TRY_CAST" if lenient else "CAST"
 
     def column(name: str, kind: str) -> Column:
-        value = F.col(f"`{name}`") if name in df.columns else F.lit(None)
-        value = value.try_cast(kind) if lenient else value.cast(kind)
+        value = F.expr(f"{cast}({f'`{name}`' if name in given else 'NULL'} AS {kind}) AS `{name}`")
         if name in defaults:
-            value = F.coalesce(value, F.lit(defaults[name]).cast(kind))
-        return value.alias(name)
+            value = F.coalesce(value, F.lit(defaults[name]).cast(kind)).alias(name)
+        return value
 
     return df.select(*(column(name, kind) for name, kind in schema.items()))
 

@@ -9,14 +9,20 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from cargolake.sources.telemetry import OPTIONS, RAW, to_bronze
 
 
 def land_new_telemetry(spark: SparkSession, base: str, out: str, checkpoint: str, run_ts: datetime) -> None:
-    """Append the points of new files to ``out``, partitioned by log day."""
-    points = spark.readStream.schema(RAW).options(**OPTIONS).json(base)
+    """Append the points of new files to ``out``, partitioned by log day. Without a ``base`` nothing happens."""
+    try:
+        points = spark.readStream.schema(RAW).options(**OPTIONS).json(base)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
     run = (
         to_bronze(points, run_ts)
         .writeStream.format("parquet")

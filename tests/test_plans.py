@@ -35,6 +35,14 @@ def test_dedup_reduces_hot_keys_before_the_shuffle(spark, name):
     assert exchange < partial       # the plan prints the sink first: the partial limit feeds the exchange
 
 
+@pytest.mark.parametrize("name", ["clean_telemetry", "distinct_rows", "quality_report"])
+def test_copies_collapse_before_the_shuffle(spark, name):
+    text = plan(spark, name)
+    lines = text.splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert "HashAggregate(keys=[" in lines[exchange + 1]
+
+
 @pytest.mark.parametrize("name", ["expenses_by_vehicle_day", "trip_metrics", "fact_orders", "weekly_warehouse", "fk_orphans", "unique_rules"])
 def test_aggregates_combine_before_the_shuffle(spark, name):
     text = plan(spark, name)

@@ -9,8 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cargolake.operators.aggregates import expenses_by_vehicle_day, trip_metrics
+from cargolake.operators.dedup import dedup
 from cargolake.operators.lookups import driver_lookup, vehicle_lookup
+from cargolake.plans.entities import clean_telemetry
 from cargolake.plans.marts import fact_orders
+from cargolake.schemas import TELEMETRY_BRONZE, conform
 from tests.conftest import RUN_TS
 
 ROWS = 60_000
@@ -98,3 +101,27 @@ def test_fact_with_a_hot_vehicle_and_day(spark):
         assert "SortMergeJoin(skew=true)" in final_plan(df)
     assert len(got) == ROWS
     assert all(r["total_vehicle_expense"] == (10 if r["vehicle_id"] < 300 else 0) for r in got)
+
+
+def test_a_third_of_all_points_are_copies_of_one(spark):
+    points = spark.range(0, ROWS, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("ts"),
+        F.lit("1").alias("order_key"), F.lit(5.0).alias("spd"), F.lit("f").alias("source_file"),
+        F.col("id").cast("string").alias("load_timestamp"),
+    )
+    raw = conform(points, TELEMETRY_BRONZE, lenient=True)
+    clean = clean_telemetry(raw, RUN_TS)
+    assert clean.count() == ROWS - ROWS // 3 + 1
+    # one order holds every point: its metrics still come from partial sums
+    assert trip_metrics(clean).collect()[0].asDict() == {"order_key": 1, "duration_minutes": 0, "avg_speed_kmh": 5.0}
+
+
+@pytest.mark.parametrize("hot", [None, "same"])
+def test_a_third_of_all_rows_share_a_raw_key(spark, hot):
+    df = spark.range(0, ROWS, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id").cast("string")).alias("inn")
+    )
+    kept = dedup(df, ["inn"], ["id"])
+    assert kept.count() == ROWS - ROWS // 3 + 1
+    first = kept.where(F.col("inn").eqNullSafe(F.lit(hot))).collect()
+    assert [r["id"] for r in first] == [0]

@@ -150,6 +150,11 @@ def test_new_logs_are_read_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == batch.count() + 1
 
 
+def test_no_new_logs_without_a_folder(spark, tmp_path):
+    land_new_telemetry(spark, str(tmp_path / "none"), str(tmp_path / "out"), str(tmp_path / "state"), RUN_TS)
+    assert tables.read_optional(spark, str(tmp_path / "out")) is None
+
+
 def test_ingest_goes_on_after_a_failure(spark, tmp_path):
     def read(table):
         if table == "drivers":
