@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cargolake.config import OPERATIONAL_TABLES
 from cargolake.sources.tables import write_table
 
+FETCH_ROWS = 10_000
 REPORT = "table string, status string, message string"
 
 
@@ -25,16 +26,18 @@ def read_jdbc_table(
     """One table, read by ``partitions`` tasks over ranges of its key.
 
     The range ends come from one aggregate that the database answers; an
-    empty table is read by a single task.
+    empty table is read by a single task. Rows arrive in portions, since some
+    drivers would otherwise hold a whole range in memory.
     """
+    options = {"fetchsize": str(FETCH_ROWS), **properties}
     span = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) span"
-    lo, hi = spark.read.jdbc(url, span, properties=dict(properties)).first()
+    lo, hi = spark.read.jdbc(url, span, properties=options).first()
     if lo is None or partitions < 2:
-        df = spark.read.jdbc(url, table, properties=dict(properties))
+        df = spark.read.jdbc(url, table, properties=options)
     else:
         df = spark.read.jdbc(
-            url, table, column=key, lowerBound=lo, upperBound=hi + 1,
-            numPartitions=partitions, properties=dict(properties),
+            url, table, column=key, lowerBound=int(lo), upperBound=int(hi) + 1,
+            numPartitions=partitions, properties=options,
         )
     return df.toDF(*(c.lower() for c in df.columns))
 

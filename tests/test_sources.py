@@ -259,6 +259,7 @@ def test_jdbc_reads_go_by_ranges_of_the_key(spark, span, parallel):
     df = operational.read_jdbc_table(session, "jdbc:x", "customers", {"user": "u"}, partitions=4)
     assert df.columns == ["id", "name"]
     (span_query, _), (table, options) = database.asked
+    assert options["properties"] == {"fetchsize": "10000", "user": "u"}
     assert "MIN(id)" in span_query and "MAX(id)" in span_query and table == "customers"
     if parallel:
         assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 5, 105, 4)
