@@ -91,19 +91,23 @@ def build_session(
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` at a reliable checkpoint.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The rows go to the shared folder the cluster names in
-    ``spark.checkpoint.dir`` and survive the loss of any executor. Only a
-    local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="cargolake-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` at a reliable checkpoint, which survives the loss of any executor."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="cargolake-checkpoint-")
-        sc.setCheckpointDir(shared)
+        sc.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from cargolake.config import build_session, durable, shuffle_partitions
+from cargolake.config import build_session, checkpoint_folder, durable, shuffle_partitions
 
 
 def test_shuffle_partitions_follow_the_input():
@@ -33,6 +33,7 @@ def test_durable_rows_lie_in_the_folder_the_session_names(spark):
     df = durable(spark.range(10))
     assert df.count() == 10
     assert spark.sparkContext.getCheckpointDir().split(":", 1)[-1].startswith(named)
+    assert checkpoint_folder(spark) == named
 
 
 def test_sessions_run_in_utc(spark):

@@ -20,7 +20,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(entry_points.REGISTRY))
 def test_query_agrees_with_its_sql(spark, duck, name):
     assert mismatch(spark, duck, entry_points.queries()[name], entry_points.oracle_sql()[name], SF_DIR) is None
 
