@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import packing
+from cargolake.llm import host_quality, packing
 from cargolake.llm.base import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = F.col("quality")
+    return host_quality.judge(documents(spark, sf_dir), host="source", carry=["doc_id"]).select(
+        "doc_id", q["n_words"], q["word_chars"], q["n_symbols"], q["n_dup_lines"], q["n_repeat_words"],
+        q["failed_base"].alias("base_failed"), q["kept"],
+    ).toDF("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), capacity=1024, end_id=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op9_best_fit_packing,)}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_host_quality, op9_best_fit_packing)}
+SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE}
