@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import host_quality, packing
+from cargolake.llm import fingerprints, host_quality, packing, token_store
 from cargolake.llm.base import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,20 @@ def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).toDF("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_store.write_tokens(documents(spark, sf_dir), end_id=0)
+    return token_store.read_documents(manifest).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), capacity=1024, end_id=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_host_quality, op9_best_fit_packing)}
+def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_host_quality, op4_wavelet_tokens, op9_best_fit_packing, op10_weighted_fingerprints)}
 SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE}
