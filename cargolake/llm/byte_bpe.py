@@ -2,13 +2,15 @@
 
 The merges of a byte-level BPE never cross the pieces into which its pattern
 splits a text, so the ids of a text are the ids of its pieces in a row. Texts
-of plain characters are split here and only unseen pieces go to the library;
-any other text goes to the library whole. The cache is emptied when it reaches
-``CACHE_PIECES``, so memory is bounded.
+of plain characters are split here, where the classes of the pattern are known
+character by character, and only unseen pieces go to the library's model. Any
+other text goes to the library whole. The cache lives as long as the worker and
+is emptied when it reaches ``CACHE_PIECES``, so memory is bounded.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from array import array
@@ -16,15 +18,26 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE_PIECES = 600_000
-BATCH_TEXTS = 64
+CACHE_PIECES = 1_500_000
 
-# The splitting pattern of the vocabulary, for the plain characters below.
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-# ASCII without the separators 1C-1F, and the letters from U+00C0 to U+024F: here both engines' classes agree.
+# The splitting pattern of the vocabulary, spelt out for ASCII (but the separators 1C-1F)
+# and the letters from U+00C0 to U+024F.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+OTHERS = r"!-/:-@\[-`{-~×÷\x00-\x08\x0e-\x1b\x7f"
+PIECE = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{OTHERS}]+|\s+(?!\S)|\s+")
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7fÀ-ɏ]*")
 
 
+def byte_symbols() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+SYMBOLS = byte_symbols()
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -43,30 +56,41 @@ class PieceEncoder:
             raise ValueError("ids of this vocabulary do not fit into 16 bits")
         # the strings of special tokens, which the library matches before it splits
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece.encode().decode("latin-1").translate(SYMBOLS)
+        return array("H", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        batch: list[str] = []
         for text in texts:
-            batch.append(text or "")
-            if len(batch) == BATCH_TEXTS:
-                yield from self._batch(batch)
-                batch = []
-        yield from self._batch(batch)
-
-    def _batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [
-            PIECE.findall(t) if PLAIN.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts
-        ]
-        if len(self.cache) > CACHE_PIECES:
-            self.cache = {}
-        cache = self.cache
-        unseen = list({p for pieces in split if pieces for p in pieces if p not in cache})
-        for piece, got in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)):
-            cache[piece] = array("H", got.ids).tobytes()
-        for text, pieces in zip(texts, split):
-            ids = self._whole(text) if pieces is None else b"".join([cache[p] for p in pieces])
-            yield np.frombuffer(ids, np.uint16)
+            text = text or ""
+            if len(self.cache) > CACHE_PIECES:
+                self.cache = {}
+            cache = self.cache
+            if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
+                yield np.frombuffer(self._whole(text), np.uint16)
+                continue
+            pieces = PIECE.findall(text)
+            ids = list(map(cache.get, pieces))
+            at = ids.index(None) if None in ids else -1
+            while at >= 0:
+                piece = pieces[at]
+                if piece not in cache:
+                    cache[piece] = self._piece(piece)
+                ids[at] = cache[piece]
+                try:
+                    at = ids.index(None, at + 1)
+                except ValueError:
+                    at = -1
+            yield np.frombuffer(b"".join(ids), np.uint16)
+
+
+@functools.cache
+def encoder(path: str | None = None) -> PieceEncoder:
+    """The worker's encoder; it serves all tasks of the worker."""
+    return PieceEncoder(path)

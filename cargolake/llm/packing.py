@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cargolake.llm.base import written
-from cargolake.llm.byte_bpe import PieceEncoder
+from cargolake.llm.byte_bpe import encoder
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -145,10 +145,10 @@ def tokenised(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, task, seen = PieceEncoder(tokenizer_path), TaskContext.get().partitionId(), {}
+        encode, task, seen = encoder(tokenizer_path).encode, TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"])):
+            for doc_id, ids in zip(batch["doc_id"], encode(batch["text"])):
                 ids = np.append(ids, np.uint16(end_id)).astype("<u4")
                 cuts = list(range(len(ids), 0, -capacity))[::-1]
                 start = 0

@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import fingerprints, host_quality, packing, token_store
-from cargolake.llm.base import documents
+from cargolake.llm import fingerprints, host_quality, language, packing, token_store, toxicity
+from cargolake.llm.base import crc_of_id, documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_of_id(F.col("doc_id")) % 3 == 1
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs, model, ["doc_id", held_out.alias("held_out")])
+
+
 def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("quality")
     return host_quality.judge(documents(spark, sf_dir), host="source", carry=["doc_id"]).select(
@@ -27,6 +34,16 @@ def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, marks = documents(spark, sf_dir), labels(spark, sf_dir)
+    held_out = crc_of_id(F.col("doc_id")) % 5 == 0
+    model = toxicity.fit(toxicity.labelled(docs, marks, train=~held_out))
+    scored = toxicity.score(docs, model, ["doc_id", held_out.alias("held_out")])
+    return scored.select(
+        "doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), capacity=1024, end_id=2)
 
@@ -35,5 +52,7 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_host_quality, op4_wavelet_tokens, op9_best_fit_packing, op10_weighted_fingerprints)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op7_clause_toxicity, op9_best_fit_packing, op10_weighted_fingerprints,
+)}
 SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE}
