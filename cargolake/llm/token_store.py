@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cargolake.config import checkpoint_folder
 from cargolake.llm.base import written
-from cargolake.llm.byte_bpe import PieceEncoder
+from cargolake.llm.byte_bpe import encoder
 from cargolake.llm.wavelet import WaveletMatrix
 
 MAGIC = b"TOKS"
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 21
 RANGE_BYTES = 16 << 20  # text per range of documents
 MANIFEST = "part int, shard int, path string, n_docs bigint, n_tokens bigint"
 
@@ -120,7 +120,7 @@ def write_tokens(
     dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part = PieceEncoder(tokenizer_path), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer_path).encode, TaskContext.get().partitionId()
         store, base = fs.FileSystem.from_uri(folder)
         end, shard = np.array([end_id], np.uint16), 0
         doc_ids: list[int | None] = []
@@ -135,7 +135,7 @@ def write_tokens(
             return pd.DataFrame([(part, shard, f"{folder}/{name}", len(held), size)], columns=[c.split()[0] for c in MANIFEST.split(", ")])
 
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"])):
+            for doc_id, ids in zip(batch["doc_id"], encode(batch["text"])):
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
                 held.append(np.concatenate([ids, end]))
                 size += len(ids) + 1

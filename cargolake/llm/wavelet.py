@@ -10,6 +10,8 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 MAGIC = b"WMX1"
@@ -74,10 +76,12 @@ class WaveletMatrix:
             bits = max(1, int(values.max()).bit_length()) if n else 1
         planes = []
         for b in range(bits - 1, -1, -1):
-            one = (values & values.dtype.type(1 << b)) != 0
-            planes.append(BitPlane.of(one))
-            if b:
-                values = np.concatenate([values[~one], values[one]])
+            plane = BitPlane.of((values & values.dtype.type(1 << b)) != 0)
+            planes.append(plane)
+            if b:  # Arrow filters by packed bits, without a branch per element
+                one = pa.BooleanArray.from_buffers(pa.bool_(), n, [None, pa.py_buffer(plane.words)])
+                whole = pa.array(values)
+                values = np.concatenate([pc.filter(whole, pc.invert(one)).to_numpy(), pc.filter(whole, one).to_numpy()])
         return cls(planes, n)
 
     def values(self, dtype: type = np.uint16) -> np.ndarray:
