@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import fingerprints, host_quality, language, packing, token_store, toxicity
+from cargolake.llm import fingerprints, host_quality, language, near_dedup, packing, token_store, toxicity
 from cargolake.llm.base import crc_of_id, documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_min_max_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), words=3, share=0.85)
+
+
 def op2_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_of_id(F.col("doc_id")) % 3 == 1
@@ -53,6 +57,6 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op7_clause_toxicity, op9_best_fit_packing, op10_weighted_fingerprints,
+    op1_min_max_near_dedup, op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op7_clause_toxicity, op9_best_fit_packing, op10_weighted_fingerprints,
 )}
 SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE}

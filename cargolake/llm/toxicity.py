@@ -5,8 +5,10 @@ weighted lexicon of stems that is learned from labelled rows), threats, targets,
 negations and reported speech. Their union is composed with a clause grammar,
 which accepts a clause by the best path to an insult or threat and tells how it
 is used: plainly, at a target, negated or reported. What each use says about a
-text is learned too. A text's score combines the clauses that matched; a word
-outside a matched clause counts for nothing.
+text is learned too. Every matched clause adds the log odds of its different
+insults, weighted by its use; a logistic curve over the sum, fitted to the
+labelled rows, gives the score. A word outside a matched clause counts for
+nothing.
 
 A stem is learned if the texts that hold it are toxic far more often than chance
 allows. A stem counts no more texts than it has different words before it, so
@@ -22,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,7 +34,8 @@ from cargolake.llm.language import bounded_sample
 SAMPLE_ROWS = 20_000
 MIN_STEM = 4
 MAX_STEM = 16
-MIN_PRECISION = 0.8
+MIN_PRECISION = 0.3
+PER_TEXT = 3
 CLAUSE = re.compile(r"[.!?;:,\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -120,11 +124,17 @@ def grammar(reach: int = 2) -> Transducer:
     return t
 
 
+def log_odds(p: float) -> float:
+    p = min(max(p, 0.001), 0.999)
+    return math.log(p / (1 - p))
+
+
 @dataclass
 class ToxicityModel:
-    stems: dict[str, float]  # stem, or a whole word closed by "$" -> precision
-    uses: dict[str, float] = field(default_factory=lambda: {u: 0.9 if u != "threat" else 0.6 for u in USES})
-    base: float = 0.05
+    stems: dict[str, float]  # stem, or a whole word closed by "$" -> log odds over the base rate
+    uses: dict[str, float] = field(default_factory=lambda: dict.fromkeys(USES, 1.0))
+    curve: tuple[float, float] = (-2.0, 1.0)  # log odds of a text: first + second * sum over its clauses
+    threat: float = 3.0  # log odds of a threat at a target
     cues: dict[str, str] = field(default_factory=lambda: {
         **dict.fromkeys(THREATS, THREAT), **dict.fromkeys(TARGETS, TARGET),
         **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT),
@@ -145,29 +155,44 @@ class ToxicityModel:
         return self.stems.get(word + "$", 0.0)
 
     def clauses(self, text: str | None) -> Iterator[tuple[float, str]]:
-        """Weight and use of every clause that the grammar accepts."""
+        """Weight and use of every clause that the grammar accepts; an insult counts once in a text."""
         text = (text or "").lower()
-        weights = {w: self.insult(w) for w in set(WORD.findall(text))}
-        hot = {w for w, weight in weights.items() if weight}
-        threats = {w for w in weights if self.cues.get(w) == THREAT}
+        vocabulary = set(WORD.findall(text))
+        hot = {w: weight for w in vocabulary if (weight := self.insult(w))}
+        threats = {w for w in vocabulary if self.cues.get(w) == THREAT}
         if not hot and not threats:
             return
+        counted: set[str] = set()
         for clause in CLAUSE.split(text):
             words = WORD.findall(clause)
-            if hot.isdisjoint(words) and threats.isdisjoint(words):
+            if threats.isdisjoint(words) and not any(w in hot for w in words):
                 continue
-            weight, use = self.machine.best(
-                (INSULT, 1.0) if w in hot else (self.cues.get(w, OTHER), 1.0) for w in words
-            )
-            if weight:
-                strongest = max((weights[w] for w in words if w in hot), default=1.0)
-                yield strongest, use
+            _, use = self.machine.best((INSULT if w in hot else self.cues.get(w, OTHER), 1.0) for w in words)
+            if use:
+                fresh = {w for w in words if w in hot} - counted
+                counted |= fresh
+                yield sum(hot[w] for w in fresh) if use != "threat" else self.threat, use
+
+    def total(self, text: str | None) -> float:
+        return sum(weight * self.uses[use] for weight, use in self.clauses(text))
 
     def score(self, text: str | None) -> float:
-        innocent = 1.0
-        for weight, use in self.clauses(text):
-            innocent *= 1.0 - weight * self.uses[use]
-        return max(self.base, 1.0 - innocent) if innocent < 1.0 else self.base
+        z = self.curve[0] + self.curve[1] * self.total(text)
+        return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
+
+
+def logistic(x: np.ndarray, bad: np.ndarray, good: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Intercept and slope of a logistic curve through counts at ``x``, with a weak prior, by Newton's method."""
+    x, bad, good = np.append(x, [0.0, 6.0]), np.append(bad, [0.5, 0.5]), np.append(good, [0.5, 0.0])
+    at = np.array([-2.0, 1.0])
+    design = np.stack([np.ones_like(x), x], axis=1)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(design @ at, -30, 30)))
+        slope = design.T @ (bad - (bad + good) * p) - 0.01 * at
+        bend = (design * ((bad + good) * p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2)
+        step = np.linalg.solve(bend, slope)
+        at = at + np.clip(step, -2, 2)
+    return float(at[0]), max(0.0, float(at[1]))
 
 
 def units(word: str) -> list[str]:
@@ -217,39 +242,65 @@ def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     if not 0 < p0 < 1:
         return ToxicityModel({})
     # log-likelihood ratio against the base rate, corrected for the number of units tried
-    bad, good = F.least("bad", "pairs").cast("double"), F.col("good").cast("double")
+    bad, good = F.least(PER_TEXT * F.col("bad"), F.col("pairs")).cast("double"), F.col("good").cast("double")
     p = bad / (bad + good)
     gain = 2 * (bad * F.log(p / p0) + F.when(good > 0, good * F.log((1 - p) / (1 - p0))).otherwise(0.0))
-    precision = (bad + p0) / (bad + good + 1)
+    precision = (F.col("bad") + p0) / (F.col("bad") + good + 1)  # of texts
     learned = (
         seen.where((F.col("bad") > 0) & (F.col("pairs") > 0) & (precision >= MIN_PRECISION) & (gain > 2 * math.log(tried)))
-        .select("unit", precision.alias("precision")).collect()  # bounded by the sample
+        .select("unit", precision.alias("precision"), "bad", "good").collect()  # bounded by the sample
     )
-    accepted = {r["unit"]: r["precision"] for r in learned}
-    stems = {
-        u: w for u, w in accepted.items()
-        if not any(u[:n] in accepted for n in range(MIN_STEM, len(u.rstrip("$")) + u.endswith("$")) if u[:n] != u)
-    }
-    model = ToxicityModel(stems)
+    model = ToxicityModel({u: log_odds(p) - log_odds(p0) for u, p in chosen(learned).items()})
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
-    def uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[tuple[str, int]] = Counter()
+    def matches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[tuple[str, float, int]] = Counter()
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                for use in {u for _, u in shared.value.clauses(text)} or {"none"}:
-                    seen[use, int(toxic)] += 1
-        yield pd.DataFrame([(u, t, n) for (u, t), n in seen.items()], columns=["use", "toxic", "n"])
-
-    counted = sample.mapInPandas(uses, "use string, toxic int, n bigint").groupBy("use", "toxic").agg(F.sum("n").alias("n")).collect()
-    n = {(r["use"], r["toxic"]): r["n"] for r in counted}
-    for use, prior in model.uses.items():
-        model.uses[use] = (n.get((use, 1), 0) + 4 * prior) / (n.get((use, 1), 0) + n.get((use, 0), 0) + 4)
-    model.base = (n.get(("none", 1), 0) + 0.05) / (n.get(("none", 1), 0) + n.get(("none", 0), 0) + 1)
-    model.base = min(model.base, 0.45)
+                found = list(shared.value.clauses(text))
+                seen["", round(sum(w for w, _ in found), 1), int(toxic)] += 1
+                for use in {u for _, u in found}:
+                    seen[use, 0.0, int(toxic)] += 1
+        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["use", "total", "toxic", "n"])
+
+    counted = (
+        sample.mapInPandas(matches, "use string, total double, toxic int, n bigint")
+        .groupBy("use", "total").agg(*[F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0)).alias(c) for t, c in ((1, "bad"), (0, "good"))])
+        .collect()  # totals are rounded
+    )
+    by_use = {r["use"]: (r["bad"], r["good"]) for r in counted if r["use"]}
+    plain = log_odds((by_use.get("plain", (0, 0))[0] + 9) / (sum(by_use.get("plain", (0, 0))) + 10)) - log_odds(p0)
+    for use, (bad_n, good_n) in by_use.items():
+        own = log_odds((bad_n + 9) / (bad_n + good_n + 10)) - log_odds(p0)
+        model.uses[use] = min(max(own / plain, 0.0), 1.2) if plain > 0 else 1.0
+    sums = [r for r in counted if not r["use"]]
+    model.curve = logistic(*(np.array([r[c] for r in sums], float) for c in ("total", "bad", "good")))
     return model
 
 
+def chosen(learned: list) -> dict[str, float]:
+    """The shortest accepted stems. One is lengthened while that sheds clean texts and hardly any toxic ones."""
+    rows = {r["unit"]: r for r in learned}
+    children: dict[str, list[str]] = {}
+    for unit in rows:
+        parent = unit[:-1]
+        if parent in rows:
+            children.setdefault(parent, []).append(unit)
+    out = {}
+    for unit, row in rows.items():
+        if unit[:-1] in rows or any(unit[:n] in rows for n in range(MIN_STEM, len(unit) - 1)):
+            continue
+        best, at = unit, unit
+        while at in children:
+            at = max(children[at], key=lambda u: (rows[u]["bad"], u))
+            if rows[at]["bad"] < 0.9 * row["bad"]:
+                break
+            if rows[at]["good"] < rows[best]["good"]:
+                best = at
+        out[best] = rows[best]["precision"]
+    return out
+
+
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str | Column] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``toxicity`` (0 to 1, higher is likelier toxic), from the text alone.
 
