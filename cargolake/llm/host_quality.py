@@ -163,10 +163,11 @@ def judge(
     flat = written(measured)
     inner = flat.select(F.struct(*carry).alias("row"), "quality.*")
     scored = inner.withColumns(failures())
-    verdicts = shrunk_rates(scored, "host").groupBy("host").agg(
+    # a written table has a known size: few hosts are broadcast, many are joined with hot hosts split
+    verdicts = written(shrunk_rates(scored, "host").groupBy("host").agg(
         F.max(F.col("rate")).alias("worst"),
         *[F.max(F.when(F.col("rule") == r, F.col("rate"))).alias(f"rate_{r}") for r in RULES],
-    )
+    ))
     known = F.lit(False)
     for r in RULES:
         known = known | (F.col(r) & (F.coalesce(F.col(f"rate_{r}"), F.lit(0.0)) > known_for))

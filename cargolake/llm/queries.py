@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import fingerprints, host_quality, language, near_dedup, packing, token_store, toxicity
+from cargolake.llm import fingerprints, host_quality, language, licenses, merge_dropout, near_dedup, packing, substring_dedup, token_store, toxicity
 from cargolake.llm.base import crc_of_id, documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,25 @@ def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fm_index_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), window=35)
+    return found.select(
+        "doc_id", "repeats.n_words", "repeats.n_removed",
+        F.sha2(F.col("repeats.kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op6_merge_dropout_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    text = F.coalesce("text", F.lit(""))
+    encoded = merge_dropout.encode_documents(docs, seed=17, dropout=0.1, keep=["doc_id", F.md5(text).alias("text_md5")])
+    decoded = merge_dropout.decode_documents(encoded.withColumn("raw_ids", F.col("ids")))
+    return decoded.select(
+        "doc_id", (F.octet_length("raw_ids") / 4).cast("bigint").alias("n_pieces"), F.crc32("raw_ids").alias("ids_crc32"),
+        (F.md5("text") == F.col("text_md5")).alias("lossless"),
+    )
+
+
 def op7_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, marks = documents(spark, sf_dir), labels(spark, sf_dir)
     held_out = crc_of_id(F.col("doc_id")) % 5 == 0
@@ -48,6 +67,10 @@ def op7_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), capacity=1024, end_id=2)
 
@@ -57,6 +80,7 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_min_max_near_dedup, op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op7_clause_toxicity, op9_best_fit_packing, op10_weighted_fingerprints,
+    op1_min_max_near_dedup, op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op5_fm_index_substrings,
+    op6_merge_dropout_pieces, op7_clause_toxicity, op8_license_scan, op9_best_fit_packing, op10_weighted_fingerprints,
 )}
 SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE}

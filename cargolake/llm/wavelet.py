@@ -117,6 +117,14 @@ class WaveletMatrix:
             at, first = np.where(one, zeros + a, at - a), np.where(one, zeros + f, first - f)
         return first, at
 
+    def descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The places in the last plane's order that stand for positions ``at``, one symbol each."""
+        for i, (plane, zeros) in enumerate(zip(self.planes, self.zeros)):
+            one = (symbol >> (len(self.planes) - 1 - i)) & 1 != 0
+            ones = plane.ones(at)
+            at = np.where(one, zeros + ones, at - ones)
+        return at
+
     def count(self, symbol: int, start: int = 0, stop: int | None = None) -> int:
         if not 0 <= symbol < 1 << len(self.planes):
             return 0

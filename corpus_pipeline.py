@@ -1,18 +1,47 @@
-"""The corpus pipeline: five filtering and shaping stages over ``documents``."""
+"""The corpus pipeline: four stages that filter and clean ``documents``, and one that packs them into sequences."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import packing
-from cargolake.llm.base import documents, written
+from cargolake.llm import host_quality, near_dedup, packing, substring_dedup, toxicity
+from cargolake.llm.base import documents, labels, written
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a base rule, or a rule that their host is known for, go."""
+    return host_quality.keep_good(docs, host="source")
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity of 0.5 or more go; the model learns from the labelled documents of the corpus."""
+    model = toxicity.fit(toxicity.labelled(documents(spark, sf_dir), labels(spark, sf_dir)))
+    scored = toxicity.score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, keep=["row"])
+    return scored.where("toxicity < 0.5").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_dedup.keep_first(docs, words=5, share=0.8)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that occur more than once go."""
+    return substring_dedup.without_repeats(docs, window=35)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.best_fit_pack(docs, capacity=1024, end_id=2)
+    """Token sequences of at most 1024 ids: a row per piece, with its ids."""
+    return packing.best_fit_pack(docs, capacity=1024, end_id=2, with_ids=True)
 
 
-STAGES = [("pack", pack)]
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("substrings", substrings),
+    ("packing", pack),
+]
 # The stages learn, index and tokenise, which SQL cannot express.
 ORACLE_SQL = None
 
