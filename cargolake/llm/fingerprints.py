@@ -8,28 +8,58 @@ word of least ``a`` is sampled, and (word, t) is the fingerprint's entry. Two
 documents agree in an entry with the probability of their generalised Jaccard
 similarity, the sum of smaller weights over the sum of larger ones.
 
-Only DataFrame functions are used. A packed number holds the rounded ``ln a``
+Only DataFrame functions are used. The gamma draws are read from a table of
+quantiles, since one hash and two look-ups cost far less than the logarithms of
+four uniform draws. A packed number holds the rounded ``ln a``
 above 16 bits of (word, t), so the sampling is a ``min`` of longs that stays in
 generated code. All words of a text are counted in the task that holds the text.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cargolake.llm.base import words_column
 
 SAMPLES = 64
-PER_ROW = 8  # samples drawn from one row; more would make the generated method too long to be compiled
+PER_ROW = 4  # samples drawn from one row; more would make the generated method too long to be compiled
 DIGITS = 4  # hexadecimal digits of an entry
+STEP = 40503  # odd: different t of one word give different entries
 NOTHING = "-" * DIGITS  # the entry of a document without words
 BUCKETS = 8192
 
 
-def uniform(bits: Column, high: bool) -> Column:
-    """One half of a 64-bit hash as a number above 0 and below 1."""
-    half = F.shiftrightunsigned(bits, 32) if high else bits.bitwiseAND(F.lit(0xFFFFFFFF))
-    return (half + F.lit(0.5)) / F.lit(4294967296.0)
+TABLE_BITS = 13
+FINE_BITS = 19
+
+
+def gamma_quantiles(shares: np.ndarray) -> np.ndarray:
+    """Quantiles of the gamma distribution of shape 2, whose distribution function is 1 - (1 + x) exp(-x)."""
+    low, high = np.zeros_like(shares), np.full_like(shares, 64.0)
+    for _ in range(80):
+        mid = (low + high) / 2
+        below = -np.expm1(-mid) - mid * np.exp(-mid) < shares
+        low, high = np.where(below, mid, low), np.where(below, high, mid)
+    return (low + high) / 2
+
+
+def table(values: np.ndarray) -> Column:
+    """A constant array."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+
+
+def draws(bits: Column) -> tuple[Column, Column, Column]:
+    """r, ln c and b from one 64-bit hash: r at the middle of its share, ln c between the edges of its share."""
+    n = 1 << TABLE_BITS
+    edges = np.clip(np.arange(n + 1) / n, 2.0**-24, 1 - 2.0**-24)
+    rs, log_cs = table(gamma_quantiles((np.arange(n) + 0.5) / n)), table(np.log(gamma_quantiles(edges)))
+    part = lambda shift, width: F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
+    at = part(TABLE_BITS, TABLE_BITS).cast("int")
+    fine = (part(2 * TABLE_BITS, FINE_BITS) + F.lit(0.5)) / F.lit(float(1 << FINE_BITS))
+    low, high = F.get(log_cs, at), F.get(log_cs, at + F.lit(1))
+    b = (part(2 * TABLE_BITS + FINE_BITS, FINE_BITS) + F.lit(0.5)) / F.lit(float(1 << FINE_BITS))
+    return F.get(rs, part(0, TABLE_BITS).cast("int")), low + (high - low) * fine, b
 
 
 def word_counts(rows: DataFrame, keys: list[str], texts: list[str]) -> DataFrame:
@@ -56,30 +86,29 @@ def signatures(counts: DataFrame, keys: list[str], weights: list[str], samples:
     logs = [F.when(F.col(w) > 0, F.log(F.col(w).cast("double"))).alias(f"log_{w}") for w in weights]
     rows = counts.select(*keys, "term", *logs, F.explode(groups).alias("g"))
     rows = rows.select(*keys, "g", *[f"log_{w}" for w in weights], F.xxhash64("term", "g").alias("base"))
-    js = range(PER_ROW)
-    rows = rows.select("*", *[F.xxhash64("base", F.lit(3 * j + i)).alias(f"x{j}_{i}") for j in js for i in range(3)])
-    gamma = lambda x: -F.log(uniform(F.col(x), False) * uniform(F.col(x), True))
-    rows = rows.select(
-        *keys, "g", *[f"log_{w}" for w in weights],
-        *[c for j in js for c in (
-            gamma(f"x{j}_0").alias(f"r{j}"),
-            F.log(gamma(f"x{j}_1")).alias(f"c{j}"),
-            uniform(F.col(f"x{j}_2"), False).alias(f"b{j}"),
-            F.col(f"x{j}_2").alias(f"x{j}"),
-        )],
-    )
-    rows = rows.select("*", *[
-        F.floor(F.col(f"log_{w}") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}_{w}") for j in js for w in weights
-    ])
+    js, own = range(PER_ROW), [f"log_{w}" for w in weights]
+    rows = rows.select(*keys, "g", *own, *[F.xxhash64("base", F.lit(j)).alias(f"x{j}") for j in js])
+    rows = rows.select("*", *[c.alias(f"{name}{j}") for j in js for name, c in zip("rcb", draws(F.col(f"x{j}")))])
 
     def packed(j: int, w: str) -> Column:
-        t, r = F.col(f"t{j}_{w}"), F.col(f"r{j}")
-        log_a = F.col(f"c{j}") - r * (t - F.col(f"b{j}") + F.lit(1.0))
+        """``ln a``, rounded, above 16 bits that tell word and t."""
+        r, b = F.col(f"r{j}"), F.col(f"b{j}")
+        t = F.floor(F.col(f"log_{w}") / r + b)
+        log_a = F.col(f"c{j}") - r * (t - b + F.lit(1.0))
         rank = F.floor((F.greatest(log_a, F.lit(-63.0)) + F.lit(64.0)) * F.lit(float(1 << 40)))
-        entry = F.xxhash64(F.col(f"x{j}"), t).bitwiseAND(F.lit(0xFFFF))
-        return F.when(F.col(f"log_{w}").isNotNull(), F.shiftleft(rank, 16).bitwiseOR(entry))
+        entry = (F.shiftrightunsigned(F.col(f"x{j}"), 48) + t * F.lit(STEP)).bitwiseAND(F.lit(0xFFFF))
+        return F.shiftleft(rank, 16).bitwiseOR(entry)
 
-    least = rows.groupBy(*keys, "g").agg(*[F.min(packed(j, w)).alias(f"m{j}_{w}") for w in weights for j in js])
+    rows = rows.select(*keys, "g", *own, *[f"{n}{j}" for j in js for n in "xrcb"], *[
+        F.when(F.col(own[0]).isNotNull(), packed(j, weights[0])).alias(f"p{j}_{weights[0]}") for j in js
+    ])
+    # most words of an edited text have the weight they had: their samples are the same
+    rows = rows.select(*keys, "g", *[f"p{j}_{weights[0]}" for j in js], *[
+        F.when(F.col(f"log_{w}") == F.col(own[0]), F.col(f"p{j}_{weights[0]}"))
+        .when(F.col(f"log_{w}").isNotNull(), packed(j, w)).alias(f"p{j}_{w}")
+        for w in weights[1:] for j in js
+    ])
+    least = rows.groupBy(*keys, "g").agg(*[F.min(f"p{j}_{w}").alias(f"m{j}_{w}") for w in weights for j in js])
 
     def digits(w: str) -> Column:
         return F.concat(*[
@@ -114,9 +143,13 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     return signatures(counts, ["doc_id"], ["w0"], samples).withColumnRenamed("f_w0", "fingerprint")
 
 
+def constant(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def bucket_of(value: Column, bounds: list[int]) -> Column:
     """Number of ``bounds`` (ascending) below ``value``, by binary search."""
-    edges = F.lit(bounds)
+    edges = constant(bounds)
     steps = F.sequence(F.lit(1), F.lit(max(1, len(bounds)).bit_length()))
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
@@ -148,7 +181,7 @@ def in_blocks(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     last = len(bounds) - 1
     block = F.coalesce(bucket_of(F.col("doc_id"), bounds), F.lit(0))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), block.alias("block"))
-    at_edge = F.get(F.lit(bounds), F.col("block")) == F.col("doc_id")
+    at_edge = F.get(constant(bounds), F.col("block")) == F.col("doc_id")
     homes = F.when(
         F.coalesce(at_edge, F.lit(False)),
         F.array(

@@ -16,7 +16,7 @@ from cargolake.llm.wavelet import WaveletMatrix
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by the ``depth`` symbols from each on, at least."""
     n, width = len(text), 1
-    rank = text.astype(np.int64)
+    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     order = np.argsort(rank, kind="stable")
     while width < depth:
         onward = np.zeros(n, np.int64)

@@ -110,7 +110,7 @@ def failures(
         "failed_base": (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * n),
         "failed_symbols": F.col("n_symbols") > symbols_per_word * n,
         "failed_lines": F.col("n_dup_lines") > dup_lines * F.col("n_lines"),
-        "failed_length": (n > 0) & ~(F.col("word_chars") / n).between(*word_length),
+        "failed_length": (F.col("word_chars") < word_length[0] * n) | (F.col("word_chars") > word_length[1] * n),
     }
 
 
@@ -124,12 +124,12 @@ def shrunk_rates(scored: DataFrame, host: str) -> DataFrame:
         F.struct(F.lit(r).alias("rule"), F.col(r).alias("failed")) for r in RULES
     ])).alias("r")).select("host", "n", "r.*")
     mean, var = F.avg(F.col("failed") / F.col("n")), F.var_samp(F.col("failed") / F.col("n"))
+    ratio = F.try_divide(F.col("m") * (1 - F.col("m")), F.col("v"))
     # moments of a beta distribution; hosts that all agree get a prior worth a hundred documents
     prior = rates.groupBy("rule").agg(mean.alias("m"), var.alias("v")).select(
         "rule",
         "m",
-        F.when((F.col("v") > 0) & (F.col("m") * (1 - F.col("m")) > F.col("v")), F.least(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(100.0)))
-        .otherwise(F.lit(100.0)).alias("strength"),
+        F.when(ratio > 1, F.least(ratio - 1, F.lit(100.0))).otherwise(F.lit(100.0)).alias("strength"),
     )
     return rates.join(F.broadcast(prior), "rule").select(  # one row per rule
         "host", "rule",
@@ -208,7 +208,7 @@ WITH d AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS failed_base,
          n_symbols > 0.5 * n_words AS failed_symbols,
          n_dup_lines > 0.5 * n_lines AS failed_lines,
-         n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) AS failed_length
+         word_chars < 2 * n_words OR word_chars > 15 * n_words AS failed_length
   FROM m
 ), hosts AS (
   SELECT source AS host, count(*) AS n, sum(failed_base::INT) AS failed_base, sum(failed_symbols::INT) AS failed_symbols,

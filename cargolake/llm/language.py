@@ -33,7 +33,8 @@ def grams(word: str) -> Iterator[list[str]]:
     """For each place of a word (with its margins) the n-grams that end there, longest first."""
     padded = f"^{word}$"
     for stop in range(2, len(padded) + 1):
-        yield [padded[stop - n : stop] for n in ORDERS if stop >= n]
+        # the margin alone says nothing
+        yield [padded[stop - n : stop] for n in ORDERS if stop >= n and (n > 1 or stop < len(padded))]
 
 
 @dataclass

@@ -37,6 +37,7 @@ BANDS = PERMUTATIONS // PERMUTATIONS_PER_BAND
 MARGIN = 0.15
 BLOCK = 512  # classes compared with as many at a time
 TASK_ROWS = 4096  # rows of blocks that go to one call
+FILTER_BITS = 1 << 23
 
 _draw = np.random.default_rng(20240229)
 FACTORS = _draw.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -92,15 +93,26 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """doc_id and ``members`` (sorted 64-bit hashes) of the documents in ``ids``."""
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the documents in ``ids`` (class_id), and of few others; the texts are not moved.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "members": [shingles(t, words).tobytes() for t in batch["text"]]})
+    The ids are hashed into a bitmap of ``FILTER_BITS`` bits, whatever their
+    number, and every scan of the documents looks its rows up there. A full
+    bitmap only lets more rows pass.
+    """
+    bit = F.pmod(F.xxhash64("class_id"), F.lit(FILTER_BITS))
+    words = ids.groupBy((F.shiftright(bit, 5)).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(class_id), 32) as int))")).alias("bits"))
+    found = words.toPandas()  # at most FILTER_BITS / 32 rows
+    bitmap = np.zeros(FILTER_BITS >> 5, np.uint32)
+    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def maybe(hashed: pd.Series) -> pd.Series:
+        at = hashed.to_numpy(np.int64) % FILTER_BITS
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 != 0)
 
-    picked = docs.select("doc_id", "text").join(ids.distinct(), "doc_id")
-    return written(picked.mapInPandas(run, "doc_id bigint, members binary"))
+    return docs.select("doc_id", "text").where(maybe(F.xxhash64("doc_id")))
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, share: float) -> DataFrame:
@@ -113,7 +125,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
 
     @F.pandas_udf("double")
     def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-        read = lru_cache(64)(lambda raw: np.frombuffer(raw, np.uint64))
+        read = lru_cache(64)(lambda text: shingles(text, words))
         out = []
         for x, y in zip(a, b):
             x, y = read(x), read(y)
@@ -125,11 +137,10 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
         F.least("a_n", "b_n") >= share * F.greatest("a_n", "b_n") - 0.5
     )
     near = written(near.where(likely("a_entries", "b_entries") >= share - MARGIN).select("a", "b"))
-    ids = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id")))
-    sets = sets_of(docs, ids, words)
-    full = near.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
+    texts = only(docs, near.select(F.col("a").alias("class_id")).union(near.select(F.col("b").alias("class_id"))))
+    full = near.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
     # the quotient of two whole numbers against a share of hundredths: exact up to sets of 2**40
-    return full.where(jaccard("a_set", "b_set") >= share - 1e-12).select("a", "b")
+    return full.where(jaccard("a_text", "b_text") >= share - 1e-12).select("a", "b")
 
 
 def blocks(rows: DataFrame) -> DataFrame:
@@ -196,7 +207,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> Data
     """
     signed = written(signatures(docs, words))
     with_words = signed.where("n_shingles > 0")
-    first = with_words.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("class_id"))
+    # written, so that joins with it can be split where one set has a third of the rows
+    first = written(with_words.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("class_id")))
     members = signed.select("doc_id", "n_shingles", "set_key").join(first, ["set_key", "n_shingles"], "left")
     classes = written(
         with_words.join(first, ["set_key", "n_shingles"]).where("doc_id = class_id")
@@ -226,11 +238,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> Data
 
     dealt = written(blocks(open_rows))
     suspects = written(grouped_blocks(dealt, involved, "key bigint, class_id bigint").distinct())
-    sets = sets_of(docs, suspects.select(F.col("class_id").alias("doc_id")), words)
-    rest = dealt.join(suspects, ["key", "class_id"]).join(sets.withColumnRenamed("doc_id", "class_id"), "class_id")
+    rest = dealt.join(suspects, ["key", "class_id"]).join(only(docs, suspects).withColumnRenamed("doc_id", "class_id"), "class_id")
 
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(m, np.uint64) for m in rows["members"]]
+        sets = [shingles(t, words) for t in rows["text"]]
         ids, parent = rows["class_id"].to_numpy(), {r: r for r in rows["root"]}
 
         def root(x: int) -> int:

@@ -243,7 +243,7 @@ def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
         return ToxicityModel({})
     # log-likelihood ratio against the base rate, corrected for the number of units tried
     bad, good = F.least(PER_TEXT * F.col("bad"), F.col("pairs")).cast("double"), F.col("good").cast("double")
-    p = bad / (bad + good)
+    p = F.try_divide(bad, bad + good)
     gain = 2 * (bad * F.log(p / p0) + F.when(good > 0, good * F.log((1 - p) / (1 - p0))).otherwise(0.0))
     precision = (F.col("bad") + p0) / (F.col("bad") + good + 1)  # of texts
     learned = (

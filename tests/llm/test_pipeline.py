@@ -1,0 +1,74 @@
+"""The registered text queries and the pipeline."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from cargolake.llm import queries
+from tests.compare import connect, mismatch
+from tests.llm.conftest import prose
+from tests.llm.test_packing import check
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+has_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark tables")
+
+
+def test_everything_is_registered():
+    names = entry_points.queries()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names
+    assert set(queries.SQL) <= set(queries.QUERIES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_duplicates", "substrings", "packing"]
+
+
+@has_tables
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_agrees_with_its_sql(spark, name):
+    assert mismatch(spark, connect(SF_DIR), queries.QUERIES[name], queries.SQL[name], SF_DIR) is None
+
+
+@has_tables
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL) - {"op8_license_scan", "op9_best_fit_packing"}))
+def test_query_returns_a_row_per_document(spark, name):
+    got = [r["doc_id"] for r in queries.QUERIES[name](spark, SF_DIR).collect()]
+    want = [r["doc_id"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").collect()]
+    assert sorted(got) == sorted(want)
+
+
+@pytest.fixture(scope="module")
+def corpus(docs_of, spark, tmp_path_factory):
+    """Clean texts, junk, toxic texts, a near copy and a shared passage, as tables."""
+    shared, rows = prose(1, 50), []
+    for i in range(60):
+        rows.append((i, prose(1000 + i, 40), "en", f"src{i % 4}"))
+    rows += [(100, "too short", "en", "src0"), (101, "again and again " * 20, "en", "src1"), (102, None, None, None)]
+    rows += [(200 + i, f"{prose(2000 + i, 20)} idiot {prose(2100 + i, 20)}", "en", "src2") for i in range(30)]
+    rows += [(300, " ".join(prose(1000, 40).split(" ")[:-1]), "en", "src3")]
+    rows += [(400, f"{shared} {prose(3000, 30)}", "en", "src0"), (401, f"{prose(3001, 60)} {shared}", "en", "src1")]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    docs_of(rows).write.parquet(f"{folder}/documents.parquet")
+    labels = [(r[0], 1, int(200 <= r[0] < 230)) for r in rows if r[0] < 300]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder, rows
+
+
+def test_stages_and_sequences(spark, corpus):
+    folder, rows = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, folder))
+        assert docs.columns == columns, name
+        kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+    given = {r[0]: r[1] for r in rows}
+    assert kept["quality"] == {i: t for i, t in given.items() if i not in (100, 101, 102)}
+    assert kept["toxicity"] == {i: t for i, t in kept["quality"].items() if not 200 <= i < 230}
+    assert kept["near_duplicates"] == {i: t for i, t in kept["toxicity"].items() if i != 300}
+    assert kept["substrings"] == {**kept["near_duplicates"], 400: prose(3000, 30), 401: prose(3001, 60)}
+    from cargolake.llm.byte_bpe import encoder
+
+    check(corpus_pipeline.run(spark, folder).collect(), 1024, encoder().tokenizer, kept["substrings"])

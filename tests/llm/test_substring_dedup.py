@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cargolake.llm import substring_dedup
+from cargolake.llm.fm_index import FMIndex
+from tests.llm.conftest import prose
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_force(rows, window):
+    words = [WORDS.findall(r[1] or "") for r in rows]
+    seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
+    out = []
+    for row, w in zip(rows, words):
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                gone[i : i + window] = [True] * window
+        out.append((row[0], len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    return sorted(out, key=str)
+
+
+def passages():
+    """Shared passages at, below and above the window, overlapping ones, repeats inside a text, near copies."""
+    shared, rows = prose(11, 120), []
+    words = shared.split(" ")
+    for i in range(30):
+        part = " ".join(words[i : i + 20 + 3 * i])
+        rows.append((i, f"{prose(300 + i, 40)} {part}\n{prose(400 + i, 25)}"))
+    rows += [(40, prose(500, 50) + " " + prose(501, 10) + " " + prose(500, 50)), (41, "same " * 90), (42, "ab cd " * 60)]
+    base = prose(600, 150).split(" ")
+    for i in range(8):
+        copy = list(base)
+        copy[15 * i + 7] = f"other{i}"
+        rows.append((50 + i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("window", [35, 12])
+def test_removed_words_agree_with_brute_force(docs_of, odd_rows, window):
+    rows = passages() + odd_rows
+    got = substring_dedup.remove_repeats(docs_of(rows).select("doc_id", "text"), window)
+    flat = [tuple(r) for r in got.select("doc_id", "repeats.n_words", "repeats.n_removed", "repeats.kept_text").collect()]
+    assert sorted(flat, key=str) == brute_force(rows, window)
+
+
+def test_many_segments_of_one_minimiser_are_split_into_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_SEGMENTS", 3)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 50)
+    monkeypatch.setattr(substring_dedup, "COMBINE", 2)
+    rows = passages()
+    got = substring_dedup.remove_repeats(docs_of(rows).select("doc_id", "text"), 35)
+    flat = [tuple(r) for r in got.select("doc_id", "repeats.n_words", "repeats.n_removed", "repeats.kept_text").collect()]
+    assert sorted(flat, key=str) == brute_force(rows, 35)
+
+
+def test_spans_and_columns(docs_of):
+    common = prose(1, 40)
+    docs = docs_of([(1, f"x y {common} z"), (2, common), (3, "short")]).withColumnRenamed("lang", "key").withColumnRenamed("source", "hits")
+    found = {r["doc_id"]: r["repeats"]["spans"] for r in substring_dedup.remove_repeats(docs).collect()}
+    assert found == {1: [2, 42], 2: [0, 40], 3: []}
+    cleaned = substring_dedup.without_repeats(docs)
+    assert cleaned.columns == docs.columns
+    assert {(r["doc_id"], r["text"], r["n_chars"]) for r in cleaned.collect()} == {(1, "x y z", 5), (2, "", 0), (3, "short", 5)}
+
+
+def test_no_documents(docs_of):
+    assert substring_dedup.remove_repeats(docs_of([])).collect() == []
+
+
+def test_index_counts_occurrences():
+    rng = np.random.default_rng(3)
+    sequences = [rng.integers(1, 4, rng.integers(5, 30)) for _ in range(40)]
+    weights = rng.integers(1, 4, 40)
+    index = FMIndex(sequences, weights, 64)
+    for _ in range(200):
+        pattern = rng.integers(1, 4, rng.integers(1, 7))
+        low, high = np.array([0]), np.array([index.n])
+        for symbol in pattern[::-1]:
+            low, high = index.extend(np.array([symbol]), low, high)
+        want = sum(
+            int(w) * sum((s[i : i + len(pattern)] == pattern).all() for i in range(len(s) - len(pattern) + 1))
+            for s, w in zip(sequences, weights)
+        )
+        assert index.weight[high[0]] - index.weight[low[0]] == want
+
+
+@pytest.mark.parametrize("symbols", [4, 12, 2000])
+def test_matching_statistics_report_the_frequent_windows(symbols):
+    rng = np.random.default_rng(symbols)
+    for _ in range(40):
+        base = rng.integers(1, symbols, 200)
+        some = [rng.integers(1, symbols, rng.integers(3, 40)) for _ in range(6)]
+        some += [base[s : s + rng.integers(3, 45)] for s in rng.integers(0, 150, 6)]
+        inside = sorted(rng.choice(12, 6, replace=False).tolist())
+        weights, window = rng.integers(1, 3, 6), int(rng.integers(2, 12))
+        need = np.array([2 if i in inside else 1 for i in range(12)])
+        got = FMIndex([some[i] for i in inside], weights, 64).repeats(some, need, window)
+        seen = Counter()
+        for i, w in zip(inside, weights.tolist()):
+            for p in range(len(some[i]) - window + 1):
+                seen[tuple(some[i][p : p + window])] += w
+        for i, s in enumerate(some):
+            want = {p for p in range(len(s) - window + 1) if seen[tuple(s[p : p + window])] >= need[i]}
+            assert {p for a, b in got[i] for p in range(a, b + 1)} == want
