@@ -267,10 +267,8 @@ def ntile_whole_table(v: Views) -> DataFrame:
     lines = v.table("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_extendedprice").alias("price")
     )
-    order = [
-        ("price", False), ("l_orderkey", True), ("l_linenumber", True), ("l_partkey", True), ("l_suppkey", True)
-    ]
-    tile = global_ntile(lines, 4, order, lines.count())
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    tile = global_ntile(lines, 4, "price", False, keys, lines.count())
     return lines.select("l_orderkey", "l_partkey", "l_suppkey", "price", tile.alias("tile"))
 
 

@@ -12,7 +12,7 @@ These helpers run jobs. What reaches the driver is at most k-1 rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, or_
 
@@ -20,9 +20,6 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from cargolake.config import durable
 
-# Up to this many rows one task sorts faster than a cluster does.
-ONE_TASK_ROWS = 1_000_000
-
 Order = Sequence[tuple[str, bool]]  # (column, ascending); NULLs sort last
 
 
@@ -64,18 +61,16 @@ def _holding(offsets: DataFrame, positions: Sequence[int]) -> DataFrame:
     return offsets.where(reduce(or_, inside))
 
 
-def _after(order: Order, bound: Row) -> Column:
-    """True for rows that sort strictly behind the bound."""
-    behind, level = F.lit(False), F.lit(True)
-    for c, up in order:
-        x, b = F.col(c), bound[c]
-        if b is None:  # NULLs sort last: nothing lies behind one
-            level = level & x.isNull()
-            continue
-        past = (x > F.lit(b)) if up else (x < F.lit(b))
-        behind = behind | (level & (x.isNull() | F.coalesce(past, F.lit(False))))
-        level = level & x.eqNullSafe(F.lit(b))
-    return behind
+def _after(value: Column, keys: Sequence[str], bound: Row) -> Column:
+    """True for rows that sort strictly behind the bound; a NULL value sorts last."""
+    later = F.lit(False)
+    for i in reversed(range(len(keys))):
+        at = F.lit(bound[f"_key{i}"])
+        later = (F.col(keys[i]) > at) | ((F.col(keys[i]) == at) & later)
+    if bound["_value"] is None:
+        return value.isNull() & later
+    at = F.lit(bound["_value"])
+    return value.isNull() | (value > at) | ((value == at) & later)
 
 
 def tile_ends(n: int, k: int) -> list[int]:
@@ -84,26 +79,43 @@ def tile_ends(n: int, k: int) -> list[int]:
     return [b * q + min(b, r) for b in range(1, k)]
 
 
-def global_ntile(df: DataFrame, k: int, order: Order, rows: int) -> Column:
-    """``ntile(k)`` over the whole table as a column for ``df``.
+def global_ntiles(df: DataFrame, k: int, measures: Mapping[str, tuple[str, bool]], keys: Sequence[str], rows: int) -> dict[str, Column]:
+    """``ntile(k)`` over the whole table for several measures, as columns for ``df``.
 
-    ``order`` must end in a unique column. ``rows`` is the row count of
-    ``df``. Only the k-1 rows that close a tile are looked up; every row is
+    ``measures`` names for each result its column and whether it ascends; NULLs
+    sort last and ties go by ``keys``, which together must be unique and not NULL. ``rows`` is the row
+    count of ``df``. The measures are stacked and range-partitioned once. Only
+    the k-1 rows that close a tile of a measure are looked up; every row is
     then placed by comparing it with them, which moves no row at all.
     """
     ends = sorted({p for p in tile_ends(rows, k) if p > 0})
     if not ends:
-        return F.lit(1)
-    placed, offsets = _slices(df.select(*(c for c, _ in order)), order)
-    wanted = placed.join(F.broadcast(_holding(offsets, ends).select("_slice")), "_slice", "left_semi")
-    bounds = {
-        row["_before"] + 1: row
-        for row in _positioned(wanted, offsets, order)
-        .where(F.col("_before").isin([p - 1 for p in ends]))
-        .collect()
-    }
-    steps = [F.when(_after(order, bounds[p]), 1).otherwise(0) for p in ends]
-    return reduce(add, steps, F.lit(1))
+        return {name: F.lit(1) for name in measures}
+    kind = "decimal(38,6)" if any(t.startswith("decimal") for c, t in df.dtypes if c in {m for m, _ in measures.values()}) else "double"
+    # a falling measure is stacked with its sign changed, so that one order serves all
+    values = {name: F.col(c).cast(kind) * (1 if up else -1) for name, (c, up) in measures.items()}
+    key = [F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)]
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_measure"), v.alias("_value"), *key) for i, v in enumerate(values.values())
+    ])))
+    order = [("_measure", True), ("_value", True), *((f"_key{i}", True) for i in range(len(keys)))]
+    placed, offsets = _slices(stacked, order)
+    positions = [i * rows + p for i in range(len(values)) for p in ends]
+    wanted = placed.join(F.broadcast(_holding(offsets, positions).select("_slice")), "_slice", "left_semi")
+    bounds = (
+        _positioned(wanted, offsets, order)
+        .where(F.col("_before").isin([p - 1 for p in positions])).collect()
+    )
+    tiles = {}
+    for i, (name, value) in enumerate(values.items()):
+        steps = [F.when(_after(value, keys, b), 1).otherwise(0) for b in bounds if b["_measure"] == i]
+        tiles[name] = reduce(add, steps, F.lit(1))
+    return tiles
+
+
+def global_ntile(df: DataFrame, k: int, column: str, ascending: bool, keys: Sequence[str], rows: int) -> Column:
+    """``ntile(k)`` over the whole table by one measure."""
+    return global_ntiles(df, k, {"tile": (column, ascending)}, keys, rows)["tile"]
 
 
 def value_positions(df: DataFrame, column: str) -> DataFrame:

@@ -14,14 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cargolake.config import durable
 from cargolake.functions.dates import week_start
 from cargolake.functions.numbers import round_mean, safe_ratio, sum_money
-from cargolake.operators.ordered import (
-    ONE_TASK_ROWS,
-    global_median,
-    global_ntile,
-    global_rank,
-    sort_columns,
-    value_positions,
-)
+from cargolake.operators.ordered import global_median, global_ntiles, global_rank, value_positions
 from cargolake.schemas import day
 
 
@@ -65,8 +58,8 @@ def customer_rfm_base(
 def _segment(r: Column, f: Column, m: Column) -> Column:
     """The segment as the report defines it: the first rule that holds names it.
 
-    Score 1 is the best quarter of each measure, and the rules are kept as
-    the report states them.
+    Score 1 is the best quarter of each measure. Fixed values: the rules are
+    kept as the report states them.
     """
     return (
         F.when((r >= 3) & (f >= 3) & (m >= 3), "Champions")
@@ -79,31 +72,21 @@ def _segment(r: Column, f: Column, m: Column) -> Column:
 
 def rfm(
     fact: DataFrame, dim_customer: DataFrame, dim_time: DataFrame, as_of: date,
-    unique_orders: bool = False, one_task_rows: int = ONE_TASK_ROWS,
+    unique_orders: bool = False,
 ) -> DataFrame:
     """Customer RFM: quartile scores, score code and segment, worst scores first.
 
-    Ties in a measure are broken by customer id. Up to ``one_task_rows``
-    customers the quartiles are plain windows; beyond, they come from a range
-    partitioning.
+    Ties in a measure are broken by customer id. The quartiles of all three
+    measures come from one range partitioning, so no task sees all customers.
     """
-    base = customer_rfm_base(fact, dim_customer, dim_time, as_of, unique_orders)
-    orders = {
-        "recency_score": [("recency_days", True), ("customer_id", True)],
-        "frequency_score": [("frequency", False), ("customer_id", True)],
-        "monetary_score": [("monetary", False), ("customer_id", True)],
+    base = durable(customer_rfm_base(fact, dim_customer, dim_time, as_of, unique_orders))
+    measures = {
+        "recency_score": ("recency_days", True),
+        "frequency_score": ("frequency", False),
+        "monetary_score": ("monetary", False),
     }
-    # the base has at most one row per row of the dimension
-    if dim_customer.count() <= one_task_rows:
-        scores = {
-            name: F.ntile(4).over(Window.orderBy(*sort_columns(order)))
-            for name, order in orders.items()
-        }
-    else:
-        base = durable(base)
-        rows = base.count()
-        scores = {name: global_ntile(base, 4, order, rows) for name, order in orders.items()}
-    r, f, m = (F.col(name) for name in orders)
+    scores = global_ntiles(base, 4, measures, ["customer_id"], base.count())
+    r, f, m = (F.col(name) for name in measures)
     code = F.concat_ws("-", r.cast("string"), f.cast("string"), m.cast("string"))
     return (
         base.select("*", *(c.alias(name) for name, c in scores.items()))
@@ -141,27 +124,17 @@ def vehicle_base(fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5) ->
     )
 
 
-def vehicle_efficiency(
-    fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def vehicle_efficiency(fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5) -> DataFrame:
     """Vehicles ranked by cost per unit of cargo, with the deviation from the median in percent.
 
-    Median and rank use the cost rounded to cents, as the report shows it.
+    Median and rank use the cost rounded to cents, as the report shows it. Both
+    come from one range partitioning of the distinct costs.
     """
-    base = vehicle_base(fact, dim_vehicle, min_trips)
-    if dim_vehicle.count() <= one_task_rows:
-        everything = Window.partitionBy()
-        ranked = base.select(
-            "*",
-            F.median("cost_per_kg").over(everything).alias("_median"),
-            F.rank().over(Window.orderBy(F.col("cost_per_kg").asc_nulls_last())).alias("efficiency_rank"),
-        )
-    else:
-        base = durable(base)
-        positions = durable(value_positions(base, "cost_per_kg"))
-        ranked = global_rank(base, "cost_per_kg", positions, "efficiency_rank").withColumn(
-            "_median", global_median("cost_per_kg", positions)
-        )
+    base = durable(vehicle_base(fact, dim_vehicle, min_trips))
+    positions = value_positions(base, "cost_per_kg")
+    ranked = global_rank(base, "cost_per_kg", positions, "efficiency_rank").withColumn(
+        "_median", global_median("cost_per_kg", positions)
+    )
     deviation = safe_ratio(F.col("cost_per_kg"), F.col("_median")) * 100 - 100
     return (
         ranked.withColumn("cost_per_kg_deviation_pct", round_mean(deviation, 1))

@@ -9,6 +9,7 @@ from pyspark.sql import Window, functions as F
 from cargolake.operators.ordered import (
     global_median,
     global_ntile,
+    global_ntiles,
     global_rank,
     sort_columns,
     tile_ends,
@@ -40,17 +41,27 @@ def test_ntile_equals_the_window(spark, kind, up):
     df = table(spark, 1003, kind)
     order = [("x", up), ("id", True)]
     both = df.withColumn("w", F.ntile(4).over(Window.orderBy(*sort_columns(order)))).withColumn(
-        "g", global_ntile(df, 4, order, df.count())
+        "g", global_ntile(df, 4, "x", up, ["id"], df.count())
     )
     assert both.where("w <> g").count() == 0
     assert [r["count"] for r in both.groupBy("g").count().orderBy("g").collect()] == [251, 251, 251, 250]
 
 
+def test_ntiles_of_several_measures_from_one_partitioning(spark):
+    df = table(spark, 301, "nulls").withColumn("y", (F.col("id") * 17 % 40).cast("decimal(12,2)")).withColumn("z", F.lit(3))
+    measures = {"a": ("x", True), "b": ("y", False), "c": ("z", False)}
+    tiles = global_ntiles(df, 4, measures, ["id"], df.count())
+    both = df.select("*", *(t.alias(n) for n, t in tiles.items()), *(
+        F.ntile(4).over(Window.orderBy(*sort_columns([(c, up), ("id", True)]))).alias(f"w{n}") for n, (c, up) in measures.items()
+    ))
+    assert both.where("a <> wa OR b <> wb OR c <> wc").count() == 0
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 5])
 def test_ntile_of_few_rows(spark, n):
     df = table(spark, n, "spread")
     order = [("x", True), ("id", True)]
-    got = df.select("id", global_ntile(df, 4, order, n).alias("t"))
+    got = df.select("id", global_ntile(df, 4, "x", True, ["id"], n).alias("t"))
     want = df.select("id", F.ntile(4).over(Window.orderBy(*sort_columns(order))).alias("t"))
     assert sorted(got.collect()) == sorted(want.collect())
 

@@ -97,3 +97,12 @@ def test_a_stored_fact_is_aggregated_before_it_meets_its_dimensions(spark, tmp_p
         assert "GreaterThanOrEqual(time_id,19960101)" in weekly
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["rfm", "vehicle_efficiency", "ntile_whole_table", "rank_and_median_whole_table"])
+def test_no_task_sees_all_customers_or_vehicles(spark, name):
+    """Only slices of the range partitioning (a row each) meet in one task."""
+    lines = plan(spark, name).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "_slice" in "".join(lines[i + 1 : i + 4]) and "functions=[" in "".join(lines[i + 1 : i + 4])

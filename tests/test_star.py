@@ -89,14 +89,13 @@ def customers_of(spark, n):
 CAL = (date(2025, 1, 1), date(2025, 12, 31))
 
 
-@pytest.mark.parametrize("one_task_rows", [1000, 0])
-def test_rfm(spark, one_task_rows):
+def test_rfm(spark):
     orders = [(i, date(2025, 1, i), c, 1, 1, 100 * c, 0) for i, c in enumerate([1, 2, 3, 4, 5, 5], start=1)]
     orders += [(50, date(2030, 1, 1), 1, 1, 1, 9999, 0), (51, date(2025, 1, 1), 77, 1, 1, 5, 0)]  # outside calendar; unknown customer
     orders += [orders[5]]  # the same order key twice counts once in the frequency
     fact = fact_of(spark, orders)
     cal = marts.dim_time(spark, *CAL)
-    got = reports.rfm(fact, customers_of(spark, 6), cal, date(2025, 1, 10), one_task_rows=one_task_rows)
+    got = reports.rfm(fact, customers_of(spark, 6), cal, date(2025, 1, 10))
     table = {r["customer_id"]: r for r in got.collect()}
     assert sorted(table) == [1, 2, 3, 4, 5]
     assert {c: r["recency_days"] for c, r in table.items()} == {1: 9, 2: 8, 3: 7, 4: 6, 5: 4}
@@ -118,9 +117,8 @@ def test_rfm_counts_plain_orders_when_they_are_unique(spark):
     assert rows(reports.rfm(*args)) == rows(reports.rfm(*args, unique_orders=True))
 
 
-@pytest.mark.parametrize("one_task_rows", [1000, 0])
 @pytest.mark.parametrize("vehicles, median", [(3, 30.0), (4, 35.0)])
-def test_vehicle_efficiency(spark, vehicles, median, one_task_rows):
+def test_vehicle_efficiency(spark, vehicles, median):
     cost = {1: 20, 2: 30, 3: 40, 4: 40, 8: 5, 9: 5}
     orders, key = [], 0
     for v in [*range(1, vehicles + 1), 8, 9]:
@@ -128,7 +126,7 @@ def test_vehicle_efficiency(spark, vehicles, median, one_task_rows):
             key += 1
             orders.append((key, date(2025, 1, 1), 1, v, 1, 100, cost[v]))
     cars = spark.createDataFrame([(v, f"P{v}", "", "M", v != 8) for v in cost], "vehicle_id long, gov_number string, brand string, model string, is_active boolean")
-    got = reports.vehicle_efficiency(fact_of(spark, orders), cars, one_task_rows=one_task_rows).collect()
+    got = reports.vehicle_efficiency(fact_of(spark, orders), cars).collect()
     assert [(r["vehicle_id"], r["efficiency_rank"]) for r in got] == [(1, 1), (2, 2), (3, 3), (4, 3)][:vehicles]
     assert [r["cost_per_kg_deviation_pct"] for r in got] == [round(cost[r["vehicle_id"]] / median * 100 - 100, 1) for r in got]
     first = got[0]
