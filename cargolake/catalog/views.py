@@ -56,6 +56,12 @@ ANALYTIC_FACT = {**FACT_ORDERS, "avg_speed_kmh": "double", "margin_percent": "do
 
 # ---- SQL side ------------------------------------------------------------
 
+# quantity, amount and price of a line, some of them against the rules; the price has no name here
+LINE_SQL = """CAST(l_quantity - 2 AS DECIMAL(15,3)) AS quantity,
+               CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_quantity - 2 AS DECIMAL(15,3)) * 3 AS DECIMAL(15,2))
+                    WHEN l_tax < 0.04 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(15,2)) END AS amount,
+               CAST(CASE WHEN l_discount > 0.08 THEN -1 ELSE 3 END AS DECIMAL(15,2))"""
+
 SQL = {
     "customers": f"""
         SELECT c_custkey AS id,
@@ -157,6 +163,33 @@ SQL = {
                CASE WHEN l_tax > 0.07 THEN NULL ELSE CAST(l_quantity - 10 AS DECIMAL(15,3)) END AS quantity
         FROM lineitem
     """,
+    "ruled_movements": """
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_shipdate AS movement_date,
+               CASE WHEN l_tax > 0.07 THEN 'GIFT' WHEN l_tax < 0.01 THEN NULL ELSE 'SALE' END AS document_type,
+               l_orderkey AS document_id,
+               CASE WHEN l_discount > 0.09 THEN 'LOST' WHEN l_returnflag = 'R' THEN 'INCOME' ELSE 'OUTCOME' END AS operation_type,
+               CASE WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN NULL ELSE l_partkey END AS product_id,
+               l_suppkey AS warehouse_id, l_quantity AS quantity_before,
+               CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linenumber END AS quantity_change, l_quantity AS quantity_after
+        FROM lineitem
+    """,
+    "purchases": """
+        SELECT o_orderkey AS id,
+               CASE WHEN o_orderstatus = 'P' THEN 'P-' || o_custkey ELSE 'P-' || o_orderkey END AS number,
+               CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS date,
+               o_custkey AS supplier_id, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey + 1 END AS warehouse_id
+        FROM orders
+    """,
+    "purchase_lines": f"""
+        SELECT l_orderkey * 10 + l_linenumber % 5 AS id, l_orderkey + l_linenumber % 2 AS purchase_id,
+               CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_partkey + 3 END AS product_id, {LINE_SQL} AS purchase_price
+        FROM lineitem
+    """,
+    "sale_lines": f"""
+        SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_orderkey END AS sale_id,
+               l_suppkey * 5 AS product_id, {LINE_SQL} AS selling_price
+        FROM lineitem
+    """,
     # expense sheet rows as text, with an amount spelled in three ways
     "sheets": f"""
         SELECT CASE WHEN l_tax > 0.075 THEN strftime(l_shipdate, '%d') WHEN l_tax > 0.065 THEN '31.02'
@@ -420,6 +453,57 @@ class Views:
             "CASE WHEN l_tax > 0.07D THEN NULL ELSE CAST(l_quantity - 10 AS DECIMAL(15,3)) END AS quantity",
         )
 
+    @property
+    def ruled_movements(self) -> DataFrame:
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id",
+            "l_shipdate AS movement_date",
+            "CASE WHEN l_tax > 0.07D THEN 'GIFT' WHEN l_tax < 0.01D THEN NULL ELSE 'SALE' END AS document_type",
+            "l_orderkey AS document_id",
+            "CASE WHEN l_discount > 0.09D THEN 'LOST' WHEN l_returnflag = 'R' THEN 'INCOME' ELSE 'OUTCOME' END AS operation_type",
+            "CASE WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN NULL ELSE l_partkey END AS product_id",
+            "l_suppkey AS warehouse_id",
+            "l_quantity AS quantity_before",
+            "CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linenumber END AS quantity_change",
+            "l_quantity AS quantity_after",
+        )
+
+    @property
+    def purchases(self) -> DataFrame:
+        return self.table("orders").selectExpr(
+            "o_orderkey AS id",
+            "CASE WHEN o_orderstatus = 'P' THEN 'P-' || o_custkey ELSE 'P-' || o_orderkey END AS number",
+            "CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS date",
+            "o_custkey AS supplier_id",
+            "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey + 1 END AS warehouse_id",
+        )
+
+    def _line(self, price: str) -> list[str]:
+        return [
+            "CAST(l_quantity - 2 AS DECIMAL(15,3)) AS quantity",
+            "CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_quantity - 2 AS DECIMAL(15,3)) * 3 AS DECIMAL(15,2))"
+            " WHEN l_tax < 0.04D THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(15,2)) END AS amount",
+            f"CAST(CASE WHEN l_discount > 0.08D THEN -1 ELSE 3 END AS DECIMAL(15,2)) AS {price}",
+        ]
+
+    @property
+    def purchase_lines(self) -> DataFrame:
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber % 5 AS id",
+            "l_orderkey + l_linenumber % 2 AS purchase_id",
+            "CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_partkey + 3 END AS product_id",
+            *self._line("purchase_price"),
+        )
+
+    @property
+    def sale_lines(self) -> DataFrame:
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id",
+            "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_orderkey END AS sale_id",
+            "l_suppkey * 5 AS product_id",
+            *self._line("selling_price"),
+        )
+
     @property
     def sheets(self) -> DataFrame:
         rows = (

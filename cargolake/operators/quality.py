@@ -11,40 +11,47 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cargolake.schemas import stamp
 
 
-def table_quality(name: str, df: DataFrame) -> DataFrame:
-    """Rows, exact duplicate rows and NULLs per column of one table, as long rows.
+def repeated_rows(df: DataFrame, key: str) -> DataFrame:
+    """One row with ``dups``, the surplus of rows equal in all columns.
 
-    One pass: equal rows collapse map-side into one row with a count, and all
-    three figures follow from the counts.
+    Equal rows share their key, so only rows whose key occurs twice are
+    compared as a whole; the others are not moved. A NULL key is a key.
     """
-    columns = df.columns
-    groups = df.groupBy(*(F.col(f"`{c}`") for c in columns)).agg(F.count(F.lit(1)).alias("_n"))
+    column = F.col(f"`{key}`")
+    twice = df.groupBy(column.alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key")
+    suspects = df.join(twice, column.eqNullSafe(F.col("_key")), "left_semi")
+    groups = suspects.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("dups"))
 
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
-    figures = groups.agg(
-        total(F.col("_n")).alias("_rows"),
-        total(F.col("_n") - 1).alias("_dups"),
-        *(
-            total(F.when(F.col(f"`{c}`").isNull(), F.col("_n"))).alias(f"_null_{i}")
-            for i, c in enumerate(columns)
-        ),
+def table_quality(name: str, df: DataFrame, key: str) -> DataFrame:
+    """Rows, exact duplicate rows and NULLs per column of one table, as long rows."""
+    columns = df.columns
+    figures = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *(F.count_if(F.col(f"`{c}`").isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)),
     )
     long = F.array(
         F.struct(F.lit("row_count").alias("metric"), F.lit("").alias("column"), F.col("_rows").alias("value")),
-        F.struct(F.lit("duplicates").alias("metric"), F.lit("").alias("column"), F.col("_dups").alias("value")),
         *(
             F.struct(F.lit("null_count").alias("metric"), F.lit(c).alias("column"), F.col(f"_null_{i}").alias("value"))
             for i, c in enumerate(columns)
         ),
     )
-    return figures.select(F.lit(name).alias("table"), F.inline(long))
+    repeated = repeated_rows(df, key).select(
+        F.lit(name).alias("table"), F.lit("duplicates").alias("metric"), F.lit("").alias("column"), F.col("dups").alias("value")
+    )
+    return figures.select(F.lit(name).alias("table"), F.inline(long)).unionByName(repeated)
 
 
-def quality_report(tables: Mapping[str, DataFrame], run_ts: datetime) -> DataFrame:
-    """``table, metric, column, value, reported_at`` for every given table."""
-    parts = [table_quality(name, df) for name, df in tables.items()]
+def quality_report(tables: Mapping[str, DataFrame], run_ts: datetime, keys: Mapping[str, str] | None = None) -> DataFrame:
+    """``table, metric, column, value, reported_at`` for every given table.
+
+    ``keys`` names the column by which a table's repeated rows are looked for,
+    best one with few repeats; by default the first.
+    """
+    keys = keys or {}
+    parts = [table_quality(name, df, keys.get(name, df.columns[0])) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts).withColumn("reported_at", stamp(run_ts))
 
 

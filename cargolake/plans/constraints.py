@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cargolake.operators.quality import check_rules, fk_orphans, unique_rules
+from cargolake.operators.quality import check_rules
 
 # The constraints the operational tables declare.
 NOT_NULL = {
@@ -78,30 +78,57 @@ def row_rules(table: str, columns: list[str]) -> dict[str, Column]:
     return rules
 
 
+def key_entries(columns: list[str], space: int, rule: int) -> Column:
+    """A key as (space, rule, first, second); NULL if a part of it is."""
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    parts = [F.col(c).cast("string") for c in columns] + [F.lit("")] * (2 - len(columns))
+    names = zip(parts, ("first", "second"))
+    return F.when(known, F.struct(F.lit(space).alias("space"), F.lit(rule).alias("rule"), *(p.alias(n) for p, n in names)))
+
+
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table, rule, violations`` for every rule whose columns and tables are given.
 
-    All row rules of a table are one aggregate. A repeated key counts its
-    surplus rows, a foreign key the rows that point nowhere.
+    All row rules of a table are one aggregate. The keys of all tables are
+    grouped together, once, in spaces: one for each unique rule, and one for
+    the ids of each table with the foreign keys that point there. A repeated
+    key counts its surplus rows, a foreign key the rows that point to no id.
+    Keys are counted map-side, so a key that a third of the rows use is one row
+    per task. A table is read twice.
     """
-    parts = []
+    parts, used, key_rules = [], [], []  # key_rules: (table, rule)
+    ids = {name: i for i, name in enumerate(tables)}
     for name, df in tables.items():
         rules = row_rules(name, df.columns)
         if rules:
             parts.append(check_rules(name, df, rules).select("table", "rule", "violations"))
-        for keys in UNIQUE.get(name, []):
-            if set(keys) <= set(df.columns):
-                surplus = F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("violations")
-                rule = F.lit("unique: " + ", ".join(keys)).alias("rule")
-                repeated = unique_rules(df, keys).agg(surplus)
-                parts.append(repeated.select(F.lit(name).alias("table"), rule, "violations"))
-        for fk, parent in FOREIGN_KEYS.get(name, {}).items():
-            if fk in df.columns and parent in tables:
-                lost = fk_orphans(f"foreign key: {fk}", df, fk, tables[parent], "id")
-                parts.append(
-                    lost.select(
-                        F.lit(name).alias("table"), F.col("constraint").alias("rule"),
-                        F.col("orphan_rows").alias("violations"),
-                    )
-                )
+        entries = [key_entries(["id"], ids[name], -1)] if "id" in df.columns else []
+        for columns in UNIQUE.get(name, []):
+            if set(columns) <= set(df.columns):
+                entries.append(key_entries(columns, len(ids) + len(key_rules), len(key_rules)))
+                key_rules.append((name, f"unique: {', '.join(columns)}"))
+        for column, parent in FOREIGN_KEYS.get(name, {}).items():
+            if column in df.columns and parent in ids:
+                entries.append(key_entries([column], ids[parent], len(key_rules)))
+                key_rules.append((name, f"foreign key: {column}"))
+        if entries:
+            used.append(df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull()).select("e.*"))
+    if key_rules:
+        keys = reduce(DataFrame.unionByName, used).groupBy("space", "rule", "first", "second").agg(F.count(F.lit(1)).alias("n"))
+        # a key of a space is used by a few rules at most: one row for each
+        by_key = keys.groupBy("space", "first", "second").agg(
+            F.collect_list(F.struct("rule", "n")).alias("uses"), F.bool_or(F.col("rule") < 0).alias("known")
+        )
+        uses = by_key.select("space", "known", F.inline("uses")).where("rule >= 0")
+        surplus = F.when(F.col("space") >= len(ids), F.col("n") - 1).when(~F.col("known"), F.col("n")).otherwise(0)
+        counted = uses.groupBy("rule").agg(F.sum(surplus).alias("violations"))
+        named = F.array(*(F.struct(F.lit(t).alias("table"), F.lit(r).alias("rule")) for t, r in key_rules))
+        every = tables[next(iter(tables))].sparkSession.range(len(key_rules)).select(F.col("id").cast("int").alias("rule"))
+        totals = every.join(F.broadcast(counted), "rule", "left")  # a row per rule
+        parts.append(totals.select(
+            F.get(named, F.col("rule"))["table"].alias("table"), F.get(named, F.col("rule"))["rule"].alias("rule"),
+            F.coalesce("violations", F.lit(0)).alias("violations"),
+        ))
     return reduce(DataFrame.unionByName, parts)

@@ -35,7 +35,7 @@ def test_dedup_reduces_hot_keys_before_the_shuffle(spark, name):
     assert exchange < partial       # the plan prints the sink first: the partial limit feeds the exchange
 
 
-@pytest.mark.parametrize("name", ["clean_telemetry", "distinct_rows", "quality_report"])
+@pytest.mark.parametrize("name", ["clean_telemetry", "distinct_rows"])
 def test_copies_collapse_before_the_shuffle(spark, name):
     text = plan(spark, name)
     lines = text.splitlines()
@@ -106,3 +106,15 @@ def test_no_task_sees_all_customers_or_vehicles(spark, name):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "_slice" in "".join(lines[i + 1 : i + 4]) and "functions=[" in "".join(lines[i + 1 : i + 4])
+
+
+def test_constraint_report_groups_all_keys_once(spark):
+    text = plan(spark, "constraint_report")
+    assert len(re.findall(r"Exchange hashpartitioning\(space#\d+, rule", text)) == 1
+
+
+def test_quality_report_compares_whole_rows_only_behind_repeated_keys(spark):
+    text = plan(spark, "quality_report")
+    assert text.count("LeftSemi") >= 10
+    for wide in re.finditer(r"Exchange hashpartitioning\([^)]*contacts[^)]*\)", text):
+        assert "LeftSemi" in text[wide.end():wide.end() + 2500]
