@@ -36,7 +36,10 @@ class WarehouseConfig:
     calendar_end: date = CALENDAR_END
     jdbc_url: str | None = None
     jdbc_properties: dict = field(default_factory=dict, repr=False)  # credentials: never printed
-    jdbc_partitions: int = 8
+    jdbc_rows: int = 500_000  # rows a task reads from, or inserts into, a database
+    mart_url: str | None = None  # database the marts are also loaded into
+    mart_properties: dict = field(default_factory=dict, repr=False)
+    mart_schema: str = "gold"
     incremental_logs: bool = False  # take only log files no earlier run has taken
 
     def raw(self, kind: str) -> str:
@@ -55,11 +58,20 @@ class WarehouseConfig:
 def shuffle_partitions(input_bytes: int) -> int:
     """Shuffle partitions for a job that moves about its whole input once.
 
-    Some 256 MB each, so that a task sorts and aggregates in memory; adaptive
-    execution merges what turns out smaller. The cap bounds the bookkeeping of
-    the driver (maps times partitions); beyond it partitions grow and spill.
+    Some 256 MB each, so that a task sorts and aggregates in memory at any
+    size; adaptive execution merges what turns out smaller.
     """
-    return min(max(200, math.ceil(input_bytes / (256 << 20))), 50_000)
+    return max(1, math.ceil(input_bytes / (256 << 20)))
+
+
+def size_shuffle(spark: SparkSession, folder: str) -> int:
+    """Raise the session's shuffle partitions to what the files below ``folder`` need; returns the number set."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = store.getContentSummary(path).getLength() if store.exists(path) else 0
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shuffle_partitions(size))
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
 
 
 def build_session(
@@ -70,10 +82,11 @@ def build_session(
     UTC keeps timestamps comparable; AQE coalesces small partitions, splits
     skewed join partitions and turns a join into a broadcast only after it
     has seen the real size of the small side. ``input_bytes``, the size of the
-    largest table, sets the number of shuffle partitions.
+    largest table, sets the number of shuffle partitions; the layer runs raise
+    it to what their own input needs.
     """
     if input_bytes is not None:
-        conf.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
+        conf.setdefault("spark.sql.shuffle.partitions", str(max(200, shuffle_partitions(input_bytes))))
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -109,5 +122,6 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` at a reliable checkpoint, which survives the loss of any executor."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(checkpoint_folder(df.sparkSession))
+        folder = checkpoint_folder(df.sparkSession)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -239,7 +239,7 @@ def clean_telemetry(raw: DataFrame, run_ts: datetime) -> DataFrame:
     Two equal points of one file count once; load times do not make a
     difference between them.
     """
-    df = require(raw, ["order_key"])
+    df = require(raw.drop("other_fields"), ["order_key"])
     df = lift_fields(df, TELEMETRY_FIELDS, drop=["loc", "acc", "eng", "flags", "gps"])
     df = df.withColumn("timestamp", from_epoch_millis(F.col("ts"))).drop("ts")
     # points without a time go before the shuffle of the distinct: same rows, less to move

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from cargolake.config import WarehouseConfig
+from cargolake.config import WarehouseConfig, durable, size_shuffle
 from cargolake.operators.aggregates import (
     expense_metrics,
     expenses_by_vehicle_day,
@@ -23,6 +21,7 @@ from cargolake.operators.quality import quality_report
 from cargolake.plans import entities, marts, reports
 from cargolake.plans.constraints import constraint_report
 from cargolake.schemas import (
+    EXPENSE_SHEET,
     EXPENSES_BY_VEHICLE,
     OPERATIONAL,
     SILVER_EXPENSES,
@@ -34,13 +33,14 @@ from cargolake.sources.tables import (
     declare_marts,
     publish_dimension,
     publish_fact,
+    publish_jdbc,
     read_optional,
     read_or_empty,
     read_table,
     write_table,
 )
-from cargolake.sources.telemetry import read_telemetry
-from cargolake.sources.workbooks import read_expense_books
+from cargolake.sources.telemetry import broken_count, parsed, scan_lines, to_bronze, to_rejected
+from cargolake.sources.workbooks import book_errors, expense_rows, scan_workbooks
 from cargolake.streaming.telemetry import land_new_telemetry
 
 SIMPLE_ENTITIES: dict[str, Callable[..., DataFrame]] = {
@@ -62,10 +62,17 @@ REPORTED = (
 )
 
 
+def reason(e: Exception) -> str:
+    return "failed: " + (str(e) or repr(e)).splitlines()[0]
+
+
 def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
     """Ingest the three sources; the failure of one does not stop the others.
 
-    Returns per source what became of it, with the tables that failed by name.
+    Returns per source what became of it: ``loaded`` (with the number of
+    rejected books or lines, which are stored under ``quarantine``), ``no
+    files``, ``skipped``, or ``failed`` with the tables or the reason. A source
+    without files, or that fails, leaves its old table as it was.
     """
 
     def tables() -> str:
@@ -73,40 +80,59 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
             return "skipped"
         report = ingest_jdbc(
             spark, cfg.jdbc_url, cfg.bronze("postgres"),
-            properties=cfg.jdbc_properties, partitions=cfg.jdbc_partitions,
+            properties=cfg.jdbc_properties, rows_per_task=cfg.jdbc_rows,
         )
         failed = [r["table"] for r in report.where("status = 'failed'").collect()]
         return f"failed: {', '.join(failed)}" if failed else "loaded"
 
+    def loaded(rejected: int, what: str) -> str:
+        return f"loaded, {rejected} {what} rejected" if rejected else "loaded"
+
     def books() -> str:
-        rows = read_expense_books(spark, cfg.raw("excel"), cfg.run_ts)
-        write_table(rows, cfg.bronze("excel/all_expenses"))
-        return "loaded"
+        decoded = durable(scan_workbooks(spark, cfg.raw("excel")))  # the files are decoded once
+        files = decoded.agg(F.count_distinct("path"), F.count_distinct(F.when(F.col("read_error").isNotNull(), F.col("path")))).first()
+        if not files[0]:
+            return "no files"
+        write_table(book_errors(decoded), cfg.bronze("quarantine/books"))
+        if files[0] == files[1]:
+            return "failed: no readable book"
+        write_table(expense_rows(decoded, cfg.run_ts), cfg.bronze("excel/all_expenses"))
+        return loaded(files[1], "books")
 
     def logs() -> str:
-        target = cfg.bronze("json/telemetry")
+        target, rejects = cfg.bronze("json/telemetry"), cfg.bronze("quarantine/lines")
         if cfg.incremental_logs:
-            land_new_telemetry(spark, cfg.raw("json"), target, cfg.bronze("json/_ingested"), cfg.run_ts)
-        else:
-            points = read_telemetry(spark, cfg.raw("json"), cfg.run_ts)
-            write_table(points, target, partition_by=["log_date"])
-        return "loaded"
+            state = cfg.bronze("json/_ingested")
+            landed = land_new_telemetry(spark, cfg.raw("json"), target, state, cfg.run_ts, rejected=rejects)
+            return "loaded" if landed else "no files"
+        lines = scan_lines(spark, cfg.raw("json"))
+        if lines is None or lines.limit(1).isEmpty():
+            return "no files"
+        points = parsed(lines)
+        watch = Observation("lines")
+        write_table(to_bronze(points.observe(watch, broken_count().alias("n")), cfg.run_ts), target, partition_by=["log_date"])
+        if watch.get["n"]:
+            write_table(to_rejected(points, cfg.run_ts), rejects)
+        return loaded(watch.get["n"], "lines")
 
     outcome = {}
     for source, ingest in {"tables": tables, "books": books, "logs": logs}.items():
         try:
             outcome[source] = ingest()
-        except (PySparkException, Py4JJavaError) as e:
-            outcome[source] = f"failed: {str(e).splitlines()[0]}"
+        except Exception as e:  # whatever stops one source must not stop the others
+            outcome[source] = reason(e)
     return outcome
 
 
 def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str, object]]:
-    """Clean every table, then the expenses (they need vehicles and drivers) and the telemetry.
+    """Clean every table, the expenses and the telemetry; each stands by itself.
 
-    Returns the run counters per table. They are taken while the tables are
-    written, except the distinct counts of the telemetry.
+    Returns the run counters per table, taken while the tables are written
+    (except the distinct counts of the telemetry). A table that is missing or
+    fails has the single counter ``failed`` with the reason; its old silver
+    table stays, and everything else is written.
     """
+    size_shuffle(spark, cfg.bronze("").rstrip("/"))
     counts: dict[str, dict[str, object]] = {}
 
     def bronze(table: str) -> DataFrame:
@@ -118,62 +144,99 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
         write_table(watched, path)
         counts[name] = watch.get
 
+    def attempt(name: str, work: Callable[[], None]) -> None:
+        try:
+            work()
+        except Exception as e:  # whatever stops one table must not stop the others
+            counts[name] = {"failed": reason(e)}
+
     special = {"products": product_metrics(), "stock_movements": movement_metrics()}
-    for table, clean in SIMPLE_ENTITIES.items():
-        df, path = clean(bronze(table), cfg.run_ts), cfg.silver(f"postgres/{table}")
-        write_counted(df, table, path, special.get(table, row_metrics()))
 
-    headers = bronze("sale_headers")
-    items = read_optional(spark, cfg.bronze("postgres/sale_items"))
-    sales = entities.clean_sale_headers(headers, items, cfg.run_ts)
-    write_counted(sales, "sale_headers", cfg.silver("postgres/sale_headers"), row_metrics())
-    counts["sale_headers"]["removed"] = headers.count() - counts["sale_headers"]["rows"]
-
-    raw = read_optional(spark, cfg.bronze("excel/all_expenses"))
-    if raw is not None:
-        expenses = entities.clean_expenses(
-            raw,
-            read_optional(spark, cfg.silver("postgres/vehicles")),
-            read_optional(spark, cfg.silver("postgres/drivers")),
-            cfg.run_ts,
-        )
-        write_counted(expenses, "expenses", cfg.silver("excel/all_expenses"), expense_metrics())
-
-    points = read_optional(spark, cfg.bronze("json/telemetry"))
-    if points is not None:
-        # the folder column comes back as a date; the schema has it as text
-        telemetry = entities.clean_telemetry(conform(points, TELEMETRY_BRONZE), cfg.run_ts)
-        write_table(
-            telemetry, cfg.silver("json/telemetry"),
-            partition_by=["event_date"], sort_by=["order_key", "timestamp"],
-        )
-        written = read_table(spark, cfg.silver("json/telemetry"))
-        counts["telemetry"] = written.agg(*(c.alias(n) for n, c in telemetry_metrics().items())).first().asDict()
+    def simple(table: str) -> None:
+        df, path = SIMPLE_ENTITIES[table](bronze(table), cfg.run_ts), cfg.silver(f"postgres/{table}")
+        write_counted(df, table, path, special.get(table, row_metrics()))
 
-    found = {t: read_optional(spark, cfg.silver(f"postgres/{t}")) for t in REPORTED}
-    report = quality_report({t: df for t, df in found.items() if df is not None}, cfg.run_ts)
-    write_table(report, cfg.silver("metadata/quality_report"))
+    def sale_headers() -> None:
+        headers = bronze("sale_headers")
+        items = read_optional(spark, cfg.bronze("postgres/sale_items"))
+        sales = entities.clean_sale_headers(headers, items, cfg.run_ts)
+        write_counted(sales, "sale_headers", cfg.silver("postgres/sale_headers"), row_metrics())
+        counts["sale_headers"]["removed"] = headers.count() - counts["sale_headers"]["rows"]
+
+    def expenses() -> None:
+        raw = read_optional(spark, cfg.bronze("excel/all_expenses"))
+        if raw is not None:
+            lookups = (read_optional(spark, cfg.silver(f"postgres/{t}")) for t in ("vehicles", "drivers"))
+            df = entities.clean_expenses(conform(raw, EXPENSE_SHEET), *lookups, cfg.run_ts)
+            write_counted(df, "expenses", cfg.silver("excel/all_expenses"), expense_metrics())
+
+    def telemetry() -> None:
+        points = read_optional(spark, cfg.bronze("json/telemetry"))
+        if points is not None:
+            # the folder column comes back as a date; the schema has it as text
+            clean = entities.clean_telemetry(conform(points, TELEMETRY_BRONZE), cfg.run_ts)
+            write_table(
+                clean, cfg.silver("json/telemetry"),
+                partition_by=["event_date"], sort_by=["order_key", "timestamp"],
+            )
+            written = read_table(spark, cfg.silver("json/telemetry"))
+            counts["telemetry"] = written.agg(*(c.alias(n) for n, c in telemetry_metrics().items())).first().asDict()
+
+    def quality() -> None:
+        found = {t: read_optional(spark, cfg.silver(f"postgres/{t}")) for t in REPORTED}
+        tables = {t: df for t, df in found.items() if df is not None}
+        if tables:
+            write_table(quality_report(tables, cfg.run_ts), cfg.silver("metadata/quality_report"))
+
+    for table in SIMPLE_ENTITIES:
+        attempt(table, lambda table=table: simple(table))
+    for name, work in {"sale_headers": sale_headers, "expenses": expenses, "telemetry": telemetry, "quality_report": quality}.items():
+        attempt(name, work)
     return counts
 
 
-def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None:
-    """Calendar, dimensions, daily vehicle costs and the fact.
+def failed_tables(counts: Mapping[str, Mapping[str, object]]) -> set[str]:
+    """The tables a silver run did not write."""
+    return {name for name, found in counts.items() if "failed" in found}
+
+
+def run_gold(spark: SparkSession, cfg: WarehouseConfig, failed: Collection[str] = ()) -> dict[str, object] | None:
+    """Calendar, dimensions, daily vehicle costs and the fact; with ``mart_url`` they are loaded into the database too.
 
-    Returns the numbers of orders and matched trips, or None when there were
-    no sales and the old fact was left in place.
+    Nothing is published from the silver tables in ``failed``; the old marts
+    stay. Returns the numbers of orders and matched trips, or None when there
+    were no sales, or none to trust, and the old fact was left in place. Marts
+    that were not published are listed under ``skipped``.
     """
+    size_shuffle(spark, cfg.silver("").rstrip("/"))
 
     def silver(table: str) -> DataFrame:
         return read_table(spark, cfg.silver(f"postgres/{table}"))
 
-    gold = cfg.gold("").rstrip("/")
+    gold, skipped = cfg.gold("").rstrip("/"), []
     declare_marts(spark, gold)
-    publish_dimension(marts.dim_time(spark, cfg.calendar_start, cfg.calendar_end), "dim_time", gold)
-    publish_dimension(marts.dim_customer(silver("customers"), cfg.run_ts), "dim_customer", gold)
-    publish_dimension(marts.dim_driver(silver("drivers"), cfg.run_ts), "dim_driver", gold)
-    publish_dimension(marts.dim_vehicle(silver("vehicles"), cfg.run_ts), "dim_vehicle", gold)
-    publish_dimension(marts.dim_warehouse(silver("warehouses"), cfg.run_ts), "dim_warehouse", gold)
-    publish_dimension(marts.dim_product(silver("products"), cfg.run_ts), "dim_product", gold)
+
+    def load(name: str) -> None:
+        if cfg.mart_url:
+            table = f"{cfg.mart_schema}.{name}"
+            publish_jdbc(read_table(spark, f"{gold}/{name}"), cfg.mart_url, table, cfg.mart_properties, cfg.jdbc_rows)
+
+    def dimension(name: str, build: Callable[[], DataFrame], source: str | None = None) -> None:
+        if source in failed:
+            skipped.append(name)
+            return
+        publish_dimension(build(), name, gold)
+        load(name)
+
+    dimension("dim_time", lambda: marts.dim_time(spark, cfg.calendar_start, cfg.calendar_end))
+    dimension("dim_customer", lambda: marts.dim_customer(silver("customers"), cfg.run_ts), "customers")
+    dimension("dim_driver", lambda: marts.dim_driver(silver("drivers"), cfg.run_ts), "drivers")
+    dimension("dim_vehicle", lambda: marts.dim_vehicle(silver("vehicles"), cfg.run_ts), "vehicles")
+    dimension("dim_warehouse", lambda: marts.dim_warehouse(silver("warehouses"), cfg.run_ts), "warehouses")
+    dimension("dim_product", lambda: marts.dim_product(silver("products"), cfg.run_ts), "products")
+    missing = {"skipped": skipped} if skipped else {}
+    if {"sale_headers", "expenses", "telemetry"} & set(failed):
+        return {"skipped": [*skipped, "fact_orders"]}
 
     expenses = read_or_empty(spark, cfg.silver("excel/all_expenses"), SILVER_EXPENSES)
     by_day = cfg.silver("aggregated/expenses_by_vehicle")
@@ -188,7 +251,10 @@ def run_gold(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None
     fact = marts.fact_orders(
         sales, read_table(spark, by_day), trip_metrics(trip_points), cfg.run_ts, watch=watch
     )
-    return watch.get if publish_fact(fact, gold, source=sales) else None
+    if not publish_fact(fact, gold, source=sales):
+        return missing or None
+    load("fact_orders")
+    return watch.get | missing
 
 
 def run_checks(spark: SparkSession, cfg: WarehouseConfig) -> None:
@@ -198,11 +264,15 @@ def run_checks(spark: SparkSession, cfg: WarehouseConfig) -> None:
     write_table(constraint_report(tables), cfg.silver("metadata/constraint_report"))
 
 
-def run_all(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, int] | None:
-    """Bronze, silver, gold, in this order; returns what the gold run returns."""
-    run_bronze(spark, cfg)
-    run_silver(spark, cfg)
-    return run_gold(spark, cfg)
+def run_all(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, object]:
+    """Bronze, silver, gold, in this order; returns what each of them returns.
+
+    A layer goes on with what the one before it has, old tables included; the
+    gold run publishes nothing from a silver table that failed.
+    """
+    bronze = run_bronze(spark, cfg)
+    silver = run_silver(spark, cfg)
+    return {"bronze": bronze, "silver": silver, "gold": run_gold(spark, cfg, failed_tables(silver))}
 
 
 def run_reports(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, DataFrame]:

@@ -67,6 +67,7 @@ TELEMETRY_BRONZE: Schema = {
     "car_id": "string",
     "abs_active": "boolean",
     "gps_satellites": "int",
+    "other_fields": "string",  # fields of the point that have no place here, as JSON
 }
 
 EXPENSE_SHEET: Schema = {
@@ -74,6 +75,7 @@ EXPENSE_SHEET: Schema = {
     "source_file": "string",
     "source_month": "string",
     "load_date": "timestamp_ntz",
+    "other_columns": "string",  # columns of the sheet that have no place here, as JSON
 }
 
 EXPENSES_BY_VEHICLE: Schema = {

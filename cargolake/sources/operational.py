@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from cargolake.config import OPERATIONAL_TABLES
@@ -15,30 +14,37 @@ FETCH_ROWS = 10_000
 REPORT = "table string, status string, message string"
 
 
+def literal(value: object) -> str:
+    return str(value) if isinstance(value, (int, Decimal)) else "'" + str(value).replace("'", "''") + "'"
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,
     table: str,
     properties: Mapping[str, str],
     key: str = "id",
-    partitions: int = 8,
+    rows_per_task: int = 500_000,
 ) -> DataFrame:
-    """One table, read by ``partitions`` tasks over ranges of its key.
+    """One table, read by as many tasks as its rows need, over ranges of its key.
 
-    The range ends come from one aggregate that the database answers; an
-    empty table is read by a single task. Rows arrive in portions, since some
-    drivers would otherwise hold a whole range in memory.
+    The database counts the rows and gives the first key of every range, so
+    ranges hold equal numbers of rows whatever the gaps between the keys, which
+    may be of any type. Rows arrive in portions, since some drivers would
+    otherwise hold a whole range in memory.
     """
     options = {"fetchsize": str(FETCH_ROWS), **properties}
-    span = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) span"
-    lo, hi = spark.read.jdbc(url, span, properties=options).first()
-    if lo is None or partitions < 2:
+    rows = spark.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {table}) counted", properties=options).first()[0]
+    ranges = -(-int(rows) // rows_per_task)
+    if ranges < 2:
         df = spark.read.jdbc(url, table, properties=options)
     else:
-        df = spark.read.jdbc(
-            url, table, column=key, lowerBound=int(lo), upperBound=int(hi) + 1,
-            numPartitions=partitions, properties=options,
-        )
+        parts = f"SELECT {key} AS k, NTILE({ranges}) OVER (ORDER BY {key}) AS part FROM {table} WHERE {key} IS NOT NULL"
+        starts = spark.read.jdbc(url, f"(SELECT MIN(k) AS k FROM ({parts}) parts GROUP BY part) starts", properties=options)
+        ends = [literal(k) for k in sorted({r[0] for r in starts.collect()})[1:]]  # one per task
+        between = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(ends, ends[1:])]
+        predicates = [f"{key} < {ends[0]} OR {key} IS NULL", *between, f"{key} >= {ends[-1]}"] if ends else ["1 = 1"]
+        df = spark.read.jdbc(url, table, predicates=predicates, properties=options)
     return df.toDF(*(c.lower() for c in df.columns))
 
 
@@ -52,8 +58,8 @@ def ingest_tables(
         try:
             write_table(read(table), f"{out}/{table}")
             report.append((table, "loaded", None))
-        except (PySparkException, Py4JJavaError) as e:
-            report.append((table, "failed", str(e).splitlines()[0]))
+        except Exception as e:  # whatever stops one table must not stop the others
+            report.append((table, "failed", (str(e) or repr(e)).splitlines()[0]))
     return spark.createDataFrame(report, REPORT)
 
 
@@ -63,11 +69,11 @@ def ingest_jdbc(
     out: str,
     tables: Sequence[str] = OPERATIONAL_TABLES,
     properties: Mapping[str, str] | None = None,
-    partitions: int = 8,
+    rows_per_task: int = 500_000,
 ) -> DataFrame:
     """Copy the operational tables of a database to ``out``."""
 
     def read(table: str) -> DataFrame:
-        return read_jdbc_table(spark, url, table, properties or {}, partitions=partitions)
+        return read_jdbc_table(spark, url, table, properties or {}, rows_per_task=rows_per_task)
 
     return ingest_tables(spark, read, out, tables)

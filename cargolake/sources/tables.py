@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -37,8 +38,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
 ) -> None:
-    """Full refresh. The path must not be one that ``df`` reads.
+    """Full refresh. The rows are written beside the table, which is exchanged once they are all there.
 
+    So a run that fails leaves the old table as it was, and ``df`` may read it.
     Before a partitioned write the rows are rebalanced by the partition
     columns: a small day ends up in one file, a day that holds a third of the
     rows is split over tasks, and no task opens a file for every day.
@@ -50,10 +52,53 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    staged = beside(path, "new")
+    try:
+        writer.parquet(staged)
+    except Exception:
+        discard(df.sparkSession, staged)
+        raise
+    exchange(df.sparkSession, staged, path)
+
+
+def beside(path: str, word: str) -> str:
+    """A new name in the folder of ``path`` that readers of the folder pass over."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{name}-{word}-{uuid.uuid4().hex}"
+
+
+def _store(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _store(spark, path)
+    return store.exists(at)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    store, at = _store(spark, path)
+    store.delete(at, True)
+
+
+def exchange(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the written folder ``staged`` in the place of ``path``; the old one goes only when the new one stands."""
+    store, target = _store(spark, path)
+    new, old = _store(spark, staged)[1], _store(spark, beside(path, "old"))[1]
+    there = store.exists(target)
+    if there and not store.rename(target, old):
+        raise OSError(f"cannot move {path}")
+    if not store.rename(new, target):
+        if there:
+            store.rename(old, target)
+        raise OSError(f"cannot move {staged} to {path}")
+    if there:
+        store.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def declare_marts(spark: SparkSession, gold: str) -> list[str]:
@@ -97,10 +142,14 @@ def publish_fact(
     return True
 
 
-def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict, writers: int = 8) -> None:
-    """Truncate a mart table and load it with batched inserts from parallel tasks."""
+def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict, rows_per_writer: int = 500_000) -> None:
+    """Truncate a mart table and load it with batched inserts from tasks of ``rows_per_writer`` rows.
+
+    The rows are dealt anew before the insert, so the job before it keeps its
+    own parallelism. ``df`` is best a written table, since it is counted.
+    """
     (
-        df.coalesce(writers)
+        df.repartition(max(1, -(-df.count() // rows_per_writer)))
         .write.mode("overwrite")
         .option("truncate", True)
         .option("batchsize", INSERT_BATCH)

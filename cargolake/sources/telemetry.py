@@ -30,13 +30,24 @@ AS_TEXT = dict.fromkeys(("bigint", "int", "double", "boolean"), "string")
 AS_WIDE = {"bigint": "decimal(20,3)", "int": "double"}
 POINT_TEXT = {c: _leaves(kind, AS_TEXT) for c, kind in TELEMETRY.items()}
 POINT_WIDE = {c: _leaves(kind, AS_WIDE) for c, kind in TELEMETRY.items()}
-RAW = f"{ddl(POINT_TEXT)}, `{CORRUPT}` string, `dt` string"
-OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "pathGlobFilter": "*.jsonl"}
+POINT = f"{ddl(POINT_TEXT)}, `{CORRUPT}` string"
+LINES = "value string, dt string"
+OPTIONS = {"pathGlobFilter": "*.jsonl"}
+
+
+def parsed(lines: DataFrame) -> DataFrame:
+    """Lines (value, dt, file_name) as points of text, with the fields that have no column as ``other_fields``."""
+    lines = lines.where(F.trim("value") != "")
+    point = F.from_json("value", POINT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    fields = F.map_filter(F.from_json("value", "map<string,string>"), lambda k, _: ~k.isin(*TELEMETRY))
+    rows = lines.select("dt", "file_name", point.alias("p"), fields.alias("f"))
+    others = F.when(F.size("f") > 0, F.to_json("f"))
+    return rows.select("dt", "file_name", "p.*", others.alias("other_fields"))
 
 
 def with_lineage(points: DataFrame, run_ts: datetime) -> DataFrame:
     """File name, day of the folder, order key out of the file name, load time."""
-    name = decoded_file_name(F.col("_metadata.file_name"))
+    name = decoded_file_name(F.col("file_name"))
     return points.withColumns(
         {
             "source_file": name,
@@ -61,30 +72,41 @@ def to_bronze(points: DataFrame, run_ts: datetime) -> DataFrame:
     return conform(lift_fields(kept, BRONZE_FIELDS), TELEMETRY_BRONZE)
 
 
-def _scan(spark: SparkSession, base: str) -> DataFrame | None:
+def to_rejected(points: DataFrame, run_ts: datetime) -> DataFrame:
+    """The lines that are no points, with their file."""
+    bad = with_lineage(points, run_ts).where(_broken())
+    return bad.select("source_file", "log_date", F.col(CORRUPT).alias("line"))
+
+
+def broken_count() -> Column:
+    """For an observation of ``parsed`` lines: how many are no points."""
+    return F.count_if(_broken())
+
+
+def scan_lines(spark: SparkSession, base: str) -> DataFrame | None:
     """All lines below the day folders, or None without such folders.
 
     Only the day folders are matched here; Spark lists the many files in them
     in parallel.
     """
     try:
-        return spark.read.schema(RAW).options(**OPTIONS).option("basePath", base).json(f"{base}/dt=*")
+        lines = spark.read.schema(LINES).options(**OPTIONS).option("basePath", base).text(f"{base}/dt=*")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    return lines.select("value", "dt", "_metadata.file_name")
 
 
 def read_telemetry(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:
     """All points below ``base``. Blank lines do not count; broken lines are left out one by one."""
-    points = _scan(spark, base)
-    return empty(spark, TELEMETRY_BRONZE) if points is None else to_bronze(points, run_ts)
+    lines = scan_lines(spark, base)
+    return empty(spark, TELEMETRY_BRONZE) if lines is None else to_bronze(parsed(lines), run_ts)
 
 
 def broken_lines(spark: SparkSession, base: str, run_ts: datetime) -> DataFrame:
     """The lines ``read_telemetry`` leaves out, with their file."""
-    points = _scan(spark, base)
-    if points is None:
+    lines = scan_lines(spark, base)
+    if lines is None:
         return spark.createDataFrame([], "source_file string, log_date string, line string")
-    bad = with_lineage(points, run_ts).where(_broken())
-    return bad.select("source_file", "log_date", F.col(CORRUPT).alias("line"))
+    return to_rejected(parsed(lines), run_ts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator
@@ -22,7 +23,9 @@ MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 LINKED = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 HEADERS = list(SHEET_HEADERS)
 FRAME_ROWS = 10_000
-DECODED = ", ".join(f"`{h}` string" for h in ["path", *HEADERS, "read_error"])
+# Without these a row says nothing.
+REQUIRED = ("Дата", "Сумма, руб.")
+DECODED = ", ".join(f"`{h}` string" for h in ["path", *HEADERS, "other_columns", "read_error"])
 
 
 def _text(node: ElementTree.Element) -> str:
@@ -64,9 +67,10 @@ def _cells(row: ElementTree.Element, shared: list[str]) -> dict[str, str]:
 
 
 def _rows(content: bytes) -> list[tuple]:
-    """The rows of the first sheet under the known headers; a missing column is all NULL.
+    """The rows of the first sheet under the known headers, and all other columns of a row as one JSON text.
 
-    The sheet is parsed as a stream, so a file costs its values and not a tree
+    Blanks around and inside a header do not matter. A missing column is all
+    NULL; a sheet without the required ones is an error. The sheet is parsed as a stream, so a file costs its values and not a tree
     of its whole markup. A sheet has at most 1,048,576 rows.
     """
     rows, place = [], None
@@ -80,22 +84,28 @@ def _rows(content: bytes) -> list[tuple]:
                 elif event == "end" and e.tag == f"{MAIN}row":
                     cells = _cells(e, shared)
                     if place is None:
-                        place = {name: column for column, name in cells.items()}
+                        place = {" ".join(name.split()): column for column, name in cells.items()}
+                        others = {name: column for name, column in place.items() if name not in HEADERS}
                     else:
-                        rows.append(tuple(cells.get(place.get(h)) for h in HEADERS))
+                        more = {name: cells[column] for name, column in others.items() if column in cells}
+                        known = tuple(cells.get(place.get(h)) for h in HEADERS)
+                        rows.append((*known, json.dumps(more, ensure_ascii=False, sort_keys=True) if more else None))
                     sheet.clear()
+    missing = [h for h in REQUIRED if h not in (place or {})]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)}")
     return rows
 
 
 def _decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Frames of bounded length; a damaged file gives its error and none of its rows."""
-    names = ["path", *HEADERS, "read_error"]
+    names = ["path", *HEADERS, "other_columns", "read_error"]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
                 rows, error = _rows(content), None
             except Exception as e:  # any damage to one file must not stop the others
-                rows, error = [(None,) * len(HEADERS)], repr(e)
+                rows, error = [(None,) * (len(HEADERS) + 1)], repr(e)
             for start in range(0, len(rows), FRAME_ROWS):
                 part = [(path, *row, error) for row in rows[start : start + FRAME_ROWS]]
                 yield pd.DataFrame(part, columns=names, dtype=object)
@@ -116,9 +126,9 @@ def scan_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode_all, DECODED)
 
 
-def read_expense_books(spark: SparkSession, folder: str, run_ts: datetime) -> DataFrame:
-    """Expense rows of every readable workbook, without total rows and empty rows."""
-    rows = scan_workbooks(spark, folder).where("read_error IS NULL")
+def expense_rows(decoded: DataFrame, run_ts: datetime) -> DataFrame:
+    """Expense rows of the decoded workbooks, without total rows and empty rows."""
+    rows = decoded.where("read_error IS NULL")
     rows = drop_all_null(drop_marker_rows(rows, "Номер документа", TOTAL_MARKER), HEADERS)
     file = base_name(F.col("path"))
     return conform(
@@ -129,7 +139,17 @@ def read_expense_books(spark: SparkSession, folder: str, run_ts: datetime) -> Da
     )
 
 
-def unreadable_books(spark: SparkSession, folder: str) -> DataFrame:
+def book_errors(decoded: DataFrame) -> DataFrame:
     """The files that were left out, and why."""
-    bad = scan_workbooks(spark, folder).where("read_error IS NOT NULL")
+    bad = decoded.where("read_error IS NOT NULL")
     return bad.select(base_name(F.col("path")).alias("source_file"), "read_error")
+
+
+def read_expense_books(spark: SparkSession, folder: str, run_ts: datetime) -> DataFrame:
+    """Expense rows of every readable workbook."""
+    return expense_rows(scan_workbooks(spark, folder), run_ts)
+
+
+def unreadable_books(spark: SparkSession, folder: str) -> DataFrame:
+    """The workbooks that ``read_expense_books`` leaves out, and why."""
+    return book_errors(scan_workbooks(spark, folder))

@@ -1,34 +1,60 @@
 """Daily telemetry ingest that reads each log file once.
 
-The batch reader lists and parses every log again on each run. Here the file
-source remembers in its checkpoint which files it has taken; one run takes
-what is new and stops.
+The batch reader parses every log again on each run. Here the file source
+remembers in its checkpoint which files it has taken; one run takes what is
+new and stops. Points go to the table the batch writes, in plain appends: a
+micro-batch leaves out every file whose points the table already holds. So
+incremental and full runs may follow each other in any order, and a batch that
+is run again after a failure adds nothing twice.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
-
-from cargolake.sources.telemetry import OPTIONS, RAW, to_bronze
-
-
-def land_new_telemetry(spark: SparkSession, base: str, out: str, checkpoint: str, run_ts: datetime) -> None:
-    """Append the points of new files to ``out``, partitioned by log day. Without a ``base`` nothing happens."""
-    try:
-        points = spark.readStream.schema(RAW).options(**OPTIONS).json(base)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return
-        raise
-    run = (
-        to_bronze(points, run_ts)
-        .writeStream.format("parquet")
-        .partitionBy("log_date")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(out)
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cargolake.sources.tables import exists, read_optional
+from cargolake.sources.telemetry import LINES, OPTIONS, parsed, to_bronze, to_rejected
+
+FILES_PER_BATCH = 100_000
+
+
+def land_new_telemetry(
+    spark: SparkSession,
+    base: str,
+    out: str,
+    checkpoint: str,
+    run_ts: datetime,
+    rejected: str | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> bool:
+    """Append the points of new files to ``out``, partitioned by log day; tells whether there were any files.
+
+    Lines that are no points are appended to ``rejected``, if it is given. At
+    most ``files_per_batch`` files are one micro-batch; all new files are taken.
+    """
+    if not exists(spark, base):
+        return False
+    lines = (
+        spark.readStream.schema(LINES).options(**OPTIONS).option("basePath", base)
+        .option("maxFilesPerTrigger", files_per_batch).text(f"{base}/dt=*")
     )
+    landed = []
+
+    def append(batch: DataFrame, _: int) -> None:
+        points = parsed(batch)
+        fresh = to_bronze(points, run_ts)
+        table = read_optional(spark, out)
+        if table is not None:
+            known = table.select("source_file", F.col("log_date").cast("string").alias("log_date")).distinct()
+            fresh = fresh.join(known, ["source_file", "log_date"], "left_anti").select(*fresh.columns)
+        fresh.hint("rebalance", "log_date").write.mode("append").partitionBy("log_date").parquet(out)
+        if rejected is not None:
+            to_rejected(points, run_ts).write.mode("append").parquet(rejected)
+        landed.append(True)
+
+    source = lines.select("value", "dt", "_metadata.file_name")
+    run = source.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     run.awaitTermination()
+    return bool(landed)

@@ -200,7 +200,7 @@ def test_telemetry(spark):
     bare = dict(loc=None, acc=None, eng=None, flags=None, gps=None, spd=None, h=None)
     def point(ts, key="230", load=T, **fields):
         f = {**full, **fields}
-        lifted = (None,) * 7
+        lifted = (None,) * 8
         return (ts, f["loc"], f["spd"], f["h"], f["acc"], f["eng"], f["flags"], f["gps"], "f.jsonl", "2025-01-05", load, key, *lifted)
     raw = spark.createDataFrame(
         [point(1000), point(1000, load=datetime(2025, 1, 6)), point(2000, **bare), point(None), point(3000, key=None)],

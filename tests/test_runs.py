@@ -153,7 +153,9 @@ def test_reports(spark, loaded):
 def test_a_second_run_gives_the_same_star(spark, loaded):
     cfg = loaded[0]
     before = {name: rows(read_table(spark, cfg.gold(name))) for name in STAR}
-    assert runs.run_all(spark, cfg)
+    got = runs.run_all(spark, cfg)
+    assert got["bronze"]["books"] == "loaded" and got["silver"]["customers"] == {"rows": 3}
+    assert got["gold"] == {"orders": 4, "matched_trips": 1}
     assert {name: rows(read_table(spark, cfg.gold(name))) for name in STAR} == before
 
 
@@ -189,13 +191,72 @@ def test_bronze_goes_on_when_a_source_fails(spark, tmp_path):
     assert got["books"].startswith("failed") and got["logs"] == "loaded"
 
 
+def test_sources_that_are_gone_leave_the_old_tables(spark, tmp_path):
+    raw_files(tmp_path)
+    cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31))
+    runs.run_bronze(spark, cfg)
+    tables = {"excel/all_expenses": 4, "json/telemetry": 10}
+    for folder in ("excel", "json"):
+        (tmp_path / "raw" / folder).rename(tmp_path / "raw" / f"{folder}-gone")
+    for make in (False, True):      # missing, then empty
+        if make:
+            (tmp_path / "raw/excel").mkdir()
+            (tmp_path / "raw/json/dt=2025-03-05").mkdir(parents=True)
+        assert runs.run_bronze(spark, cfg) == {"tables": "skipped", "books": "no files", "logs": "no files"}
+        assert {t: read_table(spark, cfg.bronze(t)).count() for t in tables} == tables
+    (tmp_path / "raw/excel/bad_2025.xlsx").write_bytes(b"no zip file")
+    assert runs.run_bronze(spark, cfg)["books"] == "failed: no readable book"
+    assert read_table(spark, cfg.bronze("excel/all_expenses")).count() == 4
+
+
+def test_rejected_input_is_stored_and_counted(spark, tmp_path):
+    raw_files(tmp_path)
+    (tmp_path / "raw/excel/bad_2025.xlsx").write_bytes(b"no zip file")
+    log(tmp_path / "raw/json/dt=2025-03-06/delivery_9_A_1.jsonl", ["{broken", "7", point(1741770000000)])
+    cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31))
+    assert runs.run_bronze(spark, cfg) == {"tables": "skipped", "books": "loaded, 1 books rejected", "logs": "loaded, 2 lines rejected"}
+    assert rows(read_table(spark, cfg.bronze("quarantine/books")), "source_file") == [("bad_2025.xlsx",)]
+    assert rows(read_table(spark, cfg.bronze("quarantine/lines")), "line") == [("7",), ("{broken",)]
+    assert read_table(spark, cfg.bronze("json/telemetry")).count() == 11
+
+
+def test_a_table_that_fails_stops_no_other(spark, tmp_path):
+    import shutil
+
+    raw_files(tmp_path)
+    cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31))
+    operational(spark, cfg)
+    runs.run_all(spark, cfg)
+    shutil.rmtree(cfg.bronze("postgres/customers"))
+    shutil.rmtree(cfg.bronze("postgres/stock_movements"))
+    got = runs.run_all(spark, cfg)
+    assert {t for t, c in got["silver"].items() if "failed" in c} == {"customers", "stock_movements"}
+    assert "PATH_NOT_FOUND" in got["silver"]["customers"]["failed"]
+    assert got["silver"]["expenses"]["rows"] == 4 and got["silver"]["telemetry"]["rows"] == 10
+    assert got["gold"] == {"orders": 4, "matched_trips": 1, "skipped": ["dim_customer"]}
+    assert read_table(spark, cfg.gold("dim_customer")).count() == 3
+    shutil.rmtree(cfg.bronze("postgres/sale_headers"))
+    got = runs.run_all(spark, cfg)
+    assert got["gold"] == {"skipped": ["dim_customer", "fact_orders"]}
+    assert read_table(spark, cfg.gold("fact_orders")).count() == 4
+
+
+def test_marts_are_loaded_into_the_database(spark, loaded, monkeypatch):
+    sent = {}
+    monkeypatch.setattr(runs, "publish_jdbc", lambda df, url, table, properties, rows: sent.update({table: (url, df.count(), rows)}))
+    cfg = replace(loaded[0], mart_url="jdbc:x", jdbc_rows=7)
+    assert runs.run_gold(spark, cfg) == {"orders": 4, "matched_trips": 1}
+    assert sent["gold.fact_orders"] == ("jdbc:x", 4, 7)
+    assert set(sent) == {f"gold.{n}" for n in ("dim_time", "dim_customer", "dim_driver", "dim_vehicle", "dim_warehouse", "dim_product", "fact_orders")}
+
+
 def test_incremental_logs_reach_the_same_fact(spark, loaded, tmp_path):
     raw_files(tmp_path)
     cfg = WarehouseConfig(root=str(tmp_path), run_ts=RUN_TS, as_of=date(2025, 3, 31), incremental_logs=True)
     operational(spark, cfg)
     runs.run_all(spark, cfg)
     log(tmp_path / "raw/json/dt=2025-03-12/delivery_3_Б2_20250312_100000.jsonl", [point(1741770000000 + 60000 * i) for i in range(3)])
-    assert runs.run_all(spark, cfg) == {"orders": 4, "matched_trips": 2}
+    assert runs.run_all(spark, cfg)["gold"] == {"orders": 4, "matched_trips": 2}
     fact = read_table(spark, cfg.gold("fact_orders"))
     assert rows(fact.where("order_key <> 3")) == rows(read_table(spark, loaded[0].gold("fact_orders")).where("order_key <> 3"))
 

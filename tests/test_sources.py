@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from cargolake.operators.aggregates import trip_metrics
 from cargolake.plans.entities import clean_telemetry
@@ -151,7 +152,9 @@ def test_new_logs_are_read_once(spark, tmp_path):
 
 
 def test_no_new_logs_without_a_folder(spark, tmp_path):
-    land_new_telemetry(spark, str(tmp_path / "none"), str(tmp_path / "out"), str(tmp_path / "state"), RUN_TS)
+    (tmp_path / "empty").mkdir()
+    for base in ("none", "empty"):
+        assert not land_new_telemetry(spark, str(tmp_path / base), str(tmp_path / "out"), str(tmp_path / "state"), RUN_TS)
     assert tables.read_optional(spark, str(tmp_path / "out")) is None
 
 
@@ -168,6 +171,75 @@ def test_ingest_goes_on_after_a_failure(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "out" / "vehicles")).first()["name"] == "vehicles"
 
 
+def test_a_key_that_cannot_be_read_stops_one_table_only(spark, tmp_path):
+    def read(table):
+        if table == "drivers":
+            raise ValueError("no number: a-1")
+        return spark.createDataFrame([(1,)], "id int")
+
+    report = operational.ingest_tables(spark, read, str(tmp_path), ["drivers", "vehicles"])
+    assert rows(report) == [("drivers", "failed", "no number: a-1"), ("vehicles", "loaded", None)]
+
+
+def test_a_write_that_fails_midway_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+    bad = spark.range(0, 100, 1, 4).select(F.when(F.col("id") > 60, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    report = operational.ingest_tables(spark, lambda t: bad, str(tmp_path), ["t"])
+    assert report.first()["status"] == "failed" and spark.read.parquet(path).count() == 5
+    tables.write_table(spark.read.parquet(path).where("id < 2"), path)   # a table may be written from itself
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_columns_and_fields_without_a_place_are_kept(spark, tmp_path):
+    heads = ["Дата ", " Гос.  номер", "Сумма, руб.", "Пробег"]
+    workbook(tmp_path / "июнь_2025.xlsx", [["01.06", "Б1", 5, "120"], ["02.06", "Б1", 6, None]], headers=heads)
+    workbook(tmp_path / "other_2025.xlsx", [["x", "y"]], headers=["Foo", "Bar"])
+    got = workbooks.read_expense_books(spark, str(tmp_path), RUN_TS)
+    assert rows(got.select("`Дата`", "`Гос. номер`", "other_columns")) == [("01.06", "Б1", '{"Пробег": "120"}'), ("02.06", "Б1", None)]
+    bad = workbooks.unreadable_books(spark, str(tmp_path)).collect()
+    assert [r["source_file"] for r in bad] == ["other_2025.xlsx"] and "Дата" in bad[0]["read_error"]
+    log(tmp_path / "dt=2025-01-05" / "delivery_1_A_1.jsonl", [point(1736071200000, tyre=2.5, dash={"a": 1}), point(1736071200001)])
+    raw = telemetry.read_telemetry(spark, str(tmp_path), RUN_TS)
+    assert rows(raw, "ts", "other_fields") == [(1736071200000, '{"tyre":"2.5","dash":"{\\"a\\":1}"}'), (1736071200001, None)]
+
+
+def test_incremental_and_full_runs_in_turn(spark, tmp_path):
+    base, out, state = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "state")
+
+    def batch():
+        tables.write_table(telemetry.read_telemetry(spark, str(base), RUN_TS), out, partition_by=["log_date"])
+
+    def points():
+        return spark.read.parquet(out).count(), telemetry.read_telemetry(spark, str(base), RUN_TS).count()
+
+    logs(base)
+    land_new_telemetry(spark, str(base), out, state, RUN_TS)
+    batch()
+    log(base / "dt=2025-01-07" / "delivery_300_C_1.jsonl", [point(1736244000000)])
+    assert land_new_telemetry(spark, str(base), out, state, RUN_TS)
+    assert points() == (10, 10)
+    log(base / "dt=2025-01-07" / "delivery_301_C_1.jsonl", [point(1736244000000), "{broken"])
+    log(base / "outside.jsonl", [point(1)])      # not in a day folder: neither run takes it
+    batch()
+    assert land_new_telemetry(spark, str(base), out, state, RUN_TS, rejected=str(tmp_path / "rejected"))
+    assert points() == (11, 11)
+    assert spark.read.parquet(str(tmp_path / "rejected")).count() == 1
+    assert not land_new_telemetry(spark, str(base), out, state, RUN_TS)
+
+
+def test_new_points_of_a_small_day_are_one_file(spark, tmp_path):
+    base = tmp_path / "raw"
+    for i in range(12):
+        log(base / f"dt=2025-01-0{1 + i % 3}" / f"delivery_{i}_A_1.jsonl", [point(1736071200000 + i)])
+    land_new_telemetry(spark, str(base), str(tmp_path / "bronze"), str(tmp_path / "state"), RUN_TS)
+    assert len(list((tmp_path / "bronze").glob("log_date=*/*.parquet"))) == 3
+
+
 def test_optional_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.read_optional(spark, path) is None
@@ -242,37 +314,47 @@ def test_dates_of_partition_folders(spark, tmp_path):
 class Database:
     """Stands in for ``spark.read``: records what would be asked of a database."""
 
-    def __init__(self, spark, lo, hi):
-        self.spark, self.lo, self.hi, self.asked = spark, lo, hi, []
+    def __init__(self, spark, rows, starts):
+        self.spark, self.rows, self.starts, self.asked = spark, rows, starts, []
 
     def jdbc(self, url, table, **options):
         self.asked.append((table, options))
-        if "MIN(" in table:
-            return self.spark.createDataFrame([(self.lo, self.hi)], "LO long, HI long")
+        if "COUNT(*)" in table:
+            return self.spark.createDataFrame([(self.rows,)], "N long")
+        if "NTILE" in table:
+            return self.spark.createDataFrame([(k,) for k in self.starts], ["K"])
         return self.spark.createDataFrame([(1, "x")], "ID long, NAME string")
 
 
-@pytest.mark.parametrize("span, parallel", [((5, 104), True), ((None, None), False)])
-def test_jdbc_reads_go_by_ranges_of_the_key(spark, span, parallel):
-    database = Database(spark, *span)
+@pytest.mark.parametrize(
+    "rows_there, starts, predicates",
+    [
+        (35, [90, 5, 20, 7], ["id < 7 OR id IS NULL", "id >= 7 AND id < 20", "id >= 20 AND id < 90", "id >= 90"]),
+        (20, ["a", "o'b"], ["id < 'o''b' OR id IS NULL", "id >= 'o''b'"]),
+        (12, [4], ["1 = 1"]),
+        (10, [], None),
+        (0, [], None),
+    ],
+)
+def test_jdbc_reads_go_by_ranges_of_equal_rows(spark, rows_there, starts, predicates):
+    database = Database(spark, rows_there, starts)
     session = type("Session", (), {"read": database})()
-    df = operational.read_jdbc_table(session, "jdbc:x", "customers", {"user": "u"}, partitions=4)
+    df = operational.read_jdbc_table(session, "jdbc:x", "customers", {"user": "u"}, rows_per_task=10)
     assert df.columns == ["id", "name"]
-    (span_query, _), (table, options) = database.asked
-    assert options["properties"] == {"fetchsize": "10000", "user": "u"}
-    assert "MIN(id)" in span_query and "MAX(id)" in span_query and table == "customers"
-    if parallel:
-        assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 5, 105, 4)
-    else:
-        assert "numPartitions" not in options
+    table, options = database.asked[-1]
+    assert table == "customers" and options["properties"] == {"fetchsize": "10000", "user": "u"}
+    assert options.get("predicates") == predicates
+    if predicates:
+        assert f"NTILE({-(-rows_there // 10)})" in database.asked[1][0]
 
 
 def test_jdbc_loads_truncate_and_insert_in_batches():
     from unittest.mock import MagicMock
 
     df = MagicMock()
-    tables.publish_jdbc(df, "jdbc:x", "gold.dim_time", {"user": "u"}, writers=3)
-    df.coalesce.assert_called_once_with(3)
+    df.count.return_value = 25
+    tables.publish_jdbc(df, "jdbc:x", "gold.dim_time", {"user": "u"}, rows_per_writer=10)
+    df.repartition.assert_called_once_with(3)
     calls = str(df.mock_calls)
     assert "mode('overwrite')" in calls and "option('truncate', True)" in calls
     assert "option('batchsize', 1000)" in calls and "jdbc('jdbc:x', 'gold.dim_time'" in calls
