@@ -23,15 +23,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cargolake.llm.base import words_column
 
 SAMPLES = 64
-PER_ROW = 4  # samples drawn from one row; more would make the generated method too long to be compiled
+PER_ROW = 2  # samples drawn from one row; more would make the generated method too long to be compiled
 DIGITS = 4  # hexadecimal digits of an entry
 STEP = 40503  # odd: different t of one word give different entries
 NOTHING = "-" * DIGITS  # the entry of a document without words
 BUCKETS = 8192
 
 
-TABLE_BITS = 13
-FINE_BITS = 19
+TABLE_BITS = 14  # quantiles of the gamma distribution, in the middle of their shares
+FINE_BITS = 36
 
 
 def gamma_quantiles(shares: np.ndarray) -> np.ndarray:
@@ -50,16 +50,14 @@ def table(values: np.ndarray) -> Column:
 
 
 def draws(bits: Column) -> tuple[Column, Column, Column]:
-    """r, ln c and b from one 64-bit hash: r at the middle of its share, ln c between the edges of its share."""
+    """r, ln c and b from the bits of one 64-bit hash."""
     n = 1 << TABLE_BITS
-    edges = np.clip(np.arange(n + 1) / n, 2.0**-24, 1 - 2.0**-24)
-    rs, log_cs = table(gamma_quantiles((np.arange(n) + 0.5) / n)), table(np.log(gamma_quantiles(edges)))
-    part = lambda shift, width: F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
-    at = part(TABLE_BITS, TABLE_BITS).cast("int")
-    fine = (part(2 * TABLE_BITS, FINE_BITS) + F.lit(0.5)) / F.lit(float(1 << FINE_BITS))
-    low, high = F.get(log_cs, at), F.get(log_cs, at + F.lit(1))
-    b = (part(2 * TABLE_BITS + FINE_BITS, FINE_BITS) + F.lit(0.5)) / F.lit(float(1 << FINE_BITS))
-    return F.get(rs, part(0, TABLE_BITS).cast("int")), low + (high - low) * fine, b
+    quantiles = gamma_quantiles((np.arange(n) + 0.5) / n)
+    mask = F.lit(n - 1)
+    r = F.get(table(quantiles), bits.bitwiseAND(mask))
+    log_c = F.get(table(np.log(quantiles)), F.shiftrightunsigned(bits, TABLE_BITS).bitwiseAND(mask))
+    b = (F.shiftrightunsigned(bits, 64 - FINE_BITS) + F.lit(0.5)) * F.lit(2.0**-FINE_BITS)
+    return r, log_c, b
 
 
 def word_counts(rows: DataFrame, keys: list[str], texts: list[str]) -> DataFrame:
@@ -84,7 +82,8 @@ def signatures(counts: DataFrame, keys: list[str], weights: list[str], samples:
         raise ValueError(f"samples must be a multiple of {PER_ROW}")
     groups = F.array(*[F.lit(g) for g in range(samples // PER_ROW)])
     logs = [F.when(F.col(w) > 0, F.log(F.col(w).cast("double"))).alias(f"log_{w}") for w in weights]
-    rows = counts.select(*keys, "term", *logs, F.explode(groups).alias("g"))
+    rows = counts.select(*keys, "term", *logs)  # once per word, before it is multiplied
+    rows = rows.select("*", F.explode(groups).alias("g"))
     rows = rows.select(*keys, "g", *[f"log_{w}" for w in weights], F.xxhash64("term", "g").alias("base"))
     js, own = range(PER_ROW), [f"log_{w}" for w in weights]
     rows = rows.select(*keys, "g", *own, *[F.xxhash64("base", F.lit(j)).alias(f"x{j}") for j in js])
@@ -96,7 +95,7 @@ def signatures(counts: DataFrame, keys: list[str], weights: list[str], samples:
         t = F.floor(F.col(f"log_{w}") / r + b)
         log_a = F.col(f"c{j}") - r * (t - b + F.lit(1.0))
         rank = F.floor((F.greatest(log_a, F.lit(-63.0)) + F.lit(64.0)) * F.lit(float(1 << 40)))
-        entry = (F.shiftrightunsigned(F.col(f"x{j}"), 48) + t * F.lit(STEP)).bitwiseAND(F.lit(0xFFFF))
+        entry = (F.shiftrightunsigned(F.col(f"x{j}"), 28) + t * F.lit(STEP)).bitwiseAND(F.lit(0xFFFF))
         return F.shiftleft(rank, 16).bitwiseOR(entry)
 
     rows = rows.select(*keys, "g", *own, *[f"{n}{j}" for j in js for n in "xrcb"], *[
