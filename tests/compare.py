@@ -61,10 +61,10 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            said = mismatch(spark, con, run, sqls[name], sf_dir)
+            said = mismatch(spark, con, run, sqls[name], sf_dir) if name in sqls else f"{run(spark, sf_dir).count()} rows, no SQL"
         except Exception as e:  # show every failing query, not only the first
             said = f"{type(e).__name__}: {str(e)[:1500]}"
-        bad += said is not None
+        bad += said is not None and not said.endswith("no SQL")
         print(f"{name:32s} {time.time() - start:6.2f}s {said or 'ok'}", flush=True)
     print(f"{bad} of {len(only) or len(sqls)} differ")
 
