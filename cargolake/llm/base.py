@@ -23,13 +23,31 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
+MADE: list[str] = []  # intermediate tables since the last ``forget_tables`` or ``drop_tables``
+
+
+def written(df: DataFrame, intermediate: bool = True) -> DataFrame:
     """``df`` as a table in the cluster's shared folder: its lineage is cut and survives lost executors."""
     path = f"{checkpoint_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if intermediate:
+        MADE.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget_tables() -> None:
+    """The intermediate tables made so far stay, since results may still read them."""
+    MADE.clear()
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables made so far; for callers who have written every result that reads them."""
+    for path in MADE:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    MADE.clear()
+
+
 def crc_of_id(doc_id: Column) -> Column:
     """crc32 of the id as text: the split into training and held-out rows."""
     return F.crc32(doc_id.cast("string").cast("binary"))

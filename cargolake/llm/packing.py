@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -144,26 +145,30 @@ def tokenised(
     ``task`` and ``task_rank`` number the pieces of each length within a task.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task, seen = encoder(tokenizer_path).encode, TaskContext.get().partitionId(), {}
         for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"], encode(batch["text"])):
+            rows, flat = [], []
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
                 ids = np.append(ids, np.uint16(end_id)).astype("<u4")
-                cuts = list(range(len(ids), 0, -capacity))[::-1]
                 start = 0
-                for piece, stop in enumerate(cuts):
-                    part, length = ids[start:stop], stop - start
+                for piece, stop in enumerate(list(range(len(ids), 0, -capacity))[::-1]):
+                    length = stop - start
                     rank = seen.get(length, 0)
                     seen[length] = rank + 1
-                    row = (doc_id, piece, start, length, zlib.crc32(part.tobytes()), task, rank)
-                    rows.append(row + ((part.tolist(),) if with_ids else ()))
+                    rows.append((doc_id, piece, start, length, zlib.crc32(ids[start:stop]), task, rank))
                     start = stop
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "task_rank"] + ["ids"] * with_ids
-            yield pd.DataFrame(rows, columns=names)
-
+                flat.append(ids)
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
+            if with_ids:
+                offsets = np.concatenate([[0], np.cumsum([r[3] for r in rows])]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*flat, []]).astype(np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "task_rank"] + ["ids"] * with_ids
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     schema = PIECE_SCHEMA + ", task int, task_rank bigint" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def best_fit_pack(

@@ -136,7 +136,8 @@ def matched(rows: pd.DataFrame, window: int) -> pd.DataFrame:
 def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``key`` of a text and ``runs``, (first, last) window starts whose words occur elsewhere too."""
     marks = written(marked(docs, window))
-    twice = marks.groupBy("minimiser").agg(F.sum("times").alias("n")).where("n > 1").select("minimiser")
+    # written, so that the join with it can split a minimiser that a third of the segments share
+    twice = written(marks.groupBy("minimiser").agg(F.sum("times").alias("n")).where("n > 1").select("minimiser"))
     wanted = marks.join(twice, "minimiser").groupBy("key").agg(F.collect_set(F.struct("first", "windows", "minimiser")).alias("parts"))
     pieces = written(cut(docs, wanted, window))
     words = pieces.where(F.col("words").isNotNull()).select("segment", "minimiser", "words", "copies")

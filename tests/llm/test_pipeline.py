@@ -61,7 +61,7 @@ def test_stages_and_sequences(spark, corpus):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     columns, kept = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.written(stage(spark, docs, folder))
+        docs = corpus_pipeline.written(stage(spark, docs, folder), intermediate=False)
         assert docs.columns == columns, name
         kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
     given = {r[0]: r[1] for r in rows}
