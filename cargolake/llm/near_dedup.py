@@ -16,7 +16,8 @@ that join components; no pairs are emitted. So no cap is set on any band.
 With 32 bands of four entries, a pair at a similarity of 0.85 is missed with
 probability 6e-11, at 0.8 with 5e-8. Pairs are compared in full if their
 signatures agree in a share of at most ``MARGIN`` below the threshold (five
-standard deviations).
+standard deviations). Texts are not shuffled to confirm links: each scan picks
+the few that are needed by a bitmap of fixed size.
 """
 
 from __future__ import annotations
