@@ -4,8 +4,8 @@ The model's pieces and scores come from its file; nothing is trained. A text is
 cut into units that no piece crosses (before a run of blanks, around a line
 end). In a unit the characters are merged by an agenda of candidate pairs, best
 score first, leftmost on ties. Every candidate, a piece at a place, is skipped
-for good if a keyed hash of seed, variant, place and piece falls below the
-dropout. The same key gives the same segmentation on every machine; a document
+for good if a hash of unit, place and length, keyed by seed and variant, falls
+below the dropout. The same key gives the same segmentation on every machine; a document
 uses ``VARIANTS`` keys in turn, so one word is cut in several ways. Without
 dropout the ids are those of the library.
 
@@ -28,8 +28,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 BLANK = "▁"  # the mark that stands for a blank in pieces
 UNIT = re.compile(rf"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
 VARIANTS = 4
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 1_600_000
 NEVER = float("-inf")
+MASK = (1 << 32) - 1
 
 
 def default_path() -> str:
@@ -38,6 +39,11 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def skipped(drawn: int, place: int, length: int, below: int) -> bool:
+    """Whether the candidate of ``length`` characters at ``place`` is skipped; ``drawn`` is the unit's keyed hash."""
+    return drawn * (place * 0x9E3779B1 + length * 0x85EBCA77 | 1) & MASK < below
+
+
 class PieceCodec:
     """Encoder and decoder of one merge-type model with byte fallback, a blank put before the text and no normalisation."""
 
@@ -63,35 +69,36 @@ class PieceCodec:
         if any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids):
             raise ValueError("pieces of this model cross blanks or line ends")
         self.mark = array("H", [self.bytes[b] for b in BLANK.encode()]).tobytes()
-        self.cache: dict[tuple[str, int], bytes] = {}
-
-    def _skipped(self, piece: str, place: int, key: int, below: int) -> bool:
-        return below > 0 and xxhash.xxh64_intdigest(f"{place} {piece}", key) < below
+        self.setting: tuple[int, float] | None = None  # what the caches hold for
+        self.caches: list[dict[str, bytes]] = []
 
     def _unit(self, unit: str, key: int, below: int) -> bytes:
         """Ids of a unit: the agenda as the scores of neighbouring symbols, the best taken first."""
         if not unit:
             return self.mark
-        symbols, scores = list(unit), self.scores
-        places = list(range(len(symbols)))
-
-        def score(i: int) -> float:
-            piece = symbols[i] + symbols[i + 1]
-            found = scores.get(piece)
-            return NEVER if found is None or self._skipped(piece, places[i], key, below) else found
-
-        agenda = [score(i) for i in range(len(symbols) - 1)]
+        scores, symbols = self.scores, list(unit)
+        agenda = [scores.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        places: list[int] = []
+        if below:
+            drawn = xxhash.xxh32_intdigest(unit, key) | 1
+            places = list(range(len(symbols)))
+            agenda = [NEVER if s != NEVER and skipped(drawn, i, 2, below) else s for i, s in enumerate(agenda)]
         while agenda:
             best = max(agenda)
             if best == NEVER:
                 break
             i = agenda.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del places[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = score(i)
-            if i:
-                agenda[i - 1] = score(i - 1)
+            merged = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if below:
+                del places[i + 1]
+            for k in (i - 1, i):
+                if 0 <= k < len(agenda):
+                    piece = symbols[k] + merged if k < i else merged + symbols[k + 1]
+                    found = scores.get(piece, NEVER)
+                    if found != NEVER and below and skipped(drawn, places[k], len(piece), below):
+                        found = NEVER
+                    agenda[k] = found
         out = array("H")
         for s in symbols:
             found = self.ids.get(s)
@@ -103,6 +110,8 @@ class PieceCodec:
 
     def encode(self, text: str | None, seed: int = 0, dropout: float = 0.0, document: int = 0) -> np.ndarray:
         """Ids of a whole text; a null or empty text has none."""
+        if self.setting != (seed, dropout):
+            self.setting, self.caches = (seed, dropout), [{} for _ in range(VARIANTS)]
         if not text:
             return np.empty(0, np.uint16)
         # a literal mark becomes bytes, which merge with nothing
@@ -111,18 +120,32 @@ class PieceCodec:
         for part in rest:
             units.append("")
             units += UNIT.findall(part.replace(" ", BLANK))
-        if len(self.cache) > CACHE_UNITS:
-            self.cache = {}
-        cache, below, ids = self.cache, int(dropout * 2**64), []
-        turn = document % VARIANTS if dropout else 0
-        for n, unit in enumerate(units):
-            variant = (turn + n) % VARIANTS if below else 0
-            known = cache.get((unit, variant))
-            if known is None:
-                known = cache[unit, variant] = self._unit(unit, seed * VARIANTS + variant, below)
-            ids.append(known)
+        below, turn = int(dropout * 2**32), document % VARIANTS
+        if not below:
+            return np.frombuffer(b"".join(self._known(units, seed, 0, 0)), np.uint16)
+        ids = [b""] * len(units)
+        for first in range(VARIANTS):  # every unit has its turn
+            ids[first::VARIANTS] = self._known(units[first::VARIANTS], seed, (turn + first) % VARIANTS, below)
         return np.frombuffer(b"".join(ids), np.uint16)
 
+    def _known(self, units: list[str], seed: int, variant: int, below: int) -> list[bytes]:
+        """Ids of units under one key, from the cache as far as they are there."""
+        cache = self.caches[variant]
+        if len(cache) > CACHE_UNITS // VARIANTS:
+            cache.clear()
+        ids = list(map(cache.get, units))
+        at = ids.index(None) if None in ids else -1
+        while at >= 0:
+            unit = units[at]
+            if unit not in cache:
+                cache[unit] = self._unit(unit, seed * VARIANTS + variant, below)
+            ids[at] = cache[unit]
+            try:
+                at = ids.index(None, at + 1)
+            except ValueError:
+                at = -1
+        return ids
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; exact for ids of ``encode``."""
         text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
