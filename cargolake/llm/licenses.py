@@ -123,16 +123,43 @@ class Scanner:
         self.index = index
         self.keys = np.sort(np.array(list(index), np.uint64))
 
-    def candidates(self, words: np.ndarray) -> dict[int, list[int]]:
-        """Diagonals per template, from the fingerprints of the text that the index knows."""
+    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Templates and diagonals on which the text shares enough fingerprints with them."""
         prints, places = winnowed(words)
         at = np.searchsorted(self.keys, prints)
         known = (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == prints) if len(self.keys) else np.zeros(len(prints), bool)
-        found: dict[int, set[int]] = {}
+        found: dict[int, list[int]] = {}
         for f, place in zip(prints[known].tolist(), places[known].tolist()):
             for t, own in self.index[f]:
-                found.setdefault(t, set()).add(place - own)
-        return {t: sorted(d) for t, d in found.items()}
+                found.setdefault(t, []).append(place - own)
+        for t, diagonals in found.items():
+            need, band = self.needed(t), self.band(t)
+            if len(diagonals) < need:
+                continue
+            diagonals.sort()
+            i = 0
+            while i < len(diagonals):
+                j = i
+                while j + 1 < len(diagonals) and diagonals[j + 1] - diagonals[i] <= band:
+                    j += 1
+                if j + 1 - i >= need:
+                    yield t, (diagonals[i] + diagonals[j]) // 2
+                    i = j + 1
+                else:
+                    i += 1
+
+    def band(self, t: int) -> int:
+        return BAND + len(self.words[t]) // 8
+
+    def needed(self, t: int) -> int:
+        """Fingerprints that an alignment of enough coverage shares at least.
+
+        It matches c of the m words in at most m - c + 1 runs; a run of r words
+        has r - 1 grams and a fingerprint in every ``WINNOW`` of them.
+        """
+        m = len(self.words[t])
+        c = int(np.ceil(self.coverage * m))
+        return max(1, (c - (m - c + 1) * (GRAM + WINNOW - 2)) // WINNOW)
 
     def matches(self, text: str | None) -> list[tuple]:
         """Every occurrence of a template with enough coverage, best first where occurrences overlap."""
@@ -141,18 +168,11 @@ class Scanner:
         low = text.lower()
         words = hashes(low)
         hits = []
-        for t, diagonals in self.candidates(words).items():
+        for t, diagonal in self.candidates(words):
             template = self.words[t]
-            band = BAND + len(template) // 8
-            i = 0
-            while i < len(diagonals):
-                j = i
-                while j + 1 < len(diagonals) and diagonals[j + 1] - diagonals[i] <= band:
-                    j += 1
-                n, first, last = align(template, words, (diagonals[i] + diagonals[j]) // 2, band)
-                if n >= self.coverage * len(template) and n:
-                    hits.append((n / len(template), n, self.names[t], first, last))
-                i = j + 1
+            n, first, last = align(template, words, diagonal, self.band(t))
+            if n >= self.coverage * len(template):
+                hits.append((n / len(template), n, self.names[t], first, last))
         hits.sort(key=lambda h: (-h[1], -h[0], h[3], h[2]))
         taken: list[tuple] = []
         for hit in hits:  # an occurrence inside a better one says nothing more
