@@ -38,7 +38,7 @@ from cargolake.operators.cleaning import (
     require,
 )
 from cargolake.operators.dedup import dedup, distinct_business
-from cargolake.operators.lookups import driver_lookup, vehicle_lookup
+from cargolake.operators.lookups import driver_lookup, own_shuffle, vehicle_lookup
 from cargolake.schemas import SILVER_EXPENSES, conform
 
 
@@ -176,11 +176,18 @@ def clean_expenses(
             {"vehicle_id": F.lit(0), "driver_id": F.lit(0), "expense_category_en": F.lit("other")}
         )
     else:
-        df = driver_lookup(vehicle_lookup(df, vehicles), drivers)
+        df = tie(df, vehicles, drivers)
         df = df.withColumn("expense_category_en", category_of(F.col("expense_category")))
     return conform(audit(df, run_ts, "excel/all_expenses", "expense"), SILVER_EXPENSES)
 
 
+def tie(expenses: DataFrame, vehicles: DataFrame, drivers: DataFrame) -> DataFrame:
+    """Add ``vehicle_id`` and ``driver_id``, found once for each pair of plate and name, in one join of the rows."""
+    keys = ["vehicle_plate", "driver_name"]
+    pairs = driver_lookup(vehicle_lookup(expenses.select(*keys).distinct(), vehicles), drivers)
+    return expenses.join(own_shuffle(pairs, "vehicle_plate"), keys)
+
+
 # What a telemetry point holds where a sensor gave nothing.
 TELEMETRY_DEFAULTS = {
     "spd": 0,

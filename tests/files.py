@@ -7,10 +7,9 @@ import zipfile
 from pathlib import Path
 from xml.sax.saxutils import escape
 
-HEADERS = [
-    "Дата", "Гос. номер", "Водитель", "Статья затрат", "Контрагент (кому заплатили)",
-    "Номер документа", "Сумма, руб.", "Примечание",
-]
+from cargolake.functions.expenses import SHEET_HEADERS
+
+HEADERS = list(SHEET_HEADERS)
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 
@@ -55,6 +54,7 @@ def workbook(path: Path, rows: list[list], headers: list[str] = HEADERS, inline:
 
 
 def point(ts, spd=10.0, car="А1", **other) -> dict:
+    # The field names of a telemetry point.
     return {
         "ts": ts, "loc": {"lat": 55.7, "lon": 37.6}, "spd": spd, "h": 5, "acc": {"lon": 0.1, "lat": 0.2},
         "eng": {"rpm": 900, "thr": 10, "tmp": 80}, "flags": {"abs": True, "belt": True, "doors": 0, "car_id": car},
