@@ -4,8 +4,9 @@ The merges of a byte-level BPE never cross the pieces into which its pattern
 splits a text, so the ids of a text are the ids of its pieces in a row. Texts
 of plain characters are split here, where the classes of the pattern are known
 character by character, and only unseen pieces go to the library's model. Any
-other text goes to the library whole. The cache lives as long as the worker and
-is emptied when it reaches ``CACHE_PIECES``, so memory is bounded.
+other text goes to the library whole. The cache lives as long as the worker. When
+it reaches ``CACHE_PIECES`` it becomes the old one, from which pieces that come
+again are taken over, so memory is bounded and common pieces stay.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 400_000
 
 # The splitting pattern of the vocabulary, spelt out for ASCII (but the separators 1C-1F)
 # and the letters from U+00C0 to U+024F.
@@ -58,6 +59,7 @@ class PieceEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -70,7 +72,7 @@ class PieceEncoder:
         for text in texts:
             text = text or ""
             if len(self.cache) > CACHE_PIECES:
-                self.cache = {}
+                self.cache, self.old = {}, self.cache
             cache = self.cache
             if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
                 yield np.frombuffer(self._whole(text), np.uint16)
@@ -81,7 +83,7 @@ class PieceEncoder:
             while at >= 0:
                 piece = pieces[at]
                 if piece not in cache:
-                    cache[piece] = self._piece(piece)
+                    cache[piece] = self.old.get(piece) or self._piece(piece)
                 ids[at] = cache[piece]
                 try:
                     at = ids.index(None, at + 1)

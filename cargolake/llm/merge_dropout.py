@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 BLANK = "▁"  # the mark that stands for a blank in pieces
 UNIT = re.compile(rf"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
 VARIANTS = 4
-CACHE_UNITS = 1_600_000
+CACHE_UNITS = 1_200_000
 NEVER = float("-inf")
 MASK = (1 << 32) - 1
 

@@ -34,6 +34,7 @@ from cargolake.llm.language import bounded_sample
 SAMPLE_ROWS = 20_000
 MIN_STEM = 4
 MAX_STEM = 16
+TEXTS_AT_ONCE = 250  # texts whose stems a task counts together
 MIN_PRECISION = 0.3
 PER_TEXT = 3
 CLAUSE = re.compile(r"[.!?;:,\n]+")
@@ -205,19 +206,21 @@ def evidence(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts: dict[str, list[int]] = {}
-            pairs: set[tuple[str, str]] = set()
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                words = WORD.findall(text.lower())
-                for unit in {u for w in set(words) for u in units(w)}:
-                    texts.setdefault(unit, [0, 0])[int(toxic)] += 1
-                if toxic:
-                    pairs.update(zip(words, ["", *words[:-1]]))
-            yield pd.DataFrame({
-                "unit": list(texts), "good": [n[0] for n in texts.values()], "bad": [n[1] for n in texts.values()],
-                "word": None, "before": None,
-            })
-            yield pd.DataFrame(list(pairs), columns=["word", "before"]).assign(unit=None, good=0, bad=0)
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                texts: dict[str, list[int]] = {}
+                pairs: set[tuple[str, str]] = set()
+                some = batch.iloc[start : start + TEXTS_AT_ONCE]
+                for text, toxic in zip(some["text"], some["toxic"]):
+                    words = WORD.findall(text.lower())
+                    for unit in {u for w in set(words) for u in units(w)}:
+                        texts.setdefault(unit, [0, 0])[int(toxic)] += 1
+                    if toxic:
+                        pairs.update(zip(words, ["", *words[:-1]]))
+                yield pd.DataFrame({
+                    "unit": list(texts), "good": [n[0] for n in texts.values()], "bad": [n[1] for n in texts.values()],
+                    "word": None, "before": None,
+                })
+                yield pd.DataFrame(list(pairs), columns=["word", "before"]).assign(unit=None, good=0, bad=0)
 
     schema = "unit string, good bigint, bad bigint, word string, before string"
     found = rows.dropDuplicates(["text"]).mapInPandas(count, schema)
