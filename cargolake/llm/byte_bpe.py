@@ -5,7 +5,7 @@ splits a text, so the ids of a text are the ids of its pieces in a row. Texts
 of plain characters are split here, where the classes of the pattern are known
 character by character, and only unseen pieces go to the library's model. Any
 other text goes to the library whole. The cache lives as long as the worker. When
-it reaches ``CACHE_PIECES`` it becomes the old one, from which pieces that come
+it reaches ``cache_pieces`` it becomes the old one, from which pieces that come
 again are taken over, so memory is bounded and common pieces stay.
 """
 
@@ -48,7 +48,7 @@ def default_path() -> str:
 class PieceEncoder:
     """Encodes texts to arrays of 16-bit ids (``add_special_tokens=False``)."""
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, cache_pieces: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,6 +58,7 @@ class PieceEncoder:
         # the strings of special tokens, which the library matches before it splits
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
+        self.cache_pieces = cache_pieces
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -71,7 +72,7 @@ class PieceEncoder:
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         for text in texts:
             text = text or ""
-            if len(self.cache) > CACHE_PIECES:
+            if len(self.cache) > self.cache_pieces:
                 self.cache, self.old = {}, self.cache
             cache = self.cache
             if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
@@ -93,6 +94,6 @@ class PieceEncoder:
 
 
 @functools.cache
-def encoder(path: str | None = None) -> PieceEncoder:
+def encoder(path: str | None = None, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
     """The worker's encoder; it serves all tasks of the worker."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, cache_pieces)

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from cargolake.llm.base import written
 from cargolake.llm.byte_bpe import encoder
 
+TEXTS_AT_ONCE = 250  # documents whose pieces leave a task together
+CACHE_PIECES = 100_000  # a pipeline's idle workers keep their caches
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -146,8 +148,9 @@ def tokenised(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task, seen = encoder(tokenizer_path).encode, TaskContext.get().partitionId(), {}
-        for batch in batches:
+        encode, task, seen = encoder(tokenizer_path, CACHE_PIECES).encode, TaskContext.get().partitionId(), {}
+        some = (batch.slice(i, TEXTS_AT_ONCE) for batch in batches for i in range(0, batch.num_rows, TEXTS_AT_ONCE))
+        for batch in some:
             rows, flat = [], []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
                 ids = np.append(ids, np.uint16(end_id)).astype("<u4")
