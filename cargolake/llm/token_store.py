@@ -28,8 +28,8 @@ from cargolake.llm.byte_bpe import encoder
 from cargolake.llm.wavelet import WaveletMatrix
 
 MAGIC = b"TOKS"
-SHARD_TOKENS = 1 << 21
-RANGE_BYTES = 16 << 20  # text per range of documents
+SHARD_TOKENS = 1 << 20
+RANGE_DOCS = 5_000  # documents a task writes, in as many shards as they need
 MANIFEST = "part int, shard int, path string, n_docs bigint, n_tokens bigint"
 
 
@@ -104,7 +104,7 @@ def write_tokens(
     end_id: int = 0,
     tokenizer_path: str | None = None,
     shard_tokens: int = SHARD_TOKENS,
-    range_bytes: int = RANGE_BYTES,
+    range_docs: int = RANGE_DOCS,
 ) -> DataFrame:
     """Write the ids of all documents, each closed by ``end_id``, and return the manifest of the files.
 
@@ -115,8 +115,7 @@ def write_tokens(
     """
     folder = as_uri(folder or f"{checkpoint_folder(docs.sparkSession)}/tokens-{uuid.uuid4().hex}")
     rows = docs.select("doc_id", "text")
-    volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-volume // range_bytes))
+    parts = max(1, -(-docs.count() // range_docs))
     dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

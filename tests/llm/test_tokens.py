@@ -53,7 +53,7 @@ def test_select_is_the_inverse_of_rank():
 @pytest.mark.parametrize("shard_tokens", [50, 1 << 21])
 def test_files_hold_all_documents_in_order(docs_of, odd_rows, tmp_path, shard_tokens):
     docs = docs_of(odd_rows + [(None, "no id")]).withColumnRenamed("lang", "path").withColumnRenamed("source", "part")
-    manifest = token_store.write_tokens(docs, str(tmp_path / "tokens"), shard_tokens=shard_tokens, range_bytes=9000)
+    manifest = token_store.write_tokens(docs, str(tmp_path / "tokens"), shard_tokens=shard_tokens, range_docs=4)
     got = [(r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in token_store.read_documents(manifest).collect()]
     tool = encoder()
     given = sorted(odd_rows + [(None, "no id")], key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
