@@ -2,7 +2,7 @@
 
 The model's pieces and scores come from its file; nothing is trained. A text is
 cut into units that no piece crosses (before a run of blanks, around a line
-end). In a unit the characters are merged by an agenda of candidate pairs, best
+end, between a letter and a mark). In a unit the characters are merged by an agenda of candidate pairs, best
 score first, leftmost on ties. Every candidate, a piece at a place, is skipped
 for good if a hash of unit, place and length, keyed by seed and variant, falls
 below the dropout. The same key gives the same segmentation on every machine; a document
@@ -26,9 +26,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLANK = "▁"  # the mark that stands for a blank in pieces
-UNIT = re.compile(rf"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
-VARIANTS = 4
-CACHE_UNITS = 1_200_000
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+MARKS = r".,!?;:*&%$#|"  # no piece has a letter before one of these, so words end there
+UNIT = re.compile(rf"\n|{BLANK}*[{LETTERS}]+(?=[{MARKS}])|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
+VARIANTS = 2
+CACHE_UNITS = 800_000
 NEVER = float("-inf")
 MASK = (1 << 32) - 1
 
@@ -66,11 +68,13 @@ class PieceCodec:
                 self.ids[piece] = i
                 self.scores[piece] = model.get_score(i)
                 self.raw.append(piece.replace(BLANK, " ").encode())
-        if any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids):
-            raise ValueError("pieces of this model cross blanks or line ends")
+        crossing = re.compile(rf"[^{BLANK}]{BLANK}|\n|[{LETTERS}][{MARKS}]")
+        if any(crossing.search(p) for p in self.ids):
+            raise ValueError("pieces of this model cross blanks, line ends or the ends of words")
         self.mark = array("H", [self.bytes[b] for b in BLANK.encode()]).tobytes()
         self.setting: tuple[int, float] | None = None  # what the caches hold for
-        self.caches: list[dict[str, bytes]] = []
+        self.caches: list[dict[str, bytes]] = []  # by variant; a full cache becomes the old one
+        self.old: list[dict[str, bytes]] = []
 
     def _unit(self, unit: str, key: int, below: int) -> bytes:
         """Ids of a unit: the agenda as the scores of neighbouring symbols, the best taken first."""
@@ -111,7 +115,8 @@ class PieceCodec:
     def encode(self, text: str | None, seed: int = 0, dropout: float = 0.0, document: int = 0) -> np.ndarray:
         """Ids of a whole text; a null or empty text has none."""
         if self.setting != (seed, dropout):
-            self.setting, self.caches = (seed, dropout), [{} for _ in range(VARIANTS)]
+            self.setting = seed, dropout
+            self.caches, self.old = [{} for _ in range(VARIANTS)], [{} for _ in range(VARIANTS)]
         if not text:
             return np.empty(0, np.uint16)
         # a literal mark becomes bytes, which merge with nothing
@@ -130,15 +135,15 @@ class PieceCodec:
 
     def _known(self, units: list[str], seed: int, variant: int, below: int) -> list[bytes]:
         """Ids of units under one key, from the cache as far as they are there."""
+        if len(self.caches[variant]) > CACHE_UNITS // VARIANTS:
+            self.caches[variant], self.old[variant] = {}, self.caches[variant]
         cache = self.caches[variant]
-        if len(cache) > CACHE_UNITS // VARIANTS:
-            cache.clear()
         ids = list(map(cache.get, units))
         at = ids.index(None) if None in ids else -1
         while at >= 0:
             unit = units[at]
             if unit not in cache:
-                cache[unit] = self._unit(unit, seed * VARIANTS + variant, below)
+                cache[unit] = self.old[variant].get(unit) or self._unit(unit, seed * VARIANTS + variant, below)
             ids[at] = cache[unit]
             try:
                 at = ids.index(None, at + 1)
@@ -192,3 +197,24 @@ def decode_documents(encoded: DataFrame, model_path: str | None = None) -> DataF
 
     others = [c for c in encoded.columns if c != "ids"]
     return encoded.select(*others, run(F.col("ids")).alias("text"))
+
+
+def round_trip(
+    docs: DataFrame,
+    seed: int = 0,
+    dropout: float = 0.1,
+    model_path: str | None = None,
+    keep: list[str | Column] = ("doc_id",),
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ``ids`` and the ``decoded`` text, both made in one worker; as ``encode_documents``."""
+
+    @F.pandas_udf("struct<ids: binary, decoded: string>")
+    def run(texts: pd.Series, documents: pd.Series) -> pd.DataFrame:
+        tool, rows = codec(model_path, seed, dropout), []
+        for text, document in zip(texts, documents):
+            ids = tool.encode(text, seed, dropout, int(document))
+            rows.append((ids.astype("<u4").tobytes(), tool.decode(ids)))
+        return pd.DataFrame(rows, columns=["ids", "decoded"])
+
+    made = docs.select(F.struct(*keep).alias("kept"), run(F.col("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))).alias("made"))
+    return made.select("kept.*", "made.*")

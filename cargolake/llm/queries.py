@@ -47,13 +47,11 @@ def op5_fm_index_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_merge_dropout_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    text = F.coalesce("text", F.lit(""))
-    encoded = merge_dropout.encode_documents(docs, seed=17, dropout=0.1, keep=["doc_id", F.md5(text).alias("text_md5")])
-    decoded = merge_dropout.decode_documents(encoded.withColumn("raw_ids", F.col("ids")))
-    return decoded.select(
-        "doc_id", (F.octet_length("raw_ids") / 4).cast("bigint").alias("n_pieces"), F.crc32("raw_ids").alias("ids_crc32"),
-        (F.md5("text") == F.col("text_md5")).alias("lossless"),
+    text_md5 = F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")
+    made = merge_dropout.round_trip(documents(spark, sf_dir), seed=17, dropout=0.1, keep=["doc_id", text_md5])
+    return made.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+        (F.md5("decoded") == F.col("text_md5")).alias("lossless"),
     )
 
 

@@ -8,7 +8,7 @@ import pytest
 from cargolake.llm import merge_dropout
 from tests.llm.conftest import prose
 
-ODD = ["a", "the", " ", "  ", "é", "日本", "\n", "\t", "x", "ing", "😀", "ü", "<s>", "12", "", "\0"]
+ODD = ["a", "the", " ", "  ", "é", "日本", "\n", "\t", "x", "ing", "😀", "ü", "<s>", "12", "", "\0", ".", "x², ", "e.g.", "a,b", "...", "$5"]
 
 
 @pytest.fixture(scope="module")
@@ -67,3 +67,6 @@ def test_documents(docs_of, odd_rows):
     got = sorted((str(r["doc_id"]), r["text"]) for r in decoded.collect())
     assert got == sorted((str(r[0]), r[1] or "") for r in odd_rows + [(None, "no id")])
     assert merge_dropout.encode_documents(docs_of([])).collect() == []
+    both = merge_dropout.round_trip(docs, seed=1, dropout=0.2, keep=["doc_id"]).collect()
+    assert sorted((str(r["doc_id"]), r["decoded"]) for r in both) == got
+    assert sorted(bytes(r["ids"]) for r in both) == sorted(bytes(r["ids"]) for r in encoded.collect())
