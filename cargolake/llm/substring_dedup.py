@@ -11,8 +11,12 @@ Every window of ``window`` words has a minimiser, the least hash of its runs of
    are streamed through it: backward search gives the matching statistics, and
    windows that occur twice or more are reported as intervals.
 
-A minimiser with many different segments is split into blocks with an index
-each, and its segments are streamed through all of them. Every shard is bounded.
+A minimiser with many different segments would make one shard of them. Its
+segments are cut into windows instead: hashes of the windows are counted, only
+windows whose hash occurs again move, and each goes to a shard of its own words.
+Equal windows still meet, no segment is streamed twice, and the work grows with
+the number of windows. A shard holds a share of all words, or the segments of
+one minimiser (``BLOCK_SEGMENTS`` rows at most).
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ GRAM = 8
 RUN = 64  # windows in a segment at most
 CHUNK = 1 << 16
 SHARD_WORDS = 1 << 20
-BLOCK_SEGMENTS = 4096  # different segments of one minimiser in an index at most
+BLOCK_SEGMENTS = 4096  # segments of one minimiser in a shard at most; those of others are cut into windows
 COMBINE = 200_000  # segments whose copies are counted together before they move
 
 
@@ -115,19 +119,63 @@ def cut(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     )
 
 
+def window_prints(segments: DataFrame, window: int) -> DataFrame:
+    """segment, place, hash (``print``) and copies of every window of the segments."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            prints = [window_hashes(hash_words(w.split(b" ")), window).view(np.int64) for w in batch["words"]]
+            n = np.array([len(p) for p in prints], np.int64)
+            yield pd.DataFrame({
+                "segment": batch["segment"].repeat(n).to_numpy(),
+                "place": np.concatenate([np.arange(k) for k in n]) if len(n) else [],
+                "print": np.concatenate(prints) if prints else [],
+                "copies": batch["copies"].repeat(n).to_numpy(),
+            })
+
+    return segments.select("segment", "words", "copies").mapInPandas(run, "segment binary, place int, print bigint, copies bigint")
+
+
+def cut_windows(segments: DataFrame, places: DataFrame, window: int) -> DataFrame:
+    """The windows of segments at ``places``, once as places (owner, place, segment) and once as words with their copies."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[bytes, list] = {}
+
+        def flush() -> pd.DataFrame:
+            out = pd.DataFrame(list(held.values()), columns=["segment", "words", "copies"])
+            held.clear()
+            return out.assign(owner=None, place=None)
+
+        for batch in batches:
+            found = []
+            for owner, text, copies, at in zip(batch["segment"], batch["words"], batch["copies"], batch["at"]):
+                words = text.split(b" ")
+                for place in at:
+                    piece = b" ".join(words[place : place + window])
+                    name = hashlib.blake2b(piece, digest_size=16).digest()
+                    found.append((owner, place, name))
+                    known = held.setdefault(name, [name, piece, 0])
+                    known[2] += copies
+                if len(held) > COMBINE:
+                    yield flush()
+            yield pd.DataFrame(found, columns=["owner", "place", "segment"]).assign(words=None, copies=None)
+        yield flush()
+
+    return segments.select("segment", "words", "copies").join(places, "segment").mapInPandas(
+        run, "owner binary, place int, segment binary, words binary, copies bigint"
+    )
+
+
 def matched(rows: pd.DataFrame, window: int) -> pd.DataFrame:
-    """Build the index of one shard and stream its queries: segment and the window runs (flattened) that occur again."""
-    rows = rows.groupby(["segment", "indexed"], as_index=False, sort=False).agg({"words": "first", "copies": "sum"})
+    """Build the index of one shard and stream its segments: segment and the window runs (flattened) that occur again."""
+    rows = rows.groupby("segment", as_index=False, sort=False).agg({"words": "first", "copies": "sum"})
     split = [w.split(b" ") for w in rows["words"]]
     hashed = hash_words([w for words in split for w in words])
     _, codes = np.unique(hashed, return_inverse=True)
     sequences = np.split(codes + 1, np.cumsum([len(w) for w in split])[:-1])
-    indexed = rows["indexed"].to_numpy(bool)
-    inside = np.flatnonzero(indexed)
-    if not len(inside):
-        return pd.DataFrame(columns=["segment", "runs"])
-    index = FMIndex([sequences[i] for i in inside], rows["copies"].to_numpy()[inside], RUN + window)
-    found = index.repeats(sequences, np.where(indexed, 2, 1), window)
+    index = FMIndex(sequences, rows["copies"].to_numpy(), RUN + window)
+    found = index.repeats(sequences, np.full(len(sequences), 2), window)
     return pd.DataFrame(
         [(s, [x for run in f for x in run]) for s, f in zip(rows["segment"], found) if f], columns=["segment", "runs"]
     )
@@ -142,19 +190,32 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     pieces = written(cut(docs, wanted, window))
     words = pieces.where(F.col("words").isNotNull()).select("segment", "minimiser", "words", "copies")
 
-    per_minimiser = words.groupBy("minimiser").agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("size"))
-    large = per_minimiser.where(F.col("n") > BLOCK_SEGMENTS).select("minimiser", F.ceil(F.col("n") / BLOCK_SEGMENTS).cast("int").alias("blocks"))
-    volume = words.agg(F.sum(F.length("words"))).first()[0] or 0
+    # rows hold the copies of one task; those of minimisers with many rows are summed before they are judged
+    many = written(words.groupBy("minimiser").count().where(F.col("count") > BLOCK_SEGMENTS).select("minimiser"))
+    owned = None
+    dealt = words.select(F.xxhash64("minimiser").alias("dealt"), "segment", "words", "copies")
+    if not many.isEmpty():
+        summed = written(words.join(many, "minimiser").groupBy("segment", "minimiser", "words").agg(F.sum("copies").alias("copies")))
+        large = written(summed.groupBy("minimiser").count().where(F.col("count") > BLOCK_SEGMENTS).select("minimiser"))
+        hot = summed.join(large, "minimiser")
+        prints = written(window_prints(hot, window))
+        again = written(prints.groupBy("print").agg(F.sum("copies").alias("n")).where("n > 1").select("print"))
+        at = prints.join(again, "print").groupBy("segment").agg(F.collect_set("place").alias("at"))
+        windows = written(cut_windows(hot, at, window))
+        owned = windows.where(F.col("owner").isNotNull()).select("owner", "place", "segment")
+        few = words.join(many, "minimiser", "left_anti").unionByName(summed.join(large, "minimiser", "left_anti").select(words.columns))
+        dealt = few.select(F.xxhash64("minimiser").alias("dealt"), "segment", "words", "copies").unionByName(
+            windows.where(F.col("words").isNotNull()).select(F.xxhash64("segment").alias("dealt"), "segment", "words", "copies")
+        )
+    volume = dealt.agg(F.sum(F.length("words"))).first()[0] or 0
     shards = max(1, -(-volume // (6 * SHARD_WORDS)))  # some six bytes a word
-    dealt = words.join(large, "minimiser", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("segment"), F.col("blocks")).cast("int")
-    streamed = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.when(F.col("blocks") > 1, F.xxhash64("minimiser", "block")).otherwise(F.pmod(F.xxhash64("minimiser"), F.lit(shards))).alias("shard"),
-        (F.col("block") == own).alias("indexed"), "segment", "words", "copies",
-    )
-    runs = streamed.groupBy("shard").applyInPandas(lambda rows: matched(rows, window), "segment binary, runs array<int>")
+    dealt = dealt.withColumn("shard", F.pmod(F.col("dealt"), F.lit(shards))).drop("dealt")
+    runs = written(dealt.groupBy("shard").applyInPandas(lambda rows: matched(rows, window), "segment binary, runs array<int>"))
+    if owned is not None:
+        held = owned.join(runs.select("segment"), "segment").groupBy("owner").agg(F.collect_set("place").alias("at"))
+        whole = held.select(F.col("owner").alias("segment"), F.flatten(F.transform("at", lambda p: F.array(p, p))).alias("runs"))
+        runs = written(runs.unionByName(whole))
     places = pieces.where(F.col("key").isNotNull()).select("key", "first", "segment")
-    runs = written(runs)
     hit = places.join(runs, "segment").select("key", F.struct("first", "runs").alias("hit"))
     return hit.groupBy("key").agg(F.collect_set("hit").alias("hits"))
 

@@ -60,6 +60,30 @@ def test_many_segments_of_one_minimiser_are_split_into_blocks(docs_of, monkeypat
     assert sorted(flat, key=str) == brute_force(rows, 35)
 
 
+def test_shards_stay_bounded_when_many_texts_share_a_phrase_or_passage(docs_of, monkeypatch):
+    from pyspark.sql.group import GroupedData
+
+    monkeypatch.setattr(substring_dedup, "BLOCK_SEGMENTS", 40)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 500)
+    largest, apply = [], GroupedData.applyInPandas
+
+    def counted(self, *args):
+        sizes = self._df.groupBy("shard").agg({"*": "count", "segment": "approx_count_distinct"}).collect()
+        largest.append((max(r[1] for r in sizes), sum(r[1] for r in sizes)))
+        return apply(self, *args)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", counted)
+    phrase, passage = prose(21, 10), prose(22, 60)
+    rows = [(i, f"{prose(1000 + i, 45)} {phrase} {prose(3000 + i, 45)}") for i in range(300)]
+    rows += [(1000 + i, f"{prose(5000 + i, 12)} {passage} {prose(7000 + i, 12)}") for i in range(300)]
+    got = substring_dedup.remove_repeats(docs_of(rows).select("doc_id", "text"), 35)
+    flat = [tuple(r) for r in got.select("doc_id", "repeats.n_words", "repeats.n_removed", "repeats.kept_text").collect()]
+    assert sorted(flat, key=str) == brute_force(rows, 35)
+    (most, moved), = largest
+    assert most < 120  # no shard takes in all segments of the phrase or passage
+    assert moved < 1200
+
+
 def test_spans_and_columns(docs_of):
     common = prose(1, 40)
     docs = docs_of([(1, f"x y {common} z"), (2, common), (3, "short")]).withColumnRenamed("lang", "key").withColumnRenamed("source", "hits")
