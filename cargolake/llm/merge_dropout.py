@@ -4,10 +4,11 @@ The model's pieces and scores come from its file; nothing is trained. A text is
 cut into units that no piece crosses (before a run of blanks, around a line
 end, between a letter and a mark). In a unit the characters are merged by an agenda of candidate pairs, best
 score first, leftmost on ties. Every candidate, a piece at a place, is skipped
-for good if a hash of unit, place and length, keyed by seed and variant, falls
-below the dropout. The same key gives the same segmentation on every machine; a document
-uses ``VARIANTS`` keys in turn, so one word is cut in several ways. Without
-dropout the ids are those of the library.
+for good if a hash of place and length, keyed by seed, document and the unit's
+place among the units, falls below the dropout, so every occurrence of a word is
+cut anew. The same key gives the same segmentation on every machine; workers
+reuse the ids of a unit and a set of skipped candidates. Without dropout the ids
+are those of the library.
 
 Characters without a piece, and a literal U+2581, which stands for a blank in
 pieces, become bytes, so any text decodes to itself.
@@ -18,21 +19,24 @@ from __future__ import annotations
 import functools
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Container
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cargolake.llm.base import mix
+
 BLANK = "▁"  # the mark that stands for a blank in pieces
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 MARKS = r".,!?;:*&%$#|"  # no piece has a letter before one of these, so words end there
 UNIT = re.compile(rf"\n|{BLANK}*[{LETTERS}]+(?=[{MARKS}])|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
-VARIANTS = 2
-CACHE_UNITS = 800_000
+LONGEST = 64  # characters of a unit whose candidates are listed and kept
+CACHE_UNITS = 200_000
+CACHE_CUTS = 400_000
 NEVER = float("-inf")
 MASK = (1 << 32) - 1
+NEW = (b"", 0, b"", b"")  # a unit whose candidates are not listed
 
 
 def default_path() -> str:
@@ -42,8 +46,29 @@ def default_path() -> str:
 
 
 def skipped(drawn: int, place: int, length: int, below: int) -> bool:
-    """Whether the candidate of ``length`` characters at ``place`` is skipped; ``drawn`` is the unit's keyed hash."""
-    return drawn * (place * 0x9E3779B1 + length * 0x85EBCA77 | 1) & MASK < below
+    """Whether the candidate of ``length`` characters at ``place`` is skipped; ``drawn`` is the occurrence's keyed hash."""
+    return drawn * factor(place, length) & MASK < below
+
+
+def factor(place: int, length: int) -> int:
+    return place * 0x9E3779B1 + length * 0x85EBCA77 | 1
+
+
+def draws(seed: int, document: int, n: int) -> np.ndarray:
+    """An odd 32-bit hash for each of the ``n`` units of a document."""
+    key = mix(np.array([seed & (1 << 64) - 1], np.uint64)) + np.uint64(document & (1 << 64) - 1)
+    drawn = mix(mix(key * np.uint64(0x9E3779B97F4A7C15)) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (drawn >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+class Drawn:
+    """The skipped candidates of one occurrence, judged as they come up."""
+
+    def __init__(self, drawn: int, below: int):
+        self.drawn, self.below = drawn, below
+
+    def __contains__(self, candidate: tuple[int, int]) -> bool:
+        return skipped(self.drawn, *candidate, self.below)
 
 
 class PieceCodec:
@@ -72,21 +97,21 @@ class PieceCodec:
         if any(crossing.search(p) for p in self.ids):
             raise ValueError("pieces of this model cross blanks, line ends or the ends of words")
         self.mark = array("H", [self.bytes[b] for b in BLANK.encode()]).tobytes()
-        self.setting: tuple[int, float] | None = None  # what the caches hold for
-        self.caches: list[dict[str, bytes]] = []  # by variant; a full cache becomes the old one
-        self.old: list[dict[str, bytes]] = []
+        self.longest = max(map(len, self.ids), default=1)
+        # of the newer and the older generation; a full cache becomes the old one
+        self.units: list[dict[str, tuple]] = [{}, {}]  # ids without dropout, number of candidates, factors, candidates
+        self.cuts: list[dict[tuple, bytes]] = [{}, {}]  # ids by unit and skipped candidates
 
-    def _unit(self, unit: str, key: int, below: int) -> bytes:
+    def _unit(self, unit: str, gone: Container[tuple[int, int]] = ()) -> bytes:
         """Ids of a unit: the agenda as the scores of neighbouring symbols, the best taken first."""
         if not unit:
             return self.mark
         scores, symbols = self.scores, list(unit)
         agenda = [scores.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
         places: list[int] = []
-        if below:
-            drawn = xxhash.xxh32_intdigest(unit, key) | 1
+        if gone:
             places = list(range(len(symbols)))
-            agenda = [NEVER if s != NEVER and skipped(drawn, i, 2, below) else s for i, s in enumerate(agenda)]
+            agenda = [NEVER if s != NEVER and (i, 2) in gone else s for i, s in enumerate(agenda)]
         while agenda:
             best = max(agenda)
             if best == NEVER:
@@ -94,13 +119,13 @@ class PieceCodec:
             i = agenda.index(best)
             merged = symbols[i] = symbols[i] + symbols.pop(i + 1)
             del agenda[i]
-            if below:
+            if gone:
                 del places[i + 1]
             for k in (i - 1, i):
                 if 0 <= k < len(agenda):
                     piece = symbols[k] + merged if k < i else merged + symbols[k + 1]
                     found = scores.get(piece, NEVER)
-                    if found != NEVER and below and skipped(drawn, places[k], len(piece), below):
+                    if found != NEVER and gone and (places[k], len(piece)) in gone:
                         found = NEVER
                     agenda[k] = found
         out = array("H")
@@ -112,11 +137,45 @@ class PieceCodec:
                 out.extend(self.bytes[b] for b in s.encode("utf-8", "surrogatepass"))
         return out.tobytes()
 
+    def candidates(self, unit: str) -> list[tuple[int, int]]:
+        """Place and length of every piece in a unit that merges can reach."""
+        reached: set[tuple[int, int]] = {(i, 1) for i in range(len(unit))}
+        found = []
+        for length in range(2, min(self.longest, len(unit)) + 1):
+            for i in range(len(unit) - length + 1):
+                if unit[i : i + length] in self.scores and any(
+                    (i, k) in reached and (i + k, length - k) in reached for k in range(1, length)
+                ):
+                    found.append((i, length))
+                    reached.add((i, length))
+        return found
+
+    def _known(self, unit: str) -> tuple[bytes, int, bytes, bytes]:
+        """What the cache holds of a unit; its candidates are listed once it comes again, and never if it is long."""
+        found = self.units[1].get(unit) or self.units[0].get(unit)
+        if found is None or len(unit) > LONGEST:
+            found = NEW
+        elif found is NEW:
+            listed = self.candidates(unit)
+            factors = array("I", [factor(*c) & MASK for c in listed])
+            found = self._unit(unit), len(listed), factors.tobytes(), bytes(x for c in listed for x in c)
+        if len(self.units[0]) >= CACHE_UNITS:
+            self.units = [{}, self.units[0]]
+        self.units[0][unit] = found
+        return found
+
+    def _cut(self, unit: str, mask: int, listed: bytes) -> bytes:
+        """Ids of a unit without the candidates whose bits are set."""
+        found = self.cuts[1].get((unit, mask))
+        if found is None:
+            found = self._unit(unit, {c for i, c in enumerate(zip(listed[::2], listed[1::2])) if mask >> i & 1})
+        if len(self.cuts[0]) >= CACHE_CUTS:
+            self.cuts = [{}, self.cuts[0]]
+        self.cuts[0][unit, mask] = found
+        return found
+
     def encode(self, text: str | None, seed: int = 0, dropout: float = 0.0, document: int = 0) -> np.ndarray:
         """Ids of a whole text; a null or empty text has none."""
-        if self.setting != (seed, dropout):
-            self.setting = seed, dropout
-            self.caches, self.old = [{} for _ in range(VARIANTS)], [{} for _ in range(VARIANTS)]
         if not text:
             return np.empty(0, np.uint16)
         # a literal mark becomes bytes, which merge with nothing
@@ -125,32 +184,28 @@ class PieceCodec:
         for part in rest:
             units.append("")
             units += UNIT.findall(part.replace(" ", BLANK))
-        below, turn = int(dropout * 2**32), document % VARIANTS
+        below = int(dropout * 2**32)
         if not below:
-            return np.frombuffer(b"".join(self._known(units, seed, 0, 0)), np.uint16)
-        ids = [b""] * len(units)
-        for first in range(VARIANTS):  # every unit has its turn
-            ids[first::VARIANTS] = self._known(units[first::VARIANTS], seed, (turn + first) % VARIANTS, below)
+            return np.frombuffer(b"".join([self.cuts[0].get((u, 0)) or self._cut(u, 0, b"") for u in units]), np.uint16)
+        known = []
+        for u in units:
+            found = self.units[0].get(u)
+            known.append(self._known(u) if found is None or found is NEW else found)
+        plain, counts, factors, listed = zip(*known)
+        ids, drawn, counts = list(plain), draws(seed, document, len(units)), np.array(counts)
+        hit = np.flatnonzero(np.repeat(drawn, counts) * np.frombuffer(b"".join(factors), np.uint32) < below)
+        stops = np.cumsum(counts)
+        owner = np.searchsorted(stops, hit, "right")
+        masks: dict[int, int] = {}
+        for i, bit in zip(owner.tolist(), (hit - (stops - counts)[owner]).tolist()):
+            masks[i] = masks.get(i, 0) | 1 << bit
+        for i, mask in masks.items():
+            ids[i] = self.cuts[0].get((units[i], mask)) or self._cut(units[i], mask, listed[i])
+        for i, found in enumerate(known):
+            if found is NEW:
+                ids[i] = self._unit(units[i], Drawn(int(drawn[i]), below))
         return np.frombuffer(b"".join(ids), np.uint16)
 
-    def _known(self, units: list[str], seed: int, variant: int, below: int) -> list[bytes]:
-        """Ids of units under one key, from the cache as far as they are there."""
-        if len(self.caches[variant]) > CACHE_UNITS // VARIANTS:
-            self.caches[variant], self.old[variant] = {}, self.caches[variant]
-        cache = self.caches[variant]
-        ids = list(map(cache.get, units))
-        at = ids.index(None) if None in ids else -1
-        while at >= 0:
-            unit = units[at]
-            if unit not in cache:
-                cache[unit] = self.old[variant].get(unit) or self._unit(unit, seed * VARIANTS + variant, below)
-            ids[at] = cache[unit]
-            try:
-                at = ids.index(None, at + 1)
-            except ValueError:
-                at = -1
-        return ids
-
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; exact for ids of ``encode``."""
         text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")

@@ -50,6 +50,23 @@ def test_segmentations_vary_and_can_be_repeated():
     assert len(first) > len(merge_dropout.PieceCodec().encode(text))
 
 
+def test_frequent_words_are_cut_anew_in_every_place_and_document():
+    tool = merge_dropout.PieceCodec()
+    unit = merge_dropout.BLANK + "international"
+    cuts = {tool.encode("international", 3, 0.3, i).tobytes() for i in range(300)}
+    assert len(cuts) > 10
+    for i in range(300):  # as the agenda with a skip for each candidate
+        drawn = int(merge_dropout.draws(3, i, 1)[0])
+        below = int(0.3 * 2**32)
+        want = tool._unit(unit, merge_dropout.Drawn(drawn, below))
+        assert tool.encode("international", 3, 0.3, i).tobytes() == want
+    assert len(tool.candidates(unit)) > 5
+    repeated = tool.encode("the and with " * 400, 3, 0.1, 8).tolist()
+    assert len(set(map(tuple, np.array_split(repeated, 400)))) > 2
+    even = [tool.encode(prose(5, 100), 1, 0.1, i).tobytes() for i in range(0, 40, 2)]
+    assert len(set(even)) == len(even)
+
+
 def test_the_share_of_skipped_merges(codec):
     below = int(0.3 * 2**32)
     skips = [merge_dropout.skipped(drawn * 0x9E3779B1 & merge_dropout.MASK | 1, place, length, below)
