@@ -27,7 +27,10 @@ GRAM = 2
 WINNOW = 2
 BAND = 4  # words that an alignment may drift, and an eighth of the template
 COVERAGE = 0.8
+SHORT = 16  # words of a template at most whose naming words must match exactly
 WORD = re.compile(r"[^\W_]+")
+# Words of short notices that name no license.
+COMMON = frozenset("a an and code form international is license licensed of released source subject terms the this to under v version work".split())
 
 # Short notices of public licenses.
 TEMPLATES = {
@@ -59,6 +62,8 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+COMMON_HASHES = frozenset(hash_words([w.encode() for w in sorted(COMMON)]).tolist())
+
 SCHEMA = (
     "license string, coverage double, matched_words int, first_word int, last_word int, first_char int, last_char int"
 )
@@ -108,6 +113,20 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     return n, -first, last
 
 
+def naming(words: np.ndarray) -> list[int]:
+    """The words that tell one license from another: all but common ones."""
+    return [w for w in words.tolist() if w not in COMMON_HASHES]
+
+
+def names_it(template: np.ndarray, span: np.ndarray) -> bool:
+    """Whether the span, from the first naming word of a short template on, has just the template's naming words."""
+    wanted = naming(template)
+    if len(template) > SHORT or not wanted:
+        return True
+    at = np.flatnonzero(span == np.uint64(wanted[0]))
+    return any(naming(span[i:]) == wanted for i in at)
+
+
 @dataclass
 class Scanner:
     templates: dict[str, str]
@@ -171,7 +190,7 @@ class Scanner:
         for t, diagonal in self.candidates(words):
             template = self.words[t]
             n, first, last = align(template, words, diagonal, self.band(t))
-            if n >= self.coverage * len(template):
+            if n >= self.coverage * len(template) and names_it(template, words[first : last + 1]):
                 hits.append((n / len(template), n, self.names[t], first, last))
         hits.sort(key=lambda h: (-h[1], -h[0], h[3], h[2]))
         taken: list[tuple] = []

@@ -56,6 +56,22 @@ def test_weak_matches_and_clean_texts_are_left_alone():
     assert SCANNER.matches("Permission is hereby granted, free of charge, to nobody.") == []
 
 
+@pytest.mark.parametrize("notice", [
+    "Released under the ISC License.", "Released under the MIT-0 License.", "Licensed under CC BY-SA 4.0.",
+    "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY-NC 3.0.", "Licensed under the Apache License, Version 1.0.",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License.",
+])
+def test_other_licenses_are_not_misnamed(notice):
+    assert SCANNER.matches(f"{prose(4, 30)}\n{notice}\n{prose(5, 30)}") == []
+
+
+def test_common_words_of_short_notices_may_differ():
+    assert [f[0] for f in SCANNER.matches("Licensed under the Apache License 2.0.")] == ["Apache-2.0"]
+    assert [f[0] for f in SCANNER.matches("Work licensed under the GNU General Public License, version 3.")] == ["GPL-3.0"]
+
+
 def test_every_occurrence_is_reported():
     mit = licenses.TEMPLATES["MIT"]
     found = SCANNER.matches(f"{mit} {prose(1, 20)} {mit}\n{mit}")
