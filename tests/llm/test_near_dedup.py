@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from itertools import combinations
 
@@ -119,3 +120,10 @@ def test_components_of_long_chains_and_stars(spark):
 
 def test_components_without_links(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@pytest.mark.parametrize("share", [0.8, 0.85])
+def test_the_filter_before_full_sets_seldom_drops_a_pair_at_the_threshold(share):
+    n = 2 * near_dedup.PERMUTATIONS
+    below = [k for k in range(n + 1) if k / n < share - near_dedup.MARGIN]
+    assert sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in below) < 1e-7
