@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolake.llm import fingerprints, host_quality, language, licenses, merge_dropout, near_dedup, packing, substring_dedup, token_store, toxicity
+from cargolake.llm import (
+    divergence, fingerprints, host_quality, language, licenses, merge_dropout, near_dedup, packing, simhash,
+    substring_dedup, token_store, toxicity,
+)
 from cargolake.llm.base import crc_of_id, documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,8 +80,17 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op11_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(documents(spark, sf_dir), words=3)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_min_max_near_dedup, op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op5_fm_index_substrings,
     op6_merge_dropout_pieces, op7_clause_toxicity, op8_license_scan, op9_best_fit_packing, op10_weighted_fingerprints,
+    op11_simhash_multi_index, op12_source_divergence,
 )}
-SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE}
+SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE, "op12_source_divergence": divergence.ORACLE}
