@@ -1,7 +1,7 @@
 """Audit of how far the sources of a language differ in their words.
 
-Identical texts of a language are collapsed to one row per source with its
-multiplicity, brought together, and tokenized once; a text adds its counts and
+Identical texts of a language are collapsed in the scan to rows of a source and
+a multiplicity, brought together, and tokenized once; a text adds its counts and
 its document frequency weighted by the multiplicity. Terms that enough
 documents of the language hold are kept. Every source and the language as a
 whole give each kept term a share of a fixed scale, smoothed by a prior, so a
@@ -28,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cargolake.llm.base import written
@@ -36,7 +38,9 @@ from cargolake.llm.base import written
 TERM_BYTES = bytes(
     b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
 )
-HELD_TERMS = 200_000  # sums a task holds before it hands them on
+KEYS = ["lang", "text", "source"]
+HELD_TERMS = 400_000  # sums a task holds before it hands them on
+HELD_CHARS = 1 << 24  # characters of repeated texts a task holds
 TERMS_A_GROUP = 1024
 SOURCES_A_BLOCK = 256
 
@@ -65,21 +69,30 @@ class Sums:
                 docs[term] += times
         self.size += len(uses) - before
 
-    def handed_on(self) -> Iterator[pd.DataFrame]:
-        for (lang, source), (uses, docs) in self.by_group.items():
-            if uses:
-                yield pd.DataFrame({
-                    "lang": lang, "source": source, "term": [t.decode("utf-8", "surrogatepass") for t in uses],
-                    "uses": list(uses.values()), "docs": [docs[t] for t in uses],
-                })
+    def handed_on(self) -> Iterator[pa.RecordBatch]:
+        """What is held, in order of terms: a term's sources are neighbours, so what is shuffled compresses well."""
+        parts = [(lang, source, list(uses), list(uses.values()), [docs[t] for t in uses]) for (lang, source), (uses, docs) in self.by_group.items()]
         self.by_group, self.size = {}, 0
-
-
-def _tokenized(batches: Iterator[pd.DataFrame], held_terms: int) -> Iterator[pd.DataFrame]:
+        if not any(terms for _, _, terms, _, _ in parts):
+            return
+        names, sizes = pa.array([p[:2] for p in parts], pa.list_(pa.string(), 2)).flatten(), [len(p[2]) for p in parts]
+        group = np.repeat(np.arange(len(parts)), sizes)
+        terms = [t for p in parts for t in p[2]]
+        start = np.array(terms, dtype="S8").view(">u8")
+        order = np.lexsort((group, start))
+        yield pa.RecordBatch.from_arrays([
+            names.take(pa.array(2 * group[order])), names.take(pa.array(2 * group[order] + 1)),
+            pa.array(terms, pa.binary()).take(pa.array(order)).cast(pa.string()),
+            pa.array(np.fromiter((n for p in parts for n in p[3]), np.int64, len(terms))[order]),
+            pa.array(np.fromiter((n for p in parts for n in p[4]), np.int64, len(terms))[order]),
+        ], ["lang", "source", "term", "uses", "docs"])
+
+
+def _tokenized(batches: Iterator[pa.RecordBatch], held_terms: int) -> Iterator[pa.RecordBatch]:
     """Weighted sums per language, source and term; equal texts of a language are adjacent rows."""
     sums, last, words, distinct = Sums(), None, [], set()
     for batch in batches:
-        for lang, text, source, times in zip(batch["lang"], batch["text"], batch["source"], batch["times"]):
+        for lang, text, source, times in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "source", "times"))):
             if last != (lang, text):
                 last, words = (lang, text), terms_of(text)
                 distinct = set(words)
@@ -89,15 +102,37 @@ def _tokenized(batches: Iterator[pd.DataFrame], held_terms: int) -> Iterator[pd.
     yield from sums.handed_on()
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their multiplicity. What a batch has once goes on at once; what it repeats is summed over the task's batches."""
+    held: dict[tuple[str, str, str], int] = {}
+    schema = pa.schema([(c, pa.string()) for c in KEYS] + [("times", pa.int64())])
+
+    def handed_on() -> pa.RecordBatch:
+        columns = [*map(list, zip(*held)), list(held.values())] if held else [[]] * 4
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+        held.clear()
+        return out
+
+    for batch in batches:
+        found = pa.Table.from_batches([batch]).group_by(KEYS).aggregate([([], "count_all")])
+        found = pa.Table.from_arrays([*(found[c] for c in KEYS), found["count_all"]], schema=schema)
+        again = pc.greater(found["times"], 1)
+        yield from found.filter(pc.invert(again)).to_batches()
+        for *key, times in zip(*(c.to_pylist() for c in found.filter(again).columns)):
+            held[tuple(key)] = held.get(tuple(key), 0) + times
+        if sum(len(text) for _, text, _ in held) > HELD_CHARS:
+            yield handed_on()
+    yield handed_on()
+
+
 def collapsed(docs: DataFrame) -> DataFrame:
-    """One row per language, text and source with its multiplicity; equal texts are adjacent.
+    """Rows of language, text, source and multiplicity; equal texts of a language are adjacent.
 
-    Copies collapse before the first shuffle, so a text that a third of all
-    documents repeat is one row per source and task there, and one row per
-    source in the second.
+    Copies collapse before the only shuffle of texts, so a text that a third of
+    all documents repeat is one row per source and task there.
     """
-    read = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counted = read.groupBy("lang", "text", "source").agg(F.count("*").alias("times"))
+    read = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in KEYS))
+    counted = read.mapInArrow(_counted, "lang string, text string, source string, times long")
     keyed = counted.withColumn("key", F.xxhash64("text"))
     return keyed.repartition("lang", "key").sortWithinPartitions("key", "lang", "text").drop("key")
 
@@ -140,7 +175,7 @@ def audit(docs: DataFrame, least_docs: int = 30, prior: int = 5, scale: int = 1_
     that the source uses more than its language does.
     """
     held_terms, block_size = HELD_TERMS, SOURCES_A_BLOCK
-    sums = collapsed(docs).mapInPandas(lambda batches: _tokenized(batches, held_terms), "lang string, source string, term string, uses long, docs long")
+    sums = collapsed(docs).mapInArrow(lambda batches: _tokenized(batches, held_terms), "lang string, source string, term string, uses long, docs long")
     of_term = Window.partitionBy("lang", "term")
     # One exchange by (lang, term) serves the sums per source, the document frequency and the language's count.
     terms = sums.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs"))
