@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolake.llm import (
-    divergence, fingerprints, host_quality, language, licenses, merge_dropout, near_dedup, packing, simhash,
+    conversations, divergence, fingerprints, host_quality, language, licenses, merge_dropout, near_dedup, packing, simhash,
     substring_dedup, token_store, toxicity,
 )
 from cargolake.llm.base import crc_of_id, documents, labels
@@ -88,9 +88,14 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.report(conversations.repair(conversations.damaged(rows)))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_min_max_near_dedup, op2_word_backoff_language, op3_host_quality, op4_wavelet_tokens, op5_fm_index_substrings,
     op6_merge_dropout_pieces, op7_clause_toxicity, op8_license_scan, op9_best_fit_packing, op10_weighted_fingerprints,
-    op11_simhash_multi_index, op12_source_divergence,
+    op11_simhash_multi_index, op12_source_divergence, op13_conversation_repair,
 )}
 SQL: dict[str, str] = {"op3_host_quality": host_quality.ORACLE, "op12_source_divergence": divergence.ORACLE}

@@ -1,0 +1,193 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import pytest
+
+from cargolake.llm import conversations
+from cargolake.llm.audit_path import Best, Paths, ranked
+
+BODY = re.compile(r"[^\x20\x09-\x0D]")
+SOUND = re.compile(r"(s?(ua)+)?")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def plain_damage(rows):
+    out = []
+    for conv_id, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv_id, turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return out
+
+
+def faults(turns):
+    found, seen = [], set()
+    for turn in turns:
+        body = BODY.findall(turn[1])
+        found.append("blank" if not body else "duplicate" if turn in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add(turn)
+    return found
+
+
+def plain_repair(turns):
+    """Cost, audit and repaired turns from whole strings and turns in every state; the state is the initials' end."""
+    at = {"": (0, "", [])}
+
+    def offer(into, state, found):
+        if state not in into or found[:2] < into[state][:2]:
+            into[state] = found
+
+    def inserted(at):
+        out = dict(at)
+        for _ in range(4):
+            for state, (cost, audit, kept) in list(out.items()):
+                role = "assistant" if state == "u" else "user"
+                offer(out, role[0], (cost + 2, audit + "I", [*kept, (role, "")]))
+        return out
+
+    for (role, text), fault in zip(turns, faults(turns)):
+        into = {}
+        # insertions of all lengths are offered with every edit, since the least audit may have them before it
+        for state, (cost, audit, kept) in at.items():
+            for n in range(5):
+                offer(into, state, (cost + 3, audit + "D", kept))
+                if fault not in ("blank", "duplicate"):
+                    late = fault == "truncated"
+                    for extra, letter, name in ((0, "K", role), (2, "R", "user"), (2, "R", "assistant")):
+                        if name and state + name[0] in ("s", "u", "su", "ua", "au"):
+                            offer(into, name[0], (cost + extra + late, audit + letter, [*kept, (name, text)]))
+                name = "assistant" if state == "u" else "user"
+                state, cost, audit, kept = name[0], cost + 2, audit + "I", [*kept, (name, "")]
+        at = into
+    return min(found for state, found in inserted(at).items() if state in ("", "a"))
+
+
+def brute_force(rows, damage=True):
+    convs = {r[0]: [] for r in rows}
+    for r in plain_damage(rows) if damage else rows:
+        convs[r[0]].append(r)
+    out = []
+    for conv_id, own in convs.items():
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        turns = [r[2:] for r in own]
+        known = [r[1] for r in own if r[1] is not None]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        kinds = faults(turns)
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        cost, audit, kept = plain_repair(turns)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest()
+        out.append((conv_id, gaps, *(kinds.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest))
+    return sorted(out, key=str)
+
+
+def result(df):
+    assert df.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert [t for _, t in df.dtypes[1:7]] == ["bigint"] * 6
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def made(seed, convs=60, longest=9):
+    rng, rows = random.Random(seed), []
+    for conv_id in range(convs):
+        for turn in range(rng.randint(1, longest)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            text = rng.choice(["Yes.", "No!", "Well", " \n", None, "Why? ", "x.\t", f"Turn {turn}.", f"Größe {rng.random()}."])
+            rows.append((conv_id, rng.choice([turn, turn, turn + 3, None]), role, text))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return lambda rows, n=3: spark.createDataFrame(rows, SCHEMA).repartition(n)
+
+
+def test_repairs_equal_those_from_whole_strings(table):
+    rows = made(1) + made(2, 4, 60) + [(None, 0, "user", "Hello."), (None, 1, "assistant", "Yes."), (None, None, None, None)]
+    assert result(conversations.report(conversations.repair(conversations.damaged(table(rows))))) == brute_force(rows)
+
+
+@pytest.mark.parametrize("part_rows", [1, 3, 7])
+def test_conversations_in_many_parts_give_the_same(table, part_rows, monkeypatch):
+    monkeypatch.setattr(conversations, "FAN", 3)
+    rows = made(part_rows, 6, 90) + made(8, 1, 2) + [(77, i, "assistant", "The same.") for i in range(40)]
+    parts = conversations.repair(conversations.damaged(table(rows)), part_rows=part_rows)
+    assert parts.where("n_parts > 9").count()
+    assert result(conversations.report(parts)) == brute_force(rows)
+
+
+def test_dropped_conversations_stay_and_an_empty_table_has_none(table):
+    dropped = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    rows = [(dropped, 0, "user", "Gone."), (dropped, 0, "user", "Gone."), (2000, 1, "user", "Here.")]
+    found = result(conversations.report(conversations.repair(conversations.damaged(table(rows)))))
+    assert found == brute_force(rows)
+    assert (dropped, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) in found
+    assert conversations.report(conversations.repair(conversations.damaged(table([])))).collect() == []
+
+
+def test_text_ids_extra_columns_and_repaired_turns(spark):
+    rows = spark.createDataFrame(
+        [("a", 0, "user", "Hi.", "x", 1), ("a", 1, "user", "Well", "y", 2), ("b", 0, "assistant", "So.", "z", 3)],
+        "conv_id string, turn int, role string, text string, k string, part int",
+    )
+    found = {r["conv_id"]: ([tuple(t) for t in r["turns"]], r["audit"], r["cost"]) for r in conversations.repair(rows).collect()}
+    assert found == {"a": ([("user", "Hi."), ("assistant", "Well")], "KR", 3), "b": ([("user", ""), ("assistant", "So.")], "IK", 2)}
+
+
+def test_every_edit_sequence_of_small_conversations_is_enumerated():
+    """The program against all sequences of up to four edits and three insertions."""
+    for letters in map("".join, product("xsuaoUA", repeat=3)):
+        best = None
+        for edits in product("DKR", repeat=3):
+            for places in product(range(3), repeat=4):
+                state, cost, audit = "", 0, ""
+                initials = ""
+                for i in range(4):
+                    for _ in range(places[i]):
+                        state = "a" if state == "u" else "u"
+                        initials, cost, audit = initials + state, cost + 2, audit + "I"
+                    if i == 3:
+                        break
+                    edit, letter = edits[i], letters[i]
+                    audit += edit
+                    if edit == "D":
+                        cost += 3
+                        continue
+                    state = letter.lower() if edit == "K" else "a" if state == "u" else "u"
+                    initials += state
+                    cost += (99 if letter == "x" else 0) + (2 if edit == "R" else 0) + letter.isupper()
+                if cost < 99 and SOUND.fullmatch(initials):
+                    best = min(best or (99, ""), (cost, audit))
+        assert conversations.whole_edits(letters) == best
+
+
+@pytest.mark.parametrize("modulus", [(1 << 61) - 1, 5, 1])  # few hashes: every comparison must survive collisions
+def test_paths_compare_like_strings(modulus):
+    rng, paths, known = random.Random(modulus), Paths(modulus), {0: ()}
+    for _ in range(300):
+        node = rng.choice(list(known)[-40:])
+        symbol = rng.randrange(2)
+        known[paths.extended(node, symbol)] = (*known[node], symbol)
+    for _ in range(4000):
+        a, b = rng.choice(list(known)), rng.choice(list(known))
+        want = (known[a] > known[b]) - (known[a] < known[b])
+        found = paths.compared(a, b)
+        assert (found > 0) - (found < 0) == want
+        assert paths.symbols(a) == list(known[a])
+        assert paths.symbols(paths.lifted(a, len(known[a]) // 2)) == list(known[a][: len(known[a]) // 2])
+    some = rng.sample(list(known), 12)
+    order = sorted({known[n] for n in some})
+    assert ranked(paths, some) == [order.index(known[n]) for n in some]
+
+
+def test_best_keeps_the_least_of_the_cheapest():
+    paths = Paths()
+    best = Best(paths)
+    for cost, symbols in ((3, (2, 1)), (3, (1, 2)), (4, (0,)), (3, (1, 3))):
+        best.offer(0, cost, 0, *symbols)
+    assert (best.at[0][0], paths.symbols(best.at[0][1])) == (3, [1, 2])
