@@ -34,10 +34,10 @@ from cargolake.sources.tables import (
     publish_dimension,
     publish_fact,
     publish_jdbc,
+    publish_table,
     read_optional,
     read_or_empty,
     read_table,
-    write_table,
 )
 from cargolake.sources.telemetry import broken_count, parsed, scan_lines, to_bronze, to_rejected
 from cargolake.sources.workbooks import book_errors, expense_rows, scan_workbooks
@@ -93,10 +93,10 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
         files = decoded.agg(F.count_distinct("path"), F.count_distinct(F.when(F.col("read_error").isNotNull(), F.col("path")))).first()
         if not files[0]:
             return "no files"
-        write_table(book_errors(decoded), cfg.bronze("quarantine/books"))
+        publish_table(book_errors(decoded), cfg.bronze("quarantine/books"))
         if files[0] == files[1]:
             return "failed: no readable book"
-        write_table(expense_rows(decoded, cfg.run_ts), cfg.bronze("excel/all_expenses"))
+        publish_table(expense_rows(decoded, cfg.run_ts), cfg.bronze("excel/all_expenses"))
         return loaded(files[1], "books")
 
     def logs() -> str:
@@ -110,9 +110,9 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, str]:
             return "no files"
         points = parsed(lines)
         watch = Observation("lines")
-        write_table(to_bronze(points.observe(watch, broken_count().alias("n")), cfg.run_ts), target, partition_by=["log_date"])
-        if watch.get["n"]:
-            write_table(to_rejected(points, cfg.run_ts), rejects)
+        publish_table(to_bronze(points.observe(watch, broken_count().alias("n")), cfg.run_ts), target, partition_by=["log_date"])
+        if watch.get["n"] or read_optional(spark, rejects) is not None:  # those of an earlier run do not stay
+            publish_table(to_rejected(points, cfg.run_ts), rejects)
         return loaded(watch.get["n"], "lines")
 
     outcome = {}
@@ -141,7 +141,7 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
 
     def write_counted(df: DataFrame, name: str, path: str, metrics: Mapping[str, Column]) -> None:
         watched, watch = observed(df, name, metrics)
-        write_table(watched, path)
+        publish_table(watched, path)
         counts[name] = watch.get
 
     def attempt(name: str, work: Callable[[], None]) -> None:
@@ -175,7 +175,7 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
         if points is not None:
             # the folder column comes back as a date; the schema has it as text
             clean = entities.clean_telemetry(conform(points, TELEMETRY_BRONZE), cfg.run_ts)
-            write_table(
+            publish_table(
                 clean, cfg.silver("json/telemetry"),
                 partition_by=["event_date"], sort_by=["order_key", "timestamp"],
             )
@@ -186,7 +186,7 @@ def run_silver(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, dict[str,
         found = {t: read_optional(spark, cfg.silver(f"postgres/{t}")) for t in REPORTED}
         tables = {t: df for t, df in found.items() if df is not None}
         if tables:
-            write_table(quality_report(tables, cfg.run_ts), cfg.silver("metadata/quality_report"))
+            publish_table(quality_report(tables, cfg.run_ts), cfg.silver("metadata/quality_report"))
 
     for table in SIMPLE_ENTITIES:
         attempt(table, lambda table=table: simple(table))
@@ -240,7 +240,7 @@ def run_gold(spark: SparkSession, cfg: WarehouseConfig, failed: Collection[str]
 
     expenses = read_or_empty(spark, cfg.silver("excel/all_expenses"), SILVER_EXPENSES)
     by_day = cfg.silver("aggregated/expenses_by_vehicle")
-    write_table(conform(expenses_by_vehicle_day(expenses), EXPENSES_BY_VEHICLE), by_day)
+    publish_table(conform(expenses_by_vehicle_day(expenses), EXPENSES_BY_VEHICLE), by_day)
 
     trip_points = read_or_empty(
         spark, cfg.silver("json/telemetry"),
@@ -261,7 +261,7 @@ def run_checks(spark: SparkSession, cfg: WarehouseConfig) -> None:
     """Report how far the ingested tables keep the rules of the operational database."""
     found = {t: read_optional(spark, cfg.bronze(f"postgres/{t}")) for t in OPERATIONAL}
     tables = {t: conform(df, OPERATIONAL[t], lenient=True) for t, df in found.items() if df is not None}
-    write_table(constraint_report(tables), cfg.silver("metadata/constraint_report"))
+    publish_table(constraint_report(tables), cfg.silver("metadata/constraint_report"))
 
 
 def run_all(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, object]:

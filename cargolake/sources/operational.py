@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from cargolake.config import OPERATIONAL_TABLES
-from cargolake.sources.tables import write_table
+from cargolake.sources.tables import publish_table
 
 FETCH_ROWS = 10_000
 REPORT = "table string, status string, message string"
@@ -56,7 +56,7 @@ def ingest_tables(
     report = []
     for table in tables:
         try:
-            write_table(read(table), f"{out}/{table}")
+            publish_table(read(table), f"{out}/{table}")
             report.append((table, "loaded", None))
         except Exception as e:  # whatever stops one table must not stop the others
             report.append((table, "failed", (str(e) or repr(e)).splitlines()[0]))

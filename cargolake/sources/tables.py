@@ -1,28 +1,35 @@
-"""Layer tables as Parquet directories, and the mart writers."""
+"""Layer tables as Parquet files, and the mart writers."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from cargolake.operators.dedup import latest_by_key
 from cargolake.schemas import STAR, Schema, conform, ddl, empty
+from cargolake.sources.versions import KEEP, expire, new_version, publish, resolved, store_of
 
 # Fixed value: rows per insert statement of a mart load over JDBC.
 INSERT_BATCH = 1000
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The current version of a published table, or the files of a plain folder.
+
+    What is read stays the same version until its files expire, whatever is
+    published meanwhile.
+    """
+    return spark.read.parquet(resolved(spark, path))
 
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None when it was never written."""
     try:
-        return spark.read.parquet(path)
+        return read_table(spark, path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -35,12 +42,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     return empty(spark, schema) if df is None else conform(df, schema)
 
 
-def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
-) -> None:
-    """Full refresh. The rows are written beside the table, which is exchanged once they are all there.
+def laid_out(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrameWriter:
+    """A writer of ``df`` in the layout of a table.
 
-    So a run that fails leaves the old table as it was, and ``df`` may read it.
     Before a partitioned write the rows are rebalanced by the partition
     columns: a small day ends up in one file, a day that holds a third of the
     rows is split over tasks, and no task opens a file for every day.
@@ -52,12 +56,40 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    return df.write.partitionBy(*partition_by) if partition_by else df.write
+
+
+def publish_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), keep: timedelta = KEEP
+) -> None:
+    """Full refresh. The rows are written as a new version, which one small file makes the current one.
+
+    So a run that fails, or dies at any point, leaves the old table as it was,
+    ``df`` may read it, and jobs that read the old version go on doing so for
+    ``keep``. No data is renamed. Read such a table with ``read_table``.
+    """
+    spark, version = df.sparkSession, new_version(path)
+    try:
+        laid_out(df, partition_by, sort_by).parquet(version)
+    except Exception:
+        discard(spark, version)
+        raise
+    publish(spark, path, version)
+    expire(spark, path, keep)
+
+
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> None:
+    """Full refresh of a plain folder, for readers that take its files as they are.
+
+    The rows are written beside the folder, which is exchanged once they are
+    all there, by two renames; a run that fails before leaves the old folder as
+    it was. Where a rename copies (object stores) use ``publish_table``.
+    """
     staged = beside(path, "new")
     try:
-        writer.parquet(staged)
+        laid_out(df, partition_by, sort_by).parquet(staged)
     except Exception:
         discard(df.sparkSession, staged)
         raise
@@ -70,25 +102,20 @@ def beside(path: str, word: str) -> str:
     return f"{folder}/_{name}-{word}-{uuid.uuid4().hex}"
 
 
-def _store(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    store, at = _store(spark, path)
+    store, at = store_of(spark, path)
     return store.exists(at)
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    store, at = _store(spark, path)
+    store, at = store_of(spark, path)
     store.delete(at, True)
 
 
 def exchange(spark: SparkSession, staged: str, path: str) -> None:
     """Put the written folder ``staged`` in the place of ``path``; the old one goes only when the new one stands."""
-    store, target = _store(spark, path)
-    new, old = _store(spark, staged)[1], _store(spark, beside(path, "old"))[1]
+    store, target = store_of(spark, path)
+    new, old = store_of(spark, staged)[1], store_of(spark, beside(path, "old"))[1]
     there = store.exists(target)
     if there and not store.rename(target, old):
         raise OSError(f"cannot move {path}")
@@ -106,7 +133,7 @@ def declare_marts(spark: SparkSession, gold: str) -> list[str]:
     created = []
     for name, schema in STAR.items():
         if read_optional(spark, f"{gold}/{name}") is None:
-            write_table(empty(spark, schema), f"{gold}/{name}")
+            publish_table(empty(spark, schema), f"{gold}/{name}")
             created.append(name)
     return created
 
@@ -117,7 +144,7 @@ def publish_dimension(df: DataFrame, name: str, gold: str) -> None:
     df = conform(df, schema)
     if "etl_updated_at" in schema:
         df = latest_by_key(df, [next(iter(schema))], "etl_updated_at")
-    write_table(df, f"{gold}/{name}")
+    publish_table(df, f"{gold}/{name}")
 
 
 def publish_fact(
@@ -138,7 +165,7 @@ def publish_fact(
     if sorted_layout:
         key = ("time_id", "order_key")
         fact = fact.repartitionByRange(*key).sortWithinPartitions(*key)
-    write_table(fact, f"{gold}/fact_orders")
+    publish_table(fact, f"{gold}/fact_orders")
     return True
 
 
