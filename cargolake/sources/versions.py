@@ -58,7 +58,7 @@ def _children(spark: SparkSession, path: str) -> list:
         raise
 
 
-def _content(spark: SparkSession, path: str) -> list[str]:
+def content(spark: SparkSession, path: str) -> list[str]:
     """The lines of a small file; none if it was removed meanwhile."""
     store, at = store_of(spark, path)
     try:
@@ -74,7 +74,7 @@ def _content(spark: SparkSession, path: str) -> list[str]:
 
 
 def _entry(spark: SparkSession, path: str, number: int, put_at: int) -> Entry | None:
-    lines = _content(spark, f"{path}/{LOG}/{number:020d}")
+    lines = content(spark, f"{path}/{LOG}/{number:020d}")
     return Entry(number, f"{path}/{VERSIONS}/{lines[0]}", put_at) if lines[1:] == [MARK] else None
 
 
@@ -104,9 +104,9 @@ def new_version(path: str) -> str:
     return f"{path}/{VERSIONS}/{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex}"
 
 
-def put_entry(spark: SparkSession, path: str, number: int, folder: str) -> bool:
-    """Put the entry that makes ``folder`` the current version; False if another writer has taken the number."""
-    store, at = store_of(spark, f"{path}/{LOG}/{number:020d}")
+def put(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in one request; False if there is one."""
+    store, at = store_of(spark, path)
     if store.exists(at):
         return False
     try:
@@ -116,12 +116,17 @@ def put_entry(spark: SparkSession, path: str, number: int, folder: str) -> bool:
             return False
         raise
     try:
-        stream.write(bytearray(f"{folder.rsplit('/', 1)[-1]}\n{MARK}".encode()))
+        stream.write(bytearray(text.encode()))
     finally:
         stream.close()  # on an object store the file is there from here on, whole
     return True
 
 
+def put_entry(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    """Put the entry that makes ``folder`` the current version; False if another writer has taken the number."""
+    return put(spark, f"{path}/{LOG}/{number:020d}", f"{folder.rsplit('/', 1)[-1]}\n{MARK}")
+
+
 def publish(spark: SparkSession, path: str, folder: str) -> int:
     """Make the written version the current one; returns its number."""
     numbers = _numbers(spark, path)
