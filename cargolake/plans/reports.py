@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cargolake.config import durable
 from cargolake.functions.dates import week_start
 from cargolake.functions.numbers import round_mean, safe_ratio, sum_money
-from cargolake.operators.ordered import global_median, global_ntiles, global_rank, value_positions
+from cargolake.operators.ordered import global_ntiles, global_rank, median_value, value_positions
 from cargolake.schemas import day
 
 
@@ -76,8 +76,8 @@ def rfm(
 ) -> DataFrame:
     """Customer RFM: quartile scores, score code and segment, worst scores first.
 
-    Ties in a measure are broken by customer id. The quartiles of all three
-    measures come from one range partitioning, so no task sees all customers.
+    Ties in a measure are broken by customer id. The rows that close a quartile
+    of the three measures are selected together, so no customer is moved.
     """
     base = durable(customer_rfm_base(fact, dim_customer, dim_time, as_of, unique_orders))
     measures = {
@@ -127,13 +127,13 @@ def vehicle_base(fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5) ->
 def vehicle_efficiency(fact: DataFrame, dim_vehicle: DataFrame, min_trips: int = 5) -> DataFrame:
     """Vehicles ranked by cost per unit of cargo, with the deviation from the median in percent.
 
-    Median and rank use the cost rounded to cents, as the report shows it. Both
-    come from one range partitioning of the distinct costs.
+    Median and rank use the cost rounded to cents, as the report shows it. The
+    median is selected; ranks come from the distinct costs.
     """
     base = durable(vehicle_base(fact, dim_vehicle, min_trips))
     positions = value_positions(base, "cost_per_kg")
     ranked = global_rank(base, "cost_per_kg", positions, "efficiency_rank").withColumn(
-        "_median", global_median("cost_per_kg", positions)
+        "_median", F.lit(median_value(base, "cost_per_kg", ["vehicle_id"])).cast("double")
     )
     deviation = safe_ratio(F.col("cost_per_kg"), F.col("_median")) * 100 - 100
     return (
