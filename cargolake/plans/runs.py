@@ -200,20 +200,28 @@ def failed_tables(counts: Mapping[str, Mapping[str, object]]) -> set[str]:
     return {name for name, found in counts.items() if "failed" in found}
 
 
+# The silver table each dimension is built from.
+DIMENSIONS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
+    "dim_customer": ("customers", marts.dim_customer),
+    "dim_driver": ("drivers", marts.dim_driver),
+    "dim_vehicle": ("vehicles", marts.dim_vehicle),
+    "dim_warehouse": ("warehouses", marts.dim_warehouse),
+    "dim_product": ("products", marts.dim_product),
+}
+
+
 def run_gold(spark: SparkSession, cfg: WarehouseConfig, failed: Collection[str] = ()) -> dict[str, object] | None:
     """Calendar, dimensions, daily vehicle costs and the fact; with ``mart_url`` they are loaded into the database too.
 
-    Nothing is published from the silver tables in ``failed``; the old marts
-    stay. Returns the numbers of orders and matched trips, or None when there
-    were no sales, or none to trust, and the old fact was left in place. Marts
-    that were not published are listed under ``skipped``.
+    Each mart stands by itself: what stops one is listed under ``failed`` with
+    the reason, its old version stays, and the others are published. Nothing is
+    published from the silver tables in ``failed``, nor from missing ones;
+    those marts are listed under ``skipped``. Returns the numbers of orders and
+    matched trips, or None when there were no sales, or none to trust, and the
+    old fact was left in place.
     """
     size_shuffle(spark, cfg.silver("").rstrip("/"))
-
-    def silver(table: str) -> DataFrame:
-        return read_table(spark, cfg.silver(f"postgres/{table}"))
-
-    gold, skipped = cfg.gold("").rstrip("/"), []
+    gold, skipped, broken = cfg.gold("").rstrip("/"), [], {}
     declare_marts(spark, gold)
 
     def load(name: str) -> None:
@@ -221,40 +229,53 @@ def run_gold(spark: SparkSession, cfg: WarehouseConfig, failed: Collection[str]
             table = f"{cfg.mart_schema}.{name}"
             publish_jdbc(read_table(spark, f"{gold}/{name}"), cfg.mart_url, table, cfg.mart_properties, cfg.jdbc_rows)
 
-    def dimension(name: str, build: Callable[[], DataFrame], source: str | None = None) -> None:
-        if source in failed:
+    def attempt(name: str, work: Callable[[], object]) -> object:
+        try:
+            return work()
+        except Exception as e:  # whatever stops one mart must not stop the others
+            broken[name] = reason(e)
+            return None
+
+    def calendar() -> None:
+        publish_dimension(marts.dim_time(spark, cfg.calendar_start, cfg.calendar_end), "dim_time", gold)
+        load("dim_time")
+
+    def dimension(name: str) -> None:
+        source, build = DIMENSIONS[name]
+        rows = None if source in failed else read_optional(spark, cfg.silver(f"postgres/{source}"))
+        if rows is None:
             skipped.append(name)
             return
-        publish_dimension(build(), name, gold)
+        publish_dimension(build(rows, cfg.run_ts), name, gold)
         load(name)
 
-    dimension("dim_time", lambda: marts.dim_time(spark, cfg.calendar_start, cfg.calendar_end))
-    dimension("dim_customer", lambda: marts.dim_customer(silver("customers"), cfg.run_ts), "customers")
-    dimension("dim_driver", lambda: marts.dim_driver(silver("drivers"), cfg.run_ts), "drivers")
-    dimension("dim_vehicle", lambda: marts.dim_vehicle(silver("vehicles"), cfg.run_ts), "vehicles")
-    dimension("dim_warehouse", lambda: marts.dim_warehouse(silver("warehouses"), cfg.run_ts), "warehouses")
-    dimension("dim_product", lambda: marts.dim_product(silver("products"), cfg.run_ts), "products")
-    missing = {"skipped": skipped} if skipped else {}
-    if {"sale_headers", "expenses", "telemetry"} & set(failed):
-        return {"skipped": [*skipped, "fact_orders"]}
-
-    expenses = read_or_empty(spark, cfg.silver("excel/all_expenses"), SILVER_EXPENSES)
-    by_day = cfg.silver("aggregated/expenses_by_vehicle")
-    publish_table(conform(expenses_by_vehicle_day(expenses), EXPENSES_BY_VEHICLE), by_day)
-
-    trip_points = read_or_empty(
-        spark, cfg.silver("json/telemetry"),
-        {"order_key": "string", "timestamp": "timestamp_ntz", "spd": "double"},
-    )
-    sales = silver("sale_headers")
-    watch = Observation("fact_orders")
-    fact = marts.fact_orders(
-        sales, read_table(spark, by_day), trip_metrics(trip_points), cfg.run_ts, watch=watch
-    )
-    if not publish_fact(fact, gold, source=sales):
-        return missing or None
-    load("fact_orders")
-    return watch.get | missing
+    def orders() -> dict[str, object] | None:
+        sales = read_optional(spark, cfg.silver("postgres/sale_headers"))
+        if sales is None or {"sale_headers", "expenses", "telemetry"} & set(failed):
+            skipped.append("fact_orders")
+            return None
+        expenses = read_or_empty(spark, cfg.silver("excel/all_expenses"), SILVER_EXPENSES)
+        by_day = cfg.silver("aggregated/expenses_by_vehicle")
+        publish_table(conform(expenses_by_vehicle_day(expenses), EXPENSES_BY_VEHICLE), by_day)
+        trip_points = read_or_empty(
+            spark, cfg.silver("json/telemetry"),
+            {"order_key": "string", "timestamp": "timestamp_ntz", "spd": "double"},
+        )
+        watch = Observation("fact_orders")
+        fact = marts.fact_orders(
+            sales, read_table(spark, by_day), trip_metrics(trip_points), cfg.run_ts, watch=watch
+        )
+        if not publish_fact(fact, gold, source=sales):
+            return None
+        load("fact_orders")
+        return watch.get
+
+    attempt("dim_time", calendar)
+    for name in DIMENSIONS:
+        attempt(name, lambda name=name: dimension(name))
+    counts = attempt("fact_orders", orders)
+    missing = {word: found for word, found in (("skipped", skipped), ("failed", broken)) if found}
+    return (counts or {}) | missing or None
 
 
 def run_checks(spark: SparkSession, cfg: WarehouseConfig) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.errors import AnalysisException
@@ -169,19 +169,61 @@ def publish_fact(
     return True
 
 
-def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict, rows_per_writer: int = 500_000) -> None:
-    """Truncate a mart table and load it with batched inserts from tasks of ``rows_per_writer`` rows.
+def connection(spark: SparkSession, url: str, properties: Mapping[str, str]):
+    """A connection of the driver, by the same JDBC driver the tasks use."""
+    jvm, given = spark._jvm, spark._jvm.java.util.Properties()
+    for name, value in properties.items():
+        given.setProperty(name, str(value))
+    if "driver" in properties:  # a driver that came with --jars
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    return jvm.java.sql.DriverManager.getConnection(url, given)
+
+
+def in_transaction(spark: SparkSession, url: str, properties: Mapping[str, str], statements: Sequence[str]) -> None:
+    """Run statements in a database so that all take effect or none."""
+    opened = connection(spark, url, properties)
+    try:
+        opened.setAutoCommit(False)
+        statement = opened.createStatement()
+        try:
+            for sql in statements:
+                statement.executeUpdate(sql)
+            opened.commit()
+        except Exception:
+            opened.rollback()
+            raise
+        finally:
+            statement.close()
+    finally:
+        opened.close()
+
 
-    The rows are dealt anew before the insert, so the job before it keeps its
-    own parallelism. ``df`` is best a written table, since it is counted.
+def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict, rows_per_writer: int = 500_000) -> None:
+    """Replace the rows of a mart table by those of ``df``, all at once.
+
+    The rows are loaded into a table beside it, with batched inserts from tasks
+    of ``rows_per_writer`` rows, and dealt anew before, so the job ahead keeps
+    its own parallelism. When all are there the database takes them over in one
+    transaction: readers see the old mart or the new one, and a load that
+    breaks off, or dies, leaves the old one. The mart keeps its keys, grants
+    and indexes; it is created if it is missing. ``df`` is best a written
+    table, since it is counted.
     """
+    staged = f"{table}_new"
+    df.limit(0).write.mode("append").jdbc(url, table, properties=properties)
     (
         df.repartition(max(1, -(-df.count() // rows_per_writer)))
         .write.mode("overwrite")
         .option("truncate", True)
         .option("batchsize", INSERT_BATCH)
-        .jdbc(url, table, properties=properties)
+        .jdbc(url, staged, properties=properties)
     )
+    columns = ", ".join(df.columns)
+    in_transaction(df.sparkSession, url, properties, [
+        f"DELETE FROM {table}",
+        f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staged}",
+        f"DELETE FROM {staged}",
+    ])
 
 
 def table_declared(spark: SparkSession, name: str) -> bool:
