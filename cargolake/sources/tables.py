@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
-from cargolake.operators.dedup import latest_by_key
+from cargolake.operators.dedup import latest_by_key, upsert
 from cargolake.schemas import STAR, Schema, conform, ddl, empty
-from cargolake.sources.versions import KEEP, expire, new_version, publish, resolved, store_of
+from cargolake.sources.versions import (
+    KEEP, WHOLE, current, expire, new_version, publish, publish_folders, resolved_parts, store_of,
+)
 
 # Fixed value: rows per insert statement of a mart load over JDBC.
 INSERT_BATCH = 1000
+SCHEMA_PART = "schema"  # the part without rows that every table in parts has
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -23,7 +26,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     What is read stays the same version until its files expire, whatever is
     published meanwhile.
     """
-    return spark.read.parquet(resolved(spark, path))
+    folders = resolved_parts(spark, path)
+    return spark.read.parquet(folders[WHOLE]) if WHOLE in folders else _parts(spark, folders, folders)
+
+
+def _parts(spark: SparkSession, folders: Mapping[str, str], names: Collection[str]) -> DataFrame:
+    schema = spark.read.parquet(folders[SCHEMA_PART]).schema  # of one small file, whatever the number of parts
+    return spark.read.schema(schema).parquet(*(folders[n] for n in sorted({SCHEMA_PART, *names}) if n in folders))
+
+
+def read_parts(spark: SparkSession, path: str, names: Collection[str]) -> DataFrame:
+    """Some parts of a table that was published in parts; no file of another part is opened."""
+    return _parts(spark, resolved_parts(spark, path), names)
+
+
+def part_names(spark: SparkSession, path: str) -> set[str]:
+    """The parts of a table that have rows, or had some; none if it was never published in parts."""
+    return set(resolved_parts(spark, path)) - {WHOLE, SCHEMA_PART}
 
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
@@ -78,6 +97,69 @@ def publish_table(
     expire(spark, path, keep)
 
 
+def publish_parts(
+    df: DataFrame, path: str, part: Column, touched: Collection[str] | None = None, sort_by: Sequence[str] = (), keep: timedelta = KEEP
+) -> None:
+    """Replace the parts ``touched`` of a table by the rows of ``df``; without ``touched`` the whole table.
+
+    ``part`` names the part of a row; ``df`` holds the rows of the touched parts
+    and no others, and may read the table. Parts that are not touched keep their
+    files. All parts change at once, by one small file that lists a folder per
+    part, so there should be thousands of parts and not millions.
+    """
+    spark, version = df.sparkSession, new_version(path)
+    before = current(spark, path)
+    if touched is not None and (before is None or SCHEMA_PART not in before.parts):
+        raise ValueError(f"{path} was not published in parts")
+    try:
+        laid_out(df.withColumn("part", part.cast("string")), ["part"], sort_by).parquet(version)
+        if touched is None:
+            df.limit(0).write.parquet(f"{version}/{SCHEMA_PART}")
+    except Exception:
+        discard(spark, version)
+        raise
+    prefix = "part="
+    written = {n.removeprefix(prefix): f"{version}/{n}" for n in names_in(spark, version) if n.startswith(prefix)}
+    if touched is None:
+        publish_folders(spark, path, {SCHEMA_PART: f"{version}/{SCHEMA_PART}", **written})
+    else:
+        if set(written) - set(touched):
+            discard(spark, version)
+            raise ValueError(f"rows of other parts than the touched ones: {sorted(set(written) - set(touched))[:5]}")
+        rest = {n: f for n, f in resolved_parts(spark, path).items() if n not in set(touched)}
+        publish_folders(spark, path, rest | written, after=before.number)
+    expire(spark, path, keep)
+
+
+def bucket_name(keys: Sequence[str], buckets: int) -> Column:
+    """The part of a row by its keys: equal keys, NULLs included, share it; the number of buckets is in the name."""
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    return F.concat(F.lit(f"{buckets}-"), F.lpad(number.cast("string"), len(str(buckets)), "0"))
+
+
+def publish_keyed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Publish a table in buckets of its keys, for ``upsert_table``; some 256 MB a bucket are a good size."""
+    publish_parts(df, path, bucket_name(keys, buckets), sort_by=keys)
+
+
+def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> set[str]:
+    """Take the rows of ``source`` into a keyed table, in place of rows with the same keys; returns the buckets written.
+
+    ``source`` must hold at most one row per key (see ``latest_by_key``) and the
+    columns of the table; it is read twice, so it is best a written table. Only
+    buckets that a source row falls in are read, joined and written.
+    """
+    if SCHEMA_PART not in resolved_parts(spark, path):
+        raise ValueError(f"{path} has no buckets; publish it with publish_keyed")
+    buckets = {int(n.split("-")[0]) for n in part_names(spark, path)} or {1}
+    name = bucket_name(keys, buckets.pop())
+    rows = source.select(read_parts(spark, path, []).columns)
+    touched = {r[0] for r in rows.select(name.alias("n")).distinct().collect()}  # a row per bucket
+    if touched:
+        publish_parts(upsert(read_parts(spark, path, touched), rows, keys), path, name, touched, sort_by=keys)
+    return touched
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
 ) -> None:
@@ -102,6 +184,11 @@ def beside(path: str, word: str) -> str:
     return f"{folder}/_{name}-{word}-{uuid.uuid4().hex}"
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    store, at = store_of(spark, path)
+    return [status.getPath().getName() for status in store.listStatus(at)]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     store, at = store_of(spark, path)
     return store.exists(at)

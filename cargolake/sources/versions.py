@@ -3,7 +3,7 @@
 A published table is a folder with
 
     _versions/<time>-<unique>/...     the rows of one version, written where they stay
-    _log/<number>                     one small file per publication, which names its version
+    _log/<number>                     one small file per publication, which names its folders
 
 The entry with the highest number is the current version. It is put in one
 request when all rows are there, so a reader sees the old version or the new
@@ -13,6 +13,10 @@ An entry ends with a mark; one that is cut off, as a file system without atomic
 puts may leave it, counts as not there. Two writers cannot put the same number:
 the later one takes the next, and as each is a full refresh the last one wins.
 
+A table may be published in parts (buckets of a key, months). A publication then
+writes only the parts that change; its entry names their new folders and, for
+all other parts, the folders they have, so files of those are not touched.
+
 Old versions stay readable for as long as ``expire`` lets them, for jobs that
 began to read them; then their files go, and so do the leftovers of runs that
 died. The names begin with an underscore, so a reader that does not know the
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -33,14 +38,20 @@ MARK = "published"  # the last line of a whole entry
 KEEP = timedelta(days=1)
 
 
+WHOLE = ""  # the one part of a table without parts
+
+
 @dataclass(frozen=True)
 class Entry:
-    """A publication: its number, the folder of its version, and when it was put (milliseconds)."""
+    """A publication: its number, the folder of each part below ``_versions``, and when it was put (milliseconds)."""
 
     number: int
-    folder: str
+    parts: dict[str, str]
     put_at: int
 
+    def versions(self) -> set[str]:
+        return {folder.split("/")[0] for folder in self.parts.values()}
+
 
 def store_of(spark: SparkSession, path: str):
     """The file system of a path, and the path as it takes it."""
@@ -75,7 +86,10 @@ def content(spark: SparkSession, path: str) -> list[str]:
 
 def _entry(spark: SparkSession, path: str, number: int, put_at: int) -> Entry | None:
     lines = content(spark, f"{path}/{LOG}/{number:020d}")
-    return Entry(number, f"{path}/{VERSIONS}/{lines[0]}", put_at) if lines[1:] == [MARK] else None
+    if len(lines) < 2 or lines[-1] != MARK:
+        return None
+    named = [line.rpartition("\t") for line in lines[:-1]]
+    return Entry(number, {name: folder for name, _, folder in named}, put_at)
 
 
 def _numbers(spark: SparkSession, path: str) -> list[tuple[int, int]]:
@@ -94,9 +108,17 @@ def current(spark: SparkSession, path: str) -> Entry | None:
 
 
 def resolved(spark: SparkSession, path: str) -> str:
-    """The folder that holds the rows of a table: its current version, or the table's own folder if it has none."""
+    """The folder that holds the rows of a table without parts: its current version, or the table's own folder if it has none."""
+    folders = resolved_parts(spark, path)
+    if list(folders) != [WHOLE]:
+        raise ValueError(f"{path} is published in parts")
+    return folders[WHOLE]
+
+
+def resolved_parts(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder of every part of a table."""
     entry = current(spark, path)
-    return path if entry is None else entry.folder
+    return {WHOLE: path} if entry is None else {name: f"{path}/{VERSIONS}/{folder}" for name, folder in entry.parts.items()}
 
 
 def new_version(path: str) -> str:
@@ -122,16 +144,31 @@ def put(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
-def put_entry(spark: SparkSession, path: str, number: int, folder: str) -> bool:
-    """Put the entry that makes ``folder`` the current version; False if another writer has taken the number."""
-    return put(spark, f"{path}/{LOG}/{number:020d}", f"{folder.rsplit('/', 1)[-1]}\n{MARK}")
+def put_entry(spark: SparkSession, path: str, number: int, parts: Mapping[str, str]) -> bool:
+    """Put the entry that makes the folders the current ones; False if another writer has taken the number."""
+    root = f"{path}/{VERSIONS}/"
+    lines = [f"{name}\t{folder.removeprefix(root)}" if name else folder.removeprefix(root) for name, folder in parts.items()]
+    return put(spark, f"{path}/{LOG}/{number:020d}", "\n".join([*lines, MARK]))
 
 
 def publish(spark: SparkSession, path: str, folder: str) -> int:
     """Make the written version the current one; returns its number."""
+    return publish_folders(spark, path, {WHOLE: folder})
+
+
+def publish_folders(spark: SparkSession, path: str, parts: Mapping[str, str], after: int | None = None) -> int:
+    """Make the folders of all parts the current ones; returns the number of the publication.
+
+    A publication that keeps parts of entry ``after`` must follow it: it is
+    refused if another writer has published meanwhile.
+    """
+    if after is not None:
+        if not put_entry(spark, path, after + 1, parts):
+            raise RuntimeError(f"{path} was published by another writer")
+        return after + 1
     numbers = _numbers(spark, path)
     number = numbers[0][0] + 1 if numbers else 1
-    while not put_entry(spark, path, number, folder):
+    while not put_entry(spark, path, number, parts):
         number += 1
     return number
 
@@ -149,17 +186,22 @@ def expire(spark: SparkSession, path: str, keep: timedelta = KEEP) -> list[str]:
         return []
     before = time.time_ns() // 1_000_000 - keep // timedelta(milliseconds=1)
     gone = []
-    kept = {entries[0].folder} | {old.folder for new, old in zip(entries, entries[1:]) if new.put_at > before}
+    read = [entries[0], *(old for new, old in zip(entries, entries[1:]) if new.put_at > before)]
+    kept, folders = {v for e in read for v in e.versions()}, {f for e in read for f in e.parts.values()}
+    named = {v for e in entries for v in e.versions()}
     for status in _children(spark, f"{path}/{VERSIONS}"):
         name = status.getPath().getName()
-        folder = f"{path}/{VERSIONS}/{name}"
-        named = any(e.folder == folder for e in entries)
-        if folder not in kept and (named or int(name.split("-")[0]) <= before):
-            store, at = store_of(spark, folder)
+        if name not in kept and (name in named or int(name.split("-")[0]) <= before):
+            store, at = store_of(spark, f"{path}/{VERSIONS}/{name}")
             store.delete(at, True)
             gone.append(name)
-    for entry in entries[1:]:  # an entry goes after its rows, so a reader that holds it never lacks them for long
-        if entry.folder not in kept:
+        elif name in kept and name not in folders:  # parts of it that later publications replaced
+            for part in {f for e in entries for f in e.parts.values() if f.startswith(f"{name}/")} - folders:
+                store, at = store_of(spark, f"{path}/{VERSIONS}/{part}")
+                if store.delete(at, True):
+                    gone.append(part)
+    for entry in entries:  # an entry goes after its rows, so a reader that holds it never lacks them for long
+        if entry not in read:
             store, at = store_of(spark, f"{path}/{LOG}/{entry.number:020d}")
             store.delete(at, False)
     if entries[-1].put_at <= before:
