@@ -7,11 +7,15 @@ probability of the sets' Jaccard similarity, and the two vary less together
 than two minima. Entries of ``PERMUTATIONS_PER_BAND`` permutations form a band;
 documents that share a band are candidates.
 
-Links are confirmed on full sets. Equal sets are one class from the start.
-Then every class is compared with the first one of each of its bands. Where a
-band still holds several components, all pairs across components are compared
-too, in blocks of bounded size and inside the task, which returns only links
-that join components; no pairs are emitted. So no cap is set on any band.
+Links are confirmed on full sets (sets of 64-bit hashes of shingles). Sets whose
+size, sum and xor of hashes are equal are one class from the start.
+Then every class is compared with the first one of each of its bands, and, in
+rounds, those outside the largest component of a band with a few members of it.
+Where a band still holds several components, all pairs across components are
+compared too, in blocks of bounded size and inside the task, which returns only
+links that join components; no pairs are emitted. Blocks of the largest
+component meet those of the other members alone, so copies grow with the number
+of members outside it. No cap is set on any band.
 
 With 32 bands of four entries, a pair at a similarity of 0.85 shares no band
 with probability 6e-11, at 0.8 with 5e-8. Pairs are compared in full if their
@@ -38,7 +42,10 @@ PERMUTATIONS = 64
 PERMUTATIONS_PER_BAND = 2
 BANDS = PERMUTATIONS // PERMUTATIONS_PER_BAND
 MARGIN = 0.22
-BLOCK = 512  # classes compared with as many at a time
+MET = 4  # members of the largest component of a band that the others meet in a round
+WORTH = 0.1  # share of the members outside that a round must join for another one
+BLOCK = 2048  # classes compared with as many at a time, or fewer:
+BLOCK_SHINGLES = 1 << 20  # whose sets have so many members together
 TASK_ROWS = 4096  # rows of blocks that go to one call
 FILTER_BITS = 1 << 23
 
@@ -146,14 +153,44 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     return full.where(jaccard("a_text", "b_text") >= share - 1e-12).select("a", "b")
 
 
-def blocks(rows: DataFrame) -> DataFrame:
-    """Deal the members of each ``key`` (n of them) to pairs of blocks: one row for each pair its block is in."""
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class_id"), F.col("count")).cast("int")
-    dealt = rows.withColumn("count", count).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("count") - 1))
+def opened(rooted: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows (key, class_id, root) of bands that hold several components, with the largest of these (``main``).
+
+    ``n_main`` members of a band are in ``main`` and ``n_rest`` are not; their
+    sets have ``w_main`` and ``w_rest`` shingles.
+    """
+    rows = rooted.select("class_id", "root", "n_shingles", F.explode("bands").alias("key")).join(shared.where("n > 2").select("key"), "key")
+    parts = rows.groupBy("key", "root").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight"))
+    main = parts.groupBy("key").agg(
+        F.max(F.struct("size", "root", "weight")).alias("m"), F.sum("size").alias("n"), F.sum("weight").alias("w"), F.count("*").alias("parts")
+    ).where("parts > 1").select(
+        "key", F.col("m.root").alias("main"), F.col("m.size").alias("n_main"), (F.col("n") - F.col("m.size")).alias("n_rest"),
+        F.col("m.weight").alias("w_main"), (F.col("w") - F.col("m.weight")).alias("w_rest"),
     )
-    return dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("count", "other")
+    return rows.drop("n_shingles").join(main, "key")
+
+
+def met(open_rows: DataFrame, seed: int) -> DataFrame:
+    """Pairs (a, b) of every class outside the largest component of a band with a few members of that component."""
+    inside = F.col("root") == F.col("main")
+    drawn = [F.min(F.when(inside, F.struct(F.xxhash64("class_id", F.lit(seed * MET + i)).alias("h"), "class_id"))).alias(f"b{i}") for i in range(MET)]
+    members = open_rows.groupBy("key").agg(*drawn).select("key", F.array_distinct(F.array(*(F.col(f"b{i}.class_id") for i in range(MET)))).alias("members"))
+    return open_rows.where(~inside).join(members, "key").select(F.col("class_id").alias("a"), F.explode("members").alias("b")).distinct()
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """Deal the members of each ``key`` to pairs of blocks: one row for each pair its block is in.
+
+    The largest component has blocks of its own, which are paired with those of
+    the other members and not with one another.
+    """
+    number = lambda part: F.ceil(F.greatest(F.col(f"n_{part}") / BLOCK, F.col(f"w_{part}") / BLOCK_SHINGLES)).cast("int")
+    main_blocks, other_blocks = number("main"), number("rest")
+    inside, hashed = F.col("root") == F.col("main"), F.xxhash64("class_id")
+    own = F.when(inside, F.pmod(hashed, main_blocks)).otherwise(main_blocks + F.pmod(hashed, other_blocks)).cast("int")
+    last = main_blocks + other_blocks - 1
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.when(inside, main_blocks).otherwise(0), last)))
+    return dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other")
 
 
 def across(rows: pd.DataFrame, share: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -223,15 +260,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> Data
 
     stars = banded.where("class_id != first").select(F.col("class_id").alias("a"), F.col("first").alias("b")).distinct()
     links = written(confirmed(stars, classes, docs, words, share))
-    rooted = classes.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
-        "root", F.coalesce("root", "class_id")
+    # As long as it joins many, all members outside the largest component of a band meet a few of that component.
+    seed, before = 0, None
+    while True:
+        rooted = classes.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
+            "root", F.coalesce("root", "class_id")
+        )
+        open_rows = written(opened(rooted, shared))
+        outside = open_rows.where("root != main").count()
+        if not outside or before is not None and outside > before * (1 - WORTH):
+            break
+        links = links.union(written(confirmed(met(open_rows, seed), classes, docs, words, share)))
+        seed, before = seed + 1, outside
+
+    # What is still open is compared in full; a class is joined once, whatever the number of its open bands.
+    per_class = open_rows.groupBy("class_id").agg(F.collect_list(F.struct("key", "main", "n_main", "n_rest", "w_main", "w_rest")).alias("open"))
+    open_members = per_class.join(rooted, "class_id").select("class_id", "root", "n_shingles", "entries", "bands", F.explode("open").alias("o")).select(
+        "class_id", "root", "n_shingles", "entries", "bands", "o.*"
     )
 
-    # bands that still hold several components; of two members, both are compared above
-    roots = banded.where("n > 2").join(rooted.select("class_id", "root"), "class_id")
-    open_keys = roots.groupBy("key").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root < high_root")
-    open_rows = banded.select("key", "class_id", "n").join(open_keys.select("key"), "key").join(rooted, "class_id")
-
     def involved(rows: pd.DataFrame) -> pd.DataFrame:
         found = set()
         for i, others in across(rows, share):
@@ -239,7 +286,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> Data
             found.update(others.tolist())
         return rows.iloc[sorted(found)][["key", "class_id"]]
 
-    dealt = written(blocks(open_rows))
+    dealt = written(blocks(open_members))
     suspects = written(grouped_blocks(dealt, involved, "key bigint, class_id bigint").distinct())
     rest = dealt.join(suspects, ["key", "class_id"]).join(only(docs, suspects).withColumnRenamed("doc_id", "class_id"), "class_id")
 

@@ -127,3 +127,31 @@ def test_the_filter_before_full_sets_seldom_drops_a_pair_at_the_threshold(share)
     n = 2 * near_dedup.PERMUTATIONS
     below = [k for k in range(n + 1) if k / n < share - near_dedup.MARGIN]
     assert sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in below) < 1e-7
+
+
+def without_hub(n):
+    """Copies with one to three changed words of 90: most are near some others, and none is near all."""
+    rng, text = np.random.default_rng(17), prose(21, 90)
+    return [(i, changed(text, rng.choice(90, rng.integers(1, 4), replace=False), f"v{i}_")) for i in range(n)]
+
+
+def test_a_group_without_a_hub_agrees_with_all_pairs(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rows = without_hub(150)
+    got = near_dedup.near_duplicates(docs_of(rows), 3, 0.85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_force(rows, 3, 85)
+
+
+def test_no_table_grows_with_the_square_of_a_group(docs_of, monkeypatch):
+    real, sizes = near_dedup.written, []
+
+    def counted(df, *args, **options):
+        out = real(df, *args, **options)
+        sizes[-1].append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    for n in (1000, 2000):
+        sizes.append([])
+        near_dedup.near_duplicates(docs_of(without_hub(n)), 3, 0.85).count()
+    assert max(sizes[1]) <= 2.2 * max(sizes[0]) and sum(sizes[1]) <= 2.2 * sum(sizes[0])
