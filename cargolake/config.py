@@ -41,6 +41,7 @@ class WarehouseConfig:
     mart_properties: dict = field(default_factory=dict, repr=False)
     mart_schema: str = "gold"
     incremental_logs: bool = False  # take only log files no earlier run has taken
+    incremental_fact: bool = False  # join and write only months of the fact whose inputs changed
 
     def raw(self, kind: str) -> str:
         return f"{self.root}/raw/{kind}"

@@ -235,7 +235,8 @@ def publish_dimension(df: DataFrame, name: str, gold: str) -> None:
 
 
 def publish_fact(
-    df: DataFrame, gold: str, source: DataFrame, skip_if_empty: bool = True, sorted_layout: bool = False
+    df: DataFrame, gold: str, source: DataFrame, skip_if_empty: bool = True, sorted_layout: bool = False,
+    part: Column | None = None, touched: Collection[str] | None = None,
 ) -> bool:
     """Replace the fact; an empty run leaves the old one.
 
@@ -244,15 +245,19 @@ def publish_fact(
     computing the fact. ``sorted_layout`` range-partitions the rows by
     (time_id, order_key), which lets readers of a period skip files but costs
     one more shuffle of the fact; a day that holds most orders still spreads
-    over many files.
+    over many files. With ``part`` the fact is published in parts, of which
+    ``touched`` (all, if not given) are replaced.
     """
     if skip_if_empty and source.isEmpty():
         return False
-    fact = conform(df, STAR["fact_orders"])
+    fact, path = conform(df, STAR["fact_orders"]), f"{gold}/fact_orders"
+    if part is not None:
+        publish_parts(fact, path, part, touched, sort_by=("time_id", "order_key") if sorted_layout else ())
+        return True
     if sorted_layout:
         key = ("time_id", "order_key")
         fact = fact.repartitionByRange(*key).sortWithinPartitions(*key)
-    publish_table(fact, f"{gold}/fact_orders")
+    publish_table(fact, path)
     return True
 
 

@@ -1,0 +1,109 @@
+"""The fact by months: an incremental run against a full one, and reports that read some months."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from cargolake.config import WarehouseConfig
+from cargolake.plans import months, runs
+from cargolake.sources.tables import part_names, publish_table, read_table
+from cargolake.sources.versions import resolved_parts
+from tests.conftest import RUN_TS, rows
+from tests.test_runs import operational, raw_files
+
+
+@pytest.fixture(scope="module")
+def silver(spark, tmp_path_factory):
+    """A silver layer with 300 sales over fourteen months, one without a date."""
+    root = tmp_path_factory.mktemp("lake")
+    cfg = WarehouseConfig(root=str(root), run_ts=RUN_TS, as_of=date(2025, 3, 31), incremental_fact=True)
+    raw_files(root)
+    operational(spark, cfg)
+    runs.run_bronze(spark, cfg)
+    runs.run_silver(spark, cfg)
+    path = cfg.silver("postgres/sale_headers")
+    one = read_table(spark, path).where("id = '1'")
+    more = one.crossJoin(spark.range(100, 400).withColumnRenamed("id", "n")).withColumns({
+        "id": F.col("n").cast("string"), "vehicle_id": (F.col("n") % 3).cast(one.schema["vehicle_id"].dataType),
+        "total_amount": (F.col("n") * 7 % 1000).cast(one.schema["total_amount"].dataType),
+        "created_at": F.when(F.col("n") < 399, F.expr("timestamp_ntz'2024-01-05 10:00:00' + make_interval(0, 0, 0, cast((n * 11) % 420 as int))")),
+    }).select(one.columns)
+    publish_table(read_table(spark, path).unionByName(more), path)
+    return cfg
+
+
+def fact(spark, cfg):
+    return rows(read_table(spark, cfg.gold("fact_orders")).drop("etl_loaded_at"))
+
+
+def full(spark, cfg, tmp_path):
+    """The fact of a run that computes all."""
+    import shutil
+
+    shutil.copytree(f"{cfg.root}/silver", tmp_path / "full/silver")
+    whole = replace(cfg, root=str(tmp_path / "full"), incremental_fact=False)
+    runs.run_gold(spark, whole)
+    return fact(spark, whole)
+
+
+def change(spark, path, change):
+    df = read_table(spark, path)
+    publish_table(change(df).select(df.columns), path)
+
+
+def test_only_touched_months_are_written_and_the_fact_is_that_of_a_full_run(spark, silver, tmp_path):
+    path = silver.gold("fact_orders")
+    runs.run_gold(spark, silver)
+    assert fact(spark, silver) == full(spark, silver, tmp_path / "a")
+    assert months.NO_MONTH in part_names(spark, path) and len(part_names(spark, path)) > 12
+    before = resolved_parts(spark, path)
+    assert runs.run_gold(spark, replace(silver, run_ts=RUN_TS + timedelta(days=1))) == {"orders": 0, "matched_trips": 0, "months": 0}
+    assert resolved_parts(spark, path) == before
+
+    sales, costs, points = silver.silver("postgres/sale_headers"), silver.silver("excel/all_expenses"), silver.silver("json/telemetry")
+    steps = [
+        # an amount, an order that moves to another month, one that goes, one that comes
+        (sales, lambda df: df.withColumn("total_amount", F.when(F.col("id") == "150", F.lit(5).cast("decimal(15,2)")).otherwise(F.col("total_amount")))),
+        (sales, lambda df: df.withColumn("created_at", F.when(F.col("id") == "151", F.lit(datetime(2024, 11, 3)).cast("timestamp_ntz")).otherwise(F.col("created_at")))),
+        (sales, lambda df: df.where("id <> '152'")),
+        (sales, lambda df: df.unionByName(df.where("id = '153'").withColumn("id", F.lit("9000")))),
+        # a cost, and points of a trip
+        (costs, lambda df: df.withColumn("amount_rub", F.col("amount_rub") + F.when(F.col("expense_date") == "2025-03-12", 1).otherwise(0))),
+        (points, lambda df: df.where("order_key <> '1' OR spd < 17")),
+    ]
+    for i, (table, step) in enumerate(steps):
+        change(spark, table, step)
+        before = resolved_parts(spark, path)
+        got = runs.run_gold(spark, replace(silver, run_ts=RUN_TS + timedelta(days=2 + i)))
+        now = resolved_parts(spark, path)
+        changed = {m for m in before.keys() | now.keys() if before.get(m) != now.get(m)}
+        assert 0 < len(changed) <= 2 and got["months"] == len(changed) and got["orders"] < 100
+    assert fact(spark, silver) == full(spark, silver, tmp_path / "b")
+
+
+def test_another_publication_of_the_fact_leads_to_a_full_refresh(spark, silver):
+    path, state = silver.gold("fact_orders"), silver.silver("metadata/fact_digests")
+    runs.run_gold(spark, silver)
+    runs.run_gold(spark, replace(silver, incremental_fact=False))
+    assert months.touched_months(spark, path, state, {}) is None
+    got = runs.run_gold(spark, silver)
+    assert "months" not in got and got["orders"] > 300
+    assert runs.run_gold(spark, silver)["months"] == 0
+
+
+def test_the_weekly_report_opens_only_the_months_asked_for(spark, silver):
+    path = silver.gold("fact_orders")
+    runs.run_gold(spark, silver)
+    since = date(2025, 1, 15)
+    want = rows(runs.reports.weekly_warehouse(
+        read_table(spark, path), read_table(spark, silver.gold("dim_warehouse")), read_table(spark, silver.gold("dim_time")), since,
+    ))
+    report = runs.run_reports(spark, silver, since)["weekly_warehouse"]
+    assert rows(report) == want and want
+    opened = {f.split("part=")[1].split("/")[0] for f in months.fact_since(spark, path, since).inputFiles() if "part=" in f}
+    assert opened and min(opened) == "202501" and months.NO_MONTH not in opened
+    assert len(opened) < len(part_names(spark, path))
