@@ -63,7 +63,9 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language of a whole text and its share of the belief; ``und`` without a letter or without training."""
-        counts = Counter(WORD.findall((text or "").lower()))
+        # numerals such as ½ or Ⅷ look like words to the pattern, but are no letters
+        found = Counter(WORD.findall((text or "").lower()))
+        counts = Counter({w: n for w, n in found.items() if w.isalpha() or any(map(str.isalpha, w))})
         if not counts or not self.languages:
             return UNDETERMINED, 0.0
         rows, times = [], []

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import numpy as np
 from cargolake.llm import language
 from tests.llm.conftest import document
 
@@ -67,3 +68,11 @@ def test_the_sample_is_bounded(spark):
     assert 800 <= language.bounded_sample(rows, 1000).count() <= 1200
     assert language.bounded_sample(rows.limit(50), 1000).count() == 50
     assert document(1, None)[4] is None
+
+
+def test_numerals_are_no_letters():
+    model = language.LanguageModel(["de", "en"], {"und": 0}, {"a": 1}, np.array([[1.0, -1.0], [0.5, -0.5]], np.float32))
+    for text in ("½ ²", "Ⅷ ① ½", "12 _ ²³", "", None):
+        assert model.predict(text) == (language.UNDETERMINED, 0.0)
+    assert model.predict("½ und ²")[0] == "de" and model.predict("½ und ²") == model.predict("und")
+    assert model.predict("x²")[0] == "de"  # a letter with a numeral is a word
