@@ -32,6 +32,9 @@ WORD = re.compile(r"[^\W_]+")
 # Words of short notices that name no license.
 COMMON = frozenset("a an and code form international is license licensed of released source subject terms the this to under v version work".split())
 
+# Words that tell the members of a family of licenses apart, as do whole numbers (versions).
+FAMILY = "affero lesser library noncommercial nc sharealike sa noderivatives noderivs nd".split()
+
 # Short notices of public licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -62,6 +65,7 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+FAMILY_HASHES = frozenset(hash_words([w.encode() for w in (*FAMILY, *map(str, range(100)))]).tolist())
 COMMON_HASHES = frozenset(hash_words([w.encode() for w in sorted(COMMON)]).tolist())
 
 SCHEMA = (
@@ -118,10 +122,24 @@ def naming(words: np.ndarray) -> list[int]:
     return [w for w in words.tolist() if w not in COMMON_HASHES]
 
 
+def same_member(template: np.ndarray, span: np.ndarray) -> bool:
+    """Whether the family words and numbers of the span are some of the template's, in their order, if that has any."""
+    wanted, found = ([w for w in words.tolist() if w in FAMILY_HASHES] for words in (template, span))
+    rest = iter(wanted)
+    return all(w in rest for w in found) and bool(found) == bool(wanted)
+
+
 def names_it(template: np.ndarray, span: np.ndarray) -> bool:
-    """Whether the span, from the first naming word of a short template on, has just the template's naming words."""
+    """Whether the span names the template's license and not another.
+
+    From the first naming word of a short template on, a span must have just
+    the template's naming words; that of a long one no other family words or
+    numbers than the template.
+    """
+    if len(template) > SHORT:
+        return same_member(template, span)
     wanted = naming(template)
-    if len(template) > SHORT or not wanted:
+    if not wanted:
         return True
     at = np.flatnonzero(span == np.uint64(wanted[0]))
     return any(naming(span[i:]) == wanted for i in at)

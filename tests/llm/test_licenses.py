@@ -95,3 +95,29 @@ def test_scan(docs_of, odd_rows):
         ("50", "Apache-2.0", 1.0), ("50", "Apache-2.0", 1.0), ("None", "Apache-2.0", 1.0),
     ]
     assert licenses.scan(docs_of([])).collect() == []
+
+
+NOTICE = (
+    "This {what} is free software{sep} you can redistribute it and/or modify it under the terms of the GNU {name}General Public License "
+    "as published by the Free Software Foundation{mid} either version {version} of the License, or (at your option) any later version."
+)
+
+
+@pytest.mark.parametrize(
+    ("name", "version", "found"),
+    [("", "3", True), ("", "2", False), ("", "1", False), ("Lesser ", "3", False), ("Lesser ", "2.1", False), ("Library ", "2", False), ("Affero ", "3", False)],
+)
+@pytest.mark.parametrize("what", ["program", "library"])
+def test_members_of_a_family_are_told_apart(name, version, found, what):
+    """The notice of one license is never reported as its sibling's."""
+    text = "Some words before. " + NOTICE.format(what=what, sep=":" if version != "2" else ";", name=name, mid=",", version=version) + " And after."
+    named = {hit[0] for hit in licenses.Scanner(licenses.TEMPLATES).matches(text)}
+    assert named == ({"GPL-3.0-header"} if found and what == "program" else set())
+
+
+def test_long_notices_need_their_own_version():
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    scan = licenses.Scanner(licenses.TEMPLATES).matches
+    assert "Apache-2.0-header" in {hit[0] for hit in scan(header)}
+    assert "Apache-2.0-header" in {hit[0] for hit in scan(header.replace("http://www.apache.org/licenses/LICENSE-2.0", "the address below"))}
+    assert not {hit[0] for hit in scan(header.replace("2.0", "1.1"))}
