@@ -19,7 +19,7 @@ has_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark
 
 def test_everything_is_registered():
     names = entry_points.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
     assert set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_duplicates", "substrings", "packing"]
@@ -32,13 +32,22 @@ def test_query_agrees_with_its_sql(spark, name):
 
 
 @has_tables
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL) - {"op8_license_scan", "op9_best_fit_packing"}))
+@pytest.mark.parametrize("name", sorted(
+    set(queries.QUERIES) - set(queries.SQL) - {"op8_license_scan", "op9_best_fit_packing", "op13_conversation_repair"}
+))
 def test_query_returns_a_row_per_document(spark, name):
     got = [r["doc_id"] for r in queries.QUERIES[name](spark, SF_DIR).collect()]
     want = [r["doc_id"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").collect()]
     assert sorted(got) == sorted(want)
 
 
+@has_tables
+def test_conversation_repair_returns_a_row_per_conversation(spark):
+    got = [r["conv_id"] for r in queries.QUERIES["op13_conversation_repair"](spark, SF_DIR).collect()]
+    want = [r[0] for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").distinct().collect()]
+    assert sorted(got) == sorted(want)
+
+
 @pytest.fixture(scope="module")
 def corpus(docs_of, spark, tmp_path_factory):
     """Clean texts, junk, toxic texts, a near copy and a shared passage, as tables."""
