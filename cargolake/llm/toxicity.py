@@ -41,12 +41,17 @@ CLAUSE = re.compile(r"[.!?;:,\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 # Seed words of the closed classes, in the languages of the corpus.
-THREATS = "kill hurt destroy burn beat töten schlagen tuer frapper matar golpear".split()
-TARGETS = "you he she they him her them your ihr euch dich tu vous ils elles usted ustedes ellos".split()
+THREATS = "kill killing hurt hurting destroy destroying burn burning beat beating töten schlagen tuer frapper matar golpear".split()
+TARGETS = "he she they him her them your ihr tu ils elles usted ustedes ellos".split()
+ADDRESSED = "you".split()  # a target, and of a passive threat too
+OBJECTS = "dich euch te vous os".split()  # targets that may stand before the threat
+HARMED = "killed beaten burned destroyed getötet geschlagen tué frappé".split()
 NEGATIONS = "not no never nicht kein keine nie ne pas jamais nunca jamás".split()
 REPORTS = "said says told wrote called quoted sagte sagt schrieb dit disait écrit dijo dice escribió".split()
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
+ADDRESS, OBJECT, HARM = "address", "object", "harm"
+CLASSES = (INSULT, THREAT, TARGET, ADDRESS, OBJECT, HARM, NEGATION, REPORT, OTHER)
 USES = ("plain", "targeted", "negated", "reported", "threat")
 
 
@@ -102,26 +107,39 @@ def lexicon(classes: Iterable[str]) -> Transducer:
 
 
 def grammar(reach: int = 2) -> Transducer:
-    """Clauses with an insult or threat. A target, negation or report counts up to ``reach`` words before the insult."""
+    """Clauses with an insult or threat. A target, negation or report counts up to ``reach`` words before the insult.
+
+    A threat needs its target within ``reach`` words: after it, or before it if
+    that is an object pronoun ("te voy a matar"); of a participle, before it if
+    it is an address too ("you will be killed"). A subject is no target, so
+    "they beat the record" is none.
+    """
     t = Transducer()
     done = 1
     t.final[done] = 1.0
-    for c in (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER):
+    for c in CLASSES:
         t.arc(0, c, "", 0, 1.0 if c == OTHER else 0.9)
         t.arc(done, c, "", done)
     t.arc(0, INSULT, "plain", done, 0.9)
     state = 2
-    for cue, use in ((TARGET, "targeted"), (NEGATION, "negated"), (REPORT, "reported")):
+
+    def chain(first: str, ends: dict[str, str]) -> None:
+        """From ``first``, at most ``reach`` plain words on, to one of ``ends``, with the use it gives."""
+        nonlocal state
         before = 0
         for step in range(reach + 1):
-            t.arc(before, cue if step == 0 else OTHER, "", state)
-            t.arc(state, INSULT, use, done)
+            t.arc(before, first if step == 0 else OTHER, "", state)
+            for last, use in ends.items():
+                t.arc(state, last, use, done)
             before, state = state, state + 1
-    before = 0  # a threat needs its target
-    for step in range(reach + 1):
-        t.arc(before, THREAT if step == 0 else OTHER, "", state)
-        t.arc(state, TARGET, "threat", done)
-        before, state = state, state + 1
+
+    for target in (TARGET, ADDRESS, OBJECT):
+        passive = {} if target == TARGET else {HARM: "threat"}
+        active = {THREAT: "threat"} if target == OBJECT else {}
+        chain(target, {INSULT: "targeted", **passive, **active})
+    chain(NEGATION, {INSULT: "negated"})
+    chain(REPORT, {INSULT: "reported"})
+    chain(THREAT, dict.fromkeys((TARGET, ADDRESS, OBJECT), "threat"))
     return t
 
 
@@ -137,12 +155,13 @@ class ToxicityModel:
     curve: tuple[float, float] = (-2.0, 1.0)  # log odds of a text: first + second * sum over its clauses
     threat: float = 3.0  # log odds of a threat at a target
     cues: dict[str, str] = field(default_factory=lambda: {
-        **dict.fromkeys(THREATS, THREAT), **dict.fromkeys(TARGETS, TARGET),
+        **dict.fromkeys(THREATS, THREAT), **dict.fromkeys(HARMED, HARM), **dict.fromkeys(TARGETS, TARGET),
+        **dict.fromkeys(ADDRESSED, ADDRESS), **dict.fromkeys(OBJECTS, OBJECT),
         **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT),
     })
 
     def __post_init__(self) -> None:
-        self.machine = lexicon((INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)).compose(grammar())
+        self.machine = lexicon(CLASSES).compose(grammar())
         self.lengths = sorted({len(s) for s in self.stems if not s.endswith("$")})
 
     def insult(self, word: str) -> float:
@@ -156,23 +175,32 @@ class ToxicityModel:
         return self.stems.get(word + "$", 0.0)
 
     def clauses(self, text: str | None) -> Iterator[tuple[float, str]]:
-        """Weight and use of every clause that the grammar accepts; an insult counts once in a text."""
+        """Weight and use of what the grammar accepts: every threat, and every insult once, by its strongest use.
+
+        So the order of clauses does not matter. An insult in a threat counts
+        only if another clause holds it too.
+        """
         text = (text or "").lower()
         vocabulary = set(WORD.findall(text))
         hot = {w: weight for w in vocabulary if (weight := self.insult(w))}
-        threats = {w for w in vocabulary if self.cues.get(w) == THREAT}
+        threats = {w for w in vocabulary if self.cues.get(w) in (THREAT, HARM)}
         if not hot and not threats:
             return
-        counted: set[str] = set()
+        strongest: dict[str, tuple[float, int]] = {}
         for clause in CLAUSE.split(text):
             words = WORD.findall(clause)
             if threats.isdisjoint(words) and not any(w in hot for w in words):
                 continue
             _, use = self.machine.best((INSULT if w in hot else self.cues.get(w, OTHER), 1.0) for w in words)
-            if use:
-                fresh = {w for w in words if w in hot} - counted
-                counted |= fresh
-                yield sum(hot[w] for w in fresh) if use != "threat" else self.threat, use
+            if use == "threat":
+                yield self.threat, use
+            elif use:
+                rank = (self.uses[use], -USES.index(use))
+                for w in words:
+                    if w in hot:
+                        strongest[w] = max(strongest.get(w, rank), rank)
+        for w, (_, use) in sorted(strongest.items()):
+            yield hot[w], USES[-use]
 
     def total(self, text: str | None) -> float:
         return sum(weight * self.uses[use] for weight, use in self.clauses(text))

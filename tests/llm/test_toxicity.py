@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -94,6 +95,14 @@ def test_composition_of_transducers():
         ("someone said blorg today", ["reported"]),
         ("kill them now", ["threat"]),
         ("kill the lights", []),
+        ("ich werde dich töten", ["threat"]),
+        ("je vais te tuer", ["threat"]),
+        ("te voy a matar", ["threat"]),
+        ("killing you is easy", ["threat"]),
+        ("you will be killed", ["threat"]),
+        ("they will beat the record", []),
+        ("he was killed in the war", []),
+        ("you may burn the letter", []),
         ("you went home. a blorg stayed", ["plain"]),
         ("nothing here", []),
     ],
@@ -113,3 +122,42 @@ def test_negated_and_reported_insults_can_weigh_less():
 def test_clashing_names(docs_of, model):
     docs = docs_of([(1, "a blorg")]).withColumnRenamed("lang", "score")
     assert toxicity.score(docs, model, docs.columns).columns == [*docs.columns, "toxicity"]
+
+
+def test_order_of_clauses_does_not_matter():
+    uses = {"plain": 1.0, "targeted": 1.2, "negated": 0.2, "reported": 0.1, "threat": 1.0}
+    model = ToxicityModel({"blor": 3.0, "zwic": 2.0}, uses=uses)
+    clauses = ["he said blorg", "you blorg", "not a zwick", "kill you zwick", "a quiet day"]
+    totals = {round(model.total(". ".join(order)), 9) for order in itertools.permutations(clauses)}
+    assert totals == {round(3.0 * 1.2 + 2.0 * 0.2 + 3.0, 9)}
+    assert model.total("He said blorg. You blorg.") == model.total("You blorg. He said blorg.") == model.total("you blorg")
+
+
+def paths(symbols, reach=2):
+    """Weight and use of every way to read the symbols, written out: kept or passed over words, then one match."""
+    t = toxicity
+    ends = {t.TARGET: {t.INSULT: "targeted"}, t.NEGATION: {t.INSULT: "negated"}, t.REPORT: {t.INSULT: "reported"},
+            t.ADDRESS: {t.INSULT: "targeted", t.HARM: "threat"},
+            t.OBJECT: {t.INSULT: "targeted", t.HARM: "threat", t.THREAT: "threat"},
+            t.THREAT: dict.fromkeys((t.TARGET, t.ADDRESS, t.OBJECT), "threat")}
+    for kept in itertools.product(*[[(s, 1.0)] if s == t.OTHER else [(s, 1.0), (t.OTHER, 0.5)] for s in symbols]):
+        names, loss = [k for k, _ in kept], np.prod([w for _, w in kept])
+        for i, name in enumerate(names):
+            before = loss * 0.9 ** sum(n != t.OTHER for n in names[:i])
+            if name == t.INSULT:
+                yield before * 0.9, "plain"
+            for j in range(i + 1, min(i + reach + 2, len(names))):
+                if all(n == t.OTHER for n in names[i + 1 : j]) and names[j] in ends.get(name, {}):
+                    yield before, ends[name][names[j]]
+
+
+def test_best_path_is_the_best_of_all_paths():
+    machine, rng = ToxicityModel({}).machine, random.Random(4)
+    some = [list(s) for n in (1, 2, 3) for s in itertools.product(toxicity.CLASSES, repeat=n)]
+    some += [rng.choices(toxicity.CLASSES, k=rng.randint(4, 7)) for _ in range(300)]
+    for symbols in some:
+        every = list(paths(symbols))
+        weight, use = machine.best((s, 1.0) for s in symbols)
+        best = max((w for w, _ in every), default=0.0)
+        assert weight == pytest.approx(best), symbols
+        assert use in {u for w, u in every if w > best - 1e-9} or not every and not use, symbols
