@@ -179,8 +179,10 @@ def judge(
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that ``judge`` keeps, with their columns."""
-    return judge(docs, host).where(F.col("quality.kept")).select(*docs.columns)
+    """The documents that ``judge`` keeps, with their columns, whatever their names."""
+    # in a struct the columns may have any names
+    rows = docs.select(F.struct("*").alias("row"), F.col(host).alias("host"), "text")
+    return judge(rows, "host", carry=["row"]).where(F.col("quality.kept")).select("row.*")
 
 
 ORACLE = r"""

@@ -321,4 +321,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.8) -> Data
 def keep_first(docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
     """The documents that ``near_duplicates`` keeps, with their columns."""
     kept = near_duplicates(docs, words, share).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    rows = docs.select(F.struct("*").alias("row"))  # in a struct the columns may have any names
+    return rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")

@@ -258,7 +258,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the kept words as ``text`` and ``n_chars``, if there is such a column, counted anew."""
-    cleaned = remove_repeats(docs, window).withColumn("text", F.col("repeats.kept_text"))
+    # in a struct the columns may have any names
+    cleaned = remove_repeats(docs.select(F.struct("*").alias("row"), "text"), window)
+    row = F.col("row").withField("text", F.col("repeats.kept_text"))
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*docs.columns)
+        row = row.withField("n_chars", F.length("repeats.kept_text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(row.alias("row")).select("row.*")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from cargolake.llm import queries
+from cargolake.llm import host_quality, near_dedup, packing, queries, substring_dedup, toxicity
 from tests.compare import connect, mismatch
 from tests.llm.conftest import prose
 from tests.llm.test_packing import check
@@ -81,3 +82,24 @@ def test_stages_and_sequences(spark, corpus):
     from cargolake.llm.byte_bpe import encoder
 
     check(corpus_pipeline.run(spark, folder).collect(), 1024, encoder().tokenizer, kept["substrings"])
+
+
+def test_extra_columns_may_have_any_names(docs_of, spark):
+    """Columns named as the stages' own go through each stage with their values."""
+    names = "quality repeats kept_id row host key hits words minimiser component_id class_id toxicity kept copies rate worst".split()
+    rows = [(i, f"{prose(1000 + i, 40)} {prose(7, 45)}") for i in range(6)] + [(6, prose(1000, 40)), (7, prose(1000, 40)), (8, None)]
+    docs = docs_of(rows).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    stages = [
+        lambda d: host_quality.keep_good(d),
+        lambda d: near_dedup.keep_first(d),
+        lambda d: substring_dedup.without_repeats(d),
+        lambda d: toxicity.score(d.select(F.struct(*d.columns).alias("row"), "text"), toxicity.ToxicityModel({}), ["row"]).select("row.*"),
+    ]
+    left = [set(range(8)), {*range(6), 6, 8}, set(range(9)), set(range(9))]
+    for stage, ids in zip(stages, left):
+        got = stage(docs)
+        assert got.schema.names == docs.schema.names
+        found = got.collect()
+        assert {r["doc_id"] for r in found} == ids
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in found for n in names)
+    assert packing.best_fit_pack(docs).count() == 9
