@@ -6,8 +6,10 @@ import io
 import json
 import re
 import zipfile
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from datetime import datetime
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -66,14 +68,20 @@ def _cells(row: ElementTree.Element, shared: list[str]) -> dict[str, str]:
     return cells
 
 
-def _rows(content: bytes) -> list[tuple]:
+def _require(headers: Iterable[str]) -> None:
+    missing = [h for h in REQUIRED if h not in headers]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)}")
+
+
+def _rows(content: bytes) -> Iterator[tuple]:
     """The rows of the first sheet under the known headers, and all other columns of a row as one JSON text.
 
     Blanks around and inside a header do not matter. A missing column is all
-    NULL; a sheet without the required ones is an error. The sheet is parsed as a stream, so a file costs its values and not a tree
-    of its whole markup. A sheet has at most 1,048,576 rows.
+    NULL; a sheet without the required ones is an error, raised at its end if it has no header at all. The sheet is
+    parsed as a stream, so it costs its shared texts and one row at a time. A sheet has at most 1,048,576 rows.
     """
-    rows, place = [], None
+    place = None
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_texts(book)
         with book.open(_first_sheet(book)) as stream:
@@ -86,28 +94,30 @@ def _rows(content: bytes) -> list[tuple]:
                     if place is None:
                         place = {" ".join(name.split()): column for column, name in cells.items()}
                         others = {name: column for name, column in place.items() if name not in HEADERS}
+                        _require(place)
                     else:
                         more = {name: cells[column] for name, column in others.items() if column in cells}
                         known = tuple(cells.get(place.get(h)) for h in HEADERS)
-                        rows.append((*known, json.dumps(more, ensure_ascii=False, sort_keys=True) if more else None))
+                        yield (*known, json.dumps(more, ensure_ascii=False, sort_keys=True) if more else None)
                     sheet.clear()
-    missing = [h for h in REQUIRED if h not in (place or {})]
-    if missing:
-        raise ValueError(f"no column {', '.join(missing)}")
-    return rows
+    _require(place or {})
 
 
 def _decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames of bounded length; a damaged file gives its error and none of its rows."""
+    """Frames of bounded length; a damaged file gives its error and none of its rows.
+
+    A sheet is read twice: once to its end, so that damage anywhere is known
+    before the first row leaves, and once more for its rows, a frame at a time.
+    """
     names = ["path", *HEADERS, "other_columns", "read_error"]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
+                deque(_rows(content), maxlen=0)
                 rows, error = _rows(content), None
             except Exception as e:  # any damage to one file must not stop the others
-                rows, error = [(None,) * (len(HEADERS) + 1)], repr(e)
-            for start in range(0, len(rows), FRAME_ROWS):
-                part = [(path, *row, error) for row in rows[start : start + FRAME_ROWS]]
+                rows, error = iter([(None,) * (len(HEADERS) + 1)]), repr(e)
+            while part := [(path, *row, error) for row in islice(rows, FRAME_ROWS)]:
                 yield pd.DataFrame(part, columns=names, dtype=object)
 
 
@@ -115,7 +125,8 @@ def scan_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of all workbooks, and one row with ``read_error`` per file that cannot be read.
 
     Spark packs the files into tasks by size, so the bytes one task holds are
-    bounded by spark.sql.files.maxPartitionBytes or by its largest file.
+    bounded by spark.sql.files.maxPartitionBytes or by its largest file; of the
+    rows it holds a frame.
     """
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(folder)

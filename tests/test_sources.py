@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import tracemalloc
+import zipfile
 from datetime import date, datetime
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -358,3 +361,32 @@ def test_jdbc_loads_truncate_and_insert_in_batches():
     calls = str(df.mock_calls)
     assert "mode('overwrite')" in calls and "option('truncate', True)" in calls
     assert "option('batchsize', 1000)" in calls and "jdbc('jdbc:x', 'gold.dim_time'" in calls
+
+
+def test_a_sheet_is_streamed(tmp_path, monkeypatch):
+    """The memory of a frame, not of a sheet: four times the rows, hardly more at the peak."""
+    monkeypatch.setattr(workbooks, "FRAME_ROWS", 200)
+    peaks = []
+    for n in (1_000, 4_000):
+        workbook(tmp_path / f"{n}.xlsx", [[f"{k}", "x" * 200] for k in range(n)], inline=True)
+        content = (tmp_path / f"{n}.xlsx").read_bytes()
+        batch = pd.DataFrame({"path": ["p"], "content": [content]})
+        tracemalloc.start()
+        sizes = [len(frame) for frame in workbooks._decode_all(iter([batch]))]
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert sizes == [200] * (n // 200)
+    assert peaks[1] < 1.3 * peaks[0]
+
+
+def test_damage_at_the_end_of_a_sheet_leaves_no_row(tmp_path, monkeypatch):
+    monkeypatch.setattr(workbooks, "FRAME_ROWS", 10)
+    workbook(tmp_path / "good.xlsx", [[f"{k}"] for k in range(100)], inline=True)
+    with zipfile.ZipFile(tmp_path / "good.xlsx") as book, zipfile.ZipFile(tmp_path / "bad.xlsx", "w") as bad:
+        for name in book.namelist():
+            content = book.read(name)
+            bad.writestr(name, content[: -len("</sheetData>")] if "sheet1" in name else content)
+    batch = pd.DataFrame({"path": ["bad", "good"], "content": [(tmp_path / f"{n}.xlsx").read_bytes() for n in ("bad", "good")]})
+    got = pd.concat(workbooks._decode_all(iter([batch])))
+    assert (got["path"] == "bad").sum() == 1 and got.loc[got["path"] == "bad", "read_error"].notna().all()
+    assert (got["path"] == "good").sum() == 100 and got.loc[got["path"] == "good", "read_error"].isna().all()
