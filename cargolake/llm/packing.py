@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from cargolake.llm.base import written
 from cargolake.llm.byte_bpe import encoder
 
-TEXTS_AT_ONCE = 250  # documents whose pieces leave a task together
+TEXTS_AT_ONCE = 1000  # documents whose pieces leave a task together
 CACHE_PIECES = 100_000  # a pipeline's idle workers keep their caches
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 

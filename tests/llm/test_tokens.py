@@ -83,3 +83,25 @@ def test_no_documents(docs_of, tmp_path):
 def test_other_files_are_refused():
     with pytest.raises(ValueError, match="not a token shard"):
         token_store.TokenShard.from_bytes(b"PAR1")
+
+
+def test_pieces_of_plain_texts_are_those_of_the_library():
+    import random
+
+    from cargolake.llm import byte_bpe
+
+    tool, rng = byte_bpe.PieceEncoder(), random.Random(3)
+    parts = ["'", "''", "'s", "'t", "'re", "'ll", " '", "s", "r", "e", "l", " ", "  ", "\t", "\n", " \n", "\r\n", "\x0b", "a", "Z",
+             "9", "12", "é", "ɏ", "À", "×", "÷", ".", "!", "_", "\0", "\x1b", "\x7f", "日", "\x1c", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(20_000)] + [None, "", "", " " * 70_000, "'"]
+    for text, ids in zip(texts, tool.encode(texts), strict=True):
+        assert ids.tolist() == tool.tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_texts_split_together_in_small_groups(monkeypatch):
+    from cargolake.llm import byte_bpe
+
+    texts = ["one two", None, "three's", "日本", "four  five\n", "six"] * 50
+    want = [ids.tolist() for ids in byte_bpe.PieceEncoder().encode(texts)]
+    monkeypatch.setattr(byte_bpe, "TOGETHER", 20)
+    assert [ids.tolist() for ids in byte_bpe.PieceEncoder(cache_pieces=2).encode(texts)] == want
