@@ -10,20 +10,26 @@ similarity, the sum of smaller weights over the sum of larger ones.
 
 Only DataFrame functions are used. The gamma draws are read from a table of
 quantiles, since one hash and two look-ups cost far less than the logarithms of
-four uniform draws. A packed number holds the rounded ``ln a``
+four uniform draws. The table is a broadcast row that all draws of a task share:
+a constant would stand in the plan once per use, each with an object per number,
+which no processor cache holds. A packed number holds the rounded ``ln a``
 above 16 bits of (word, t), so the sampling is a ``min`` of longs that stays in
-generated code. All words of a text are counted in the task that holds the text.
+generated code. All words of a text are counted in the task that holds the text,
+and a word with the same count in several texts of a row is drawn once for all.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cargolake.llm.base import words_column
 
 SAMPLES = 64
-PER_ROW = 2  # samples drawn from one row; more would make the generated method too long to be compiled
+HASHED = 2  # samples that share the hash of a word
+PER_ROW = 8  # samples drawn from one row, at most; many more would make the generated method too long to be compiled
 DIGITS = 4  # hexadecimal digits of an entry
 STEP = 40503  # odd: different t of one word give different entries
 NOTHING = "-" * DIGITS  # the entry of a document without words
@@ -44,18 +50,20 @@ def gamma_quantiles(shares: np.ndarray) -> np.ndarray:
     return (low + high) / 2
 
 
-def table(values: np.ndarray) -> Column:
-    """A constant array."""
-    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+def gamma_table(spark: SparkSession) -> DataFrame:
+    """One row: the quantiles and their logarithms."""
+    n = 1 << TABLE_BITS
+    quantiles = gamma_quantiles((np.arange(n) + 0.5) / n)
+    numbers = T.ArrayType(T.DoubleType(), containsNull=False)
+    schema = T.StructType([T.StructField("gamma", numbers, False), T.StructField("log_gamma", numbers, False)])
+    return spark.createDataFrame([(quantiles.tolist(), np.log(quantiles).tolist())], schema)
 
 
 def draws(bits: Column) -> tuple[Column, Column, Column]:
-    """r, ln c and b from the bits of one 64-bit hash."""
-    n = 1 << TABLE_BITS
-    quantiles = gamma_quantiles((np.arange(n) + 0.5) / n)
-    mask = F.lit(n - 1)
-    r = F.get(table(quantiles), bits.bitwiseAND(mask))
-    log_c = F.get(table(np.log(quantiles)), F.shiftrightunsigned(bits, TABLE_BITS).bitwiseAND(mask))
+    """r, ln c and b from the bits of one 64-bit hash, over rows that hold the table."""
+    mask = F.lit((1 << TABLE_BITS) - 1)
+    r = F.get("gamma", bits.bitwiseAND(mask))
+    log_c = F.get("log_gamma", F.shiftrightunsigned(bits, TABLE_BITS).bitwiseAND(mask))
     b = (F.shiftrightunsigned(bits, 64 - FINE_BITS) + F.lit(0.5)) * F.lit(2.0**-FINE_BITS)
     return r, log_c, b
 
@@ -76,38 +84,54 @@ def word_counts(rows: DataFrame, keys: list[str], texts: list[str]) -> DataFrame
     return terms.groupBy(*keys, "term").agg(*counts)
 
 
+def by_weight(counts: DataFrame, keys: list[str], weights: list[str]) -> DataFrame:
+    """One row per key, word and weight: term, ``weight`` and ``texts``, the bits of the texts that give the word that weight.
+
+    A word that no text holds keeps one row with a null weight and no bits.
+    """
+    held = [F.coalesce(F.col(w) > 0, F.lit(False)) for w in weights]
+    found, none = [], F.lit(True)
+    for i, w in enumerate(weights):
+        first, bits = held[i], F.lit(1 << i)
+        for j, other in enumerate(weights):
+            if j < i:
+                first = first & ~F.col(other).eqNullSafe(F.col(w))
+            elif j > i:
+                bits = bits + F.when(F.col(other) == F.col(w), F.lit(1 << j)).otherwise(F.lit(0))
+        found.append(F.struct(F.when(first, bits).alias("texts"), F.col(w).cast("double").alias("weight")))
+        none = none & ~held[i]
+    found.append(F.struct(F.when(none, F.lit(0)).alias("texts"), F.lit(None).cast("double").alias("weight")))
+    rows = counts.select(*keys, "term", F.explode(F.array(*found)).alias("s")).where("s.texts is not null")
+    return rows.select(*keys, "term", "s.texts", "s.weight")
+
+
 def signatures(counts: DataFrame, keys: list[str], weights: list[str], samples: int = SAMPLES) -> DataFrame:
     """Fingerprints per key, one column ``f_<weight>`` per weight column: ``samples`` entries in hexadecimal."""
-    if samples % PER_ROW:
-        raise ValueError(f"samples must be a multiple of {PER_ROW}")
-    groups = F.array(*[F.lit(g) for g in range(samples // PER_ROW)])
-    logs = [F.when(F.col(w) > 0, F.log(F.col(w).cast("double"))).alias(f"log_{w}") for w in weights]
-    rows = counts.select(*keys, "term", *logs)  # once per word, before it is multiplied
-    rows = rows.select("*", F.explode(groups).alias("g"))
-    rows = rows.select(*keys, "g", *[f"log_{w}" for w in weights], F.xxhash64("term", "g").alias("base"))
-    js, own = range(PER_ROW), [f"log_{w}" for w in weights]
-    rows = rows.select(*keys, "g", *own, *[F.xxhash64("base", F.lit(j)).alias(f"x{j}") for j in js])
-    rows = rows.select("*", *[c.alias(f"{name}{j}") for j in js for name, c in zip("rcb", draws(F.col(f"x{j}")))])
-
-    def packed(j: int, w: str) -> Column:
+    if samples % HASHED:
+        raise ValueError(f"samples must be a multiple of {HASHED}")
+    per_row = math.gcd(samples, PER_ROW)
+    js = range(per_row)
+    rows = by_weight(counts, keys, weights)
+    rows = rows.select(*keys, "texts", "term", F.log("weight").alias("log_weight"))  # once per word, before it is multiplied
+    rows = rows.crossJoin(F.broadcast(gamma_table(counts.sparkSession)))
+    rows = rows.select("*", F.explode(F.array(*[F.lit(g) for g in range(0, samples // HASHED, per_row // HASHED)])).alias("g"))
+
+    def packed(j: int) -> Column:
         """``ln a``, rounded, above 16 bits that tell word and t."""
-        r, b = F.col(f"r{j}"), F.col(f"b{j}")
-        t = F.floor(F.col(f"log_{w}") / r + b)
-        log_a = F.col(f"c{j}") - r * (t - b + F.lit(1.0))
+        x = F.xxhash64(F.xxhash64("term", F.col("g") + F.lit(j // HASHED)), F.lit(j % HASHED))
+        r, log_c, b = draws(x)
+        t = F.floor(F.col("log_weight") / r + b)
+        log_a = log_c - r * (t - b + F.lit(1.0))
         rank = F.floor((F.greatest(log_a, F.lit(-63.0)) + F.lit(64.0)) * F.lit(float(1 << 40)))
-        entry = (F.shiftrightunsigned(F.col(f"x{j}"), 28) + t * F.lit(STEP)).bitwiseAND(F.lit(0xFFFF))
+        entry = (F.shiftrightunsigned(x, 28) + t * F.lit(STEP)).bitwiseAND(F.lit(0xFFFF))
         return F.shiftleft(rank, 16).bitwiseOR(entry)
 
-    rows = rows.select(*keys, "g", *own, *[f"{n}{j}" for j in js for n in "xrcb"], *[
-        F.when(F.col(own[0]).isNotNull(), packed(j, weights[0])).alias(f"p{j}_{weights[0]}") for j in js
-    ])
-    # most words of an edited text have the weight they had: their samples are the same
-    rows = rows.select(*keys, "g", *[f"p{j}_{weights[0]}" for j in js], *[
-        F.when(F.col(f"log_{w}") == F.col(own[0]), F.col(f"p{j}_{weights[0]}"))
-        .when(F.col(f"log_{w}").isNotNull(), packed(j, w)).alias(f"p{j}_{w}")
-        for w in weights[1:] for j in js
+    # no condition around the draws, so that equal parts of them are computed once; no text reads those of texts = 0
+    least = rows.groupBy(*keys, "texts", "g").agg(*[F.min(packed(j)).alias(f"m{j}") for j in js])
+    least = least.groupBy(*keys, "g").agg(*[
+        F.min(F.when(F.col("texts").bitwiseAND(F.lit(1 << i)) != 0, F.col(f"m{j}"))).alias(f"m{j}_{w}")
+        for i, w in enumerate(weights) for j in js
     ])
-    least = rows.groupBy(*keys, "g").agg(*[F.min(f"p{j}_{w}").alias(f"m{j}_{w}") for w in weights for j in js])
 
     def digits(w: str) -> Column:
         return F.concat(*[

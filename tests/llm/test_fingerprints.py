@@ -90,6 +90,34 @@ def test_weights_count(spark):
     assert abs(np.mean(same) - 0.75) < 0.015
 
 
+def test_weights_of_several_texts(spark):
+    """A word's samples depend on its own weight alone, whatever it weighs in the other texts; null and 0 are no weight."""
+    rows = [(1, 5, 2, 2, 2), (1, 6, 1, 3, 1), (1, 7, 4, None, 0), (1, 8, None, 1, 1), (2, 5, 0, None, 0), (3, None, 0, 0, 0), (3, 9, 0, 1, 2)]
+    counts = spark.createDataFrame(rows, "k bigint, term bigint, w0 bigint, w1 bigint, w2 bigint")
+    together = {r["k"]: r for r in fingerprints.signatures(counts, ["k"], ["w0", "w1", "w2"], 12).collect()}
+    assert sorted(together) == [1, 2, 3]
+    for w in ("w0", "w1", "w2"):
+        alone = dict(fingerprints.signatures(counts.select("k", "term", w), ["k"], [w], 12).collect())
+        assert alone == {k: r[f"f_{w}"] for k, r in together.items()}
+    assert together[2]["f_w0"] == together[3]["f_w0"] == fingerprints.NOTHING * 12 != together[3]["f_w1"]
+
+
+def test_samples_do_not_depend_on_how_many_share_a_row(spark):
+    counts = spark.createDataFrame([(i % 5, i, 1 + i % 3) for i in range(60)], "k bigint, term bigint, w0 bigint")
+    got = {n: dict(fingerprints.signatures(counts, ["k"], ["w0"], n).collect()) for n in (2, 20, 64)}
+    for k, longest in got[64].items():
+        assert [longest.startswith(got[n][k]) for n in (2, 20)] == [True, True]
+    with pytest.raises(ValueError):
+        fingerprints.signatures(counts, ["k"], ["w0"], 3)
+
+
+def test_quantiles_are_not_constants_of_the_plan(docs_of):
+    """Constant arrays stand in the generated code once per use, each with an object per number."""
+    plan = fingerprints.edited_fingerprints(docs_of([(1, "a b c")]))._jdf.queryExecution().optimizedPlan().toString()
+    first = repr(fingerprints.gamma_quantiles(np.array([0.5 / (1 << fingerprints.TABLE_BITS)])).tolist()[0])
+    assert first[:10] not in plan
+
+
 def test_quantiles_of_the_gamma_table():
     shares = np.array([0.05, 0.5, 0.95])
     x = fingerprints.gamma_quantiles(shares)
